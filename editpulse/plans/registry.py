@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from editpulse.config import WindowSpec
+from editpulse.config import JobOptions, WindowSpec
 from editpulse.functions.parse import (
     namespace_filter,
     parse_edits,
@@ -37,7 +37,16 @@ from editpulse.operators import counters
 from editpulse.operators.windowed import count_table
 from editpulse.plans import dashboard as dash
 from editpulse.schema import CORRUPT_COL
-from editpulse.sources.testdata import edit_events, sse_capture, wire_messages
+from editpulse.session import scratch_dir
+from editpulse.sources.counts import read_final, read_versioned
+from editpulse.sources.testdata import (
+    edit_events,
+    event_time_bounds,
+    sse_capture,
+    wire_messages,
+)
+from editpulse.streaming.job import read_lines_stream, run_to_end, start_counts_job
+from editpulse.streaming.replay import replay_chunks
 
 # Fixed values of the test harness: the clock the range queries run at
 # (just after the last event of the data) and the "today" clock.
@@ -55,6 +64,11 @@ SLIDING = WindowSpec("1 hour", "30 minutes")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Streaming harness: the events arrive in this many time-ordered chunks,
+# each processed by a restart of the job on the same checkpoint.
+STREAM_CHUNKS = 6
+STREAM_WATERMARK = "2 minutes"
+
 
 def wallclock(df: DataFrame) -> DataFrame:
     """Turn every TimestampType column into the UTC wall clock (NTZ)."""
@@ -95,6 +109,33 @@ def _sse_parsed(spark: SparkSession, sf_dir: str, keep_raw: bool = False) -> Dat
     return parse_edits(sse_frames(sse_capture(spark, sf_dir)), keep_raw=keep_raw)
 
 
+def stream_counts(spark: SparkSession, sf_dir: str, output_mode: str,
+                  n_chunks: int = STREAM_CHUNKS) -> DataFrame:
+    """Run the streaming job over the events replayed in chunks and return
+    a batch read of what its sink holds.
+
+    Landing files, the table and the checkpoint go to a new directory under
+    the shared scratch root (``spark.checkpoint.dir``).
+    """
+    options = JobOptions(
+        window=HOUR, watermark=STREAM_WATERMARK, trigger=None,
+        output_mode=output_mode, namespaces=None,
+    )
+    root = scratch_dir(spark, f"stream-{output_mode}")
+    landing, table, ckpt = f"{root}/landing", f"{root}/table", f"{root}/checkpoint"
+
+    def run(_chunk: int) -> None:
+        lines = read_lines_stream(spark, f"{landing}/*")
+        run_to_end(start_counts_job(lines, options, table, ckpt))
+
+    replay_chunks(
+        lambda lo, hi: edit_events(spark, sf_dir, lo, hi),
+        event_time_bounds(spark, sf_dir), landing, n_chunks, run,
+    )
+    read = read_versioned if output_mode == "update" else read_final
+    return read(spark, table).select("window_start", "window_end", "user_name", "edit_count")
+
+
 def _queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
 
@@ -129,6 +170,10 @@ def _queries() -> dict[str, Query]:
         count_table(namespace_filter(_sse_parsed(s, d), PIPELINE_NAMESPACES), "user_edit_counts", HOUR)
     )
 
+    # --- streaming job (update mode + upsert; append mode) ----------------
+    q["stream_user_edit_counts_latest"] = lambda s, d: wallclock(stream_counts(s, d, "update"))
+    q["stream_user_edit_counts_final"] = lambda s, d: wallclock(stream_counts(s, d, "append"))
+
     # --- dashboard queries and views -------------------------------------
     q["recent_user_edit_counts"] = lambda s, d: wallclock(
         dash.recent_user_edit_counts(_recent(s, d, RANGE_MINUTES), AS_OF, RANGE_MINUTES)
@@ -262,6 +307,12 @@ def _oracle() -> dict[str, str]:
         _EDITS, _uec(HOUR, f"WHERE namespace IN (0) AND {ok_time}")
     ) + "SELECT * FROM uec"
 
+    o["stream_user_edit_counts_latest"] = WU + "SELECT * FROM uec"
+    o["stream_user_edit_counts_final"] = WU + (
+        "SELECT * FROM uec WHERE window_end <= "
+        f"(SELECT max(event_time) FROM edits) - INTERVAL '{STREAM_WATERMARK}'"
+    )
+
     r = RANGE_MINUTES
     o["recent_user_edit_counts"] = WU + (
         f"SELECT window_start, window_end, user_name, edit_count FROM uec WHERE {_since(r)} "

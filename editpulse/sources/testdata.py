@@ -42,22 +42,35 @@ def _page_key() -> Column:
     return F.get_json_object(F.col("props"), "$.k").cast("bigint")
 
 
-def _events(spark: SparkSession, sf_dir: str, since_epoch: int | None) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str, since_epoch: int | None,
+            until_epoch: int | None = None) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
+    # Plain ranges on the stored column: they reach the Parquet scan as
+    # pushed filters (row-group / partition skipping at scale).
     if since_epoch is not None:
-        # A plain range on the stored column: reaches the Parquet scan as a
-        # pushed filter (row-group / partition skipping at scale).
         ev = ev.where(F.col("ts") >= ntz_literal(since_epoch))
+    if until_epoch is not None:
+        ev = ev.where(F.col("ts") < ntz_literal(until_epoch))
     return ev
 
 
-def edit_events(spark: SparkSession, sf_dir: str, since_epoch: int | None = None) -> DataFrame:
+def event_time_bounds(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """(first, last) whole event second of ``events``: one aggregate row."""
+    row = read_table(spark, sf_dir, "events").agg(
+        F.unix_timestamp(F.min("ts")).alias("lo"), F.unix_timestamp(F.max("ts")).alias("hi")
+    ).first()
+    return int(row["lo"]), int(row["hi"])
+
+
+def edit_events(spark: SparkSession, sf_dir: str, since_epoch: int | None = None,
+                until_epoch: int | None = None) -> DataFrame:
     """Typed edits (the parser's output for clean input) from ``events``.
 
-    ``since_epoch`` restricts to events at or after that second; callers use
-    it to push a window-start range down to the scan.
+    ``since_epoch`` / ``until_epoch`` restrict to events in
+    ``[since, until)`` (whole seconds); callers use them to push a
+    window-start range, or a replay chunk, down to the scan.
     """
-    ev = _events(spark, sf_dir, since_epoch)
+    ev = _events(spark, sf_dir, since_epoch, until_epoch)
     k = _page_key()
     edits = ev.select(
         F.col("event_id").cast("string").alias("id"),
