@@ -38,13 +38,38 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _default_parallelism(spark: SparkSession) -> int | None:
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # pragma: no cover - no context (e.g. Connect)
+        return None
+
+
+def with_parallelism_floor(df: DataFrame) -> DataFrame:
+    """Spread an under-split scan over the cluster's cores.
+
+    A Parquet file is split by row groups; a small table written as one row
+    group scans in a single task, and the JSON work downstream would run on
+    one core.  When the scan has fewer splits than the default parallelism
+    it is round-robin repartitioned to that parallelism (one narrow
+    shuffle of the pruned columns).  A large input has many more splits
+    than cores and is left as it is.
+    """
+    target = _default_parallelism(df.sparkSession)
+    if not target:
+        return df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def _page_key() -> Column:
     return F.get_json_object(F.col("props"), "$.k").cast("bigint")
 
 
 def _events(spark: SparkSession, sf_dir: str, since_epoch: int | None,
             until_epoch: int | None = None) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+    ev = with_parallelism_floor(read_table(spark, sf_dir, "events"))
     # Plain ranges on the stored column: they reach the Parquet scan as
     # pushed filters (row-group / partition skipping at scale).
     if since_epoch is not None:
