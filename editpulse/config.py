@@ -85,6 +85,9 @@ class JobOptions:
     def __post_init__(self):
         duration_seconds(self.watermark)
         if self.trigger is not None:
+            if self.trigger.strip().lower().startswith("continuous"):
+                # Continuous processing has no stateful aggregates.
+                raise ValueError("continuous trigger cannot run the windowed count")
             duration_seconds(self.trigger)
         if self.output_mode not in OUTPUT_MODES:
             raise ValueError(f"output_mode must be one of {OUTPUT_MODES}")

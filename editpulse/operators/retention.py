@@ -3,9 +3,9 @@
 Row semantics (delete rows whose window starts before ``as_of - days``) are
 ``editpulse.plans.dashboard.retention_keep``.  Storage: the versioned
 table is partitioned by ``window_date``, so whole expired days are removed
-by deleting their directories (a metadata operation through the Hadoop
-FileSystem API, valid on any cluster file system); no data is read or
-rewritten.  Rows of the boundary day that are already expired stay on disk
+by deleting their directories in both the ``versions/`` and ``compacted/``
+areas (a metadata operation through the Hadoop FileSystem API, valid on any
+cluster file system); no data is read or rewritten.  Rows of the boundary day that are already expired stay on disk
 until their day expires and are hidden by ``retention_keep``.
 """
 
@@ -16,6 +16,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from editpulse.functions.time import epoch_seconds
+from editpulse.sinks.versioned import VERSIONS, delete_path, glob_paths
 
 
 def cutoff_day(as_of, days: int) -> dt.date:
@@ -25,17 +26,14 @@ def cutoff_day(as_of, days: int) -> dt.date:
 
 
 def expired_partitions(spark: SparkSession, path: str, as_of, days: int,
-                       pattern: str = "batch_id=*/window_date=*") -> list[str]:
+                       pattern: str = "*/window_date=*") -> list[str]:
     """Partition directories of whole days before the cutoff day."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    statuses = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{pattern}"))
     keep_from = cutoff_day(as_of, days)
     out = []
-    for st in statuses or []:
-        name = st.getPath().getName()
+    for p in glob_paths(spark, f"{path.rstrip('/')}/{pattern}") + glob_paths(
+        spark, f"{path.rstrip('/')}/{VERSIONS}/{pattern}"
+    ):
+        name = p.rstrip("/").rsplit("/", 1)[-1]
         if not name.startswith("window_date="):
             continue
         try:
@@ -43,17 +41,14 @@ def expired_partitions(spark: SparkSession, path: str, as_of, days: int,
         except ValueError:
             continue
         if day < keep_from:
-            out.append(st.getPath().toString())
-    return sorted(out)
+            out.append(p)
+    return sorted(set(out))
 
 
 def drop_expired_days(spark: SparkSession, path: str, as_of, days: int,
-                      pattern: str = "batch_id=*/window_date=*") -> list[str]:
+                      pattern: str = "*/window_date=*") -> list[str]:
     """Delete expired day partitions; returns what was deleted."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     gone = expired_partitions(spark, path, as_of, days, pattern)
     for p in gone:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(conf).delete(hp, True)
+        delete_path(spark, p)
     return gone

@@ -1,24 +1,41 @@
 """Versioned upsert table for update-mode output (one current row per key).
 
 An update-mode micro-batch carries the new running total of every key it
-changed.  Batch ``i`` is written to its own partition ``batch_id=i``
-(overwritten as a whole, so replaying a batch after a failure changes
-nothing) and sub-partitioned by ``window_date`` so that time-range reads
-prune directories.  Readers take the highest ``batch_id`` per key
-(``editpulse.sources.counts``).
+changed.  Batch ``i`` is written to its own partition
+``versions/batch_id=i`` (overwritten as a whole, so replaying a batch after
+a failure changes nothing), sub-partitioned by ``window_date`` so that
+time-range reads prune directories.  Readers take the row with the highest
+``batch_id`` per key (``editpulse.sources.counts``).
 
-Layout: ``<path>/batch_id=<i>/window_date=<yyyy-mm-dd>/part-*.parquet``.
+Compaction keeps reads from growing with the number of batches: for days
+the watermark has closed, the current rows are written once to
+``compacted/window_date=<d>`` (carrying the ``batch_id`` they came from) and
+the folded versions are deleted.
+
+Layout::
+
+    <path>/versions/batch_id=<i>/window_date=<yyyy-mm-dd>/part-*.parquet
+    <path>/compacted/window_date=<yyyy-mm-dd>/part-*.parquet
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
+VERSIONS = "versions"
+COMPACTED = "compacted"
+
+
+def utc_date(col):
+    """UTC calendar day of an instant (independent of the session zone)."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(col) / F.lit(86400)).cast("int"))
+
 
 def with_storage_columns(counts: DataFrame) -> DataFrame:
     """Add ``window_date`` (UTC day of the window start) and ``created_at``."""
@@ -27,20 +44,19 @@ def with_storage_columns(counts: DataFrame) -> DataFrame:
     )
 
 
-def utc_date(col):
-    # Days since the epoch from epoch seconds: independent of the session zone.
-    return F.date_from_unix_date(F.floor(F.unix_seconds(col) / F.lit(86400)).cast("int"))
+def version_path(path: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/{VERSIONS}/batch_id={int(batch_id)}"
 
 
 def write_version(batch: DataFrame, path: str, batch_id: int) -> dict:
-    """Write one micro-batch as version ``batch_id``; returns row metrics."""
+    """Write one micro-batch as version ``batch_id``; returns row metrics.
+
+    The row count comes from an observed metric of the write itself: no
+    second job over the batch.
+    """
     obs = Observation(f"batch_{batch_id}")
     rows = with_storage_columns(batch).observe(obs, F.count(F.lit(1)).alias("rows"))
-    (
-        rows.write.mode("overwrite")
-        .partitionBy("window_date")
-        .parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
-    )
+    rows.write.mode("overwrite").partitionBy("window_date").parquet(version_path(path, batch_id))
     metrics = obs.get
     log.info("batch %s: wrote %s rows", batch_id, metrics.get("rows"))
     return metrics
@@ -55,3 +71,75 @@ class VersionedUpsert:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         self.last_metrics = write_version(batch, self.path, batch_id)
+
+
+# ---------------------------------------------------------------------------
+# file-system helpers (metadata operations through the Hadoop API)
+# ---------------------------------------------------------------------------
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hp
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hp = _fs(spark, path)
+    return bool(fs.exists(hp))
+
+
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    fs, hp = _fs(spark, pattern)
+    return sorted(st.getPath().toString() for st in (fs.globStatus(hp) or []))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hp = _fs(spark, path)
+    fs.delete(hp, True)
+
+
+def _day_of(partition_path: str) -> dt.date | None:
+    name = partition_path.rstrip("/").rsplit("/", 1)[-1]
+    if not name.startswith("window_date="):
+        return None
+    try:
+        return dt.date.fromisoformat(name.split("=", 1)[1])
+    except ValueError:
+        return None
+
+
+def compact(spark: SparkSession, path: str, through_day: dt.date, table: str = "user_edit_counts") -> list[dt.date]:
+    """Fold all versions of days ``<= through_day`` into ``compacted/``.
+
+    Only call it for days no open window can still change (the stream's
+    watermark is past their end).  Steps: the current rows of those days
+    (earlier compactions included) are computed and cut from their lineage
+    with ``checkpoint()`` in the shared checkpoint folder; they overwrite
+    just those day partitions of ``compacted/``; then the folded version
+    directories are deleted.  A crash between the steps leaves duplicates
+    that the latest-version read removes, and re-running is safe.
+    Returns the compacted days.
+    """
+    from editpulse.session import checkpoint_root
+    from editpulse.sources.counts import read_versioned
+
+    parts = glob_paths(spark, f"{path.rstrip('/')}/{VERSIONS}/batch_id=*/window_date=*")
+    days = sorted({d for d in (_day_of(p) for p in parts) if d is not None and d <= through_day})
+    if not days:
+        return []
+    checkpoint_root(spark)  # make sure DataFrame.checkpoint() has its folder
+    current = read_versioned(spark, path, table, days=days, with_batch_id=True)
+    current = current.withColumn("window_date", utc_date(F.col("window_start")))
+    current = current.checkpoint(eager=True)
+    (
+        current.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("window_date")
+        .parquet(f"{path.rstrip('/')}/{COMPACTED}")
+    )
+    for p in parts:
+        d = _day_of(p)
+        if d is not None and d in days:
+            delete_path(spark, p)
+    return days

@@ -1,16 +1,17 @@
 """Read stored count tables.
 
 ``read_versioned`` is the read side of ``editpulse.sinks.versioned``: the
-current row per key is the one with the highest ``batch_id``.  A lower
-bound on ``window_start`` prunes ``window_date`` directories before any
-file is opened and is pushed to the Parquet scan as well.
-``read_final`` reads an append-only table (one row per key by
-construction).
+current row per key is the one with the highest ``batch_id`` over the
+``versions/`` and ``compacted/`` areas.  A lower bound on ``window_start``
+prunes ``window_date`` directories before any file is opened and is pushed
+to the Parquet scan as well.  ``read_final`` reads an append-only table
+(one row per key by construction).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,19 +20,22 @@ from pyspark.sql import types as T
 from editpulse.functions.time import epoch_seconds, ts_literal
 from editpulse.operators.latest import latest_version
 from editpulse.schema import COUNT_TABLES, count_table_schema
+from editpulse.sinks.versioned import COMPACTED, VERSIONS, path_exists
 
 
-def _stored_schema(table: str, versioned: bool) -> T.StructType:
+def _stored_schema(table: str, batch_id: bool) -> T.StructType:
     fields = list(count_table_schema(table).fields) + [
         T.StructField("created_at", T.TimestampType(), True),
     ]
-    if versioned:
+    if batch_id:
         fields.append(T.StructField("batch_id", T.LongType(), True))
     fields.append(T.StructField("window_date", T.DateType(), True))
     return T.StructType(fields)
 
 
-def _range(df: DataFrame, since_epoch: int | None) -> DataFrame:
+def _restrict(df: DataFrame, since_epoch: int | None, days: Sequence[dt.date] | None) -> DataFrame:
+    if days is not None:
+        df = df.where(F.col("window_date").isin(list(days)))
     if since_epoch is None:
         return df
     day = dt.datetime.fromtimestamp(epoch_seconds(since_epoch), dt.timezone.utc).date()
@@ -41,15 +45,30 @@ def _range(df: DataFrame, since_epoch: int | None) -> DataFrame:
 
 
 def read_versioned(
-    spark: SparkSession, path: str, table: str = "user_edit_counts", since_epoch: int | None = None
+    spark: SparkSession,
+    path: str,
+    table: str = "user_edit_counts",
+    since_epoch: int | None = None,
+    days: Sequence[dt.date] | None = None,
+    with_batch_id: bool = False,
 ) -> DataFrame:
-    """Current rows of a versioned count table."""
+    """Current rows of a versioned count table (optionally only some days)."""
     _, key, _ = COUNT_TABLES[table]
-    raw = spark.read.schema(_stored_schema(table, True)).parquet(path)
-    raw = _range(raw, since_epoch)
-    return latest_version(
-        raw, ["window_start", key], "batch_id", ["window_end", "edit_count", "created_at"]
-    ).select("window_start", "window_end", key, "edit_count", "created_at")
+    schema = _stored_schema(table, True)
+    root = path.rstrip("/")
+    areas = []
+    if path_exists(spark, f"{root}/{VERSIONS}"):
+        areas.append(spark.read.schema(schema).parquet(f"{root}/{VERSIONS}"))
+    if path_exists(spark, f"{root}/{COMPACTED}"):
+        areas.append(spark.read.schema(schema).parquet(f"{root}/{COMPACTED}"))
+    if not areas:
+        raise FileNotFoundError(f"no count table at {path}")
+    raw = areas[0] if len(areas) == 1 else areas[0].unionByName(areas[1])
+    raw = _restrict(raw, since_epoch, days)
+    values = ["window_end", "edit_count", "created_at"] + (["batch_id"] if with_batch_id else [])
+    out = latest_version(raw, ["window_start", key], "batch_id", values)
+    return out.select("window_start", "window_end", key, "edit_count", "created_at",
+                      *(["batch_id"] if with_batch_id else []))
 
 
 def read_final(
@@ -58,4 +77,4 @@ def read_final(
     """Rows of an append-only (finalised) count table."""
     _, key, _ = COUNT_TABLES[table]
     raw = spark.read.schema(_stored_schema(table, False)).parquet(path)
-    return _range(raw, since_epoch).select("window_start", "window_end", key, "edit_count")
+    return _restrict(raw, since_epoch, None).select("window_start", "window_end", key, "edit_count")

@@ -23,20 +23,8 @@ from editpulse.config import JobOptions
 from editpulse.functions.parse import namespace_filter, parse_edits, sse_frames, wiki_filter
 from editpulse.operators.counters import observe_counters
 from editpulse.operators.windowed import count_table
-from editpulse.schema import LINE_SCHEMA
 from editpulse.sinks.versioned import VersionedUpsert, utc_date
-
-
-def read_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Text files under ``path`` as an unbounded table of lines (``value``).
-
-    Stands in for the topic: a replayed capture or topic dump, one message
-    (or SSE line) per line.
-    """
-    reader = spark.readStream.schema(LINE_SCHEMA).format("text")
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.load(path)
+from editpulse.sources.text import read_lines_stream  # noqa: F401  (re-export)
 
 
 def edit_counts(lines: DataFrame, options: JobOptions, table: str = "user_edit_counts",

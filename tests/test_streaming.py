@@ -62,7 +62,7 @@ def run(spark, landing, table, ckpt, mode="update", max_files=1):
 
 
 def raw_versions(spark, table):
-    df = spark.read.parquet(table)
+    df = spark.read.parquet(f"{table}/versions")
     return rows(df.select(F.col("batch_id"),
                           (F.unix_seconds("window_start") - B).alias("off"),
                           "user_name", "edit_count"))
@@ -115,7 +115,7 @@ def test_restart_equals_single_run(spark, scratch):
     run(spark, *two)
     latest = lambda t: rows(read_versioned(spark, t).drop("created_at"))
     assert latest(one[1]) == latest(two[1])
-    versions = spark.read.parquet(one[1]).where("user_name = 'a' AND unix_seconds(window_start) = %d" % B)
+    versions = spark.read.parquet(f"{one[1]}/versions").where("user_name = 'a' AND unix_seconds(window_start) = %d" % B)
     assert sorted(r.edit_count for r in versions.collect()) == [1, 2, 3]
     from editpulse.operators.windowed import user_edit_counts
     from editpulse.functions.parse import parse_edits
@@ -147,7 +147,7 @@ def test_replayed_batch_changes_nothing(spark, scratch):
              F.timestamp_seconds("e").alias("window_end"), "user_name", "edit_count")
     write_version(df, table, 7)
     write_version(df, table, 7)
-    assert spark.read.parquet(table).count() == 1
+    assert spark.read.parquet(f"{table}/versions").count() == 1
     assert read_versioned(spark, table).count() == 1
 
 
@@ -162,3 +162,47 @@ def test_out_of_order_input_breaks_equality(spark, scratch):
     assert dropped > 0
     total = read_versioned(spark, table).agg(F.sum("edit_count")).first()[0]
     assert total < sum(len(f) for f in SCRIPT)
+
+
+def test_compaction_keeps_the_view_and_folds_versions(spark, scratch):
+    import datetime as dt
+
+    from editpulse.sinks.versioned import compact, glob_paths
+
+    landing, table, ckpt = f"{scratch}/in", f"{scratch}/t", f"{scratch}/ck"
+    land(landing, IN_ORDER)
+    run(spark, landing, table, ckpt)
+    before = rows(read_versioned(spark, table).drop("created_at"))
+    day = dt.datetime.fromtimestamp(B, dt.timezone.utc).date()
+    assert compact(spark, table, day) == [day]
+    assert glob_paths(spark, f"{table}/versions/*/window_date=*") == []
+    assert rows(read_versioned(spark, table).drop("created_at")) == before
+    assert spark.read.parquet(f"{table}/compacted").count() == len(before)
+    # a later version of a compacted key still wins; compacting again folds it
+    extra = read_versioned(spark, table).where("user_name = 'a'").limit(1).select(
+        "window_start", "window_end", "user_name", (F.col("edit_count") + 10).alias("edit_count"))
+    write_version(extra.checkpoint(), table, 99)
+    got = read_versioned(spark, table).where("user_name = 'a'").agg(F.max("edit_count")).first()[0]
+    assert got >= 13
+    assert compact(spark, table, day) == [day]
+    assert rows(read_versioned(spark, table).drop("created_at")) != before
+    assert spark.read.parquet(f"{table}/compacted").count() == len(before)
+
+
+def test_cli_runs_available_now(spark, scratch):
+    from editpulse.streaming.__main__ import main, options_from, parse_args
+
+    landing, table, ckpt = f"{scratch}/in", f"{scratch}/t", f"{scratch}/ck"
+    land(landing, IN_ORDER)
+    args = ["--input", landing, "--output", table, "--checkpoint", ckpt, "--available-now",
+            "--all-namespaces", "--window", "1 minute"]
+    assert options_from(parse_args(args)).trigger is None
+    main(args)
+    assert read_versioned(spark, table).agg(F.sum("edit_count")).first()[0] == 8
+
+
+def test_continuous_trigger_rejected():
+    import pytest
+
+    with pytest.raises(ValueError):
+        JobOptions(trigger="continuous 1 second")
