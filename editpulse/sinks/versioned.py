@@ -73,6 +73,32 @@ class VersionedUpsert:
         self.last_metrics = write_version(batch, self.path, batch_id)
 
 
+# Version id of rows written by a batch backfill: lower than any stream
+# batch, so the stream's rows win where both exist.
+BACKFILL_BATCH_ID = -1
+
+
+def backfill(counts: DataFrame, path: str) -> None:
+    """Write batch-computed count rows straight into the compacted area.
+
+    For history that no stream will touch again (closed days).  Only the
+    day partitions present in ``counts`` are replaced (dynamic partition
+    overwrite), so a backfill of some days leaves the others alone.  The
+    rebalance hint lets AQE size the files of each day: a hot day is split
+    over several tasks, small days are merged, instead of one file per task
+    and day (or one task per day with a plain repartition).
+    """
+    (
+        with_storage_columns(counts)
+        .withColumn("batch_id", F.lit(BACKFILL_BATCH_ID).cast("bigint"))
+        .hint("rebalance", "window_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("window_date")
+        .parquet(f"{path.rstrip('/')}/{COMPACTED}")
+    )
+
+
 # ---------------------------------------------------------------------------
 # file-system helpers (metadata operations through the Hadoop API)
 # ---------------------------------------------------------------------------
@@ -133,7 +159,8 @@ def compact(spark: SparkSession, path: str, through_day: dt.date, table: str = "
     current = current.withColumn("window_date", utc_date(F.col("window_start")))
     current = current.checkpoint(eager=True)
     (
-        current.write.mode("overwrite")
+        current.hint("rebalance", "window_date")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("window_date")
         .parquet(f"{path.rstrip('/')}/{COMPACTED}")

@@ -85,3 +85,34 @@ def test_retention_drops_whole_expired_days(spark, scratch):
     gone = drop_expired_days(spark, table, as_of, 7)
     assert len(gone) == 2
     assert sorted(r.user_name for r in read_versioned(spark, table).collect()) == ["u2", "u3"]
+
+
+def test_maintenance_run_compacts_and_drops(spark, scratch):
+    from editpulse import maintenance
+
+    table = f"{scratch}/t"
+    day = 86400
+    secs = [B - 10 * day, B - 3 * day, B]
+    df = spark.createDataFrame([(s, s + 60, f"u{i}", 1) for i, s in enumerate(secs)],
+                               "s long, e long, user_name string, edit_count long").select(
+        F.timestamp_seconds("s").alias("window_start"), F.timestamp_seconds("e").alias("window_end"),
+        "user_name", "edit_count")
+    write_version(df, table, 0)
+    as_of = B + 60
+    report = maintenance.run(spark, table, compact_through=maintenance.closed_through(as_of),
+                             retention_days=7, as_of=as_of)
+    assert len(report["dropped"]) == 1 and len(report["compacted"]) == 1
+    assert sorted(r.user_name for r in read_versioned(spark, table).collect()) == ["u1", "u2"]
+
+
+def test_backfill_loses_to_stream_versions(spark, scratch):
+    from editpulse.sinks.versioned import backfill
+
+    table = f"{scratch}/t"
+    df = spark.createDataFrame([(B, B + 60, "a", 1)], "s long, e long, user_name string, edit_count long").select(
+        F.timestamp_seconds("s").alias("window_start"), F.timestamp_seconds("e").alias("window_end"),
+        "user_name", "edit_count")
+    backfill(df, table)
+    assert read_versioned(spark, table).first().edit_count == 1
+    write_version(df.withColumn("edit_count", F.lit(5).cast("bigint")), table, 0)
+    assert read_versioned(spark, table).first().edit_count == 5
