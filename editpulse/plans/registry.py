@@ -130,7 +130,7 @@ def stream_counts(spark: SparkSession, sf_dir: str, output_mode: str,
         run_to_end(start_counts_job(lines, options, table, ckpt))
 
     replay_chunks(
-        lambda lo, hi: edit_events(spark, sf_dir, lo, hi),
+        lambda lo, hi: edit_events(spark, sf_dir, lo, hi, spread=True),
         event_time_bounds(spark, sf_dir), landing, n_chunks, run,
     )
     read = read_versioned if output_mode == "update" else read_final
@@ -166,7 +166,7 @@ def _queries() -> dict[str, Query]:
         "id", "user", "reject_reason", CORRUPT_COL
     )
     q["namespace_filter"] = lambda s, d: namespace_filter(
-        edit_events(s, d), PIPELINE_NAMESPACES
+        edit_events(s, d, spread=True), PIPELINE_NAMESPACES
     ).select("id", "title", "namespace")
     q["ingest_counters"] = lambda s, d: counters.ingest_counters(
         _sse_parsed(s, d, keep_raw=True), PIPELINE_NAMESPACES
@@ -220,6 +220,9 @@ def _queries() -> dict[str, Query]:
         counts(s, d, "user_edit_counts", HOUR, start_of_day(TODAY_AS_OF)), TODAY_AS_OF
     )
     q["latest_aggregations"] = lambda s, d: wallclock(dash.latest_aggregations(counts(s, d)))
+    q["latest_aggregations_sample"] = lambda s, d: wallclock(
+        dash.latest_aggregations(counts(s, d), dash.SAMPLE_LIMIT, dash.SAMPLE_COLUMNS)
+    )
     q["row_count"] = lambda s, d: dash.row_count(counts(s, d))
     q["top_pages"] = lambda s, d: wallclock(dash.top_pages(counts(s, d, "top_pages", DAY), TOP_PAGES_K))
     q["retention_keep"] = lambda s, d: wallclock(
@@ -389,6 +392,10 @@ def _oracle() -> dict[str, str]:
         "SELECT window_start, window_end, user_name, edit_count FROM uec "
         "ORDER BY window_start DESC, user_name LIMIT 20"
     )
+    o["latest_aggregations_sample"] = WU + (
+        "SELECT window_start, user_name, edit_count FROM uec "
+        "ORDER BY window_start DESC, user_name LIMIT 10"
+    )
     o["row_count"] = WU + "SELECT count(*) AS row_count FROM uec"
     o["top_pages"] = _with(_EDITS, _counts_cte("pec", "title", "page_title", DAY)) + (
         "SELECT window_start, window_end, page_title, edit_count, CAST(page_rank AS INTEGER) AS page_rank "

@@ -68,8 +68,10 @@ def _page_key() -> Column:
 
 
 def _events(spark: SparkSession, sf_dir: str, since_epoch: int | None,
-            until_epoch: int | None = None) -> DataFrame:
-    ev = with_parallelism_floor(read_table(spark, sf_dir, "events"))
+            until_epoch: int | None = None, spread: bool = False) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events")
+    if spread:
+        ev = with_parallelism_floor(ev)
     # Plain ranges on the stored column: they reach the Parquet scan as
     # pushed filters (row-group / partition skipping at scale).
     if since_epoch is not None:
@@ -88,14 +90,16 @@ def event_time_bounds(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
 
 
 def edit_events(spark: SparkSession, sf_dir: str, since_epoch: int | None = None,
-                until_epoch: int | None = None) -> DataFrame:
+                until_epoch: int | None = None, spread: bool = False) -> DataFrame:
     """Typed edits (the parser's output for clean input) from ``events``.
 
     ``since_epoch`` / ``until_epoch`` restrict to events in
     ``[since, until)`` (whole seconds); callers use them to push a
-    window-start range, or a replay chunk, down to the scan.
+    window-start range, or a replay chunk, down to the scan.  ``spread``
+    applies the parallelism floor, for callers doing per-row JSON work;
+    light aggregates are cheaper without the extra exchange.
     """
-    ev = _events(spark, sf_dir, since_epoch, until_epoch)
+    ev = _events(spark, sf_dir, since_epoch, until_epoch, spread)
     k = _page_key()
     edits = ev.select(
         F.col("event_id").cast("string").alias("id"),
@@ -111,13 +115,13 @@ def edit_events(spark: SparkSession, sf_dir: str, since_epoch: int | None = None
 
 def wire_messages(spark: SparkSession, sf_dir: str, since_epoch: int | None = None) -> DataFrame:
     """One JSON message per event, column ``value`` (a replayed topic)."""
-    edits = edit_events(spark, sf_dir, since_epoch)
+    edits = edit_events(spark, sf_dir, since_epoch, spread=True)
     return edits.select(F.to_json(F.struct(*WIRE_FIELDS)).alias("value"))
 
 
 def sse_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SSE text lines, four per event: ``event:``, ``id:``, ``data:``, blank."""
-    edits = edit_events(spark, sf_dir)
+    edits = edit_events(spark, sf_dir, spread=True)
     drift = F.col("type") == F.lit(DRIFT_EVENT_TYPE)
     clean = F.to_json(F.struct(*WIRE_FIELDS))
     drifted = F.to_json(

@@ -206,3 +206,15 @@ def test_continuous_trigger_rejected():
 
     with pytest.raises(ValueError):
         JobOptions(trigger="continuous 1 second")
+
+
+def test_namespace_and_page_tables_stream(spark, scratch):
+    landing = f"{scratch}/in"
+    land(landing, IN_ORDER)
+    for table, key in (("namespace_edit_counts", "namespace"), ("top_pages", "page_title")):
+        out, ckpt = f"{scratch}/{table}", f"{scratch}/ck-{table}"
+        opts = JobOptions(window=WindowSpec("1 hour"), watermark="2 minutes", trigger=None,
+                          namespaces=None)
+        run_to_end(start_counts_job(read_lines_stream(spark, landing, 1), opts, out, ckpt, table))
+        got = rows(read_versioned(spark, out, table).select(key, "edit_count"))
+        assert got == [(0 if key == "namespace" else "P", 8)]
