@@ -14,10 +14,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from editpulse.functions.parse import is_json_object
+from editpulse.schema import CORRUPT_COL
+
+
+def _seen() -> Column:
+    """The message parsed as a JSON object.
+
+    A clean typed parse (no corrupt record) settles it without more work;
+    only messages flagged corrupt are re-checked, to tell a wrongly typed
+    field (still a parsed message) from text that is not JSON.  ``CASE`` is
+    lazy, so the second parse runs on flagged rows only.
+    """
+    return (
+        F.when(F.col(CORRUPT_COL).isNull(), F.col("raw").isNotNull())
+        .otherwise(is_json_object("raw"))
+    )
 
 
 def _sent(namespaces: Iterable[int] | None) -> Column:
-    ok = is_json_object("raw")
+    ok = _seen()
     if namespaces is None:
         return ok
     return ok & F.coalesce(F.col("namespace").isin([int(n) for n in namespaces]), F.lit(False))
@@ -27,7 +42,7 @@ def counter_columns(namespaces: Iterable[int] | None) -> list[Column]:
     """Aggregate columns over parsed messages (``parse_edits(keep_raw=True)``)."""
     namespaces = None if namespaces is None else list(namespaces)
     return [
-        F.count_if(is_json_object("raw")).alias("events_seen"),
+        F.count_if(_seen()).alias("events_seen"),
         F.count_if(_sent(namespaces)).alias("events_sent"),
     ]
 

@@ -218,3 +218,21 @@ def test_namespace_and_page_tables_stream(spark, scratch):
         run_to_end(start_counts_job(read_lines_stream(spark, landing, 1), opts, out, ckpt, table))
         got = rows(read_versioned(spark, out, table).select(key, "edit_count"))
         assert got == [(0 if key == "namespace" else "P", 8)]
+
+
+def test_ingest_log_listener(spark, scratch):
+    from editpulse.streaming.monitor import IngestLogListener
+
+    landing, table, ckpt = f"{scratch}/in", f"{scratch}/t", f"{scratch}/ck"
+    land(landing, IN_ORDER)
+    listener = IngestLogListener(every=3)
+    spark.streams.addListener(listener)
+    try:
+        run(spark, landing, table, ckpt)
+        deadline = time.time() + 20
+        while listener.sent < 8 and time.time() < deadline:
+            time.sleep(0.2)  # progress events are delivered asynchronously
+    finally:
+        spark.streams.removeListener(listener)
+    assert (listener.seen, listener.sent) == (8, 8)
+    assert listener.lines and listener.lines[0].startswith("Processed")
