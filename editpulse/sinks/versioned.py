@@ -71,6 +71,10 @@ class VersionedUpsert:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         self.last_metrics = write_version(batch, self.path, batch_id)
+        if not self.last_metrics.get("rows"):
+            # A no-data batch (the watermark moved, nothing changed): do not
+            # leave an empty version directory behind.
+            delete_path(batch.sparkSession, version_path(self.path, batch_id))
 
 
 # Version id of rows written by a batch backfill: lower than any stream
@@ -169,4 +173,23 @@ def compact(spark: SparkSession, path: str, through_day: dt.date, table: str = "
         d = _day_of(p)
         if d is not None and d in days:
             delete_path(spark, p)
+    _drop_empty_versions(spark, path)
     return days
+
+
+def _drop_empty_versions(spark: SparkSession, path: str) -> None:
+    """Delete version directories without day partitions, except the newest
+    (it may be the batch being written right now)."""
+    batches = glob_paths(spark, f"{path.rstrip('/')}/{VERSIONS}/batch_id=*")
+    ids = []
+    for b in batches:
+        try:
+            ids.append((int(b.rsplit("=", 1)[1]), b))
+        except ValueError:
+            continue
+    if not ids:
+        return
+    newest = max(i for i, _ in ids)
+    for i, b in ids:
+        if i < newest and not glob_paths(spark, f"{b}/window_date=*"):
+            delete_path(spark, b)

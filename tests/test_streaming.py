@@ -72,6 +72,9 @@ def test_update_mode_per_batch_and_late_drop(spark, scratch):
     landing, table, ckpt = f"{scratch}/in", f"{scratch}/t", f"{scratch}/ck"
     land(landing, SCRIPT)
     q = run(spark, landing, table, ckpt)
+    from editpulse.sinks.versioned import glob_paths
+    # the trailing no-data batch left no empty version behind
+    assert len(glob_paths(spark, f"{table}/versions/batch_id=*")) == 5
     assert raw_versions(spark, table) == [
         (0, 0, "a", 1), (0, 0, "b", 1), (1, 0, "a", 2), (2, 300, "c", 1),
         (3, 0, "a", 3), (3, 300, "c", 2), (4, 300, "c", 3)]
@@ -176,6 +179,7 @@ def test_compaction_keeps_the_view_and_folds_versions(spark, scratch):
     day = dt.datetime.fromtimestamp(B, dt.timezone.utc).date()
     assert compact(spark, table, day) == [day]
     assert glob_paths(spark, f"{table}/versions/*/window_date=*") == []
+    assert len(glob_paths(spark, f"{table}/versions/batch_id=*")) <= 1
     assert rows(read_versioned(spark, table).drop("created_at")) == before
     assert spark.read.parquet(f"{table}/compacted").count() == len(before)
     # a later version of a compacted key still wins; compacting again folds it
