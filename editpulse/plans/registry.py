@@ -46,7 +46,12 @@ from editpulse.sources.testdata import (
     sse_capture,
     wire_messages,
 )
-from editpulse.streaming.job import read_lines_stream, run_to_end, start_counts_job
+from editpulse.streaming.job import (
+    read_lines_stream,
+    run_to_end,
+    start_counts_job,
+    stream_session,
+)
 from editpulse.streaming.replay import replay_chunks
 
 # Fixed values of the test harness: the clock the range queries run at
@@ -110,6 +115,17 @@ def _sse_parsed(spark: SparkSession, sf_dir: str, keep_raw: bool = False) -> Dat
     return parse_edits(sse_frames(sse_capture(spark, sf_dir)), keep_raw=keep_raw)
 
 
+def _state_partitions(spark: SparkSession) -> int | None:
+    """State partitions for the replay: no more than the cores, no more than
+    the session's shuffle partitions (the state here is small)."""
+    try:
+        cores = int(spark.sparkContext.defaultParallelism)
+        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except Exception:  # pragma: no cover - no context
+        return None
+    return max(1, min(cores, shuffle))
+
+
 def stream_counts(spark: SparkSession, sf_dir: str, output_mode: str,
                   n_chunks: int = STREAM_CHUNKS) -> DataFrame:
     """Run the streaming job over the events replayed in chunks and return
@@ -124,9 +140,10 @@ def stream_counts(spark: SparkSession, sf_dir: str, output_mode: str,
     )
     root = scratch_dir(spark, f"stream-{output_mode}")
     landing, table, ckpt = f"{root}/landing", f"{root}/table", f"{root}/checkpoint"
+    streaming = stream_session(spark, _state_partitions(spark))
 
     def run(_chunk: int) -> None:
-        lines = read_lines_stream(spark, f"{landing}/*")
+        lines = read_lines_stream(streaming, f"{landing}/*")
         run_to_end(start_counts_job(lines, options, table, ckpt))
 
     replay_chunks(

@@ -47,6 +47,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--sse", action="store_true", help="input lines carry SSE framing")
     p.add_argument("--max-files-per-trigger", type=int)
     p.add_argument("--state-store", choices=["default", "rocksdb"], default="default")
+    p.add_argument("--state-partitions", type=int,
+                   help="state-store partitions (fixed for the checkpoint's lifetime)")
     a = p.parse_args(argv)
     if bool(a.input) == bool(a.kafka_servers):
         p.error("give exactly one of --input or --kafka-servers")
@@ -73,6 +75,8 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName("editpulse-counts").getOrCreate()
     if a.state_store == "rocksdb":
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    if a.state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(a.state_partitions))
     if a.input:
         lines = read_lines_stream(spark, a.input, a.max_files_per_trigger)
     else:

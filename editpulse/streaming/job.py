@@ -27,6 +27,23 @@ from editpulse.sinks.versioned import VersionedUpsert, utc_date
 from editpulse.sources.text import read_lines_stream  # noqa: F401  (re-export)
 
 
+def stream_session(spark: SparkSession, state_partitions: int | None) -> SparkSession:
+    """Session to build a streaming job in, with its state-partition count.
+
+    A stateful query keeps ``spark.sql.shuffle.partitions`` for the life of
+    its checkpoint: it is the number of state-store partitions of every
+    micro-batch.  A separate session sharing the context carries the job's
+    own value, so the caller's session configuration is left untouched.
+    """
+    if state_partitions is None:
+        return spark
+    if state_partitions < 1:
+        raise ValueError("state_partitions must be >= 1")
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+    return session
+
+
 def edit_counts(lines: DataFrame, options: JobOptions, table: str = "user_edit_counts",
                 observe: bool = False) -> DataFrame:
     """Lines -> windowed counts for ``table`` under ``options``.
