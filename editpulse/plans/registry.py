@@ -127,12 +127,13 @@ def _state_partitions(spark: SparkSession) -> int | None:
 
 
 def stream_counts(spark: SparkSession, sf_dir: str, output_mode: str,
-                  n_chunks: int = STREAM_CHUNKS) -> DataFrame:
+                  n_chunks: int = STREAM_CHUNKS, progress: list | None = None) -> DataFrame:
     """Run the streaming job over the events replayed in chunks and return
     a batch read of what its sink holds.
 
     Landing files, the table and the checkpoint go to a new directory under
-    the shared scratch root (``spark.checkpoint.dir``).
+    the shared scratch root (``spark.checkpoint.dir``).  ``progress``, when
+    given, receives the progress report of every micro-batch.
     """
     options = JobOptions(
         window=HOUR, watermark=STREAM_WATERMARK, trigger=None,
@@ -144,7 +145,9 @@ def stream_counts(spark: SparkSession, sf_dir: str, output_mode: str,
 
     def run(_chunk: int) -> None:
         lines = read_lines_stream(streaming, f"{landing}/*")
-        run_to_end(start_counts_job(lines, options, table, ckpt))
+        q = run_to_end(start_counts_job(lines, options, table, ckpt))
+        if progress is not None:
+            progress.extend(q.recentProgress)
 
     replay_chunks(
         lambda lo, hi: edit_events(spark, sf_dir, lo, hi, spread=True),
