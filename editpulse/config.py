@@ -81,6 +81,10 @@ class JobOptions:
     wikis: tuple[str, ...] = ()  # empty => all
     sse_framed: bool = False  # input lines carry SSE framing
     max_files_per_trigger: int | None = None
+    # Run micro-batches without new data when the watermark moved (Spark's
+    # default).  In update mode they only evict state and emit nothing.
+    idle_batches: bool = True
+    state_partitions: int | None = None  # None => the session's shuffle partitions
 
     def __post_init__(self):
         duration_seconds(self.watermark)
@@ -97,3 +101,9 @@ class JobOptions:
             raise ValueError("namespaces must be integers")
         if self.max_files_per_trigger is not None and self.max_files_per_trigger < 1:
             raise ValueError("max_files_per_trigger must be >= 1")
+        if not self.idle_batches and self.output_mode == "append":
+            # Append mode emits a window in the batch after the watermark
+            # passes it; without idle batches the last windows never leave.
+            raise ValueError("append mode needs idle batches")
+        if self.state_partitions is not None and self.state_partitions < 1:
+            raise ValueError("state_partitions must be >= 1")

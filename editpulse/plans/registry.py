@@ -138,10 +138,14 @@ def stream_counts(spark: SparkSession, sf_dir: str, output_mode: str,
     options = JobOptions(
         window=HOUR, watermark=STREAM_WATERMARK, trigger=None,
         output_mode=output_mode, namespaces=None,
+        # Update mode emits nothing in idle batches; skipping them also makes
+        # each restart behave like one continuous run.
+        idle_batches=output_mode == "append",
+        state_partitions=_state_partitions(spark),
     )
     root = scratch_dir(spark, f"stream-{output_mode}")
     landing, table, ckpt = f"{root}/landing", f"{root}/table", f"{root}/checkpoint"
-    streaming = stream_session(spark, _state_partitions(spark))
+    streaming = stream_session(spark, options)
 
     def run(_chunk: int) -> None:
         lines = read_lines_stream(streaming, f"{landing}/*")

@@ -5,7 +5,7 @@
         [--watermark "2 minutes"] [--trigger "30 seconds" | --available-now] \\
         [--mode update|append] [--namespaces 0,1 | --all-namespaces] \\
         [--wikis enwiki,dewiki] [--sse] [--table user_edit_counts] \\
-        [--state-store rocksdb]
+        [--state-store rocksdb] [--state-partitions N] [--no-idle-batches]
 
 Uses the session it is submitted with (``spark-submit`` settings apply).
 """
@@ -21,7 +21,7 @@ from editpulse.config import DEFAULT_STARTING_OFFSETS, JobOptions, WindowSpec
 from editpulse.schema import COUNT_TABLES
 from editpulse.sources.kafka import kafka_source
 from editpulse.sources.text import read_lines_stream
-from editpulse.streaming.job import run_to_end, start_counts_job
+from editpulse.streaming.job import run_to_end, start_counts_job, stream_session
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -49,6 +49,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--state-store", choices=["default", "rocksdb"], default="default")
     p.add_argument("--state-partitions", type=int,
                    help="state-store partitions (fixed for the checkpoint's lifetime)")
+    p.add_argument("--no-idle-batches", action="store_true",
+                   help="update mode: skip micro-batches that would only evict state")
     a = p.parse_args(argv)
     if bool(a.input) == bool(a.kafka_servers):
         p.error("give exactly one of --input or --kafka-servers")
@@ -65,6 +67,8 @@ def options_from(a: argparse.Namespace) -> JobOptions:
         wikis=tuple(w for w in a.wikis.split(",") if w),
         sse_framed=a.sse,
         max_files_per_trigger=a.max_files_per_trigger,
+        idle_batches=not a.no_idle_batches,
+        state_partitions=a.state_partitions,
     )
 
 
@@ -75,12 +79,11 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName("editpulse-counts").getOrCreate()
     if a.state_store == "rocksdb":
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    if a.state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(a.state_partitions))
+    session = stream_session(spark, options)
     if a.input:
-        lines = read_lines_stream(spark, a.input, a.max_files_per_trigger)
+        lines = read_lines_stream(session, a.input, a.max_files_per_trigger)
     else:
-        lines = kafka_source(spark, a.kafka_servers, a.topic, a.starting_offsets)
+        lines = kafka_source(session, a.kafka_servers, a.topic, a.starting_offsets)
     query = start_counts_job(lines, options, a.output, a.checkpoint, a.table)
     run_to_end(query)
 

@@ -27,20 +27,23 @@ from editpulse.sinks.versioned import VersionedUpsert, utc_date
 from editpulse.sources.text import read_lines_stream  # noqa: F401  (re-export)
 
 
-def stream_session(spark: SparkSession, state_partitions: int | None) -> SparkSession:
-    """Session to build a streaming job in, with its state-partition count.
+def stream_session(spark: SparkSession, options: JobOptions) -> SparkSession:
+    """Session to build the streaming job in, carrying the job's settings.
 
     A stateful query keeps ``spark.sql.shuffle.partitions`` for the life of
     its checkpoint: it is the number of state-store partitions of every
-    micro-batch.  A separate session sharing the context carries the job's
-    own value, so the caller's session configuration is left untouched.
+    micro-batch.  That, and whether idle (no-data) batches run, are set on a
+    separate session sharing the context, so the caller's session
+    configuration is left untouched.  Build the source from the returned
+    session.
     """
-    if state_partitions is None:
+    if options.state_partitions is None and options.idle_batches:
         return spark
-    if state_partitions < 1:
-        raise ValueError("state_partitions must be >= 1")
     session = spark.newSession()
-    session.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+    if options.state_partitions is not None:
+        session.conf.set("spark.sql.shuffle.partitions", str(int(options.state_partitions)))
+    if not options.idle_batches:
+        session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     return session
 
 

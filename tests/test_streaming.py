@@ -199,6 +199,7 @@ def test_cli_runs_available_now(spark, scratch):
     landing, table, ckpt = f"{scratch}/in", f"{scratch}/t", f"{scratch}/ck"
     land(landing, IN_ORDER)
     args = ["--input", landing, "--output", table, "--checkpoint", ckpt, "--available-now",
+            "--state-partitions", "4", "--no-idle-batches",
             "--all-namespaces", "--window", "1 minute"]
     assert options_from(parse_args(args)).trigger is None
     main(args)
@@ -240,3 +241,38 @@ def test_ingest_log_listener(spark, scratch):
         spark.streams.removeListener(listener)
     assert (listener.seen, listener.sent) == (8, 8)
     assert listener.lines and listener.lines[0].startswith("Processed")
+
+
+def test_without_idle_batches_restart_equals_continuous_run(spark, scratch):
+    """Skipping idle batches keeps update-mode output and makes a restart
+    behave like one continuous run, late rows included."""
+    from editpulse.streaming.job import stream_session
+
+    opts = JobOptions(window=WindowSpec("1 minute"), watermark="2 minutes", trigger=None,
+                      namespaces=None, idle_batches=False)
+    session = stream_session(spark, opts)
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+
+    def go(landing, table, ckpt):
+        run_to_end(start_counts_job(read_lines_stream(session, landing, 1), opts, table, ckpt))
+
+    one = (f"{scratch}/in1", f"{scratch}/t1", f"{scratch}/ck1")
+    two = (f"{scratch}/in2", f"{scratch}/t2", f"{scratch}/ck2")
+    land(one[0], SCRIPT)
+    go(*one)
+    assert raw_versions(spark, one[1]) == [
+        (0, 0, "a", 1), (0, 0, "b", 1), (1, 0, "a", 2), (2, 300, "c", 1),
+        (3, 0, "a", 3), (3, 300, "c", 2), (4, 300, "c", 3)]
+    land(two[0], SCRIPT[:3])
+    go(*two)
+    land(two[0], SCRIPT[3:], start_index=3)
+    go(*two)
+    latest = lambda t: rows(read_versioned(spark, t).drop("created_at"))
+    assert latest(one[1]) == latest(two[1])
+
+
+def test_append_mode_needs_idle_batches():
+    import pytest
+
+    with pytest.raises(ValueError):
+        JobOptions(output_mode="append", idle_batches=False)
