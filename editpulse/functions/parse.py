@@ -16,7 +16,6 @@ from editpulse.schema import (
     COUNT_TABLES,
     CORRUPT_COL,
     EDIT_PARSE_SCHEMA,
-    EDIT_SCHEMA,
     EVENT_TIME,
 )
 
@@ -129,6 +128,3 @@ def to_wire_json(edits: DataFrame, fields: list[str] | None = None) -> DataFrame
     fields = fields or WIRE_FIELDS
     return edits.select(F.to_json(F.struct(*fields)).alias("value"))
 
-
-def edit_columns() -> list[str]:
-    return [f.name for f in EDIT_SCHEMA.fields]

@@ -120,9 +120,10 @@ def test_restart_equals_single_run(spark, scratch):
     assert latest(one[1]) == latest(two[1])
     versions = spark.read.parquet(f"{one[1]}/versions").where("user_name = 'a' AND unix_seconds(window_start) = %d" % B)
     assert sorted(r.edit_count for r in versions.collect()) == [1, 2, 3]
-    from editpulse.operators.windowed import user_edit_counts
-    from editpulse.functions.parse import parse_edits
-    batch = user_edit_counts(parse_edits(spark.read.text(one[0])), OPTS.window)
+    # the same transformation over a batch read of the same files
+    from editpulse.sources.text import read_lines
+    from editpulse.streaming.job import edit_counts
+    batch = edit_counts(read_lines(spark, one[0]), OPTS, observe=True)
     assert latest(one[1]) == rows(batch)
 
 
