@@ -144,26 +144,27 @@ def compact(spark: SparkSession, path: str, through_day: dt.date, table: str = "
 
     Only call it for days no open window can still change (the stream's
     watermark is past their end).  Steps: the current rows of those days
-    (earlier compactions included) are computed and cut from their lineage
-    with ``checkpoint()`` in the shared checkpoint folder; they overwrite
-    just those day partitions of ``compacted/``; then the folded version
-    directories are deleted.  A crash between the steps leaves duplicates
-    that the latest-version read removes, and re-running is safe.
-    Returns the compacted days.
+    (earlier compactions included) are written to a staging table in the
+    shared scratch folder (``spark.checkpoint.dir``), which cuts their
+    lineage to the files about to be replaced; the staged rows overwrite
+    just those day partitions of ``compacted/``; the folded version
+    directories and the staging table are deleted.  A crash between the
+    steps leaves duplicates that the latest-version read removes, and
+    re-running is safe.  Returns the compacted days.
     """
-    from editpulse.session import checkpoint_root
+    from editpulse.session import scratch_dir
     from editpulse.sources.counts import read_versioned
 
     parts = glob_paths(spark, f"{path.rstrip('/')}/{VERSIONS}/batch_id=*/window_date=*")
     days = sorted({d for d in (_day_of(p) for p in parts) if d is not None and d <= through_day})
     if not days:
         return []
-    checkpoint_root(spark)  # make sure DataFrame.checkpoint() has its folder
     current = read_versioned(spark, path, table, days=days, with_batch_id=True)
     current = current.withColumn("window_date", utc_date(F.col("window_start")))
-    current = current.checkpoint(eager=True)
+    staging = scratch_dir(spark, "compact-staging")
+    current.hint("rebalance", "window_date").write.mode("overwrite").parquet(staging)
     (
-        current.hint("rebalance", "window_date")
+        spark.read.schema(current.schema).parquet(staging)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("window_date")
@@ -174,6 +175,7 @@ def compact(spark: SparkSession, path: str, through_day: dt.date, table: str = "
         if d is not None and d in days:
             delete_path(spark, p)
     _drop_empty_versions(spark, path)
+    delete_path(spark, staging)
     return days
 
 
