@@ -206,6 +206,10 @@ def _queries() -> dict[str, Query]:
     q["pipeline_user_edit_counts"] = lambda s, d: wallclock(
         count_table(namespace_filter(_sse_parsed(s, d), PIPELINE_NAMESPACES), "user_edit_counts", HOUR)
     )
+    # the job's default configuration: 1-minute windows, namespace 0
+    q["pipeline_user_edit_counts_1min"] = lambda s, d: wallclock(
+        count_table(namespace_filter(_sse_parsed(s, d), PIPELINE_NAMESPACES), "user_edit_counts", MINUTE)
+    )
 
     # --- streaming job (update mode + upsert; append mode) ----------------
     q["stream_user_edit_counts_latest"] = lambda s, d: wallclock(stream_counts(s, d, "update"))
@@ -354,6 +358,9 @@ def _oracle() -> dict[str, str]:
     o["pipeline_user_edit_counts"] = _with(
         _EDITS, _uec(HOUR, f"WHERE namespace IN (0) AND {ok_time}")
     ) + "SELECT * FROM uec"
+    o["pipeline_user_edit_counts_1min"] = _with(
+        _EDITS, _uec(MINUTE, f"WHERE namespace IN (0) AND {ok_time}")
+    ) + "SELECT * FROM uec"
 
     o["stream_user_edit_counts_latest"] = WU + "SELECT * FROM uec"
     o["stream_user_edit_counts_final"] = WU + (
