@@ -42,11 +42,17 @@ def last_minutes(counts: DataFrame, as_of, minutes: int) -> DataFrame:
     return in_range(counts, minutes_before(as_of, minutes))
 
 
-def recent_user_edit_counts(counts: DataFrame, as_of, minutes: int = DEFAULT_MINUTES, ordered: bool = True) -> DataFrame:
-    """All (window, user) rows of the last ``minutes``."""
-    df = last_minutes(counts, as_of, minutes).select(
-        "window_start", "window_end", "user_name", "edit_count"
-    )
+def recent_user_edit_counts(counts: DataFrame, as_of, minutes: int = DEFAULT_MINUTES, ordered: bool = True,
+                            with_created_at: bool = False) -> DataFrame:
+    """All (window, user) rows of the last ``minutes``.
+
+    ``with_created_at`` adds the stored insert time (a stored table has it;
+    it is not deterministic, so it is off by default).
+    """
+    cols = ["window_start", "window_end", "user_name", "edit_count"]
+    if with_created_at:
+        cols.append("created_at")
+    df = last_minutes(counts, as_of, minutes).select(*cols)
     if ordered:
         df = df.orderBy(F.desc("window_start"), F.desc("edit_count"), F.asc("user_name"))
     return df
@@ -62,10 +68,11 @@ def top_users(counts: DataFrame, as_of, minutes: int = DEFAULT_MINUTES, limit: i
     return top_k(totals, limit, [F.desc("total_edits"), F.asc("user_name")])
 
 
-def edit_timeline(counts: DataFrame, as_of, minutes: int = DEFAULT_MINUTES, descending: bool = False) -> DataFrame:
-    """Total edits per window over the last ``minutes``."""
+def edit_timeline(counts: DataFrame, as_of, minutes: int = DEFAULT_MINUTES, descending: bool = False,
+                  value_name: str = "total_edits") -> DataFrame:
+    """Total edits per window over the last ``minutes`` (column ``value_name``)."""
     df = last_minutes(counts, as_of, minutes).groupBy("window_start").agg(
-        F.sum("edit_count").alias("total_edits")
+        F.sum("edit_count").alias(value_name)
     )
     order = F.desc("window_start") if descending else F.asc("window_start")
     return df.orderBy(order)

@@ -234,6 +234,9 @@ def _queries() -> dict[str, Query]:
     q["edit_timeline_desc"] = lambda s, d: wallclock(
         dash.edit_timeline(_recent(s, d, 60), AS_OF, 60, descending=True)
     )
+    q["activity_timeline"] = lambda s, d: wallclock(
+        dash.edit_timeline(_recent(s, d, 60), AS_OF, 60, value_name="edits")
+    )
     q["statistics"] = lambda s, d: dash.statistics(_recent(s, d, 60), AS_OF)
     q["recent_windows"] = lambda s, d: wallclock(dash.recent_windows(counts(s, d)))
     q["high_volume_editors"] = lambda s, d: wallclock(
@@ -391,6 +394,10 @@ def _oracle() -> dict[str, str]:
         f"SELECT window_start, CAST(sum(edit_count) AS BIGINT) AS total_edits FROM uec WHERE {_since(60)} "
         "GROUP BY window_start ORDER BY window_start DESC"
     )
+    o["activity_timeline"] = WU + (
+        f"SELECT window_start, CAST(sum(edit_count) AS BIGINT) AS edits FROM uec WHERE {_since(60)} "
+        "GROUP BY window_start ORDER BY window_start"
+    )
     o["statistics"] = WU + (
         "SELECT count(DISTINCT user_name) AS unique_users, CAST(sum(edit_count) AS BIGINT) AS total_edits, "
         "avg(edit_count) AS avg_edits_per_window, max(edit_count) AS max_edits_single_window "

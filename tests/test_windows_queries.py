@@ -126,3 +126,12 @@ def test_latest_version_picks_highest(spark):
 def test_retention_keep(spark):
     c = _counts(spark, [(B, "a", 1), (B - 86400 * 8, "b", 1)])
     assert [r.user_name for r in dash.retention_keep(c, B + 60, 7).collect()] == ["a"]
+
+
+def test_recent_counts_with_created_at(spark):
+    from pyspark.sql import functions as F
+
+    c = _counts(spark, [(B, "a", 1)]).withColumn("created_at", F.current_timestamp())
+    out = dash.recent_user_edit_counts(c, B + 60, 10, with_created_at=True)
+    assert out.columns[-1] == "created_at"
+    assert dash.edit_timeline(c, B + 60, 10, value_name="edits").columns == ["window_start", "edits"]
