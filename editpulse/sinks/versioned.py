@@ -129,7 +129,7 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hp, True)
 
 
-def _day_of(partition_path: str) -> dt.date | None:
+def day_of(partition_path: str) -> dt.date | None:
     name = partition_path.rstrip("/").rsplit("/", 1)[-1]
     if not name.startswith("window_date="):
         return None
@@ -156,7 +156,7 @@ def compact(spark: SparkSession, path: str, through_day: dt.date, table: str = "
     from editpulse.sources.counts import read_versioned
 
     parts = glob_paths(spark, f"{path.rstrip('/')}/{VERSIONS}/batch_id=*/window_date=*")
-    days = sorted({d for d in (_day_of(p) for p in parts) if d is not None and d <= through_day})
+    days = sorted({d for d in (day_of(p) for p in parts) if d is not None and d <= through_day})
     if not days:
         return []
     current = read_versioned(spark, path, table, days=days, with_batch_id=True)
@@ -171,7 +171,7 @@ def compact(spark: SparkSession, path: str, through_day: dt.date, table: str = "
         .parquet(f"{path.rstrip('/')}/{COMPACTED}")
     )
     for p in parts:
-        d = _day_of(p)
+        d = day_of(p)
         if d is not None and d in days:
             delete_path(spark, p)
     _drop_empty_versions(spark, path)

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from editpulse.functions.time import epoch_seconds, ts_literal
 from editpulse.operators.latest import latest_version
 from editpulse.schema import COUNT_TABLES, count_table_schema
-from editpulse.sinks.versioned import COMPACTED, VERSIONS, path_exists
+from editpulse.sinks.versioned import COMPACTED, VERSIONS, day_of, glob_paths, path_exists
 
 
 def _stored_schema(table: str, batch_id: bool) -> T.StructType:
@@ -52,23 +52,47 @@ def read_versioned(
     days: Sequence[dt.date] | None = None,
     with_batch_id: bool = False,
 ) -> DataFrame:
-    """Current rows of a versioned count table (optionally only some days)."""
+    """Current rows of a versioned count table (optionally only some days).
+
+    Days that have no partition under ``versions/`` hold one row per key in
+    ``compacted/`` by construction: they are read as they are, with no
+    aggregate and no shuffle.  Only days that still have versions (recent,
+    not yet compacted) go through the latest-version aggregate, over both
+    areas.  Which days those are comes from the directory listing.
+    """
     _, key, _ = COUNT_TABLES[table]
     schema = _stored_schema(table, True)
     root = path.rstrip("/")
-    areas = []
-    if path_exists(spark, f"{root}/{VERSIONS}"):
-        areas.append(spark.read.schema(schema).parquet(f"{root}/{VERSIONS}"))
-    if path_exists(spark, f"{root}/{COMPACTED}"):
-        areas.append(spark.read.schema(schema).parquet(f"{root}/{COMPACTED}"))
-    if not areas:
+    has_versions = path_exists(spark, f"{root}/{VERSIONS}")
+    has_compacted = path_exists(spark, f"{root}/{COMPACTED}")
+    if not (has_versions or has_compacted):
         raise FileNotFoundError(f"no count table at {path}")
-    raw = areas[0] if len(areas) == 1 else areas[0].unionByName(areas[1])
-    raw = _restrict(raw, since_epoch, days)
-    values = ["window_end", "edit_count", "created_at"] + (["batch_id"] if with_batch_id else [])
-    out = latest_version(raw, ["window_start", key], "batch_id", values)
-    return out.select("window_start", "window_end", key, "edit_count", "created_at",
-                      *(["batch_id"] if with_batch_id else []))
+    cols = ["window_start", "window_end", key, "edit_count", "created_at"] + (
+        ["batch_id"] if with_batch_id else [])
+    open_days = sorted(
+        {d for d in (day_of(p) for p in glob_paths(spark, f"{root}/{VERSIONS}/batch_id=*/window_date=*"))
+         if d is not None}
+    )
+    parts = []
+    if has_compacted:
+        compacted = _restrict(spark.read.schema(schema).parquet(f"{root}/{COMPACTED}"), since_epoch, days)
+        if open_days:
+            parts.append(compacted.where(~F.col("window_date").isin(open_days)).select(*cols))
+        else:
+            parts.append(compacted.select(*cols))
+    if open_days and has_versions:
+        mixed = _restrict(spark.read.schema(schema).parquet(f"{root}/{VERSIONS}"), since_epoch, days)
+        if has_compacted:
+            mixed = mixed.unionByName(
+                _restrict(spark.read.schema(schema).parquet(f"{root}/{COMPACTED}"), since_epoch, days)
+                .where(F.col("window_date").isin(open_days))
+            )
+        values = ["window_end", "edit_count", "created_at"] + (["batch_id"] if with_batch_id else [])
+        parts.append(latest_version(mixed, ["window_start", key], "batch_id", values).select(*cols))
+    out = parts[0]
+    for extra in parts[1:]:
+        out = out.unionByName(extra)
+    return out
 
 
 def read_final(

@@ -31,10 +31,22 @@ def test_stored_read_prunes_day_partitions(spark):
     assert "GreaterThanOrEqual(window_start," in p
 
 
-def test_latest_view_is_a_partial_hash_aggregate(spark):
-    p = plan(registry.stored_counts(spark, SF))
+def test_compacted_days_read_without_shuffle_open_days_dedup_partially(spark, scratch):
+    from editpulse.sinks.versioned import backfill, write_version
+    from editpulse.sources.counts import read_versioned
+
+    table = f"{scratch}/t"
+    counts = registry.counts(spark, SF)
+    backfill(counts, table)
+    p = plan(read_versioned(spark, table))
+    assert "Exchange" not in p and "Aggregate" not in p
+    last_day = counts.where("window_start >= timestamp'2024-01-30 00:00:00'")
+    write_version(last_day, table, 0)
+    p = plan(read_versioned(spark, table))
     assert "SortAggregate" not in p
     assert "partial_max_by" in p
+    assert "Union" in p
+    assert read_versioned(spark, table).count() == counts.count()
 
 
 def test_top_pages_limits_before_the_shuffle(spark):
