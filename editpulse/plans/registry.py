@@ -20,11 +20,14 @@ from pyspark.sql import types as T
 
 from editpulse.config import JobOptions, WindowSpec
 from editpulse.functions.parse import (
+    WIRE_FIELDS,
     namespace_filter,
     parse_edits,
     rejected_edits,
     sse_frames,
+    to_wire_json,
     valid_edits,
+    wiki_filter,
 )
 from editpulse.functions.time import (
     epoch_seconds,
@@ -33,11 +36,14 @@ from editpulse.functions.time import (
     start_of_day,
     utc_wallclock,
 )
+from editpulse.maintenance import closed_through
+from editpulse.maintenance import run as run_maintenance
 from editpulse.operators import counters
 from editpulse.operators.windowed import count_table
 from editpulse.plans import dashboard as dash
 from editpulse.schema import CORRUPT_COL
 from editpulse.session import scratch_dir
+from editpulse.sinks.csv import export_csv, read_export
 from editpulse.sinks.versioned import backfill
 from editpulse.sources.counts import read_final, read_versioned
 from editpulse.sources.testdata import (
@@ -47,6 +53,7 @@ from editpulse.sources.testdata import (
     wire_messages,
 )
 from editpulse.streaming.job import (
+    edit_counts,
     read_lines_stream,
     run_to_end,
     start_counts_job,
@@ -62,6 +69,7 @@ RANGE_MINUTES = 240  # the widest range the dashboard offers
 RETENTION_DAYS = 7
 TOP_PAGES_K = 5
 PIPELINE_NAMESPACES = (0,)
+PIPELINE_WIKIS = ("enwiki", "dewiki")
 
 HOUR = WindowSpec("1 hour")
 MINUTE = WindowSpec("1 minute")
@@ -126,10 +134,10 @@ def _state_partitions(spark: SparkSession) -> int | None:
     return max(1, min(cores, shuffle))
 
 
-def stream_counts(spark: SparkSession, sf_dir: str, output_mode: str,
-                  n_chunks: int = STREAM_CHUNKS, progress: list | None = None) -> DataFrame:
-    """Run the streaming job over the events replayed in chunks and return
-    a batch read of what its sink holds.
+def run_stream(spark: SparkSession, sf_dir: str, output_mode: str,
+               n_chunks: int = STREAM_CHUNKS, progress: list | None = None) -> str:
+    """Run the streaming job over the events replayed in chunks; returns the
+    path of the table its sink wrote.
 
     Landing files, the table and the checkpoint go to a new directory under
     the shared scratch root (``spark.checkpoint.dir``).  ``progress``, when
@@ -157,10 +165,28 @@ def stream_counts(spark: SparkSession, sf_dir: str, output_mode: str,
         lambda lo, hi: edit_events(spark, sf_dir, lo, hi, spread=True),
         event_time_bounds(spark, sf_dir), landing, n_chunks, run,
     )
+    return table
+
+
+def stream_counts(spark: SparkSession, sf_dir: str, output_mode: str,
+                  n_chunks: int = STREAM_CHUNKS, progress: list | None = None) -> DataFrame:
+    """Run the streaming job (``run_stream``) and return a batch read of
+    what its sink holds."""
+    table = run_stream(spark, sf_dir, output_mode, n_chunks, progress)
     read = read_versioned if output_mode == "update" else read_final
     return read(spark, table).select("window_start", "window_end", "user_name", "edit_count")
 
 
+def compacted_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The update-mode job's table after the maintenance job compacted the
+    closed days (all but the last two days of the data at ``AS_OF``): the
+    read then takes compacted days straight and only the open days through
+    the latest-version aggregate."""
+    table = run_stream(spark, sf_dir, "update")
+    run_maintenance(spark, table, compact_through=closed_through(AS_OF), as_of=AS_OF)
+    return read_versioned(spark, table).select("window_start", "window_end", "user_name", "edit_count")
+
+
 def stored_counts(spark: SparkSession, sf_dir: str, since_epoch: int | None = None) -> DataFrame:
     """Backfill the hourly user table into storage, then read it back.
 
@@ -173,6 +199,30 @@ def stored_counts(spark: SparkSession, sf_dir: str, since_epoch: int | None = No
     return read_versioned(spark, path, "user_edit_counts", since_epoch=since_epoch)
 
 
+def retained_stored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored hourly table after the retention job at ``AS_OF``: expired
+    days are deleted from storage, and ``retention_keep`` hides the expired
+    rows of the boundary day."""
+    path = scratch_dir(spark, "stored-retention")
+    backfill(counts(spark, sf_dir, "user_edit_counts", HOUR), path)
+    run_maintenance(spark, path, retention_days=RETENTION_DAYS, as_of=AS_OF)
+    return dash.retention_keep(read_versioned(spark, path), AS_OF, RETENTION_DAYS).select(
+        "window_start", "window_end", "user_name", "edit_count")
+
+
+def exported_recent_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dashboard's CSV download of Q1, written to the shared scratch
+    folder by the executors and read back with its schema."""
+    q1 = wallclock(dash.recent_user_edit_counts(_recent(spark, sf_dir, RANGE_MINUTES), AS_OF, RANGE_MINUTES))
+    path = export_csv(q1, scratch_dir(spark, "export"))
+    return read_export(spark, path, q1.schema)
+
+
+def _wiki_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wire messages that carry the optional ``wiki`` field."""
+    return to_wire_json(edit_events(spark, sf_dir, spread=True), WIRE_FIELDS + ["wiki"])
+
+
 def _queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
 
@@ -192,6 +242,9 @@ def _queries() -> dict[str, Query]:
     q["namespace_filter"] = lambda s, d: namespace_filter(
         edit_events(s, d, spread=True), PIPELINE_NAMESPACES
     ).select("id", "title", "namespace")
+    q["wiki_filter"] = lambda s, d: wiki_filter(parse_edits(_wiki_wire(s, d)), PIPELINE_WIKIS).select(
+        "id", "user", "wiki"
+    )
     q["ingest_counters"] = lambda s, d: counters.ingest_counters(
         _sse_parsed(s, d, keep_raw=True), PIPELINE_NAMESPACES
     )
@@ -211,14 +264,23 @@ def _queries() -> dict[str, Query]:
         count_table(namespace_filter(_sse_parsed(s, d), PIPELINE_NAMESPACES), "user_edit_counts", MINUTE)
     )
 
+    # the job's transformation with both allow-lists, run as a batch query
+    q["pipeline_wiki_user_edit_counts"] = lambda s, d: wallclock(edit_counts(
+        _wiki_wire(s, d),
+        JobOptions(window=HOUR, trigger=None, namespaces=PIPELINE_NAMESPACES, wikis=PIPELINE_WIKIS),
+    ))
+
     # --- streaming job (update mode + upsert; append mode) ----------------
     q["stream_user_edit_counts_latest"] = lambda s, d: wallclock(stream_counts(s, d, "update"))
     q["stream_user_edit_counts_final"] = lambda s, d: wallclock(stream_counts(s, d, "append"))
+    q["stream_user_edit_counts_compacted"] = lambda s, d: wallclock(compacted_stream_counts(s, d))
 
     # --- stored table (backfill + latest-version read) -------------------
     q["stored_user_edit_counts"] = lambda s, d: wallclock(
         stored_counts(s, d).select("window_start", "window_end", "user_name", "edit_count")
     )
+    q["stored_retention"] = lambda s, d: wallclock(retained_stored_counts(s, d))
+    q["export_csv"] = exported_recent_counts
     q["stored_top_users"] = lambda s, d: dash.top_users(
         stored_counts(s, d, minutes_before(AS_OF, RANGE_MINUTES)), AS_OF, RANGE_MINUTES, 20
     )
@@ -272,6 +334,7 @@ _EDITS = """edits AS (
          'user_' || CAST(user_id AS VARCHAR) AS "user",
          event_type AS type,
          k % 4 AS namespace,
+         ['enwiki', 'dewiki', 'frwiki'][user_id % 3 + 1] AS wiki,
          CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS "timestamp",
          date_trunc('second', ts) AS event_time
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) e
@@ -344,6 +407,9 @@ def _oracle() -> dict[str, str]:
         "FROM wire WHERE type = 'error'"
     )
     o["namespace_filter"] = W + "SELECT id, title, namespace FROM edits WHERE namespace IN (0)"
+    o["wiki_filter"] = _with(_EDITS) + (
+        "SELECT id, \"user\", wiki FROM edits WHERE wiki IN ('enwiki', 'dewiki')"
+    )
     o["ingest_counters"] = W + (
         "SELECT count(*) AS events_seen, count(*) FILTER (WHERE namespace IN (0)) AS events_sent FROM edits"
     )
@@ -365,13 +431,22 @@ def _oracle() -> dict[str, str]:
         _EDITS, _uec(MINUTE, f"WHERE namespace IN (0) AND {ok_time}")
     ) + "SELECT * FROM uec"
 
+    o["pipeline_wiki_user_edit_counts"] = _with(
+        _EDITS, _uec(HOUR, "WHERE namespace IN (0) AND wiki IN ('enwiki', 'dewiki')")
+    ) + "SELECT * FROM uec"
+
     o["stream_user_edit_counts_latest"] = WU + "SELECT * FROM uec"
+    o["stream_user_edit_counts_compacted"] = WU + "SELECT * FROM uec"
     o["stream_user_edit_counts_final"] = WU + (
         "SELECT * FROM uec WHERE window_end <= "
         f"(SELECT max(event_time) FROM edits) - INTERVAL '{STREAM_WATERMARK}'"
     )
 
     o["stored_user_edit_counts"] = WU + "SELECT * FROM uec"
+    o["stored_retention"] = WU + (
+        "SELECT * FROM uec "
+        f"WHERE window_start >= {_sql_ts(AS_OF)} - INTERVAL '{RETENTION_DAYS} days'"
+    )
 
     r = RANGE_MINUTES
     o["stored_top_users"] = WU + (
@@ -382,6 +457,7 @@ def _oracle() -> dict[str, str]:
         f"SELECT window_start, window_end, user_name, edit_count FROM uec WHERE {_since(r)} "
         "ORDER BY window_start DESC, edit_count DESC, user_name"
     )
+    o["export_csv"] = o["recent_user_edit_counts"]
     o["top_users"] = WU + (
         f"SELECT user_name, CAST(sum(edit_count) AS BIGINT) AS total_edits FROM uec WHERE {_since(r)} "
         "GROUP BY user_name ORDER BY total_edits DESC, user_name LIMIT 20"

@@ -9,6 +9,8 @@ edit:
 * ``type``      = ``event_type``
 * ``namespace`` = ``k % 4``
 * ``timestamp`` = whole Unix seconds of ``ts`` (``ts`` is a UTC wall clock)
+* ``wiki``      = one of ``TEST_WIKIS`` per user, ``TEST_WIKIS[user_id % 3]``
+  (the data has no wiki column; every user edits one wiki)
 
 ``wire_messages`` serialises these edits to JSON text (what a topic holds)
 and ``sse_capture`` wraps them in SSE framing, so that the real parser runs
@@ -33,6 +35,9 @@ TABLES = (
 # Fixed value: event type whose SSE frames carry a string-typed timestamp.
 DRIFT_EVENT_TYPE = "error"
 
+# Wiki names the test map assigns to users (by user_id % 3).
+TEST_WIKIS = ("enwiki", "dewiki", "frwiki")
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -63,6 +68,11 @@ def with_parallelism_floor(df: DataFrame) -> DataFrame:
     return df.repartition(target)
 
 
+def _wiki_of(user_id: Column) -> Column:
+    wikis = F.array(*[F.lit(w) for w in TEST_WIKIS])
+    return F.element_at(wikis, (F.pmod(user_id, F.lit(len(TEST_WIKIS))) + 1).cast("int"))
+
+
 def _page_key() -> Column:
     return F.get_json_object(F.col("props"), "$.k").cast("bigint")
 
@@ -108,7 +118,7 @@ def edit_events(spark: SparkSession, sf_dir: str, since_epoch: int | None = None
         F.col("event_type").alias("type"),
         (k % 4).alias("namespace"),
         F.unix_timestamp(F.col("ts")).alias("timestamp"),
-        F.lit(None).cast("string").alias("wiki"),
+        _wiki_of(F.col("user_id")).alias("wiki"),
     )
     return with_event_time(edits)
 
