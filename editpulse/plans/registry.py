@@ -82,6 +82,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # each processed by a restart of the job on the same checkpoint.
 STREAM_CHUNKS = 6
 STREAM_WATERMARK = "2 minutes"
+# The chunk the late-data query delivers last (of STREAM_CHUNKS).
+LATE_CHUNK = 3
 
 
 def wallclock(df: DataFrame) -> DataFrame:
@@ -135,13 +137,15 @@ def _state_partitions(spark: SparkSession) -> int | None:
 
 
 def run_stream(spark: SparkSession, sf_dir: str, output_mode: str,
-               n_chunks: int = STREAM_CHUNKS, progress: list | None = None) -> str:
+               n_chunks: int = STREAM_CHUNKS, progress: list | None = None,
+               order: list[int] | None = None) -> str:
     """Run the streaming job over the events replayed in chunks; returns the
     path of the table its sink wrote.
 
     Landing files, the table and the checkpoint go to a new directory under
     the shared scratch root (``spark.checkpoint.dir``).  ``progress``, when
-    given, receives the progress report of every micro-batch.
+    given, receives the progress report of every micro-batch.  ``order``
+    is the delivery order of the chunks (default: time order).
     """
     options = JobOptions(
         window=HOUR, watermark=STREAM_WATERMARK, trigger=None,
@@ -163,7 +167,7 @@ def run_stream(spark: SparkSession, sf_dir: str, output_mode: str,
 
     replay_chunks(
         lambda lo, hi: edit_events(spark, sf_dir, lo, hi, spread=True),
-        event_time_bounds(spark, sf_dir), landing, n_chunks, run,
+        event_time_bounds(spark, sf_dir), landing, n_chunks, run, order,
     )
     return table
 
@@ -177,6 +181,18 @@ def stream_counts(spark: SparkSession, sf_dir: str, output_mode: str,
     return read(spark, table).select("window_start", "window_end", "user_name", "edit_count")
 
 
+def late_chunk_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The update-mode job when chunk ``LATE_CHUNK`` arrives last, two
+    batches after the chunks that follow it in event time.  By then the
+    watermark (the latest event time seen, less 2 minutes) is days past
+    every window of that chunk, so the job drops all of its rows: the table
+    holds the counts of the other chunks only, including the hour the late
+    chunk shares with the next one."""
+    order = [i for i in range(STREAM_CHUNKS) if i != LATE_CHUNK] + [LATE_CHUNK]
+    table = run_stream(spark, sf_dir, "update", order=order)
+    return read_versioned(spark, table).select("window_start", "window_end", "user_name", "edit_count")
+
+
 def compacted_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The update-mode job's table after the maintenance job compacted the
     closed days (all but the last two days of the data at ``AS_OF``): the
@@ -274,6 +290,7 @@ def _queries() -> dict[str, Query]:
     q["stream_user_edit_counts_latest"] = lambda s, d: wallclock(stream_counts(s, d, "update"))
     q["stream_user_edit_counts_final"] = lambda s, d: wallclock(stream_counts(s, d, "append"))
     q["stream_user_edit_counts_compacted"] = lambda s, d: wallclock(compacted_stream_counts(s, d))
+    q["stream_user_edit_counts_late_chunk"] = lambda s, d: wallclock(late_chunk_stream_counts(s, d))
 
     # --- stored table (backfill + latest-version read) -------------------
     q["stored_user_edit_counts"] = lambda s, d: wallclock(
@@ -437,6 +454,16 @@ def _oracle() -> dict[str, str]:
 
     o["stream_user_edit_counts_latest"] = WU + "SELECT * FROM uec"
     o["stream_user_edit_counts_compacted"] = WU + "SELECT * FROM uec"
+    # chunk edges as in the replay: lo + i * ceil((hi - lo + 1) / n)
+    o["stream_user_edit_counts_late_chunk"] = _with(
+        _EDITS,
+        "bounds AS (SELECT min(\"timestamp\") AS lo, "
+        f"CAST(ceil((max(\"timestamp\") - min(\"timestamp\") + 1) / {STREAM_CHUNKS}) AS BIGINT) AS step "
+        "FROM edits)",
+        "on_time AS (SELECT e.* FROM edits e, bounds b WHERE NOT (\"timestamp\" >= "
+        f"b.lo + {LATE_CHUNK} * b.step AND \"timestamp\" < b.lo + {LATE_CHUNK + 1} * b.step))",
+        _counts_cte("uec", '"user"', "user_name", HOUR).replace("FROM edits", "FROM on_time"),
+    ) + "SELECT * FROM uec"
     o["stream_user_edit_counts_final"] = WU + (
         "SELECT * FROM uec WHERE window_end <= "
         f"(SELECT max(event_time) FROM edits) - INTERVAL '{STREAM_WATERMARK}'"

@@ -11,7 +11,7 @@ modification times or file counts; every chunk is written in parallel.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -43,14 +43,20 @@ def replay_chunks(
     landing: str,
     n_chunks: int,
     run_job: Callable[[int], None],
+    order: Sequence[int] | None = None,
 ) -> int:
     """Land chunk ``i`` (event seconds ``[edge_i, edge_i+1)``), then ``run_job(i)``.
 
-    ``edits_between`` should push its range to the scan so that each chunk
-    reads only its own part of the input.
+    ``order`` is the delivery order of the chunks (default: time order); a
+    chunk delivered after later ones arrives late.  ``edits_between``
+    should push its range to the scan so that each chunk reads only its
+    own part of the input.
     """
     edges = chunk_edges(bounds[0], bounds[1], n_chunks)
-    for i in range(n_chunks):
-        land_chunk(edits_between(edges[i], edges[i + 1]), landing, i)
+    order = list(range(n_chunks)) if order is None else list(order)
+    if sorted(order) != list(range(n_chunks)):
+        raise ValueError("order must deliver every chunk exactly once")
+    for landed, i in enumerate(order):
+        land_chunk(edits_between(edges[i], edges[i + 1]), landing, landed)
         run_job(i)
     return n_chunks

@@ -277,3 +277,30 @@ def test_append_mode_needs_idle_batches():
 
     with pytest.raises(ValueError):
         JobOptions(output_mode="append", idle_batches=False)
+
+
+def test_late_chunk_is_dropped_by_the_watermark(spark):
+    """Replay of the driver's events with one chunk delivered last: the job
+    drops rows of it (metric) and the table holds no row of its hours that
+    no other chunk touches."""
+    from editpulse.plans import registry
+    from editpulse.sources.testdata import edit_events, event_time_bounds
+    from editpulse.streaming.replay import chunk_edges
+
+    sf = "/root/testdata/sf0.001"
+    late = registry.LATE_CHUNK
+    order = [i for i in range(registry.STREAM_CHUNKS) if i != late] + [late]
+    progress = []
+    table = registry.run_stream(spark, sf, "update", progress=progress, order=order)
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0)
+                  for p in progress for op in p.get("stateOperators", []))
+    assert dropped > 0
+    lo, hi = chunk_edges(*event_time_bounds(spark, sf), registry.STREAM_CHUNKS)[late:late + 2]
+    late_hours = {r[0] for r in edit_events(spark, sf, lo, hi)
+                  .select(F.date_trunc("hour", "event_time")).distinct().collect()}
+    other_hours = {r[0] for r in edit_events(spark, sf).where(
+        (F.unix_timestamp("event_time") < lo) | (F.unix_timestamp("event_time") >= hi))
+        .select(F.date_trunc("hour", "event_time")).distinct().collect()}
+    stored = {r[0] for r in read_versioned(spark, table).select("window_start").distinct().collect()}
+    assert late_hours - other_hours
+    assert not (stored & (late_hours - other_hours))
