@@ -53,7 +53,12 @@ def parse_edits(messages: DataFrame, col: str = "value", keep_raw: bool = False)
     cols = [parsed.alias("_e")]
     if keep_raw:
         cols.append(F.col(col).alias("raw"))
-    out = messages.select(*cols).select(
+    # The parse is a generator (one output row per message), so filters on
+    # parsed fields stay above it.  As a plain projection, the optimizer
+    # would push each filter below it and substitute ``from_json`` into the
+    # condition, parsing every message once per filter and again for the
+    # output.
+    out = messages.select(F.inline(F.array(F.struct(*cols)))).select(
         *[F.col(f"_e.{f.name}").alias(f.name) for f in EDIT_PARSE_SCHEMA.fields],
         *(["raw"] if keep_raw else []),
     )

@@ -64,3 +64,12 @@ def test_no_python_udfs_or_broadcasts(spark, name):
     p = plan(entry.queries()[name](spark, SF))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "BroadcastExchange", "CartesianProduct"):
         assert bad not in p, (name, bad)
+
+
+@pytest.mark.parametrize("name", ["pipeline_user_edit_counts", "pipeline_wiki_user_edit_counts",
+                                  "edits_valid", "edits_rejected"])
+def test_messages_are_parsed_once(spark, name):
+    """Filters on parsed fields stay above the parse: one ``from_json`` per
+    message, not one per filter plus one for the output."""
+    p = plan(entry.queries()[name](spark, SF))
+    assert p.count("from_json") == 1, name
