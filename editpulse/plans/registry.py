@@ -138,14 +138,15 @@ def _state_partitions(spark: SparkSession) -> int | None:
 
 def run_stream(spark: SparkSession, sf_dir: str, output_mode: str,
                n_chunks: int = STREAM_CHUNKS, progress: list | None = None,
-               order: list[int] | None = None) -> str:
+               order: list[int] | None = None, kind: str = "user_edit_counts") -> str:
     """Run the streaming job over the events replayed in chunks; returns the
     path of the table its sink wrote.
 
     Landing files, the table and the checkpoint go to a new directory under
     the shared scratch root (``spark.checkpoint.dir``).  ``progress``, when
     given, receives the progress report of every micro-batch.  ``order``
-    is the delivery order of the chunks (default: time order).
+    is the delivery order of the chunks (default: time order); ``kind`` the
+    count table the job maintains.
     """
     options = JobOptions(
         window=HOUR, watermark=STREAM_WATERMARK, trigger=None,
@@ -161,7 +162,7 @@ def run_stream(spark: SparkSession, sf_dir: str, output_mode: str,
 
     def run(_chunk: int) -> None:
         lines = read_lines_stream(streaming, f"{landing}/*")
-        q = run_to_end(start_counts_job(lines, options, table, ckpt))
+        q = run_to_end(start_counts_job(lines, options, table, ckpt, table=kind))
         if progress is not None:
             progress.extend(q.recentProgress)
 
@@ -181,6 +182,15 @@ def stream_counts(spark: SparkSession, sf_dir: str, output_mode: str,
     return read(spark, table).select("window_start", "window_end", "user_name", "edit_count")
 
 
+def stream_namespace_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job maintaining the namespace table (the documented custom
+    aggregation: edits per window and namespace, same watermark), update
+    mode into the versioned table, read back."""
+    table = run_stream(spark, sf_dir, "update", kind="namespace_edit_counts")
+    return read_versioned(spark, table, "namespace_edit_counts").select(
+        "window_start", "window_end", "namespace", "edit_count")
+
+
 def late_chunk_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The update-mode job when chunk ``LATE_CHUNK`` arrives last, two
     batches after the chunks that follow it in event time.  By then the
@@ -290,6 +300,7 @@ def _queries() -> dict[str, Query]:
     q["stream_user_edit_counts_latest"] = lambda s, d: wallclock(stream_counts(s, d, "update"))
     q["stream_user_edit_counts_final"] = lambda s, d: wallclock(stream_counts(s, d, "append"))
     q["stream_user_edit_counts_compacted"] = lambda s, d: wallclock(compacted_stream_counts(s, d))
+    q["stream_namespace_edit_counts_latest"] = lambda s, d: wallclock(stream_namespace_counts(s, d))
     q["stream_user_edit_counts_late_chunk"] = lambda s, d: wallclock(late_chunk_stream_counts(s, d))
 
     # --- stored table (backfill + latest-version read) -------------------
@@ -454,6 +465,7 @@ def _oracle() -> dict[str, str]:
 
     o["stream_user_edit_counts_latest"] = WU + "SELECT * FROM uec"
     o["stream_user_edit_counts_compacted"] = WU + "SELECT * FROM uec"
+    o["stream_namespace_edit_counts_latest"] = o["namespace_edit_counts"]
     # chunk edges as in the replay: lo + i * ceil((hi - lo + 1) / n)
     o["stream_user_edit_counts_late_chunk"] = _with(
         _EDITS,
