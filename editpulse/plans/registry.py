@@ -138,7 +138,8 @@ def _state_partitions(spark: SparkSession) -> int | None:
 
 def run_stream(spark: SparkSession, sf_dir: str, output_mode: str,
                n_chunks: int = STREAM_CHUNKS, progress: list | None = None,
-               order: list[int] | None = None, kind: str = "user_edit_counts") -> str:
+               order: list[int] | None = None, kind: str = "user_edit_counts",
+               window: WindowSpec = HOUR) -> str:
     """Run the streaming job over the events replayed in chunks; returns the
     path of the table its sink wrote.
 
@@ -146,10 +147,10 @@ def run_stream(spark: SparkSession, sf_dir: str, output_mode: str,
     the shared scratch root (``spark.checkpoint.dir``).  ``progress``, when
     given, receives the progress report of every micro-batch.  ``order``
     is the delivery order of the chunks (default: time order); ``kind`` the
-    count table the job maintains.
+    count table the job maintains, over windows ``window``.
     """
     options = JobOptions(
-        window=HOUR, watermark=STREAM_WATERMARK, trigger=None,
+        window=window, watermark=STREAM_WATERMARK, trigger=None,
         output_mode=output_mode, namespaces=None,
         # Update mode emits nothing in idle batches; skipping them also makes
         # each restart behave like one continuous run.
@@ -191,6 +192,13 @@ def stream_namespace_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "window_start", "window_end", "namespace", "edit_count")
 
 
+def stream_top_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job maintaining the page table over 1-day windows, then the
+    most edited pages per window over what it stored."""
+    table = run_stream(spark, sf_dir, "update", kind="top_pages", window=DAY)
+    return dash.top_pages(read_versioned(spark, table, "top_pages"), TOP_PAGES_K)
+
+
 def late_chunk_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The update-mode job when chunk ``LATE_CHUNK`` arrives last, two
     batches after the chunks that follow it in event time.  By then the
@@ -301,6 +309,7 @@ def _queries() -> dict[str, Query]:
     q["stream_user_edit_counts_final"] = lambda s, d: wallclock(stream_counts(s, d, "append"))
     q["stream_user_edit_counts_compacted"] = lambda s, d: wallclock(compacted_stream_counts(s, d))
     q["stream_namespace_edit_counts_latest"] = lambda s, d: wallclock(stream_namespace_counts(s, d))
+    q["stream_top_pages"] = lambda s, d: wallclock(stream_top_pages(s, d))
     q["stream_user_edit_counts_late_chunk"] = lambda s, d: wallclock(late_chunk_stream_counts(s, d))
 
     # --- stored table (backfill + latest-version read) -------------------
@@ -556,6 +565,7 @@ def _oracle() -> dict[str, str]:
         "ORDER BY edit_count DESC, page_title) AS page_rank FROM pec) t "
         f"WHERE page_rank <= {TOP_PAGES_K}"
     )
+    o["stream_top_pages"] = o["top_pages"]
     o["retention_keep"] = WU + (
         "SELECT window_start, window_end, user_name, edit_count FROM uec "
         f"WHERE window_start >= {_sql_ts(AS_OF)} - INTERVAL '{RETENTION_DAYS} days'"
