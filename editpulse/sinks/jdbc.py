@@ -3,7 +3,9 @@
 Only rows that are final per key belong in an append into a keyed table:
 the append-mode stream's output, or the latest view of the versioned table
 for closed windows.  ``num_partitions`` bounds the number of concurrent
-connections (the result is coalesced, not shuffled, to that many tasks).
+connections.  The rows are repartitioned (one round-robin shuffle of the
+result) rather than coalesced: a coalesce would also run the work that
+produces them, e.g. the final aggregate, on only that many tasks.
 """
 
 from __future__ import annotations
@@ -29,5 +31,5 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
                num_partitions: int | None = None, **kwargs) -> None:
-    out = df.coalesce(int(num_partitions)) if num_partitions else df
+    out = df.repartition(int(num_partitions)) if num_partitions else df
     out.write.format("jdbc").options(**jdbc_options(url, table, **kwargs)).mode(mode).save()
