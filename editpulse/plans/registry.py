@@ -204,8 +204,8 @@ def late_chunk_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches after the chunks that follow it in event time.  By then the
     watermark (the latest event time seen, less 2 minutes) is days past
     every window of that chunk, so the job drops all of its rows: the table
-    holds the counts of the other chunks only, including the hour the late
-    chunk shares with the next one."""
+    holds the counts of the other chunks only (in the hour the late chunk
+    shares with the next one, only the next chunk's edits are counted)."""
     order = [i for i in range(STREAM_CHUNKS) if i != LATE_CHUNK] + [LATE_CHUNK]
     table = run_stream(spark, sf_dir, "update", order=order)
     return read_versioned(spark, table).select("window_start", "window_end", "user_name", "edit_count")
