@@ -35,6 +35,23 @@ def condense(formatted: str) -> list[str]:
     return out
 
 
+def stream_plan(spark, sf_dir: str) -> list[str]:
+    """Executed plan of the last micro-batch of a short run of the job."""
+    from editpulse.config import JobOptions, WindowSpec
+    from editpulse.functions.parse import to_wire_json
+    from editpulse.session import scratch_dir
+    from editpulse.sources.testdata import edit_events
+    from editpulse.streaming.job import read_lines_stream, run_to_end, start_counts_job
+
+    root = scratch_dir(spark, "plans-stream")
+    to_wire_json(edit_events(spark, sf_dir)).write.text(f"{root}/landing/c0")
+    opts = JobOptions(window=WindowSpec("1 hour"), trigger=None, namespaces=(0,), idle_batches=False)
+    q = run_to_end(start_counts_job(read_lines_stream(spark, f"{root}/landing/*"), opts,
+                                    f"{root}/table", f"{root}/checkpoint"))
+    text = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    return [re.sub(r"\[.*", "", line).rstrip() for line in text.splitlines() if line.strip()]
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from editpulse.session import local_session
@@ -55,6 +72,10 @@ def main() -> None:
         text = df._jdf.queryExecution().explainString(
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
         lines += [f"## {name}", "", "```"] + condense(text) + ["```", ""]
+    lines += ["## streaming job, one micro-batch", "",
+              "The update-mode job over the events as JSON lines, namespace 0, 1-hour windows.",
+              "Operators only; the leaf stands for the micro-batch's input files.", "", "```"]
+    lines += stream_plan(spark, sf_dir) + ["```", ""]
     with open(os.path.join(ROOT, "PLANS.md"), "w") as fh:
         fh.write("\n".join(lines))
     spark.stop()
