@@ -378,10 +378,10 @@ _EDITS = """edits AS (
 )"""
 
 _WIRE = """wire AS (
-  SELECT *, to_json({'id': id, 'title': title, 'user': "user", 'type': type,
-                     'namespace': namespace, 'timestamp': "timestamp"}) AS clean_json,
-         to_json({'id': id, 'title': title, 'user': "user", 'type': type,
-                  'namespace': namespace, 'timestamp': CAST("timestamp" AS VARCHAR)}) AS drift_json
+  SELECT *, CAST(to_json({'id': id, 'title': title, 'user': "user", 'type': type,
+                          'namespace': namespace, 'timestamp': "timestamp"}) AS VARCHAR) AS clean_json,
+         CAST(to_json({'id': id, 'title': title, 'user': "user", 'type': type,
+                       'namespace': namespace, 'timestamp': CAST("timestamp" AS VARCHAR)}) AS VARCHAR) AS drift_json
   FROM edits
 )"""
 

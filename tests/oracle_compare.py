@@ -58,6 +58,17 @@ def normalise(columns, rows):
     return cols, out
 
 
+# Spark type -> DuckDB type name of the same values.
+_DUCK_TYPES = {"LongType": "BIGINT", "IntegerType": "INTEGER", "StringType": "VARCHAR",
+               "DoubleType": "DOUBLE", "TimestampNTZType": "TIMESTAMP",
+               "TimestampType": "TIMESTAMP WITH TIME ZONE", "DateType": "DATE",
+               "BooleanType": "BOOLEAN"}
+
+
+def spark_types(df) -> dict:
+    return {f.name: _DUCK_TYPES.get(type(f.dataType).__name__, str(f.dataType)) for f in df.schema.fields}
+
+
 def compare(spark, con, sf_dir: str, name: str, query, sql: str | None):
     t0 = time.time()
     df = query(spark, sf_dir)
@@ -66,14 +77,19 @@ def compare(spark, con, sf_dir: str, name: str, query, sql: str | None):
     t1 = time.time()
     if sql is None:
         return {"name": name, "rows": len(s_rows), "match": None, "spark_sec": t1 - t0}
-    res = con.execute(sql)
-    d_cols = [c[0] for c in res.description]
-    d_rows = res.fetchall()
+    rel = con.sql(sql)
+    d_cols = list(rel.columns)
+    d_types = {c: str(t) for c, t in zip(d_cols, rel.types)}
+    d_rows = rel.fetchall()
     sc, sr = normalise(s_cols, s_rows)
     dc, dr = normalise(d_cols, d_rows)
-    ok = sc == dc and sr == dr
+    types_ok = spark_types(df) == d_types
+    ok = sc == dc and sr == dr and types_ok
     info = {"name": name, "rows": len(s_rows), "oracle_rows": len(d_rows), "match": ok,
             "spark_sec": round(t1 - t0, 3)}
+    if not types_ok:
+        info["spark_types"] = spark_types(df)
+        info["oracle_types"] = d_types
     if not ok:
         info["spark_cols"] = sc
         info["oracle_cols"] = dc
