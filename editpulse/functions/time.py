@@ -44,16 +44,12 @@ def ntz_literal(value) -> Column:
 def utc_wallclock(col: Column | str) -> Column:
     """TIMESTAMP_NTZ with the UTC wall clock of an instant column.
 
-    Pure arithmetic on epoch microseconds (whole days plus the exact
-    remainder), so it does not depend on the session time zone, unlike
+    The instant's epoch microseconds added to the NTZ epoch: pure
+    arithmetic, so it does not depend on the session time zone, unlike
     ``cast(... as timestamp_ntz)``.
     """
     c = F.col(col) if isinstance(col, str) else col
-    micros = F.unix_micros(c)
-    day_us = F.lit(86_400_000_000)
-    days = F.floor(micros / day_us).cast("int")
-    rest = (micros - days.cast("bigint") * day_us).cast("decimal(20,0)") / F.lit(1_000_000)
-    return _epoch_ntz() + F.make_dt_interval(days=days, secs=rest.cast("decimal(18,6)"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch_ntz())
 
 
 def minutes_before(as_of, minutes: int) -> int:
