@@ -304,3 +304,28 @@ def test_late_chunk_is_dropped_by_the_watermark(spark):
     stored = {r[0] for r in read_versioned(spark, table).select("window_start").distinct().collect()}
     assert late_hours - other_hours
     assert not (stored & (late_hours - other_hours))
+
+
+def test_registry_compaction_folds_closed_days(spark):
+    """The compacted-stream query's table: closed days live only in
+    ``compacted/``, open days still in ``versions/``, and the read equals
+    the batch counts."""
+    import datetime as dt
+
+    from editpulse.maintenance import closed_through
+    from editpulse.maintenance import run as run_maintenance
+    from editpulse.plans import registry
+    from editpulse.sinks.versioned import COMPACTED, VERSIONS, day_of, glob_paths
+
+    sf = "/root/testdata/sf0.001"
+    table = registry.run_stream(spark, sf, "update")
+    through = closed_through(registry.AS_OF)
+    run_maintenance(spark, table, compact_through=through, as_of=registry.AS_OF)
+    version_days = {day_of(p) for p in glob_paths(spark, f"{table}/{VERSIONS}/batch_id=*/window_date=*")}
+    compacted_days = {day_of(p) for p in glob_paths(spark, f"{table}/{COMPACTED}/window_date=*")}
+    assert compacted_days and max(compacted_days) <= through
+    assert version_days and min(version_days) > through
+    assert through == dt.date(2024, 1, 29)
+    got = read_versioned(spark, table).select("window_start", "user_name", "edit_count")
+    want = registry.counts(spark, sf).select("window_start", "user_name", "edit_count")
+    assert rows(got) == rows(want)
