@@ -92,3 +92,26 @@ def test_hot_user_top_users_and_top_pages(spark):
     ranked.collect()
     windows = pages.select("window_start").distinct().count()
     assert 0 < shuffle_records(ranked)[0] <= windows * 5 * 8
+
+
+def test_hot_user_through_the_streaming_job(spark, scratch):
+    """The update-mode job over the skewed edits: exact counts, and the hot
+    key is one state row (the plan counts partially before the state
+    shuffle; see PLANS.md)."""
+    from editpulse.config import JobOptions
+    from editpulse.functions.parse import to_wire_json
+    from editpulse.sources.counts import read_versioned
+    from editpulse.streaming.job import read_lines_stream, run_to_end, start_counts_job
+
+    edits = skewed(spark).withColumn("timestamp", F.unix_timestamp("event_time"))
+    to_wire_json(edits).write.text(f"{scratch}/landing/c0")
+    opts = JobOptions(window=WindowSpec("1 hour"), trigger=None, namespaces=None, idle_batches=False)
+    q = run_to_end(start_counts_job(read_lines_stream(spark, f"{scratch}/landing/*"), opts,
+                                    f"{scratch}/table", f"{scratch}/ck"))
+    expected = count_table(edits, "user_edit_counts", WindowSpec("1 hour"))
+    n_keys = expected.count()
+    state = [op for p in q.recentProgress for op in p.get("stateOperators", [])]
+    assert sum(op["numRowsUpdated"] for op in state) == n_keys
+    got = read_versioned(spark, f"{scratch}/table").select("window_start", "user_name", "edit_count")
+    assert sorted(map(tuple, got.collect())) == sorted(
+        map(tuple, expected.select("window_start", "user_name", "edit_count").collect()))
