@@ -316,6 +316,12 @@ def _queries() -> dict[str, Query]:
     q["stored_user_edit_counts"] = lambda s, d: wallclock(
         stored_counts(s, d).select("window_start", "window_end", "user_name", "edit_count")
     )
+    q["stored_statistics"] = lambda s, d: dash.statistics(
+        stored_counts(s, d, minutes_before(AS_OF, 60)), AS_OF
+    )
+    q["stored_edit_timeline"] = lambda s, d: wallclock(dash.edit_timeline(
+        stored_counts(s, d, minutes_before(AS_OF, RANGE_MINUTES)), AS_OF, RANGE_MINUTES
+    ))
     q["stored_retention"] = lambda s, d: wallclock(retained_stored_counts(s, d))
     q["export_csv"] = exported_recent_counts
     q["stored_top_users"] = lambda s, d: dash.top_users(
@@ -566,6 +572,8 @@ def _oracle() -> dict[str, str]:
         f"WHERE page_rank <= {TOP_PAGES_K}"
     )
     o["stream_top_pages"] = o["top_pages"]
+    o["stored_statistics"] = o["statistics"]
+    o["stored_edit_timeline"] = o["edit_timeline"]
     o["retention_keep"] = WU + (
         "SELECT window_start, window_end, user_name, edit_count FROM uec "
         f"WHERE window_start >= {_sql_ts(AS_OF)} - INTERVAL '{RETENTION_DAYS} days'"
