@@ -1,9 +1,9 @@
 """Shared helpers of the training-data operators.
 
 Row identity: operators that compare documents identify a row by
-``(id, h)``: ``id`` is ``doc_id`` (a null id counts as the largest value, so
-such rows come after all others), ``h`` is ``xxhash64`` of the text (a null
-text is empty).  Rows that share a ``doc_id`` with different texts are
+``(id, h)``: ``id`` is ``doc_id`` (rows with a null one get ids from the top
+of the range by their text, so they come after all others), ``h`` is
+``xxhash64`` of the text (a null text is empty).  Rows that share a ``doc_id`` with different texts are
 ordered by ``h``; rows equal in both are one document that is returned as
 often as it was given.
 """
@@ -38,9 +38,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def keyed(docs: DataFrame) -> DataFrame:
     """``(doc_id, id, h, text)`` of the documents; other columns are left out."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    doc_id = F.col("doc_id").cast("bigint")
-    return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(MAX_ID)).alias("id"),
-                       F.xxhash64(text).alias("h"), text.alias("text"))
+    doc_id, h = F.col("doc_id").cast("bigint"), F.xxhash64(text)
+    return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(MAX_ID) - h.bitwiseAND(F.lit((1 << 42) - 1))).alias("id"),
+                       h.alias("h"), text.alias("text"))
 
 
 def partitions(spark: SparkSession) -> int:

@@ -3,14 +3,34 @@ those that SQL can express."""
 
 from __future__ import annotations
 
-from editpulse.llm import superkmer
+from editpulse.llm import suffixindex, superkmer
 
 QUERIES = {
+    "op2_suffix_array_dedup": suffixindex.op2_suffix_array_dedup,
     "op8_substring_dedup": superkmer.op8_substring_dedup,
 }
 
 ORACLE = {}
 
+# Bytes as hexadecimal digits, two a byte.
+ORACLE["op2_suffix_array_dedup"] = """
+WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
+win AS (SELECT doc_id, i, md5(substr(x, 2 * i + 1, 200)) AS s
+        FROM (SELECT doc_id, x, unnest(range(0, CAST(len(x) / 2 AS BIGINT) - 99)) AS i FROM d WHERE len(x) >= 200)),
+low AS (SELECT s, min(struct_pack(doc_id := doc_id, i := i)) AS m FROM win GROUP BY s HAVING count(*) > 1),
+hit AS (SELECT doc_id, i FROM win JOIN low USING (s) WHERE doc_id <> m.doc_id OR i <> m.i),
+edge AS (SELECT doc_id, i, coalesce(i > lag(i) OVER w + 100, true) AS fresh FROM hit WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+span AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b
+         FROM (SELECT *, sum(CAST(fresh AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM edge) GROUP BY doc_id, k),
+piece AS (SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS frm, a AS upto FROM span
+          UNION ALL SELECT doc_id, 9000000000000000000, max(b), 1000000000 FROM span GROUP BY doc_id),
+kept AS (SELECT p.doc_id, string_agg(substr(x, 2 * frm + 1, 2 * (upto - frm)), '' ORDER BY a) AS k FROM piece p JOIN d USING (doc_id) GROUP BY p.doc_id),
+n AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM span GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(x) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept.k, x))) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLE["op8_substring_dedup"] = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 win AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s

@@ -34,12 +34,12 @@ def _scan(window: int, k: int, n_buckets: int):
     def scan(batches):
         for batch in batches:
             data, offsets = C.buffers(batch["text"])
-            ids, h = batch["id"].to_numpy(), batch["h"].to_numpy()
+            ids = batch["id"].to_numpy()
             parts = []
             for i, j in C.slices(offsets):
                 own = offsets[i:j + 1]
                 text, start, size, key = W.word_runs(data[own[0]:own[-1]], own - own[0], window, k)
-                parts.append((ids[i + text], h[i + text], start.astype(np.int32), size.astype(np.int16), key))
+                parts.append((ids[i + text], start.astype(np.int32), size.astype(np.int16), key))
             if parts:
                 parts = [np.concatenate(x) for x in zip(*parts)]
                 rows = list(C.dealt(parts[-1] % C.U(n_buckets), n_buckets, *parts))
@@ -51,11 +51,11 @@ def _scan(window: int, k: int, n_buckets: int):
 
 def _shared(hot_runs: int):
     """Runs whose key occurs in documents of different ids."""
-    schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("key", pa.int64()), ("hot", pa.bool_())])
+    schema = pa.schema([("id", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("key", pa.int64()), ("hot", pa.bool_())])
 
     def shared(batches):
         for _, rows in C.by_key(batches):
-            ids, h, start, n, key = C.joined(rows)
+            ids, start, n, key = C.joined(rows)
             order = np.argsort(key, kind="stable")
             first = np.flatnonzero(np.append(True, key[order[1:]] != key[order[:-1]]))
             count = np.diff(np.append(first, len(order)))
@@ -65,16 +65,16 @@ def _shared(hot_runs: int):
             hot = np.repeat(count >= hot_runs, count)[np.repeat(spread, count)]
             for i in range(0, len(keep), 100_000):
                 at = keep[i:i + 100_000]
-                yield C.table(schema, ids[at], h[at], start[at], n[at].astype(np.int32), key[at].view(np.int64), hot[i:i + 100_000])
+                yield C.table(schema, ids[at], start[at], n[at].astype(np.int32), key[at].view(np.int64), hot[i:i + 100_000])
 
     return shared
 
 
 def shared_spans(docs: DataFrame, window: int = WINDOW_WORDS, k: int = GRAM_WORDS, hot_runs: int = W.HOT_RUNS) -> DataFrame:
-    """``(id, h, spans)``: ranges of words covered by a window that also starts
+    """``docs`` with ``spans``: ranges of words covered by a window that also starts
     in a document with a smaller id; ``docs`` from ``common.keyed``."""
     n = C.partitions(docs.sparkSession)
-    places = docs.select("id", "h", "text").mapInArrow(_scan(window, k, n), "bucket int, blob binary")
+    places = docs.select("id", "text").mapInArrow(_scan(window, k, n), "bucket int, blob binary")
     seeds = places.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_shared(hot_runs), W.SEED)
     return W.repeats(docs, seeds, window, of_words=True)
 
@@ -103,10 +103,7 @@ def dedup_windows(docs: DataFrame, window: int = WINDOW_WORDS, k: int = GRAM_WOR
     """Per document ``doc_id, n_words, n_removed, kept_sha256`` and, with
     ``with_text``, ``kept``: its words, joined by one space, without those
     covered by a repeated window."""
-    rows = C.keyed(docs)
-    found = shared_spans(rows, window, k, hot_runs)
-    both = rows.join(found, ["id", "h"], "left").select("doc_id", "text", "spans")
-    return both.mapInArrow(_kept(with_text), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept string" * with_text)
+    return shared_spans(C.keyed(docs), window, k, hot_runs).mapInArrow(_kept(with_text), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept string" * with_text)
 
 
 def op8_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -62,11 +62,11 @@ def gram_hashes_of_bytes(words: np.ndarray, n: int) -> np.ndarray:
     return C.mixed(words[:n] * C.MIX1 ^ C.mixed(words[8:n + 8] + C.MIX2))
 
 
-SEED = "id bigint, h bigint, start int, n int, key bigint, hot boolean"
+SEED = "id bigint, start int, n int, key bigint, hot boolean"
 
 
 def repeats(docs: DataFrame, seeds: DataFrame, window: int, of_words: bool) -> DataFrame:
-    """``(id, h, spans)``: token ranges ``(a, b)`` covered by a repeated window.
+    """``docs`` with ``spans``: token ranges ``(a, b)`` covered by a repeated window.
 
     ``docs`` from ``common.keyed``; ``seeds`` has the ``SEED`` columns, a row
     for each run that may hold a repeat.  With bytes, a window repeats if it
@@ -74,12 +74,14 @@ def repeats(docs: DataFrame, seeds: DataFrame, window: int, of_words: bool) -> D
     words, if it also starts in a document of smaller ``id``.
     """
     n = C.partitions(docs.sparkSession)
-    wanted = seeds.groupBy("id", "h").agg(F.collect_set(F.struct("start", "n", "key", "hot")).alias("runs"))
-    strings = docs.select("id", "h", "text").join(wanted, ["id", "h"]).mapInArrow(
+    wanted = seeds.groupBy("id").agg(F.collect_set(F.struct("start", "n", "key", "hot")).alias("runs"))
+    strings = docs.join(wanted, "id").mapInArrow(
         _cutter(window, of_words), "key bigint, id bigint, h bigint, start int, s binary")
     found = strings.repartition(n, "key").sortWithinPartitions("key").mapInArrow(
         _matcher(window, of_words), "id bigint, h bigint, a int, b int")
-    return found.groupBy("id", "h").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    found = found.groupBy("id").agg(F.collect_list(F.struct("h", "a", "b")).alias("spans"))
+    # Both joins deal the texts out by id, so they travel once.
+    return docs.join(found, "id", "left").withColumn("spans", F.filter("spans", lambda s: s["h"] == F.col("h")))
 
 
 def _cutter(window: int, of_words: bool):
@@ -97,6 +99,8 @@ def _cutter(window: int, of_words: bool):
                     pieces = [(r["start"], r["n"])] if not r["hot"] else [(r["start"] + j, 1) for j in range(r["n"])]
                     for start, size in pieces:
                         s = tokens[start:start + size + window - 1]
+                        if len(s) < size + window - 1:  # a run of another text with this id
+                            continue
                         s = b" ".join(s) + b" " if of_words else s
                         key = r["key"] if not r["hot"] else xxhash.xxh64_intdigest(s) - (1 << 63)
                         out.append((key, batch["id"][i].as_py(), batch["h"][i].as_py(), start, s))

@@ -75,6 +75,6 @@ def bytes_removed(rows, window=100):
         for a in range(len(b) - window + 1):
             if first[b[a:a + window]] != (i, a):
                 gone[a:a + window] = b"\1" * window
-        spans = len(re.findall(rb"\1+", bytes(gone)))
+        spans = len(re.findall(b"\x01+", bytes(gone)))
         out[i] = (len(b), sum(gone), spans, sha(bytes(x for x, g in zip(b, gone) if not g)))
     return out

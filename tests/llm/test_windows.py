@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from editpulse.llm import common
+from editpulse.llm.suffixindex import SuffixArrayFamily, dedup_substrings
 from editpulse.llm.superkmer import dedup_windows
 
 
@@ -39,3 +40,28 @@ def test_superkmer_null_ids_repeated_rows_and_empty_table(docs_of):
     got = sorted(((r.doc_id, r.n_removed) for r in dedup_windows(docs_of([(None, t), (5, t), (5, t), (1, "x"), (None, None)])).collect()), key=str)
     assert got == [(1, 0), (5, 0), (5, 0), (None, 0), (None, 80)]
     assert dedup_windows(docs_of([(1, "a")]).where("false")).count() == 0
+
+
+@pytest.mark.parametrize("batches", [1, 3, 4])
+@pytest.mark.parametrize("hot", [20_000, 3])
+def test_suffix_arrays_equal_brute_force(docs_of, batches, hot):
+    rows = brute.corpus(5 + batches)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+           for r in dedup_substrings(docs_of(rows), n_batches=batches, hot_runs=hot).collect()}
+    want = brute.bytes_removed(rows)
+    assert got == want and sum(w[1] for w in want.values()) > 5000
+
+
+def test_levels_merge_geometrically(spark, docs_of):
+    index, sizes = SuffixArrayFamily(spark, n_buckets=2), []
+    for i in range(7):
+        index.add(common.keyed(docs_of([(i, "".join(chr(97 + (i * j * j + j) % 23) for j in range(300)))])))
+        sizes.append(sorted(index.levels))
+    assert sizes == [[0], [1], [0, 1], [2], [0, 2], [1, 2], [0, 1, 2]]
+
+
+def test_suffix_arrays_null_ids_repeated_rows_and_empty_table(docs_of):
+    t = "".join(chr(97 + (j * j + j // 7) % 26) for j in range(150))
+    got = sorted(((r.doc_id, r.n_removed) for r in dedup_substrings(docs_of([(None, t), (5, t), (5, t), (1, "x"), (None, None)])).collect()), key=str)
+    assert got == [(1, 0), (5, 0), (5, 0), (None, 0), (None, 150)]
+    assert dedup_substrings(docs_of([(1, "a")]).where("false")).count() == 0
