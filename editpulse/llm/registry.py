@@ -3,10 +3,12 @@ those that SQL can express."""
 
 from __future__ import annotations
 
-from editpulse.llm import suffixindex, superkmer
+from editpulse.llm import bpe, packing, suffixindex, superkmer
 
 QUERIES = {
     "op2_suffix_array_dedup": suffixindex.op2_suffix_array_dedup,
+    "op5_bpe": bpe.op5_bpe,
+    "op7_packing": packing.op7_packing,
     "op8_substring_dedup": superkmer.op8_substring_dedup,
 }
 
