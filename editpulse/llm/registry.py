@@ -3,11 +3,12 @@ those that SQL can express."""
 
 from __future__ import annotations
 
-from editpulse.llm import bpe, packing, suffixindex, superkmer
+from editpulse.llm import bpe, jaccard, packing, suffixindex, superkmer
 
 QUERIES = {
     "op2_suffix_array_dedup": suffixindex.op2_suffix_array_dedup,
     "op5_bpe": bpe.op5_bpe,
+    "op6_jaccard_join": jaccard.op6_jaccard_join,
     "op7_packing": packing.op7_packing,
     "op8_substring_dedup": superkmer.op8_substring_dedup,
 }
@@ -50,6 +51,25 @@ FROM d LEFT JOIN g ON g.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_
 """
 
 
+# Candidate pairs share a prefix shingle in the order of document frequencies;
+# every pair of distinct sets so found is compared whole.
+ORACLE["op6_jaccard_join"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x FROM d),
+t AS (SELECT doc_id, len(x) AS n, unnest(x) AS g FROM s),
+f AS (SELECT g, count(*) AS df FROM t GROUP BY g HAVING count(*) > 1),
+r AS (SELECT doc_id, n, t.g, row_number() OVER (PARTITION BY doc_id ORDER BY coalesce(df, 1), t.g) AS pos FROM t LEFT JOIN f USING (g)),
+p AS (SELECT * FROM r JOIN f USING (g) WHERE pos <= n - (80 * n + 99) // 100 + 1),
+c AS (SELECT DISTINCT a.doc_id AS u, b.doc_id AS v, a.n AS m, b.n AS n FROM p a JOIN p b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n),
+o AS (SELECT u, v, any_value(c.m) AS m, any_value(c.n) AS n, count(*) AS k FROM c JOIN r a ON a.doc_id = u JOIN r b ON b.doc_id = v AND b.g = a.g GROUP BY u, v),
+e AS (SELECT u, v FROM o WHERE 100 * k >= 80 * (m + n - k) UNION ALL SELECT v, u FROM o WHERE 100 * k >= 80 * (m + n - k)),
+walk(doc_id, root) AS (SELECT doc_id, doc_id FROM d UNION SELECT e.v, root FROM walk JOIN e ON e.u = walk.doc_id),
+low AS (SELECT doc_id, min(root) AS component_id FROM walk GROUP BY doc_id)
+SELECT doc_id, CAST(len(x) AS BIGINT) AS n_shingles, component_id FROM s JOIN low USING (doc_id)
+"""
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
