@@ -3,18 +3,69 @@ those that SQL can express."""
 
 from __future__ import annotations
 
-from editpulse.llm import bpe, jaccard, packing, suffixindex, superkmer
+from editpulse.llm import bitslice, bpe, fingerprint, jaccard, packing, suffixindex, superkmer, toxicity, urlfilter, warc
 
 QUERIES = {
+    "op1_warc_derivatives": warc.op1_warc_derivatives,
     "op2_suffix_array_dedup": suffixindex.op2_suffix_array_dedup,
+    "op3_exact_top_k": bitslice.op3_exact_top_k,
+    "op4_url_filter": urlfilter.op4_url_filter,
     "op5_bpe": bpe.op5_bpe,
     "op6_jaccard_join": jaccard.op6_jaccard_join,
     "op7_packing": packing.op7_packing,
     "op8_substring_dedup": superkmer.op8_substring_dedup,
+    "op9_fingerprints": fingerprint.op9_fingerprints,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE = {}
 
+_UUID = "concat('<urn:uuid:', substr({0}, 1, 8), '-', substr({0}, 9, 4), '-', substr({0}, 13, 4), '-', substr({0}, 17, 4), '-', substr({0}, 21), '>')"
+_TIDY = r"""trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'),
+ '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '[ \t\r\f\v\x{{00a0}}]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10))"""
+_SILENT = "page0"
+for _t in ("script", "style", "noscript", "template"):
+    _SILENT = rf"regexp_replace({_SILENT}, '(?is)<{_t}\b.*?(?:</{_t}\s*>|\z)', ' ', 'g')"
+
+# The entities are those that the pages hold.
+ORACLE["op1_warc_derivatives"] = rf"""
+WITH r AS (SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS page,
+  'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) AS head FROM pages),
+s AS (SELECT *, md5('response|' || coalesce(CAST(page_id AS VARCHAR), '') || '|' || target_uri || '|' || page) AS k,
+  'sha256:' || sha256(page) AS payload_digest, 'sha256:' || sha256(head || chr(13) || chr(10) || chr(13) || chr(10) || page) AS source_digest,
+  regexp_replace(page, '(?s)<!--.*?(?:-->|\z)', ' ', 'g') AS page0 FROM r),
+t AS (SELECT *, {_UUID.format("k")} AS refers_to FROM s),
+u AS (SELECT *, md5('conversion|' || refers_to) AS ck, md5('metadata|' || refers_to) AS mk,
+  {_TIDY.format(rf"regexp_replace(regexp_replace({_SILENT}, '(?i)</?(?:p|div|br|li|ul|ol|dl|dt|dd|h[1-6]|tr|table|article|section|header|footer|nav|title|blockquote|pre|form|hr|main|aside)[^>]*(?:>|\z)', chr(10), 'g'), '<[a-zA-Z/!?][^>]*(?:>|\z)', '', 'g')")} AS body,
+  replace({_TIDY.format(r"regexp_replace(regexp_extract(page, '(?is)<title[^>]*>(.*?)</title\s*>', 1), '<[a-zA-Z/!?][^>]*(?:>|\z)', '', 'g')")}, chr(10), ' ') AS title,
+  len(regexp_extract_all(page, '(?i)<a[^>]*href\s*=')) AS links FROM t),
+v AS (SELECT page_id, 'conversion' AS warc_type, {_UUID.format("ck")} AS record_id, refers_to, target_uri, payload_digest, 'text/plain; charset=utf-8' AS content_type, body AS block FROM u
+  UNION ALL SELECT page_id, 'metadata', {_UUID.format("mk")}, refers_to, target_uri, payload_digest, 'application/warc-fields',
+  'conversion: ' || {_UUID.format("ck")} || chr(13) || chr(10) || 'source-block-digest: ' || source_digest || chr(13) || chr(10) || 'source-payload-digest: ' || payload_digest || chr(13) || chr(10)
+  || 'http-status: ' || replace(head, chr(13) || chr(10), chr(13) || chr(10) || 'http-header: ') || chr(13) || chr(10) || 'title: ' || title || chr(13) || chr(10) || 'links: ' || links || chr(13) || chr(10) FROM u)
+SELECT page_id, warc_type, record_id, refers_to, target_uri, '2024-01-01T00:00:00Z' AS date, content_type, CAST(strlen(block) AS BIGINT) AS content_length,
+  'sha256:' || sha256(block) AS block_digest, payload_digest AS source_payload_digest, true AS digest_ok, block FROM v
+"""
+
+ORACLE["op3_exact_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+ORACLE["op4_url_filter"] = r"""
+WITH p AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+q AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+rules(h, s, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+f AS (SELECT page_id, host, path, max_by(h || s, len(h || s)) AS rule, max_by(v, len(h || s)) AS verdict
+  FROM q LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, s) GROUP BY page_id, host, path)
+SELECT q.page_id, q.host, q.path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM q JOIN f USING (page_id, host, path)
+"""
+
 # Bytes as hexadecimal digits, two a byte.
 ORACLE["op2_suffix_array_dedup"] = """
 WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
