@@ -78,22 +78,21 @@ def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int = CAPACITY, gap
     if not m:
         return []
     cost = np.array([padded(c, capacity) for c in range(capacity + 1)], float)
-    columns, x = _start(lengths, counts, cost)
-    matrix = np.zeros((m, m))
-    for k, pattern in enumerate(columns):
-        for i, a in pattern.items():
-            matrix[i, k] = a
-    inverse = np.linalg.inv(matrix)
+    columns, x = [{}] * m, np.zeros(m)
+    inverse = np.eye(m)
+    for ends, pattern, times in _start(lengths, counts, cost):
+        columns[ends], x[ends] = pattern, times
+        _pivot(inverse, ends, pattern)
     basic = np.array([cost[int(sum(lengths[i] * a for i, a in p.items()))] for p in columns])
     bound = float((lengths * counts).sum())  # no sequence costs less than its tokens
     for _ in range(MAX_COLUMNS):
-        if basic @ x <= bound * (1 + gap):
+        if (basic * x).sum() <= bound * (1 + gap):
             break
-        duals = basic @ inverse
+        duals = (basic[:, None] * inverse).sum(axis=0)
         gain, pattern = price(duals, lengths, cost)
         if gain <= 1e-7:
             break
-        column = sum(inverse[:, i] * k for i, k in pattern.items())
+        column = _column(inverse, pattern)
         ratio = np.full(m, np.inf)
         up = column > 1e-9
         ratio[up] = x[up] / column[up]
@@ -102,9 +101,7 @@ def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int = CAPACITY, gap
         x -= step * column
         x[out] = step
         np.maximum(x, 0, out=x)
-        row = inverse[out] / column[out]
-        inverse -= np.outer(column, row)
-        inverse[out] = row
+        _pivot(inverse, out, pattern)
         columns[out], basic[out] = pattern, cost[int(sum(lengths[i] * k for i, k in pattern.items()))]
     left, used = counts.astype(np.int64).copy(), []
     rounds = [(int(x[k] + 1e-6), k) for k in range(m)] + [(1, k) for k in np.argsort(-(x % 1), kind="stable")]
@@ -121,12 +118,24 @@ def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int = CAPACITY, gap
     return [({int(lengths[i]): a for i, a in p.items()}, t) for p, t in used]
 
 
-def _start(lengths: np.ndarray, counts: np.ndarray, cost: np.ndarray) -> tuple[list[dict[int, int]], np.ndarray]:
+def _column(inverse: np.ndarray, pattern: dict[int, int]) -> np.ndarray:
+    return sum(inverse[:, i] * k for i, k in pattern.items())
+
+
+def _pivot(inverse: np.ndarray, out: int, pattern: dict[int, int]) -> None:
+    """Put ``pattern`` into the basis in place of column ``out``."""
+    column = _column(inverse, pattern)
+    row = inverse[out] / column[out]
+    inverse -= column[:, None] * row
+    inverse[out] = row
+
+
+def _start(lengths: np.ndarray, counts: np.ndarray, cost: np.ndarray):
     """A basic solution to start from: the knapsack priced by length, with a
     premium on long pieces, and its pattern used until a length runs out.
     Each pattern ends one length and later ones lack it, so the columns are
-    independent."""
-    left, columns, x = counts.astype(float), [], []
+    independent.  Yields the length that ends, the pattern and its use."""
+    left = counts.astype(float)
     value = lengths + 1e-3 * lengths.astype(float) ** 2 / (len(cost) - 1)
     open_ = np.ones(len(lengths), bool)
     while open_.any():
@@ -142,9 +151,7 @@ def _start(lengths: np.ndarray, counts: np.ndarray, cost: np.ndarray) -> tuple[l
         for i, a in pattern.items():
             left[i] = max(0.0, left[i] - a * times)
         left[ends], open_[ends] = 0.0, False
-        columns.append(pattern)
-        x.append(times)
-    return columns, np.array(x)
+        yield ends, pattern, times
 
 
 def _first_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[dict[int, int]]:

@@ -190,8 +190,9 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
     a = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(a.shape[1])
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w)) * len(y) ** 0.5, a.T @ (y - p) - ridge * len(y) ** 0.5 * w)
+        p = 1 / (1 + np.exp(-np.clip((a * w).sum(axis=1), -30, 30)))
+        hessian = np.einsum("ni,nj,n->ij", a, a, p * (1 - p)) + ridge * np.eye(len(w)) * len(y) ** 0.5
+        step = np.linalg.solve(hessian, (a * (y - p)[:, None]).sum(axis=0) - ridge * len(y) ** 0.5 * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
