@@ -35,12 +35,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``(doc_id, id, h, text)`` of the documents; other columns are left out."""
+def keyed(docs: DataFrame, rest: bool = False) -> DataFrame:
+    """``(doc_id, id, h, text)`` of the documents; other columns are left out or,
+    with ``rest``, kept together with ``doc_id`` in a struct of that name."""
     text = F.coalesce(F.col("text"), F.lit(""))
     doc_id, h = F.col("doc_id").cast("bigint"), F.xxhash64(text)
     return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(MAX_ID) - h.bitwiseAND(F.lit((1 << 42) - 1))).alias("id"),
-                       h.alias("h"), text.alias("text"))
+                       h.alias("h"), text.alias("text"),
+                       *([F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest")] if rest else []))
 
 
 def partitions(spark: SparkSession) -> int:

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from editpulse.llm import common as C
 from editpulse.llm import windows as W
@@ -35,7 +36,7 @@ from editpulse.session import scratch_dir
 from editpulse.sinks.versioned import delete_path
 
 WINDOW_BYTES = 100
-GRAM_BYTES = 16
+GRAM_BYTES = 24
 #: Batches that a whole table is added in.
 BATCHES = 3
 
@@ -63,7 +64,8 @@ def _scan(window: int, n_buckets: int):
                     end = at + size - 1
                     last = end + window - GRAM_BYTES - (around[end] == key[:, None])[:, ::-1].argmax(axis=1)
                     size = np.where(last > anchor, -size, size)
-                    parts.append((own[anchor].byteswap(), own[anchor + 8].byteswap(), ids[i + text],
+                    tail = (C.mixed(own[anchor + 16]) >> C.U(32)).astype(np.uint32)
+                    parts.append((own[anchor].byteswap(), own[anchor + 8].byteswap(), tail, ids[i + text],
                                   (at - first[text]).astype(np.int32), size.astype(np.int16), key))
             if parts:
                 *entry, key = (np.concatenate(x) for x in zip(*parts))
@@ -73,23 +75,23 @@ def _scan(window: int, n_buckets: int):
 
 
 def _in_order(rows: list[dict]) -> list[np.ndarray]:
-    """Suffixes of several arrays in one order: first bytes, then id and place."""
+    """Suffixes of several arrays in one order: 16 bytes, a hash of the next 8, id, place."""
     arrays = C.joined(rows)
-    order = np.lexsort((arrays[3], arrays[2], arrays[1], arrays[0]))
+    order = np.lexsort(arrays[4::-1])
     return [a[order] for a in arrays]
 
 
-def _groups(high, low):
+def _groups(high, low, tail):
     """First index and size of each group of equal suffix starts."""
     new = np.ones(len(high), bool)
-    new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+    new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1]) | (tail[1:] != tail[:-1])
     first = np.flatnonzero(new)
     return first, np.diff(np.append(first, len(high)))
 
 
 def _seeds(arrays, keep):
-    high, low, ids, start, n = (a[keep] for a in arrays)
-    key = C.mixed(high.byteswap() * C.MIX1 ^ C.mixed(low.byteswap() + C.MIX2)).view(np.int64)
+    high, low, tail, ids, start, n = (a[keep] for a in arrays)
+    key = C.mixed(high * C.MIX1 ^ C.mixed(low + C.MIX2) ^ tail * C.MIX3).view(np.int64)
     for i in range(0, len(ids), 100_000):
         at = slice(i, i + 100_000)
         yield C.table(_SEED, ids[at], start[at], np.abs(n[at]).astype(np.int32), key[at])
@@ -106,8 +108,8 @@ def _scan_batch(batches):
     for batch in batches:
         for blob in batch["blob"]:
             arrays = C.unpack(blob.as_py())
-            _, count = _groups(*arrays[:2])
-            yield from _seeds(arrays, np.repeat(count > 1, count) | (arrays[4] < 0))
+            _, count = _groups(*arrays[:3])
+            yield from _seeds(arrays, np.repeat(count > 1, count) | (arrays[5] < 0))
 
 
 def _merge_scan(batches):
@@ -117,8 +119,8 @@ def _merge_scan(batches):
             new, old = C.unpack(new.as_py()), C.unpack(old.as_py())
             both = [np.concatenate(x) for x in zip(new, old)]
             source = np.repeat([1, 2], [len(new[0]), len(old[0])])
-            order = np.lexsort((both[1], both[0]))
-            first, count = _groups(both[0][order], both[1][order])
+            order = np.lexsort(both[2::-1])
+            first, count = _groups(*(b[order] for b in both[:3]))
             if len(first):
                 seen = np.bitwise_or.reduceat(source[order], first)
                 yield from _seeds(both, order[np.repeat(seen == 3, count)])
@@ -187,8 +189,8 @@ def batches_of(docs: DataFrame, n: int) -> list[DataFrame]:
             + [docs.where((doc_id > edges[-1]) | doc_id.isNull())])
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW_BYTES, n_batches: int = BATCHES, hot_runs: int = W.HOT_RUNS) -> DataFrame:
-    """``common.keyed`` rows with ``spans``: byte ranges covered by a string of
+def repeated_spans(docs: DataFrame, window: int = WINDOW_BYTES, n_batches: int = BATCHES, hot_runs: int = W.HOT_RUNS, rest: bool = False) -> DataFrame:
+    """``common.keyed`` rows (``rest`` as there) with ``spans``: byte ranges covered by a string of
     ``window`` bytes that also starts earlier."""
     index, seeds = SuffixArrayFamily(docs.sparkSession, window), None
     for batch in batches_of(docs, n_batches):
@@ -196,7 +198,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW_BYTES, n_batches: int =
         seeds = found if seeds is None else seeds.unionByName(found)
     hot = seeds.groupBy("key").count().where(F.col("count") >= hot_runs).select("key", F.lit(True).alias("is_hot"))
     seeds = seeds.join(hot, "key", "left").withColumn("hot", F.coalesce("is_hot", F.lit(False)))
-    return W.repeats(C.keyed(docs), seeds, window, of_words=False)
+    return W.repeats(C.keyed(docs, rest), seeds, window, of_words=False)
 
 
 def _kept(with_text: bool):
@@ -224,5 +226,24 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW_BYTES, n_batches: int
     return repeated_spans(docs, window, n_batches, hot_runs).mapInArrow(_kept(with_text), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept string" * with_text)
 
 
+def without_repeats(docs: DataFrame, window: int = WINDOW_BYTES, n_batches: int = BATCHES) -> DataFrame:
+    """The documents, with all their columns, without the bytes that repeat;
+    ``n_chars``, if there, follows the text."""
+    rows = repeated_spans(docs, window, n_batches, rest=True)
+    kind = rows.select("rest").schema["rest"].dataType
+
+    def cut(batches):
+        for batch in batches:
+            texts = []
+            for text, spans in zip(batch["text"].cast(pa.binary()).to_pylist(), batch["spans"].to_pylist()):
+                edges = [0, *(x for span in W.merged((s["a"], s["b"]) for s in spans or ()) for x in span), len(text)]
+                texts.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])).decode(errors="ignore"))
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch["rest"]], names=["text", "rest"])
+
+    cut_rows = rows.select("text", "spans", "rest").mapInArrow(cut, T.StructType([T.StructField("text", T.StringType()), T.StructField("rest", kind)]))
+    own = {"text": F.col("text"), "n_chars": F.char_length("text").cast("bigint").alias("n_chars")}
+    return cut_rows.select(*[own.get(c, F.col(f"rest.`{c}`")) for c in docs.columns])
+
+
 def op2_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
     return dedup_substrings(C.read(spark, sf_dir, "documents"), with_text=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

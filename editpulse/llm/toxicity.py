@@ -255,6 +255,21 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPL
     return scored.select("doc_id", "id", "h", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """The rows, with all their columns, that score under ``threshold``."""
+    terms, weights = train(docs, labels, sample_docs)
+
+    def clean(batches):
+        lexicon, known, w = Lexicon(terms), {}, np.array(weights)
+        for batch in batches:
+            if len(w) and len(batch):
+                score = 1 / (1 + np.exp(-np.clip(features(batch, lexicon, known) @ w[:-1] + w[-1], -700, 700)))
+                batch = batch.filter(pa.array(score < threshold))
+            yield batch
+
+    return docs.mapInArrow(clean, docs.schema)
+
+
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
     found = score_documents(C.read(spark, sf_dir, "documents"), C.read(spark, sf_dir, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted")

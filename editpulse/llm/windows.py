@@ -58,8 +58,8 @@ def word_runs(data: np.ndarray, offsets: np.ndarray, window: int, k: int):
 
 
 def gram_hashes_of_bytes(words: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the 16 bytes from each position on; ``words`` from ``overlapping_words``."""
-    return C.mixed(words[:n] * C.MIX1 ^ C.mixed(words[8:n + 8] + C.MIX2))
+    """Hash of the 24 bytes from each position on; ``words`` from ``overlapping_words``."""
+    return C.mixed(words[:n] * C.MIX1 ^ C.mixed(words[8:n + 8] + C.MIX2) ^ words[16:n + 16] * C.MIX3)
 
 
 SEED = "id bigint, start int, n int, key bigint, hot boolean"
