@@ -3,6 +3,7 @@ those that SQL can express."""
 
 from __future__ import annotations
 
+import corpus_pipeline
 from editpulse.llm import bitslice, bpe, fingerprint, jaccard, packing, suffixindex, superkmer, toxicity, urlfilter, warc
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op8_substring_dedup": superkmer.op8_substring_dedup,
     "op9_fingerprints": fingerprint.op9_fingerprints,
     "op10_toxicity": toxicity.op10_toxicity,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {}
@@ -36,9 +38,9 @@ s AS (SELECT *, md5('response|' || coalesce(CAST(page_id AS VARCHAR), '') || '|'
   regexp_replace(page, '(?s)<!--.*?(?:-->|\z)', ' ', 'g') AS page0 FROM r),
 t AS (SELECT *, {_UUID.format("k")} AS refers_to FROM s),
 u AS (SELECT *, md5('conversion|' || refers_to) AS ck, md5('metadata|' || refers_to) AS mk,
-  {_TIDY.format(rf"regexp_replace(regexp_replace({_SILENT}, '(?i)</?(?:p|div|br|li|ul|ol|dl|dt|dd|h[1-6]|tr|table|article|section|header|footer|nav|title|blockquote|pre|form|hr|main|aside)[^>]*(?:>|\z)', chr(10), 'g'), '<[a-zA-Z/!?][^>]*(?:>|\z)', '', 'g')")} AS body,
-  replace({_TIDY.format(r"regexp_replace(regexp_extract(page, '(?is)<title[^>]*>(.*?)</title\s*>', 1), '<[a-zA-Z/!?][^>]*(?:>|\z)', '', 'g')")}, chr(10), ' ') AS title,
-  len(regexp_extract_all(page, '(?i)<a[^>]*href\s*=')) AS links FROM t),
+  {_TIDY.format(rf"regexp_replace(regexp_replace({_SILENT}, '(?i)</?(?:p|div|br|li|ul|ol|dl|dt|dd|h[1-6]|tr|table|article|section|header|footer|nav|title|blockquote|pre|form|hr|main|aside)\b[^>]*(?:>|\z)', chr(10), 'g'), '<[a-zA-Z/!?][^>]*(?:>|\z)', '', 'g')")} AS body,
+  replace({_TIDY.format(r"regexp_replace(regexp_extract(page, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1), '<[a-zA-Z/!?][^>]*(?:>|\z)', '', 'g')")}, chr(10), ' ') AS title,
+  len(regexp_extract_all(page, '(?i)<a\b[^>]*\bhref\s*=')) AS links FROM t),
 v AS (SELECT page_id, 'conversion' AS warc_type, {_UUID.format("ck")} AS record_id, refers_to, target_uri, payload_digest, 'text/plain; charset=utf-8' AS content_type, body AS block FROM u
   UNION ALL SELECT page_id, 'metadata', {_UUID.format("mk")}, refers_to, target_uri, payload_digest, 'application/warc-fields',
   'conversion: ' || {_UUID.format("ck")} || chr(13) || chr(10) || 'source-block-digest: ' || source_digest || chr(13) || chr(10) || 'source-payload-digest: ' || payload_digest || chr(13) || chr(10)
