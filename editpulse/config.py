@@ -85,6 +85,10 @@ class JobOptions:
     # default).  In update mode they only evict state and emit nothing.
     idle_batches: bool = True
     state_partitions: int | None = None  # None => the session's shuffle partitions
+    state_store: str | None = None  # None => the session's provider; "rocksdb"
+    # Edits stamped further ahead of the clock are rejected before they can move
+    # the watermark.  None accepts any time.
+    max_future_skew: str | None = None
 
     def __post_init__(self):
         duration_seconds(self.watermark)
@@ -105,5 +109,9 @@ class JobOptions:
             # Append mode emits a window in the batch after the watermark
             # passes it; without idle batches the last windows never leave.
             raise ValueError("append mode needs idle batches")
+        if self.state_store not in (None, "rocksdb"):
+            raise ValueError("state_store must be None or 'rocksdb'")
+        if self.max_future_skew is not None:
+            duration_seconds(self.max_future_skew)
         if self.state_partitions is not None and self.state_partitions < 1:
             raise ValueError("state_partitions must be >= 1")

@@ -22,6 +22,9 @@ from editpulse.schema import (
 # Fixed value: prefix of an SSE payload line (with the space).
 SSE_DATA_PREFIX = "data: "
 
+# The seconds of the years 1 to 9999.
+FIRST_SECOND, LAST_SECOND = -62135596800, 253402300799
+
 WIRE_FIELDS = ["id", "title", "user", "type", "namespace", "timestamp"]
 
 
@@ -33,7 +36,7 @@ def sse_frames(lines: DataFrame, col: str = "value") -> DataFrame:
     """
     c = F.col(col)
     return lines.where(c.startswith(SSE_DATA_PREFIX)).select(
-        F.substring(c, len(SSE_DATA_PREFIX) + 1, 1 << 30).alias("value")
+        F.expr(f"substring(`{col}`, {len(SSE_DATA_PREFIX) + 1})").alias("value")
     )
 
 
@@ -65,9 +68,27 @@ def parse_edits(messages: DataFrame, col: str = "value", keep_raw: bool = False)
     return with_event_time(out)
 
 
+def _in_range() -> Column:
+    return F.col("timestamp").between(FIRST_SECOND, LAST_SECOND)
+
+
 def with_event_time(edits: DataFrame) -> DataFrame:
-    """Add ``event_time`` from Unix seconds (session-zone independent)."""
-    return edits.withColumn(EVENT_TIME, F.timestamp_seconds(F.col("timestamp")))
+    """Add ``event_time`` from Unix seconds (session-zone independent).
+
+    Seconds outside the years 1 to 9999 (an overflow, or another unit) give a
+    NULL time, which is rejected with a reason, instead of an error that would
+    stop the job."""
+    return edits.withColumn(EVENT_TIME, F.when(_in_range(), F.timestamp_seconds(F.col("timestamp"))))
+
+
+def without_future_time(edits: DataFrame, max_skew_seconds: int | None, now: Column | None = None) -> DataFrame:
+    """Take the ``event_time`` of edits more than ``max_skew_seconds`` ahead of
+    ``now`` (default: the current time), so that they are rejected with a reason
+    and cannot move the watermark past all other edits.  None keeps all."""
+    if max_skew_seconds is None:
+        return edits
+    latest = F.unix_seconds(now if now is not None else F.current_timestamp()) + F.lit(int(max_skew_seconds))
+    return edits.withColumn(EVENT_TIME, F.when(F.col("timestamp") <= latest, F.col(EVENT_TIME)))
 
 
 def is_json_object(col: str = "value") -> Column:
@@ -87,8 +108,12 @@ def reject_reason(table: str = "user_edit_counts") -> Column:
     """
     src, _, max_len = COUNT_TABLES[table]
     key = F.col(src)
-    reason = F.when(F.col(EVENT_TIME).isNull(), F.lit("null_timestamp")).when(
-        key.isNull(), F.lit(f"null_{src}")
+    no_time = F.col(EVENT_TIME).isNull()
+    reason = (
+        F.when(no_time & F.col("timestamp").isNull(), F.lit("null_timestamp"))
+        .when(no_time & ~_in_range(), F.lit("timestamp_out_of_range"))
+        .when(no_time, F.lit("timestamp_in_future"))
+        .when(key.isNull(), F.lit(f"null_{src}"))
     )
     if max_len is not None:
         reason = reason.when(F.char_length(key) > max_len, F.lit(f"{src}_too_long"))
@@ -96,8 +121,12 @@ def reject_reason(table: str = "user_edit_counts") -> Column:
 
 
 def classify(edits: DataFrame, table: str = "user_edit_counts") -> DataFrame:
-    """Add ``reject_reason`` for ``table``."""
-    return edits.withColumn("reject_reason", reject_reason(table))
+    """Add ``reject_reason`` for ``table`` (``not_json`` for text that is no object)."""
+    reason = reject_reason(table)
+    if CORRUPT_COL in edits.columns:
+        text = F.col(CORRUPT_COL)
+        reason = F.when(text.isNotNull() & ~is_json_object(CORRUPT_COL), F.lit("not_json")).otherwise(reason)
+    return edits.withColumn("reject_reason", reason)
 
 
 def valid_edits(edits: DataFrame, table: str = "user_edit_counts") -> DataFrame:

@@ -18,7 +18,7 @@ import logging
 from pyspark.sql import SparkSession
 
 from editpulse.functions.time import epoch_seconds
-from editpulse.operators.retention import drop_expired_days
+from editpulse.operators.retention import drop_expired_days, drop_expired_rows
 from editpulse.schema import COUNT_TABLES
 from editpulse.sinks.versioned import compact
 
@@ -38,6 +38,7 @@ def run(spark: SparkSession, table_path: str, table: str = "user_edit_counts",
     report: dict = {}
     if retention_days is not None:
         report["dropped"] = drop_expired_days(spark, table_path, as_of, retention_days)
+        report["rewritten"] = drop_expired_rows(spark, table_path, as_of, retention_days, table)
     if compact_through is not None:
         report["compacted"] = [d.isoformat() for d in compact(spark, table_path, compact_through, table)]
     return report

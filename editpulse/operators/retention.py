@@ -5,8 +5,8 @@ Row semantics (delete rows whose window starts before ``as_of - days``) are
 table is partitioned by ``window_date``, so whole expired days are removed
 by deleting their directories in both the ``versions/`` and ``compacted/``
 areas (a metadata operation through the Hadoop FileSystem API, valid on any
-cluster file system); no data is read or rewritten.  Rows of the boundary day that are already expired stay on disk
-until their day expires and are hidden by ``retention_keep``.
+cluster file system).  Of the boundary day, the rows that are left are written
+again (``drop_expired_rows``).
 """
 
 from __future__ import annotations
@@ -15,8 +15,10 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from editpulse.functions.time import epoch_seconds
-from editpulse.sinks.versioned import VERSIONS, delete_path, glob_paths
+from pyspark.sql import functions as F
+
+from editpulse.functions.time import epoch_seconds, ts_literal
+from editpulse.sinks.versioned import COMPACTED, VERSIONS, day_of, delete_path, glob_paths, replace_days
 
 
 def cutoff_day(as_of, days: int) -> dt.date:
@@ -52,3 +54,26 @@ def drop_expired_days(spark: SparkSession, path: str, as_of, days: int,
     for p in gone:
         delete_path(spark, p)
     return gone
+
+
+def drop_expired_rows(spark: SparkSession, path: str, as_of, days: int, table: str = "user_edit_counts") -> bool:
+    """Write the boundary day of a versioned table again without its expired rows.
+
+    Its version partitions hold running totals of the rows that went too, so
+    they are folded and deleted with them.  True if the day was there."""
+    from editpulse.sources.counts import read_versioned
+
+    cutoff = epoch_seconds(as_of) - int(days) * 86400
+    day = cutoff_day(as_of, days)
+    parts = [p for area in (f"{VERSIONS}/*", COMPACTED) for p in glob_paths(spark, f"{path.rstrip('/')}/{area}/window_date=*") if day_of(p) == day]
+    if not parts or cutoff % 86400 == 0:
+        return False
+    rows = read_versioned(spark, path, table, days=[day], with_batch_id=True).where(F.col("window_start") >= ts_literal(cutoff))
+    if rows.isEmpty():
+        gone = parts
+    else:
+        replace_days(spark, path, rows)
+        gone = [p for p in parts if f"/{VERSIONS}/" in p]
+    for p in gone:
+        delete_path(spark, p)
+    return True

@@ -67,6 +67,7 @@ AS_OF = "2024-01-31T00:00:00"
 TODAY_AS_OF = "2024-01-30T23:59:59"
 RANGE_MINUTES = 240  # the widest range the dashboard offers
 RETENTION_DAYS = 7
+RETENTION_AS_OF = "2024-01-30T14:30:00"  # the boundary lies inside a day
 TOP_PAGES_K = 5
 PIPELINE_NAMESPACES = (0,)
 PIPELINE_WIKIS = ("enwiki", "dewiki")
@@ -82,6 +83,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # each processed by a restart of the job on the same checkpoint.
 STREAM_CHUNKS = 6
 STREAM_WATERMARK = "2 minutes"
+# Option of the replay's job; fixed, as it is fixed for a checkpoint's lifetime.
+STREAM_STATE_PARTITIONS = 8
 # The chunk the late-data query delivers last (of STREAM_CHUNKS).
 LATE_CHUNK = 3
 
@@ -125,17 +128,6 @@ def _sse_parsed(spark: SparkSession, sf_dir: str, keep_raw: bool = False) -> Dat
     return parse_edits(sse_frames(sse_capture(spark, sf_dir)), keep_raw=keep_raw)
 
 
-def _state_partitions(spark: SparkSession) -> int | None:
-    """State partitions for the replay: no more than the cores, no more than
-    the session's shuffle partitions (the state here is small)."""
-    try:
-        cores = int(spark.sparkContext.defaultParallelism)
-        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover - no context
-        return None
-    return max(1, min(cores, shuffle))
-
-
 def run_stream(spark: SparkSession, sf_dir: str, output_mode: str,
                n_chunks: int = STREAM_CHUNKS, progress: list | None = None,
                order: list[int] | None = None, kind: str = "user_edit_counts",
@@ -155,7 +147,7 @@ def run_stream(spark: SparkSession, sf_dir: str, output_mode: str,
         # Update mode emits nothing in idle batches; skipping them also makes
         # each restart behave like one continuous run.
         idle_batches=output_mode == "append",
-        state_partitions=_state_partitions(spark),
+        state_partitions=STREAM_STATE_PARTITIONS,
     )
     root = scratch_dir(spark, f"stream-{output_mode}")
     landing, table, ckpt = f"{root}/landing", f"{root}/table", f"{root}/checkpoint"
@@ -168,7 +160,7 @@ def run_stream(spark: SparkSession, sf_dir: str, output_mode: str,
             progress.extend(q.recentProgress)
 
     replay_chunks(
-        lambda lo, hi: edit_events(spark, sf_dir, lo, hi, spread=True),
+        lambda lo, hi: edit_events(spark, sf_dir, lo, hi),
         event_time_bounds(spark, sf_dir), landing, n_chunks, run, order,
     )
     return table
@@ -234,14 +226,13 @@ def stored_counts(spark: SparkSession, sf_dir: str, since_epoch: int | None = No
 
 
 def retained_stored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored hourly table after the retention job at ``AS_OF``: expired
-    days are deleted from storage, and ``retention_keep`` hides the expired
-    rows of the boundary day."""
+    """Stored hourly table after the retention job at ``RETENTION_AS_OF``, inside
+    a day: expired days are deleted from storage, and the boundary day is
+    written again without its expired rows.  The read filters nothing."""
     path = scratch_dir(spark, "stored-retention")
     backfill(counts(spark, sf_dir, "user_edit_counts", HOUR), path)
-    run_maintenance(spark, path, retention_days=RETENTION_DAYS, as_of=AS_OF)
-    return dash.retention_keep(read_versioned(spark, path), AS_OF, RETENTION_DAYS).select(
-        "window_start", "window_end", "user_name", "edit_count")
+    run_maintenance(spark, path, retention_days=RETENTION_DAYS, as_of=RETENTION_AS_OF)
+    return read_versioned(spark, path).select("window_start", "window_end", "user_name", "edit_count")
 
 
 def exported_recent_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,7 +245,7 @@ def exported_recent_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _wiki_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wire messages that carry the optional ``wiki`` field."""
-    return to_wire_json(edit_events(spark, sf_dir, spread=True), WIRE_FIELDS + ["wiki"])
+    return to_wire_json(edit_events(spark, sf_dir), WIRE_FIELDS + ["wiki"])
 
 
 def _queries() -> dict[str, Query]:
@@ -274,7 +265,7 @@ def _queries() -> dict[str, Query]:
         "id", "user", "reject_reason", CORRUPT_COL
     )
     q["namespace_filter"] = lambda s, d: namespace_filter(
-        edit_events(s, d, spread=True), PIPELINE_NAMESPACES
+        edit_events(s, d), PIPELINE_NAMESPACES
     ).select("id", "title", "namespace")
     q["wiki_filter"] = lambda s, d: wiki_filter(parse_edits(_wiki_wire(s, d)), PIPELINE_WIKIS).select(
         "id", "user", "wiki"
@@ -499,7 +490,7 @@ def _oracle() -> dict[str, str]:
     o["stored_user_edit_counts"] = WU + "SELECT * FROM uec"
     o["stored_retention"] = WU + (
         "SELECT * FROM uec "
-        f"WHERE window_start >= {_sql_ts(AS_OF)} - INTERVAL '{RETENTION_DAYS} days'"
+        f"WHERE window_start >= {_sql_ts(RETENTION_AS_OF)} - INTERVAL '{RETENTION_DAYS} days'"
     )
 
     r = RANGE_MINUTES

@@ -8,6 +8,7 @@ one when the setting is unset (tests, single-machine runs).
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -51,12 +52,15 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared scratch root named by ``spark.checkpoint.dir``.
 
-    When the setting is unset (tests, a laptop) a fresh local directory is
-    created and registered on the context, so ``DataFrame.checkpoint()`` works
-    too.  On a cluster the setting must be set to shared storage.
+    When the setting is unset on a local master (tests, a laptop) a fresh local
+    directory is created and registered on the context, so
+    ``DataFrame.checkpoint()`` works too.  On a cluster the setting must name
+    shared storage: a machine-local folder would lose data.
     """
     root = _configured_checkpoint_dir(spark)
     if root is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="editpulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)

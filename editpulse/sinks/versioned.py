@@ -10,7 +10,7 @@ time-range reads prune directories.  Readers take the row with the highest
 Compaction keeps reads from growing with the number of batches: for days
 the watermark has closed, the current rows are written once to
 ``compacted/window_date=<d>`` (carrying the ``batch_id`` they came from) and
-the folded versions are deleted.
+the folded versions are marked, and deleted by the next run.
 
 Layout::
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ log = logging.getLogger(__name__)
 
 VERSIONS = "versions"
 COMPACTED = "compacted"
+# Empty file in a version partition whose rows a compaction has folded.
+FOLDED = "_folded"
 
 
 def utc_date(col):
@@ -56,7 +59,9 @@ def write_version(batch: DataFrame, path: str, batch_id: int) -> dict:
     """
     obs = Observation(f"batch_{batch_id}")
     rows = with_storage_columns(batch).observe(obs, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode("overwrite").partitionBy("window_date").parquet(version_path(path, batch_id))
+    # static: a replayed batch replaces its whole version, whatever the session says
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("window_date").parquet(
+        version_path(path, batch_id))
     metrics = obs.get
     log.info("batch %s: wrote %s rows", batch_id, metrics.get("rows"))
     return metrics
@@ -143,40 +148,64 @@ def compact(spark: SparkSession, path: str, through_day: dt.date, table: str = "
     """Fold all versions of days ``<= through_day`` into ``compacted/``.
 
     Only call it for days no open window can still change (the stream's
-    watermark is past their end).  Steps: the current rows of those days
-    (earlier compactions included) are written to a staging table in the
-    shared scratch folder (``spark.checkpoint.dir``), which cuts their
-    lineage to the files about to be replaced; the staged rows overwrite
-    just those day partitions of ``compacted/``; the folded version
-    directories and the staging table are deleted.  A crash between the
-    steps leaves duplicates that the latest-version read removes, and
-    re-running is safe.  Returns the compacted days.
+    watermark is past their end).  The current rows of those days (earlier
+    compactions included) replace their partitions of ``compacted/``
+    (``replace_days``).  The folded version partitions are only marked; the
+    next run deletes them, so a reader opened before this one still finds its
+    files.  A crash between the steps leaves duplicates that the latest-version
+    read removes, and re-running is safe.  Returns the compacted days.
     """
-    from editpulse.session import scratch_dir
     from editpulse.sources.counts import read_versioned
 
+    drop_folded(spark, path)
     parts = glob_paths(spark, f"{path.rstrip('/')}/{VERSIONS}/batch_id=*/window_date=*")
     days = sorted({d for d in (day_of(p) for p in parts) if d is not None and d <= through_day})
     if not days:
         return []
-    current = read_versioned(spark, path, table, days=days, with_batch_id=True)
-    current = current.withColumn("window_date", utc_date(F.col("window_start")))
-    staging = scratch_dir(spark, "compact-staging")
-    current.hint("rebalance", "window_date").write.mode("overwrite").parquet(staging)
+    replace_days(spark, path, read_versioned(spark, path, table, days=days, with_batch_id=True))
+    for p in parts:
+        if day_of(p) in days:
+            fs, marker = _fs(spark, f"{p}/{FOLDED}")
+            fs.create(marker).close()
+    return days
+
+
+def replace_days(spark: SparkSession, path: str, rows: DataFrame) -> None:
+    """Replace the compacted partitions of the days in ``rows`` (with ``batch_id``).
+
+    The rows are staged on the table's own file system first, which cuts their
+    lineage to the files they replace.  The staged rows and those written back
+    are counted by the writes themselves; unless the counts agree an error is
+    raised and the caller deletes nothing."""
+    rows = rows.withColumn("window_date", utc_date(F.col("window_start")))
+    staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex[:12]}"
+    staged, written = Observation("staged"), Observation("written")
+    rows.hint("rebalance", "window_date").observe(staged, F.count(F.lit(1)).alias("n")).write.parquet(staging)
+    n = staged.get["n"]
+    back = spark.read.schema(rows.schema).parquet(staging)
+    if back.count() != n:
+        raise RuntimeError(f"{staging}: {n} rows were staged, but not all can be read back; nothing was replaced")
     (
-        spark.read.schema(current.schema).parquet(staging)
+        back.observe(written, F.count(F.lit(1)).alias("n"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("window_date")
         .parquet(f"{path.rstrip('/')}/{COMPACTED}")
     )
-    for p in parts:
-        d = day_of(p)
-        if d is not None and d in days:
-            delete_path(spark, p)
-    _drop_empty_versions(spark, path)
+    if written.get["n"] != n:
+        raise RuntimeError(f"{path}: {n} rows were staged, {written.get['n']} written")
     delete_path(spark, staging)
-    return days
+
+
+def drop_folded(spark: SparkSession, path: str) -> list[str]:
+    """Delete the version partitions that an earlier compaction folded (readers
+    opened before it have had until now to finish)."""
+    markers = glob_paths(spark, f"{path.rstrip('/')}/{VERSIONS}/batch_id=*/window_date=*/{FOLDED}")
+    gone = [m.rsplit("/", 1)[0] for m in markers]
+    for p in gone:
+        delete_path(spark, p)
+    _drop_empty_versions(spark, path)
+    return gone
 
 
 def _drop_empty_versions(spark: SparkSession, path: str) -> None:

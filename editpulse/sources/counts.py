@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from editpulse.functions.time import epoch_seconds, ts_literal
 from editpulse.operators.latest import latest_version
 from editpulse.schema import COUNT_TABLES, count_table_schema
-from editpulse.sinks.versioned import COMPACTED, VERSIONS, day_of, glob_paths, path_exists
+from editpulse.sinks.versioned import COMPACTED, FOLDED, VERSIONS, day_of, glob_paths, path_exists
 
 
 def _stored_schema(table: str, batch_id: bool) -> T.StructType:
@@ -69,10 +69,9 @@ def read_versioned(
         raise FileNotFoundError(f"no count table at {path}")
     cols = ["window_start", "window_end", key, "edit_count", "created_at"] + (
         ["batch_id"] if with_batch_id else [])
-    open_days = sorted(
-        {d for d in (day_of(p) for p in glob_paths(spark, f"{root}/{VERSIONS}/batch_id=*/window_date=*"))
-         if d is not None}
-    )
+    versions = f"{root}/{VERSIONS}/batch_id=*/window_date=*"
+    folded = {p.rsplit("/", 1)[0] for p in glob_paths(spark, f"{versions}/{FOLDED}")}
+    open_days = sorted({d for d in (day_of(p) for p in glob_paths(spark, versions) if p not in folded) if d is not None})
     parts = []
     if has_compacted:
         compacted = _restrict(spark.read.schema(schema).parquet(f"{root}/{COMPACTED}"), since_epoch, days)
@@ -81,7 +80,8 @@ def read_versioned(
         else:
             parts.append(compacted.select(*cols))
     if open_days and has_versions:
-        mixed = _restrict(spark.read.schema(schema).parquet(f"{root}/{VERSIONS}"), since_epoch, days)
+        mixed = _restrict(spark.read.schema(schema).parquet(f"{root}/{VERSIONS}"), since_epoch, days).where(
+            F.col("window_date").isin(open_days))
         if has_compacted:
             mixed = mixed.unionByName(
                 _restrict(spark.read.schema(schema).parquet(f"{root}/{COMPACTED}"), since_epoch, days)
@@ -89,6 +89,8 @@ def read_versioned(
             )
         values = ["window_end", "edit_count", "created_at"] + (["batch_id"] if with_batch_id else [])
         parts.append(latest_version(mixed, ["window_start", key], "batch_id", values).select(*cols))
+    if not parts:  # every day expired
+        return spark.createDataFrame([], schema).select(*cols)
     out = parts[0]
     for extra in parts[1:]:
         out = out.unionByName(extra)

@@ -51,10 +51,19 @@ def sink_options(servers: str, topic: str, checkpoint: str, **producer: str) ->
     return opts
 
 
+def publishable(edits: DataFrame) -> DataFrame:
+    """The ``value`` column to publish: the message as it came (``raw``, from
+    ``parse_edits(keep_raw=True)``) with all its fields, or, without it, the
+    parsed fields as JSON."""
+    if "raw" in edits.columns:
+        return edits.select(F.col("raw").alias("value"))
+    return to_wire_json(edits)
+
+
 def kafka_sink(edits: DataFrame, servers: str, topic: str, checkpoint: str, **producer: str):
     """Publish edits as JSON messages (no key), streaming."""
     return (
-        to_wire_json(edits).writeStream.format("kafka")
+        publishable(edits).writeStream.format("kafka")
         .options(**sink_options(servers, topic, checkpoint, **producer))
         .start()
     )

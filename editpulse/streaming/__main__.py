@@ -5,7 +5,9 @@
         [--watermark "2 minutes"] [--trigger "30 seconds" | --available-now] \\
         [--mode update|append] [--namespaces 0,1 | --all-namespaces] \\
         [--wikis enwiki,dewiki] [--sse] [--table user_edit_counts] \\
-        [--state-store rocksdb] [--state-partitions N] [--no-idle-batches]
+        [--state-store rocksdb] [--state-partitions N] [--no-idle-batches] \\
+        [--max-future-skew "1 hour"] [--rejects DIR] \\
+        [--max-offsets-per-trigger N] [--min-partitions N]
 
 Uses the session it is submitted with (``spark-submit`` settings apply).
 """
@@ -21,9 +23,8 @@ from editpulse.config import DEFAULT_STARTING_OFFSETS, JobOptions, WindowSpec
 from editpulse.schema import COUNT_TABLES
 from editpulse.sources.kafka import kafka_source
 from editpulse.sources.text import read_lines_stream
-from editpulse.streaming.job import run_to_end, start_counts_job, stream_session
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from editpulse.streaming.job import run_to_end, start_counts_job, start_rejects_job, stream_session
+from editpulse.streaming.monitor import IngestLogListener
 
 
 def parse_args(argv=None) -> argparse.Namespace:
@@ -51,6 +52,10 @@ def parse_args(argv=None) -> argparse.Namespace:
                    help="state-store partitions (fixed for the checkpoint's lifetime)")
     p.add_argument("--no-idle-batches", action="store_true",
                    help="update mode: skip micro-batches that would only evict state")
+    p.add_argument("--max-future-skew", help="reject edits stamped further ahead of the clock")
+    p.add_argument("--rejects", help="directory for rejected messages (its checkpoint: <checkpoint>-rejects)")
+    p.add_argument("--max-offsets-per-trigger", type=int, help="Kafka: bound of one micro-batch")
+    p.add_argument("--min-partitions", type=int, help="Kafka: split hot topic partitions over so many tasks")
     a = p.parse_args(argv)
     if bool(a.input) == bool(a.kafka_servers):
         p.error("give exactly one of --input or --kafka-servers")
@@ -69,23 +74,38 @@ def options_from(a: argparse.Namespace) -> JobOptions:
         max_files_per_trigger=a.max_files_per_trigger,
         idle_batches=not a.no_idle_batches,
         state_partitions=a.state_partitions,
+        state_store=None if a.state_store == "default" else a.state_store,
+        max_future_skew=a.max_future_skew,
     )
 
 
+def kafka_limits(a: argparse.Namespace) -> dict[str, str]:
+    limits = {"maxOffsetsPerTrigger": a.max_offsets_per_trigger, "minPartitions": a.min_partitions}
+    return {k: str(v) for k, v in limits.items() if v is not None}
+
+
 def main(argv=None) -> None:
     logging.basicConfig(level=logging.INFO)
     a = parse_args(argv)
     options = options_from(a)
     spark = SparkSession.builder.appName("editpulse-counts").getOrCreate()
-    if a.state_store == "rocksdb":
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session = stream_session(spark, options)
-    if a.input:
-        lines = read_lines_stream(session, a.input, a.max_files_per_trigger)
-    else:
-        lines = kafka_source(session, a.kafka_servers, a.topic, a.starting_offsets)
-    query = start_counts_job(lines, options, a.output, a.checkpoint, a.table)
-    run_to_end(query)
+
+    def lines():
+        if a.input:
+            return read_lines_stream(session, a.input, a.max_files_per_trigger)
+        return kafka_source(session, a.kafka_servers, a.topic, a.starting_offsets, **kafka_limits(a))
+
+    listener = IngestLogListener()
+    session.streams.addListener(listener)
+    try:
+        queries = [start_counts_job(lines(), options, a.output, a.checkpoint, a.table)]
+        if a.rejects:
+            queries.append(start_rejects_job(lines(), options, a.rejects, f"{a.checkpoint.rstrip('/')}-rejects", a.table))
+        for query in queries:
+            run_to_end(query)
+    finally:
+        session.streams.removeListener(listener)
 
 
 if __name__ == "__main__":

@@ -19,27 +19,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from editpulse.config import JobOptions
-from editpulse.functions.parse import namespace_filter, parse_edits, sse_frames, wiki_filter
+from editpulse.config import JobOptions, duration_seconds
+from editpulse.functions.parse import (
+    namespace_filter,
+    parse_edits,
+    rejected_edits,
+    sse_frames,
+    wiki_filter,
+    without_future_time,
+)
 from editpulse.operators.counters import observe_counters
 from editpulse.operators.windowed import count_table
 from editpulse.sinks.versioned import VersionedUpsert, utc_date
 from editpulse.sources.text import read_lines_stream  # noqa: F401  (re-export)
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def stream_session(spark: SparkSession, options: JobOptions) -> SparkSession:
     """Session to build the streaming job in, carrying the job's settings.
 
     A stateful query keeps ``spark.sql.shuffle.partitions`` for the life of
     its checkpoint: it is the number of state-store partitions of every
-    micro-batch.  That, and whether idle (no-data) batches run, are set on a
-    separate session sharing the context, so the caller's session
-    configuration is left untouched.  Build the source from the returned
-    session.
+    micro-batch.  That, the state store and whether idle (no-data) batches run,
+    are set on a copy of the caller's session (with its settings), which is
+    left untouched.  Build the source from the returned session.
     """
-    if options.state_partitions is None and options.idle_batches:
+    if options.state_partitions is None and options.idle_batches and options.state_store is None:
         return spark
-    session = spark.newSession()
+    session = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    if options.state_store == "rocksdb":
+        session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     if options.state_partitions is not None:
         session.conf.set("spark.sql.shuffle.partitions", str(int(options.state_partitions)))
     if not options.idle_batches:
@@ -54,14 +65,33 @@ def edit_counts(lines: DataFrame, options: JobOptions, table: str = "user_edit_c
     Works on batch and streaming DataFrames; the watermark only matters to
     streaming ones.
     """
-    messages = sse_frames(lines) if options.sse_framed else lines
-    edits = parse_edits(messages, keep_raw=observe)
+    edits = _parsed(lines, options, keep_raw=observe)
     if observe:
-        edits = observe_counters(edits, "ingest", options.namespaces)
+        edits = observe_counters(edits, "ingest", options.namespaces, table)
     edits = wiki_filter(namespace_filter(edits, options.namespaces), options.wikis)
     return count_table(edits, table, options.window, options.watermark)
 
 
+def _parsed(lines: DataFrame, options: JobOptions, keep_raw: bool) -> DataFrame:
+    messages = sse_frames(lines) if options.sse_framed else lines
+    skew = None if options.max_future_skew is None else duration_seconds(options.max_future_skew)
+    return without_future_time(parse_edits(messages, keep_raw=keep_raw), skew)
+
+
+def rejects(lines: DataFrame, options: JobOptions, table: str = "user_edit_counts") -> DataFrame:
+    """Messages that cannot be counted into ``table``, whole, with the reason
+    (before the allow-lists: a rejected message may lack what they look at)."""
+    return rejected_edits(_parsed(lines, options, keep_raw=True), table).select("raw", "reject_reason")
+
+
+def start_rejects_job(lines: DataFrame, options: JobOptions, output_path: str, checkpoint: str,
+                      table: str = "user_edit_counts") -> StreamingQuery:
+    """Append the rejected messages of a stream to a Parquet table; runs beside
+    ``start_counts_job`` on a reader and a checkpoint of its own."""
+    writer = rejects(lines, options, table).writeStream.outputMode("append").format("parquet")
+    return _trigger(writer.option("path", output_path).option("checkpointLocation", checkpoint), options).start()
+
+
 def _trigger(writer, options: JobOptions):
     if options.trigger is None:
         return writer.trigger(availableNow=True)

@@ -10,6 +10,7 @@ events; it adds no job.
 from __future__ import annotations
 
 import logging
+from collections import deque
 
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -17,6 +18,8 @@ log = logging.getLogger(__name__)
 
 # Fixed value: log period of the ingest counters (sent events).
 LOG_EVERY = 100
+# Log lines kept for inspection.
+KEPT_LINES = 100
 
 
 class IngestLogListener(StreamingQueryListener):
@@ -26,7 +29,8 @@ class IngestLogListener(StreamingQueryListener):
         self.seen = 0
         self.sent = 0
         self.dropped = 0
-        self.lines: list[str] = []
+        self.rejected = 0
+        self.lines: deque[str] = deque(maxlen=KEPT_LINES)
 
     def onQueryStarted(self, event):  # noqa: N802 - Spark callback name
         pass
@@ -44,9 +48,10 @@ class IngestLogListener(StreamingQueryListener):
         if row is not None:
             self.seen += int(row["events_seen"] or 0)
             self.sent += int(row["events_sent"] or 0)
+            self.rejected += int(row.asDict().get("rejected") or 0)
         for op in p.stateOperators or []:
             self.dropped += int(getattr(op, "numRowsDroppedByWatermark", 0) or 0)
         if self.sent // self.every > before:
-            line = f"Processed {self.seen} events, sent {self.sent}; late rows dropped {self.dropped}"
+            line = f"seen={self.seen} sent={self.sent} rejected={self.rejected} late={self.dropped}"
             self.lines.append(line)
             log.info(line)

@@ -68,10 +68,10 @@ def test_rejections(spark):
             "garbage", msg(title="t" * 501)]
     parsed = parse_edits(lines(spark, vals))
     reasons = sorted(r.reject_reason for r in rejected_edits(parsed).collect())
-    assert reasons == ["null_timestamp", "null_timestamp", "null_user", "user_too_long"]
+    assert reasons == ["not_json", "null_timestamp", "null_user", "user_too_long"]
     assert valid_edits(parsed).count() == 2  # 255-char user, 501-char title
     page_reasons = sorted(r.reject_reason for r in rejected_edits(parsed, "top_pages").collect())
-    assert page_reasons == ["null_timestamp", "null_timestamp", "title_too_long"]
+    assert page_reasons == ["not_json", "null_timestamp", "title_too_long"]
 
 
 def test_namespace_filter_missing_is_dropped(spark):

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
+from editpulse.plans import registry
 from editpulse.functions.time import minutes_before
 from editpulse.plans import dashboard as dash
 from editpulse.plans import registry
@@ -18,7 +18,7 @@ def plan(df) -> str:
 
 
 def test_range_query_pushes_time_and_prunes_columns(spark):
-    p = plan(entry.queries()["top_users"](spark, SF))
+    p = plan(registry.queries()["top_users"](spark, SF))
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in p
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in p
     assert "TakeOrderedAndProject" in p
@@ -50,18 +50,18 @@ def test_compacted_days_read_without_shuffle_open_days_dedup_partially(spark, sc
 
 
 def test_top_pages_limits_before_the_shuffle(spark):
-    p = plan(entry.queries()["top_pages"](spark, SF))
+    p = plan(registry.queries()["top_pages"](spark, SF))
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
 def test_counts_use_partial_aggregation(spark):
-    p = plan(entry.queries()["user_edit_counts"](spark, SF))
+    p = plan(registry.queries()["user_edit_counts"](spark, SF))
     assert "partial_count" in p
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not n.startswith(("stream_", "stored_"))))
+@pytest.mark.parametrize("name", sorted(n for n in registry.queries() if not n.startswith(("stream_", "stored_"))))
 def test_no_python_udfs_or_broadcasts(spark, name):
-    p = plan(entry.queries()[name](spark, SF))
+    p = plan(registry.queries()[name](spark, SF))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "BroadcastExchange", "CartesianProduct"):
         assert bad not in p, (name, bad)
 
@@ -71,5 +71,5 @@ def test_no_python_udfs_or_broadcasts(spark, name):
 def test_messages_are_parsed_once(spark, name):
     """Filters on parsed fields stay above the parse: one ``from_json`` per
     message, not one per filter plus one for the output."""
-    p = plan(entry.queries()[name](spark, SF))
+    p = plan(registry.queries()[name](spark, SF))
     assert p.count("from_json") == 1, name
