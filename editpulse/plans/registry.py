@@ -45,7 +45,7 @@ from editpulse.schema import CORRUPT_COL
 from editpulse.session import scratch_dir
 from editpulse.sinks.csv import export_csv, read_export
 from editpulse.sinks.versioned import backfill
-from editpulse.sources.counts import read_final, read_versioned
+from editpulse.sources.counts import read_final, read_newest, read_versioned
 from editpulse.sources.testdata import (
     edit_events,
     event_time_bounds,
@@ -225,6 +225,13 @@ def stored_counts(spark: SparkSession, sf_dir: str, since_epoch: int | None = No
     return read_versioned(spark, path, "user_edit_counts", since_epoch=since_epoch)
 
 
+def stored_newest(spark: SparkSession, sf_dir: str, enough: Callable[[DataFrame], bool]) -> DataFrame:
+    """The newest days of the backfilled table that hold ``enough``."""
+    path = scratch_dir(spark, "stored-newest")
+    backfill(counts(spark, sf_dir, "user_edit_counts", HOUR), path)
+    return read_newest(spark, path, enough)
+
+
 def retained_stored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored hourly table after the retention job at ``RETENTION_AS_OF``, inside
     a day: expired days are deleted from storage, and the boundary day is
@@ -313,6 +320,10 @@ def _queries() -> dict[str, Query]:
     q["stored_edit_timeline"] = lambda s, d: wallclock(dash.edit_timeline(
         stored_counts(s, d, minutes_before(AS_OF, RANGE_MINUTES)), AS_OF, RANGE_MINUTES
     ))
+    q["stored_recent_windows"] = lambda s, d: wallclock(dash.recent_windows(stored_newest(
+        s, d, lambda rows: rows.select("window_start").distinct().limit(10).count() == 10)))
+    q["stored_latest_aggregations"] = lambda s, d: wallclock(dash.latest_aggregations(stored_newest(
+        s, d, lambda rows: rows.limit(20).count() == 20)))
     q["stored_retention"] = lambda s, d: wallclock(retained_stored_counts(s, d))
     q["export_csv"] = exported_recent_counts
     q["stored_top_users"] = lambda s, d: dash.top_users(
@@ -563,6 +574,8 @@ def _oracle() -> dict[str, str]:
         f"WHERE page_rank <= {TOP_PAGES_K}"
     )
     o["stream_top_pages"] = o["top_pages"]
+    o["stored_recent_windows"] = o["recent_windows"]
+    o["stored_latest_aggregations"] = o["latest_aggregations"]
     o["stored_statistics"] = o["statistics"]
     o["stored_edit_timeline"] = o["edit_timeline"]
     o["retention_keep"] = WU + (

@@ -11,7 +11,7 @@ to the Parquet scan as well.  ``read_final`` reads an append-only table
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,6 +97,24 @@ def read_versioned(
     return out
 
 
+def read_newest(spark: SparkSession, path: str, enough: Callable[[DataFrame], bool],
+                table: str = "user_edit_counts") -> DataFrame:
+    """The newest days of a versioned table, as many as ``enough`` asks for.
+
+    For queries that want the first rows by descending window start: days are
+    added from the newest on, doubling, until ``enough`` of what they hold, so
+    the answer is that of the whole table but older days are never opened."""
+    root = path.rstrip("/")
+    days = sorted({d for area in (f"{VERSIONS}/batch_id=*", COMPACTED)
+                   for d in (day_of(p) for p in glob_paths(spark, f"{root}/{area}/window_date=*")) if d}, reverse=True)
+    k = 1
+    while True:
+        rows = read_versioned(spark, path, table, days=days[:k])
+        if k >= len(days) or enough(rows):
+            return rows
+        k *= 2
+
+
 def read_final(
     spark: SparkSession, path: str, table: str = "user_edit_counts", since_epoch: int | None = None
 ) -> DataFrame:

@@ -12,7 +12,7 @@ from editpulse.config import JobOptions, WindowSpec
 from editpulse.functions.parse import namespace_filter, parse_edits, rejected_edits, wiki_filter
 from editpulse.operators.retention import drop_expired_rows
 from editpulse.sinks import versioned
-from editpulse.sources.counts import read_versioned
+from editpulse.sources.counts import read_newest, read_versioned
 from editpulse.sources.kafka import publishable
 from editpulse.sources.text import read_lines_stream
 from editpulse.streaming.job import run_to_end, start_counts_job, start_rejects_job, stream_session
@@ -121,3 +121,16 @@ def test_no_local_scratch_folder_off_a_local_master(monkeypatch):
     monkeypatch.setattr(sessions, "_configured_checkpoint_dir", lambda s: None)
     with pytest.raises(ValueError):
         sessions.checkpoint_root(Cluster())
+
+
+def test_newest_days_are_read_until_they_hold_enough(spark, scratch):
+    day, table, asked = B - B % 86400, f"{scratch}/t", []
+    versioned.write_version(counts_of(spark, [day - 86400 * k for k in range(6)] + [day + 60]), table, 0)
+
+    def enough(rows):
+        asked.append(rows.count())
+        return asked[-1] >= 3
+
+    got = read_newest(spark, table, enough)
+    assert asked == [2, 3] and "window_date" in got._jdf.queryExecution().toString() and got.count() == 3
+    assert read_newest(spark, table, lambda rows: False).count() == 7
