@@ -38,7 +38,7 @@ from editpulse.session import scratch_dir
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Text bytes whose distinct words are gathered into one chunk.
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 12 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -75,7 +75,8 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.LargeBinaryArray, n
     last, second, third = before[2:-1], before[1:-2], before[:-3]
     cut = ((data == 32) | (data == 10)) & (last >= 0x21) & (last != 0x7F)
     cut &= (last < 0x80) | ((second != 0xC2) & ((third < 0xE1) | (third > 0xE3)))
-    edges = np.unique(np.concatenate([np.flatnonzero(cut), offsets]))
+    cut[offsets[offsets < len(data)]] = True
+    edges = np.append(np.flatnonzero(cut), len(data)) if len(data) else np.zeros(1, np.int64)
     found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
     return found, np.searchsorted(edges, offsets)
 
@@ -88,16 +89,20 @@ def encoded(enc: tiktoken.Encoding, distinct: list[bytes]) -> tuple[np.ndarray,
     return np.fromiter((i for x in ids for i in x), np.int32, int(counts.sum())), counts
 
 
+def _planes(numbers: np.ndarray) -> np.ndarray:
+    """The first bytes of all numbers, then the second ones, and so on: the upper
+    ones, nearly all alike, compress to little."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).ravel()
+
+
 def _split(n_buckets: int, chunk_bytes: int):
     """Chunks: the positions (bucket -1) and the distinct words by bucket."""
     schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("blob", pa.binary())])
 
-    def chunk_rows(number, held):
-        texts = pa.chunked_array([b["text"].cast(pa.large_binary()) for b in held]).combine_chunks()
-        ids = pa.chunked_array([b["doc_id"] for b in held]).combine_chunks()
-        found, first = words(*C.buffers(texts))
+    def chunk_rows(number, ids, data, offsets):
+        found, first = words(data, offsets)
         coded = found.dictionary_encode()
-        yield number, -1, C.pack(ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), np.diff(first).astype(np.int32), coded.indices.to_numpy())
+        yield number, -1, C.pack(ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), np.diff(first).astype(np.int32), _planes(coded.indices.to_numpy()))
         distinct = coded.dictionary
         data, offsets = C.buffers(distinct)
         bucket = C.word_hashes(data, offsets[:-1], offsets[1:]) % C.U(n_buckets) if len(distinct) else np.zeros(0, np.uint64)
@@ -106,18 +111,16 @@ def _split(n_buckets: int, chunk_bytes: int):
         moved = distinct.take(pa.array(order))
         for b in np.flatnonzero(np.diff(edges)):
             own, off = C.buffers(moved.slice(edges[b], edges[b + 1] - edges[b]))
-            yield number, int(b), C.pack(order[edges[b]:edges[b + 1]].astype(np.int32), np.diff(off).astype(np.int32), own)
+            yield number, int(b), C.pack(C.narrow(np.diff(order[edges[b]:edges[b + 1]], prepend=0)), C.narrow(np.diff(off)), own)
 
     def split(batches):
-        task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+        task, number = TaskContext.get().partitionId(), 0
         for batch in batches:
-            held.append(batch)
-            size += batch.nbytes
-            if size >= chunk_bytes:
-                yield C.table(schema, *zip(*chunk_rows((task << 32) + number, held)))
-                number, held, size = number + 1, [], 0
-        if size:
-            yield C.table(schema, *zip(*chunk_rows((task << 32) + number, held)))
+            data, offsets = C.buffers(batch["text"])
+            for i, j in C.slices(offsets, chunk_bytes):
+                own = chunk_rows((task << 32) + number, batch["doc_id"].slice(i, j - i), data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                yield C.table(schema, *zip(*own))
+                number += 1
 
     return split
 
@@ -130,7 +133,7 @@ def _encode_distinct(path: str, pattern: str):
         enc = encoder(path, pattern)
         for _, rows in C.by_key(batches):
             parts = [C.unpack(r["blob"]) for r in rows]
-            lengths = np.concatenate([p[1] for p in parts])
+            lengths = np.concatenate([p[1].astype(np.int64) for p in parts])
             offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
             data = np.concatenate([p[2] for p in parts])
             coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
@@ -140,7 +143,7 @@ def _encode_distinct(path: str, pattern: str):
             for r, (number, *_) in zip(rows, parts):
                 own = which[at:at + len(number)]
                 at += len(number)
-                yield C.table(schema, [r["chunk"]], [C.pack(number, counts[own], ids[C.ranges(first[own], counts[own])])])
+                yield C.table(schema, [r["chunk"]], [C.pack(number, C.narrow(counts[own]), C.narrow(ids[C.ranges(first[own], counts[own])]))])
 
     return encode
 
@@ -153,11 +156,13 @@ def _assemble(path: str, pattern: str, with_ids: bool):
         enc = encoder(path, pattern)
         for batch in batches:
             for positions, answers in zip(batch["blob"], batch["answers"]):
-                doc_ids, null, lens, which = C.unpack(positions.as_py())
+                doc_ids, null, lens, planes = C.unpack(positions.as_py())
+                which = np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
                 parts = [C.unpack(a) for a in answers.as_py() or ()]
                 n = sum(len(p[0]) for p in parts)
                 counts, text_of, bytes_of, ids_of = np.zeros(n, np.int64), [b""] * n, [b""] * n, [()] * n
                 for number, count, ids in parts:
+                    number = np.cumsum(number, dtype=np.int64)
                     counts[number] = count
                     listed, at = ids.tolist(), 0
                     for w, k in zip(number.tolist(), count.tolist()):

@@ -215,6 +215,11 @@ def by_key(batches: Iterator[pa.RecordBatch], key: str = "bucket") -> Iterator[t
         yield last, rows
 
 
+def narrow(a: np.ndarray) -> np.ndarray:
+    """Whole numbers in the smallest unsigned type that holds them."""
+    return a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0))
+
+
 def table(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
