@@ -28,6 +28,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -111,7 +112,7 @@ def _split(n_buckets: int, chunk_bytes: int):
         moved = distinct.take(pa.array(order))
         for b in np.flatnonzero(np.diff(edges)):
             own, off = C.buffers(moved.slice(edges[b], edges[b + 1] - edges[b]))
-            yield number, int(b), C.pack(C.narrow(np.diff(order[edges[b]:edges[b + 1]], prepend=0)), C.narrow(np.diff(off)), own)
+            yield number, int(b), zstandard.compress(C.pack(C.narrow(np.diff(order[edges[b]:edges[b + 1]], prepend=0)), C.narrow(np.diff(off)), own))
 
     def split(batches):
         task, number = TaskContext.get().partitionId(), 0
@@ -132,7 +133,7 @@ def _encode_distinct(path: str, pattern: str):
     def encode(batches):
         enc = encoder(path, pattern)
         for _, rows in C.by_key(batches):
-            parts = [C.unpack(r["blob"]) for r in rows]
+            parts = [C.unpack(zstandard.decompress(r["blob"])) for r in rows]
             lengths = np.concatenate([p[1].astype(np.int64) for p in parts])
             offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
             data = np.concatenate([p[2] for p in parts])
@@ -143,7 +144,7 @@ def _encode_distinct(path: str, pattern: str):
             for r, (number, *_) in zip(rows, parts):
                 own = which[at:at + len(number)]
                 at += len(number)
-                yield C.table(schema, [r["chunk"]], [C.pack(number, C.narrow(counts[own]), C.narrow(ids[C.ranges(first[own], counts[own])]))])
+                yield C.table(schema, [r["chunk"]], [zstandard.compress(C.pack(number, C.narrow(counts[own]), C.narrow(ids[C.ranges(first[own], counts[own])])))])
 
     return encode
 
@@ -158,7 +159,7 @@ def _assemble(path: str, pattern: str, with_ids: bool):
             for positions, answers in zip(batch["blob"], batch["answers"]):
                 doc_ids, null, lens, planes = C.unpack(positions.as_py())
                 which = np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
-                parts = [C.unpack(a) for a in answers.as_py() or ()]
+                parts = [C.unpack(zstandard.decompress(a)) for a in answers.as_py() or ()]
                 n = sum(len(p[0]) for p in parts)
                 counts, text_of, bytes_of, ids_of = np.zeros(n, np.int64), [b""] * n, [b""] * n, [()] * n
                 for number, count, ids in parts:
