@@ -33,9 +33,11 @@ from editpulse.llm import common as C
 
 #: Labelled documents learned from, the least by hash of their id; a bound on
 #: what is fitted, not on what is scored.
-SAMPLE_DOCS = 20_000
-#: Toxic occurrences a term needs, and its least share of toxic ones.
+SAMPLE_DOCS = 10_000
+#: Toxic documents a term needs (at least, and as a share of all toxic ones of the
+#: sample), and its least share of toxic ones.
 LEAST_TOXIC = 8
+LEAST_SHARE = 0.01
 PURITY = 0.9
 MAX_TERMS = 5_000
 SHORTEST, LONGEST = 3, 12
@@ -160,19 +162,23 @@ def _word_counts():
 
 
 def learn_terms(labelled: DataFrame) -> list[tuple[str, bool]]:
-    """Terms from ``(text, toxic)`` rows: text and whether it is a stem."""
+    """Terms from ``(text, toxic)`` rows, equal ones once: text and whether it is a stem."""
+    labelled = labelled.dropDuplicates()
+    least = max(LEAST_TOXIC, LEAST_SHARE * labelled.where("toxic > 0").count())
     words = labelled.mapInArrow(_word_counts(), "word string, toxic bigint, clean bigint").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     cut = words.select("toxic", "clean", F.explode(F.expr(
         f"concat(transform(sequence({SHORTEST}, least({LONGEST}, char_length(word))), k -> substring(word, 1, k)), array(concat(substring(word, 1, {LONGEST}), '$')))")).alias("start"))
     rows = cut.groupBy("start").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(
-        (F.col("toxic") >= LEAST_TOXIC) & (F.col("toxic") >= PURITY * (F.col("toxic") + F.col("clean"))))
+        (F.col("toxic") >= least) & (F.col("toxic") >= PURITY * (F.col("toxic") + F.col("clean"))))
     support = {r["start"]: r["toxic"] for r in rows.orderBy(F.desc("toxic"), "start").limit(MAX_TERMS * LONGEST).collect()}  # bounded
-    terms = []
+    terms, longer = [], {}
+    for s in support:
+        longer.setdefault(s[:-1], []).append(s)
     for start in sorted(support, key=lambda s: (len(s), s)):
         if start.endswith("$") or start[:-1] in support:
             continue  # a term's continuation
         while True:  # as long as it keeps nine tenths of its support
-            more = [s for s in support if len(s) == len(start) + 1 and s.startswith(start) and support[s] >= 0.9 * support[start]]
+            more = [s for s in longer.get(start, ()) if support[s] >= 0.9 * support[start]]
             if not more:
                 terms.append((start, True, support[start]))
                 break
@@ -223,7 +229,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     labelled = C.staged(docs.sparkSession, docs.select(doc_id.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(
         F.broadcast(sample), "doc_id").select("text", "toxic"), "labelled")  # at most sample_docs ids are broadcast
     terms = learn_terms(labelled)
-    rows = labelled.mapInArrow(_featured(Lexicon(terms)), "f array<double>, toxic int").limit(2 * sample_docs).collect()  # bounded
+    rows = labelled.dropDuplicates().mapInArrow(_featured(Lexicon(terms)), "f array<double>, toxic int").collect()  # three numbers a labelled text
     y = np.array([r["toxic"] > 0 for r in rows], float)
     if not len(y) or y.min() == y.max():
         return terms, []
