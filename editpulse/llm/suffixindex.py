@@ -177,6 +177,13 @@ class SuffixArrayFamily:
         return found
 
 
+    def drop(self) -> None:
+        """Delete the levels; the seeds found so far are tables of their own."""
+        for path in self.levels.values():
+            delete_path(self.spark, path)
+        self.levels = {}
+
+
 def batches_of(docs: DataFrame, n: int) -> list[DataFrame]:
     """The documents in ``n`` batches of ascending ids (null ids in the last)."""
     doc_id = F.col("doc_id").cast("bigint")
@@ -196,6 +203,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW_BYTES, n_batches: int =
     for batch in batches_of(docs, n_batches):
         found = index.add(C.keyed(batch))
         seeds = found if seeds is None else seeds.unionByName(found)
+    index.drop()
     hot = seeds.groupBy("key").count().where(F.col("count") >= hot_runs).select("key", F.lit(True).alias("is_hot"))
     seeds = seeds.join(hot, "key", "left").withColumn("hot", F.coalesce("is_hot", F.lit(False)))
     return W.repeats(C.keyed(docs, rest), seeds, window, of_words=False)
