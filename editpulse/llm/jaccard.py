@@ -10,9 +10,9 @@ set size and position.
 * Index level: the list is a sequence of blocks of one size; a probe skips
   blocks whose sizes cannot reach the threshold, and inside a block, sorted by
   position, everything behind the last position that still can.
-* Answer level: each list's smallest set is its centre, and all others are
-  compared with it first.  What they link to is one component; only pairs whose
-  sets lie in different components are left.  Their overlaps are derived from
+* Answer level: in each of a few rounds every list has a centre, and the sets of
+  other components are compared with it.  What links is one component; at last
+  only pairs whose sets lie in different components are left.  Their overlaps are derived from
   the centre's: ``|x & y| = |c & y| - |(c - x) & y| + |(x - c) & y|``, where a
   centre's overlap with ``y`` is computed once for all ``x`` that resemble it.
 
@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from editpulse.llm import common as C
@@ -41,6 +41,8 @@ PERCENT = 80
 #: Counters of the frequency sketch: a fixed size, whatever the input's.
 SLOT_BITS = 20
 SLICE_SLOTS = 1 << 14
+#: Rounds in which a list's sets are compared with one centre each.
+STAR_ROUNDS = 3
 #: Members of a centre that one task compares.
 GROUP_SETS = 2_000
 
@@ -105,10 +107,6 @@ def _sum_slices(batches):
         yield C.table(schema, [key], [sum(np.frombuffer(r["counts"], np.int64) for r in rows).tobytes()])
 
 
-def _narrow(a: np.ndarray) -> np.ndarray:
-    return a.astype(np.uint16 if not len(a) or a.max() < 1 << 16 else np.uint32)
-
-
 def prefix_length(n, percent: int):
     """Tokens of which a set shares one with any set as similar as asked for."""
     return n + (percent * n) // -100 + 1
@@ -142,40 +140,57 @@ def _entries(frequency, k: int, percent: int, n_buckets: int):
             for b in np.flatnonzero(np.diff(edges)):
                 at = order[edges[b]:edges[b + 1]]
                 own, number = np.unique(doc[at], return_inverse=True)
-                rows.append((int(b), C.pack(ids[own], sig[own], _narrow(size[own]), token[at], _narrow(number), _narrow(pos[at]))))
+                rows.append((int(b), C.pack(ids[own], sig[own], C.narrow(size[own]), token[at], C.narrow(number), C.narrow(pos[at]))))
             yield C.table(schema, *zip(*rows))
 
     return entries
 
 
-def _lists(batches):
+def _lists(percent: int):
     """Index lists of two or more different sets, a set (its least id) a row."""
-    schema = pa.schema([("token", pa.int64()), ("id", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("center", pa.int64()), ("center_n", pa.int32())])
-    for _, rows in C.by_key(batches):
-        parts = [C.unpack(r["blob"]) for r in rows]
-        token = np.concatenate([p[3] for p in parts])
-        ids, sig, n = (np.concatenate([p[c][p[4]] for p in parts]) for c in range(3))
-        pos = np.concatenate([p[5] for p in parts]).astype(np.int32)
-        del parts
-        order = np.argsort(token, kind="stable")
-        new = np.append(True, token[order[1:]] != token[order[:-1]])
-        count = np.diff(np.append(np.flatnonzero(new), len(order)))
-        order = order[np.repeat(count > 1, count)]
-        order = order[np.lexsort((ids[order], sig[order], n[order], token[order]))]
-        token, ids, sig, n, pos = (a[order] for a in (token, ids, sig, n, pos))
-        if not len(token):
-            continue
-        fresh = np.append(True, (token[1:] != token[:-1]) | (n[1:] != n[:-1]) | (sig[1:] != sig[:-1]))
-        token, ids, n, pos = (a[fresh] for a in (token, ids, n, pos))
-        new = np.append(True, token[1:] != token[:-1])
-        first = np.flatnonzero(new)
-        count = np.diff(np.append(first, len(token)))
-        keep = np.repeat(count > 1, count)
-        center = np.repeat(first, count)
-        for i in range(0, len(token), 1 << 18):
-            at = np.flatnonzero(keep[i:i + (1 << 18)]) + i
-            if len(at):
-                yield C.table(schema, token[at].view(np.int64), ids[at], n[at].astype(np.int32), pos[at], ids[center[at]], n[center[at]].astype(np.int32))
+    schema = pa.schema([("token", pa.int64()), ("id", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
+
+    def lists(batches):
+        for _, rows in C.by_key(batches):
+            parts = [C.unpack(r["blob"]) for r in rows]
+            token = np.concatenate([p[3] for p in parts])
+            ids, sig, n = (np.concatenate([p[c][p[4]] for p in parts]) for c in range(3))
+            pos = np.concatenate([p[5] for p in parts])
+            del parts
+            order = np.argsort(token, kind="stable")
+            new = np.append(True, token[order[1:]] != token[order[:-1]])
+            count = np.diff(np.append(np.flatnonzero(new), len(order)))
+            order = order[np.repeat(count > 1, count)]
+            order = order[np.lexsort((ids[order], sig[order], n[order], token[order]))]
+            token, ids, sig, n, pos = (a[order] for a in (token, ids, sig, n.astype(np.int64), pos.astype(np.int64)))
+            if not len(token):
+                continue
+            keep = np.append(True, (token[1:] != token[:-1]) | (n[1:] != n[:-1]) | (sig[1:] != sig[:-1]))
+            for _ in range(3):  # sets that lose their partners leave in turn
+                token, ids, n, pos = (a[keep] for a in (token, ids, n, pos))
+                keep = _has_partner(token, n, pos, percent)
+            token, ids, n, pos = (a[keep] for a in (token, ids, n, pos))
+            for i in range(0, len(token), 1 << 18):
+                at = slice(i, i + (1 << 18))
+                yield C.table(schema, token[at].view(np.int64), ids[at], n[at].astype(np.int32), pos[at].astype(np.int32))
+
+    return lists
+
+
+def _has_partner(token, n, pos, percent: int) -> np.ndarray:
+    """Which sets may link to some set of their list: one of a fitting size, with
+    tokens enough behind this one for the smallest such.  Sorted by token, size."""
+    if not len(token):
+        return np.zeros(0, bool)
+    number = np.cumsum(np.append(0, token[1:] != token[:-1]))
+    key = (number << 32) + n
+    me = np.arange(len(n))
+    low = np.searchsorted(key, (number << 32) + -(-percent * n // 100))
+    above = np.minimum(me + 1, len(n) - 1)
+    fits = (above > me) & (number[above] == number) & (percent * n[above] <= 100 * n)
+    partner = np.where(low < me, low, above)
+    need = -(-percent * (n + n[partner]) // (100 + percent))
+    return ((low < me) | fits) & (n - pos >= need)
 
 
 def _sets(k: int):
@@ -226,8 +241,7 @@ def _across(percent: int):
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
     def across(batches):
-        for rows in _token_lists(batches):
-            ids, n, pos, group = rows
+        for ids, n, pos, group in _token_lists(batches):
             out = []
             for i, j in probes(n, pos, group, percent):
                 out.append((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
@@ -240,6 +254,28 @@ def _across(percent: int):
     return across
 
 
+def _stars(percent: int, round_: int):
+    """Each list's centre (the least by a hash that changes with the round, so
+    lists of the same sets choose the same one) with its sets of other components."""
+    schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
+
+    def stars(batches):
+        out, held = [], 0
+        for ids, n, _, group in _token_lists(batches):
+            c = int(C.mixed(ids.view(np.uint64) + C.U(round_) * C.MIX2).argmin())
+            near = (group != group[c]) & (100 * np.minimum(n, n[c]).astype(np.int64) >= percent * np.maximum(n, n[c]).astype(np.int64))
+            if near.any():
+                out.append((np.full(int(near.sum()), ids[c]), ids[near]))
+                held += len(out[-1][1])
+            if held > 50_000:
+                yield C.table(schema, *(np.concatenate(x) for x in zip(*out)))
+                out, held = [], 0
+        if out:
+            yield C.table(schema, *(np.concatenate(x) for x in zip(*out)))
+
+    return stars
+
+
 def _token_lists(batches):
     """``id, n, pos, root`` of each list with two components or more."""
     held = []
@@ -316,7 +352,23 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def similar_groups(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> DataFrame:
     """Per document ``doc_id, n_shingles, component_id``."""
-    spark, rows = docs.sparkSession, C.keyed(docs)
+    return groups_of(C.keyed(docs), percent, k).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each_group(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> DataFrame:
+    """The rows, with all their columns, of each group's least id; of a row given
+    several times one."""
+    rows = C.keyed(docs, rest=True)
+    gone = groups_of(rows, percent, k).where("component_id <> id").select("id").distinct()
+    kept = rows.join(gone, "id", "left_anti")
+    first = F.row_number().over(Window.partitionBy("id").orderBy("h"))
+    kept = kept.withColumn("first", first).where("first = 1")
+    return kept.select(*[F.col("text") if c == "text" else F.col(f"rest.`{c}`") for c in docs.columns])
+
+
+def groups_of(rows: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> DataFrame:
+    """``doc_id, id, n_shingles, component_id`` of ``common.keyed`` rows."""
+    spark, rows = rows.sparkSession, rows.select("doc_id", "id", "h", "text")
     n = C.partitions(spark)
     survey = C.staged(spark, rows.select("doc_id", "id", "text").mapInArrow(
         _survey(k), "doc_id bigint, id bigint, n bigint, s1 bigint, s2 bigint, slice int, counts binary"), "set-survey")
@@ -327,7 +379,7 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WOR
     frequency = spark.sparkContext.broadcast(np.minimum(frequency.ravel(), (1 << 32) - 1).astype(np.uint32))
 
     lists = C.staged(spark, rows.select("id", "text").mapInArrow(_entries(frequency, k, percent, n), "bucket int, blob binary")
-                     .repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_lists, "token bigint, id bigint, n int, pos int, center bigint, center_n int"), "set-lists")
+                     .repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_lists(percent), "token bigint, id bigint, n int, pos int"), "set-lists")
     wanted = lists.select("id").distinct()
     least = rows.join(wanted, "id").groupBy("id").agg(F.min_by("text", "h").alias("text"))
     sets = C.staged(spark, least.mapInArrow(_sets(k), "id bigint, own binary"), "sets")
@@ -336,18 +388,25 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WOR
     copies = known.groupBy("s1", "s2", "n").agg(F.min("id").alias("v"), F.count("*").alias("k")).where("k > 1")
     copies = known.join(copies.select("s1", "s2", "n", "v"), ["s1", "s2", "n"]).select(F.col("id").alias("u"), "v").where("u <> v")
 
-    stars = lists.where(f"id <> center and 100 * center_n >= {percent} * n").select("center", F.col("center").alias("x"), F.col("id").alias("y")).distinct()
-    links = C.staged(spark, _links(stars, sets, percent), "links")
-    first = C.staged(spark, components(links.unionByName(copies)), "components")
-    # A set's centre is the set it was compared and linked with: one highly similar.
+    def by_token(found, pairs):
+        """``pairs`` over the lists with each set's component, ``found``."""
+        rooted = lists.join(found.withColumnRenamed("v", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        rooted = rooted.select("token", "id", "n", "pos", "root").repartition(n, "token").sortWithinPartitions("token")
+        return rooted.mapInArrow(pairs, "x bigint, y bigint").distinct()
+
+    found, links = components(copies), None
+    for round_ in range(STAR_ROUNDS):
+        stars = by_token(found, _stars(percent, round_)).select(F.col("x").alias("center"), "x", "y")
+        own = C.staged(spark, _links(stars, sets, percent), "links")
+        links = own if links is None else links.unionByName(own)
+        found = components(own.unionByName(found.select(F.col("v").alias("u"), F.col("root").alias("v"))))
+    # A set's centre is one it was compared and linked with: highly similar.
     centers = links.groupBy(F.col("v").alias("x")).agg(F.min("u").alias("center"))
-    rooted = lists.select("token", "id", "n", "pos").join(first.withColumnRenamed("v", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    across = rooted.repartition(n, "token").sortWithinPartitions("token").select("token", "id", "n", "pos", "root").mapInArrow(_across(percent), "x bigint, y bigint").distinct()
-    across = across.join(centers, "x", "left").select(F.coalesce("center", "x").alias("center"), "x", "y")
+    across = by_token(found, _across(percent)).join(centers, "x", "left").select(F.coalesce("center", "x").alias("center"), "x", "y")
     more = C.staged(spark, _links(across, sets, percent), "links")
-    final = components(more.unionByName(first.select(F.col("v").alias("u"), F.col("root").alias("v"))))
+    final = components(more.unionByName(found.select(F.col("v").alias("u"), F.col("root").alias("v"))))
     own = survey.where("slice is null").select("doc_id", "id", "n").join(final.withColumnRenamed("v", "id"), "id", "left")
-    return own.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id"))
+    return own.select("doc_id", "id", F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id"))
 
 
 def op6_jaccard_join(spark, sf_dir: str) -> DataFrame:
