@@ -55,7 +55,7 @@ def stream_plan(spark, sf_dir: str) -> list[str]:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from editpulse.session import local_session
-    import __spark_entry__ as entry
+    from editpulse.plans import registry
 
     spark = local_session()
     lines = [
@@ -65,7 +65,7 @@ def main() -> None:
         "Stream queries are omitted: they run a job and return a batch read of its sink.",
         "",
     ]
-    for name, q in sorted(entry.queries().items()):
+    for name, q in sorted(registry.queries().items()):
         if name.startswith("stream_"):
             continue
         df = q(spark, sf_dir)
