@@ -9,10 +9,15 @@ sets of positions reached with no error, and with one) is intersected with the
 trie, so one walk finds all terms within an edit; a stem matches any
 continuation.  Each distinct word of a batch is matched once.
 
+Ordinary words are not misspellings: a word within an edit of a term (of a stem:
+the beginning that is) counts only if those of the sample's documents that hold
+it are toxic nearly as a rule, as a term's are, or none holds it.
+
 A hit counts as quoted if its word carries quotation marks, or if marks or
 words of reporting stand within the window around it; quotation weighs less
 than abuse.  Counts of direct, misspelled and quoted hits give the score
-through a logistic model fitted on the same sample.
+through a logistic model fitted on the same sample; as far as the sample does
+not tell, a misspelled hit weighs as a direct one, and never less than nothing.
 
 Defined results: null text: empty, the score of no hit; null ``doc_id``: held
 out; labels that are null or whose document is missing are not used, of several
@@ -58,9 +63,11 @@ _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 class Lexicon:
     """A trie of terms; ``match`` intersects it with a word's automaton."""
 
-    def __init__(self, terms: list[tuple[str, bool]], fuzzy_length: int = FUZZY_LENGTH):
-        """``terms``: text and whether it is a stem (matches any continuation)."""
+    def __init__(self, terms: list[tuple[str, bool]], fuzzy_length: int = FUZZY_LENGTH, ordinary: frozenset[str] = frozenset()):
+        """``terms``: text and whether it is a stem (matches any continuation);
+        ``ordinary``: what ``found`` names that is no misspelling."""
         self.root: dict = {}
+        self.ordinary = ordinary
         for term, stem in terms:
             node = self.root
             for c in term:
@@ -70,22 +77,31 @@ class Lexicon:
             node[""] = (old[0] or stem, len(term) >= fuzzy_length)
 
     def match(self, word: str) -> int:
-        """``DIRECT`` for a term, ``FUZZY`` for one with an edit, else ``NONE``."""
+        """``DIRECT`` for a term, ``FUZZY`` for one with an edit that is no ordinary
+        word, else ``NONE``."""
+        direct, near = self.found(word)
+        return DIRECT if direct else FUZZY if near - self.ordinary else NONE
+
+    def found(self, word: str) -> tuple[bool, set[str]]:
+        """Whether the word is a term, and else what of it is a term with an edit:
+        the word, with a blank behind it, or for a stem its least such beginning."""
         masks: dict[str, int] = {}
         for i, c in enumerate(word):
             masks[c] = masks.get(c, 0) | 1 << i
         full = 1 << len(word)
-        best, stack = NONE, [(self.root, 1, 3)]
+        near, stack = set(), [(self.root, 1, 3)]
         while stack:
             node, exact, edited = stack.pop()
             for c, child in node.items():
                 if c == "":
                     stem, fuzzy = child
                     if exact & full or (stem and exact):
-                        return DIRECT
+                        return True, set()
                     # a stem's edit must lie inside it: its first letter stands
-                    if fuzzy and (edited & full or (stem and edited)):
-                        best = FUZZY
+                    if fuzzy and stem and edited:
+                        near.add(word[:(edited & -edited).bit_length() - 1])
+                    elif fuzzy and edited & full:
+                        near.add(word + " ")
                     continue
                 m = masks.get(c, 0)
                 one = (exact & m) << 1
@@ -94,7 +110,7 @@ class Lexicon:
                 two &= (full << 1) - 1
                 if one | two:
                     stack.append((child, one, two))
-        return best
+        return False, near
 
     def classify(self, unit: str) -> int:
         """Bits of a word as it stands in a text, with its punctuation."""
@@ -161,11 +177,31 @@ def _word_counts():
     return words
 
 
-def learn_terms(labelled: DataFrame) -> list[tuple[str, bool]]:
-    """Terms from ``(text, toxic)`` rows, equal ones once: text and whether it is a stem."""
-    labelled = labelled.dropDuplicates()
+def count_words(labelled: DataFrame) -> DataFrame:
+    """``word, toxic, clean``: documents of each class that hold a word."""
+    counts = labelled.mapInArrow(_word_counts(), "word string, toxic bigint, clean bigint")
+    return counts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def ordinary_words(words: DataFrame, terms: list[tuple[str, bool]]) -> frozenset[str]:
+    """What of the counted words is a term with an edit (``Lexicon.found``), but not
+    as pure as a term must be."""
+    schema = pa.schema([("near", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
+
+    def near(batches):
+        lexicon = Lexicon(terms)
+        for batch in batches:
+            out = [(n, toxic, clean) for word, toxic, clean in zip(*(batch[c].to_pylist() for c in ("word", "toxic", "clean"))) for n in lexicon.found(word)[1]]
+            if out:
+                yield C.table(schema, *zip(*out))
+
+    counts = words.mapInArrow(near, "near string, toxic bigint, clean bigint").groupBy("near").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return frozenset(r["near"] for r in counts.where(F.col("toxic") < PURITY * (F.col("toxic") + F.col("clean"))).collect())  # of the sample's words
+
+
+def learn_terms(labelled: DataFrame, words: DataFrame) -> list[tuple[str, bool]]:
+    """Terms from ``(text, toxic)`` rows and their ``count_words``: text and whether it is a stem."""
     least = max(LEAST_TOXIC, LEAST_SHARE * labelled.where("toxic > 0").count())
-    words = labelled.mapInArrow(_word_counts(), "word string, toxic bigint, clean bigint").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     cut = words.select("toxic", "clean", F.explode(F.expr(
         f"concat(transform(sequence({SHORTEST}, least({LONGEST}, char_length(word))), k -> substring(word, 1, k)), array(concat(substring(word, 1, {LONGEST}), '$')))")).alias("start"))
     rows = cut.groupBy("start").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(
@@ -191,9 +227,19 @@ def learn_terms(labelled: DataFrame) -> list[tuple[str, bool]]:
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
-    """Weights of a logistic model (the last: constant), by Newton's method;
-    a feature that the sample never shows gets half the weight of a direct hit."""
-    a = np.hstack([x, np.ones((len(x), 1))])
+    """Weights of a logistic model (the last: constant), by Newton's method.  The
+    ridge draws a misspelled hit's weight to a direct one's, and it is at least 0;
+    quoted hits that the sample never shows get half the weight of a direct hit."""
+    w = _newton(np.column_stack([x[:, 0] + x[:, 1], x[:, 1:], np.ones(len(x))]), y, ridge)
+    w[1] += w[0]
+    if w[1] < 0:  # then the best one that is not negative is 0
+        w = np.insert(_newton(np.column_stack([x[:, 0], x[:, 2:], np.ones(len(x))]), y, ridge), 1, 0.0)
+    if not x[:, 2].any():
+        w[2] = w[0] / 2
+    return w
+
+
+def _newton(a: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
     w = np.zeros(a.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip((a * w).sum(axis=1), -30, 30)))
@@ -202,9 +248,6 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
         w += step
         if np.abs(step).max() < 1e-8:
             break
-    for c in range(1, x.shape[1]):
-        if not x[:, c].any():
-            w[c] = w[0] / 2
     return w
 
 
@@ -220,27 +263,29 @@ def _featured(lexicon: Lexicon):
     return featured
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[list[tuple[str, bool]], list[float]]:
-    """Terms and weights from labelled documents outside the held-out fifth."""
+def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[Lexicon, list[float]]:
+    """Lexicon and weights from labelled documents outside the held-out fifth."""
     doc_id = F.col("doc_id").cast("bigint")
     usable = labels.select(doc_id.alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic is not null").where(
         F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
     sample = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     labelled = C.staged(docs.sparkSession, docs.select(doc_id.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(
-        F.broadcast(sample), "doc_id").select("text", "toxic"), "labelled")  # at most sample_docs ids are broadcast
-    terms = learn_terms(labelled)
-    rows = labelled.dropDuplicates().mapInArrow(_featured(Lexicon(terms)), "f array<double>, toxic int").collect()  # three numbers a labelled text
+        F.broadcast(sample), "doc_id").select("text", "toxic"), "labelled").dropDuplicates()  # at most sample_docs ids are broadcast
+    words = C.staged(docs.sparkSession, count_words(labelled), "labelled-words")
+    terms = learn_terms(labelled, words)
+    lexicon = Lexicon(terms, ordinary=ordinary_words(words, terms))
+    rows = labelled.mapInArrow(_featured(lexicon), "f array<double>, toxic int").collect()  # three numbers a labelled text
     y = np.array([r["toxic"] > 0 for r in rows], float)
     if not len(y) or y.min() == y.max():
-        return terms, []
-    return terms, fit(np.array([r["f"] for r in rows]), y).tolist()
+        return lexicon, []
+    return lexicon, fit(np.array([r["f"] for r in rows]), y).tolist()
 
 
-def _scored(terms, weights, columns: list[pa.Field]):
+def _scored(lexicon, weights, columns: list[pa.Field]):
     schema = pa.schema([*columns, ("score", pa.float64())])
 
     def scored(batches):
-        lexicon, known, w = Lexicon(terms), {}, np.array(weights)
+        known, w = {}, np.array(weights)
         for batch in batches:
             if not len(batch):
                 continue
@@ -254,19 +299,19 @@ def _scored(terms, weights, columns: list[pa.Field]):
 
 def score_documents(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """Per document ``doc_id, id, h`` (``common.keyed``), ``held_out``, ``score``, ``predicted``."""
-    terms, weights = train(docs, labels, sample_docs)
+    lexicon, weights = train(docs, labels, sample_docs)
     fields = [pa.field("doc_id", pa.int64()), pa.field("id", pa.int64()), pa.field("h", pa.int64())]
-    scored = C.keyed(docs).mapInArrow(_scored(terms, weights, fields), "doc_id bigint, id bigint, h bigint, score double")
+    scored = C.keyed(docs).mapInArrow(_scored(lexicon, weights, fields), "doc_id bigint, id bigint, h bigint, score double")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(True))
     return scored.select("doc_id", "id", "h", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """The rows, with all their columns, that score under ``threshold``."""
-    terms, weights = train(docs, labels, sample_docs)
+    lexicon, weights = train(docs, labels, sample_docs)
 
     def clean(batches):
-        lexicon, known, w = Lexicon(terms), {}, np.array(weights)
+        known, w = {}, np.array(weights)
         for batch in batches:
             if len(w) and len(batch):
                 score = 1 / (1 + np.exp(-np.clip(features(batch, lexicon, known) @ w[:-1] + w[-1], -700, 700)))

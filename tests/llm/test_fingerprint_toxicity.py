@@ -140,6 +140,27 @@ def test_held_out_accuracy_and_quotation(spark, docs_of):
     assert len(got) == len(docs) + len(extra)
 
 
+def test_misspelled_terms_count_beside_ordinary_neighbours(spark, docs_of):
+    docs, labels = toxic_corpus(spark)
+    r = random.Random(7)
+    truth = {x.doc_id: x.toxic for x in labels.collect()}
+    near = ["oron", "clowns", "lowei", "rloweixed", "rloweixth"]  # an edit away from moron, clown and the stem loweix
+    docs = [(i, t if truth.get(i) else f"{t} {r.choice(near)} {r.choice(near)}") for i, t in docs]
+    extra = {5000: "the idiit here", 5001: "on morron and pathetc", 5002: "oron the oron", 5003: "he rloweixing on clowns", 5004: "he said idiit"}
+    got = {x.doc_id: x for x in toxicity.score_documents(docs_of(docs + list(extra.items())), labels).collect()}
+    assert [got[i].predicted for i in sorted(extra)][:4] == [1, 1, 0, 0]
+    assert got[5004].score < got[5000].score < got[5001].score
+    assert all(got[i].predicted == 0 for i, t in truth.items() if t == 0 and i in got)
+
+
+def test_misspelled_weight_is_never_negative():
+    x = np.log1p(np.array([[2, 0, 0]] * 30 + [[0, 1, 0]] * 40 + [[0, 0, 0]] * 90, float))
+    y = np.repeat([1.0, 0.0], [30, 130])
+    w = toxicity.fit(x, y)
+    assert w[0] > 1 and w[1] >= 0
+    assert toxicity.fit(np.delete(x, np.s_[30:70], 0), np.delete(y, np.s_[30:70]))[1] > 1  # never shown: as a direct one
+
+
 def test_labels_of_held_out_rows_and_other_columns_change_nothing(spark, docs_of):
     docs, labels = toxic_corpus(spark, 300)
     before = {r.doc_id: r.score for r in toxicity.score_documents(docs_of(docs), labels).collect()}
