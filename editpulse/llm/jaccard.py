@@ -43,7 +43,8 @@ SLOT_BITS = 20
 SLICE_SLOTS = 1 << 14
 #: Rounds in which a list's sets are compared with one centre each.
 STAR_ROUNDS = 3
-#: Members of a centre that one task compares.
+#: Pairs of a centre that are compared at once, about; they have twice as many
+#: members at most.
 GROUP_SETS = 2_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -340,14 +341,22 @@ def _verify(percent: int):
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(center, x, y)`` that link; ``sets`` has all their members.
-    Large groups are split by ``y``."""
-    size = pairs.groupBy("center").agg(F.count("*").alias("size"))
-    part = F.pmod(F.xxhash64("y"), F.ceil(F.col("size") / GROUP_SETS).cast("bigint"))
-    pairs = pairs.join(size, "center").select("center", part.alias("part"), "x", "y")
-    wanted = pairs.select("center", "part", F.explode(F.array_distinct(F.array("center", "x", "y"))).alias("id")).distinct()
-    members = wanted.join(sets, "id").groupBy("center", "part").agg(F.collect_list(F.struct("id", "own")).alias("members"))
-    grouped = pairs.groupBy("center", "part").agg(F.collect_list(F.struct("x", "y")).alias("pairs"))
-    return grouped.join(members, ["center", "part"]).mapInArrow(_verify(percent), "u bigint, v bigint")
+    Large groups are split by ``y``, and the pairs of a ``y`` with many by ``x``."""
+    def split(of: str, *by: str):
+        """``pairs`` numbered by hash of ``of`` in as many parts as the size of their
+        group ``by`` asks for; few groups are that large, a row for each is broadcast."""
+        large = pairs.groupBy(*by).agg(F.ceil(F.count("*") / GROUP_SETS).cast("bigint").alias("parts")).where("parts > 1")
+        return F.broadcast(large), F.pmod(F.xxhash64(of), F.coalesce("parts", F.lit(1)))
+
+    of_center, part = split("y", "center")
+    of_y, block = split("x", "center", "y")
+    pairs = pairs.join(of_center, "center", "left").select("center", part.alias("part"), "x", "y")
+    pairs = pairs.join(of_y, ["center", "y"], "left").select("center", "part", block.alias("block"), "x", "y")
+    key = ["center", "part", "block"]
+    wanted = pairs.select(*key, F.explode(F.array_distinct(F.array("center", "x", "y"))).alias("id")).distinct()
+    members = wanted.join(sets, "id").groupBy(*key).agg(F.collect_list(F.struct("id", "own")).alias("members"))
+    grouped = pairs.groupBy(*key).agg(F.collect_list(F.struct("x", "y")).alias("pairs"))
+    return grouped.join(members, key).mapInArrow(_verify(percent), "u bigint, v bigint")
 
 
 def similar_groups(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> DataFrame:

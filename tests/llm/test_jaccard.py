@@ -4,6 +4,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from editpulse.llm import components, jaccard
@@ -59,6 +60,35 @@ def test_components_equal_brute_force(docs_of, seed):
     assert got == groups(rows)
 
 
+def test_pairs_of_one_set_with_a_large_group_are_split(spark, monkeypatch):
+    """``y`` of another component has pairs with all members of one centre."""
+    def counted(percent):
+        def count(batches):
+            for batch in batches:
+                sizes = [[len(v) for v in batch[c].to_pylist()] for c in ("pairs", "members")]
+                yield pa.RecordBatch.from_arrays([pa.array(s, pa.int64()) for s in sizes], names=["u", "v"])
+        return count
+
+    many, bound = 1000, 100
+    pairs = [(0, x, 5000) for x in range(many)] + [(0, 1, y) for y in range(6000, 6010)] + [(7, 7, 5000)]
+    pairs = spark.createDataFrame(pairs, "center bigint, x bigint, y bigint")
+    sets = spark.createDataFrame([(i, bytearray(8)) for i in [*range(many), 5000, *range(6000, 6010)]], "id bigint, own binary")
+    linked = {(r.u, r.v) for r in jaccard._links(pairs, sets, 80).collect()}
+    monkeypatch.setattr(jaccard, "GROUP_SETS", bound)
+    assert {(r.u, r.v) for r in jaccard._links(pairs, sets, 80).collect()} == linked and len(linked) == many + 10
+    monkeypatch.setattr(jaccard, "_verify", counted)
+    sizes = [(r.u, r.v) for r in jaccard._links(pairs, sets, 80).collect()]
+    assert sum(u for u, _ in sizes) == many + 11 and max(u for u, _ in sizes) < 2 * bound and max(v for _, v in sizes) < 2 * bound
+
+
+@pytest.mark.parametrize("bound", [1, 7])
+def test_split_groups_equal_brute_force(docs_of, monkeypatch, bound):
+    monkeypatch.setattr(jaccard, "GROUP_SETS", bound)
+    rows = list(enumerate(near_copies(5)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar_groups(docs_of(rows)).collect()}
+    assert got == groups(rows)
+
+
 def test_null_ids_repeated_rows_and_empty_table(docs_of):
     t = "one two three four five six seven"
     got = jaccard.similar_groups(docs_of([(4, t), (4, t), (9, t), (None, t), (None, None), (1, "")])).collect()
