@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +20,9 @@ from editpulse.llm import common as C
 
 #: A run is split after so many windows, which bounds the strings that travel.
 RUN_WINDOWS = 1024
-#: A key with so many runs is hot: its windows travel one by one, each dealt
-#: out by its own content, so no task gets all texts around a common phrase.
+#: A key with so many runs is hot: its windows travel one by one and are never
+#: gathered.  The least place of each is aggregated on both sides of the shuffle,
+#: and the others are joined with it by their text.
 HOT_RUNS = 20_000
 #: Bytes of strings a task matches at once.
 PIECE_BYTES = 8 << 20
@@ -74,16 +74,26 @@ def repeats(docs: DataFrame, seeds: DataFrame, window: int, of_words: bool) -> D
     words, if it also starts in a document of smaller ``id``.
     """
     n = C.partitions(docs.sparkSession)
-    wanted = seeds.groupBy("id").agg(F.collect_set(F.struct("start", "n", "key", "hot")).alias("runs"))
-    strings = docs.join(wanted, "id").mapInArrow(
-        _cutter(window, of_words), "key bigint, id bigint, h bigint, start int, s binary")
-    found = strings.repartition(n, "key").sortWithinPartitions("key").mapInArrow(
+
+    def cut(runs):
+        wanted = runs.groupBy("id").agg(F.collect_set(F.struct("start", "n", "key", "hot")).alias("runs"))
+        return docs.join(wanted, "id").mapInArrow(_cutter(window, of_words), "key bigint, id bigint, h bigint, start int, s binary")
+
+    found = cut(seeds.where("not hot")).repartition(n, "key").sortWithinPartitions("key").mapInArrow(
         _matcher(window, of_words), "id bigint, h bigint, a int, b int")
+    found = found.unionByName(_later(cut(seeds.where("hot")), window, of_words))
     found = found.groupBy("id").agg(F.collect_list(F.struct("h", "a", "b")).alias("spans"))
     # Both joins deal the texts out by id, so they travel once.
     return docs.join(found, "id", "left").withColumn("spans", F.filter("spans", lambda s: s["h"] == F.col("h")))
 
 
+def _later(places: DataFrame, window: int, of_words: bool) -> DataFrame:
+    """Ranges ``id, h, a, b`` of the single windows ``s`` that also start earlier."""
+    least = places.groupBy("s").agg(F.min(F.struct("id", "h", "start")).alias("least"))
+    later = F.col("id") > F.col("least.id") if of_words else F.struct("id", "h", "start") != F.col("least")
+    return places.join(least, "s").where(later).select("id", "h", F.col("start").alias("a"), (F.col("start") + window).alias("b"))
+
+
 def _cutter(window: int, of_words: bool):
     schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("h", pa.int64()), ("start", pa.int32()), ("s", pa.binary())])
 
@@ -102,8 +112,7 @@ def _cutter(window: int, of_words: bool):
                         if len(s) < size + window - 1:  # a run of another text with this id
                             continue
                         s = b" ".join(s) + b" " if of_words else s
-                        key = r["key"] if not r["hot"] else xxhash.xxh64_intdigest(s) - (1 << 63)
-                        out.append((key, batch["id"][i].as_py(), batch["h"][i].as_py(), start, s))
+                        out.append((r["key"], batch["id"][i].as_py(), batch["h"][i].as_py(), start, s))
                         held += len(s)
                 if held > PIECE_BYTES:
                     yield C.table(schema, *zip(*out))

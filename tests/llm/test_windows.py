@@ -4,7 +4,7 @@ import brute
 import numpy as np
 import pytest
 
-from editpulse.llm import common
+from editpulse.llm import common, windows
 from editpulse.llm.suffixindex import SuffixArrayFamily, dedup_substrings
 from editpulse.llm.superkmer import dedup_windows
 
@@ -35,6 +35,29 @@ def test_superkmer_equals_brute_force(docs_of, seed, hot):
     assert got == want and sum(w[1] for w in want.values()) > 500
 
 
+@pytest.mark.parametrize("of_words", [False, True])
+def test_windows_of_a_hot_key_are_never_gathered(docs_of, monkeypatch, of_words):
+    """One passage in many documents: no task matches the strings of all of them."""
+    passage = " ".join(f"p{j * j}" for j in range(60))
+    rows = [(i, f"{'é' * (i % 7)} head{i} {passage} tail{i * i}") for i in range(60)]
+
+    def refuse(window, of_words):
+        def match(batches):
+            for batch in batches:
+                if len(batch):
+                    raise ValueError("gathered")
+            yield from ()
+        return match
+
+    monkeypatch.setattr(windows, "_matcher", refuse)
+    if of_words:
+        got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in dedup_windows(docs_of(rows), hot_runs=2).collect()}
+        assert got == brute.words_removed(rows)
+    else:
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in dedup_substrings(docs_of(rows), n_batches=1, hot_runs=1).collect()}
+        assert got == brute.bytes_removed(rows)
+
+
 def test_superkmer_null_ids_repeated_rows_and_empty_table(docs_of):
     t = " ".join(f"w{i}" for i in range(80))
     got = sorted(((r.doc_id, r.n_removed) for r in dedup_windows(docs_of([(None, t), (5, t), (5, t), (1, "x"), (None, None)])).collect()), key=str)
