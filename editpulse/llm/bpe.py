@@ -7,8 +7,9 @@ between them has the same ids wherever it stands.  A chunk of texts becomes
 its distinct words and, for every text, the numbers of its words in order
 (their positions).  The words are shuffled once by hash, each distinct word of the
 corpus is encoded once, and its ids go back to the chunks that hold it, where
-the texts are put together by position.  Decoding looks each id up in the
-token-byte table (one row an id, so of fixed size).
+the texts are put together by position.  The query looks the bytes
+of each id up in the encoder's own table; ``decode`` joins the token-byte table
+(one row an id, so of fixed size) and is not on the query's path.
 
 Only distinct words travel, not every occurrence: positions stay beside their
 chunk in a bucketed table.
