@@ -21,9 +21,3 @@ def scratch(spark):
     from editpulse.session import scratch_dir
 
     return scratch_dir(spark, "test")
-
-
-def rows(df, *cols):
-    """Collected rows as sorted tuples of the given columns."""
-    cols = cols or tuple(df.columns)
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())

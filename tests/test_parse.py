@@ -1,7 +1,7 @@
 import json
 
 
-from conftest import rows
+from collected import rows
 from editpulse.functions.parse import (
     namespace_filter,
     parse_edits,

@@ -4,7 +4,7 @@ lose rows."""
 import datetime as dt
 
 import pytest
-from conftest import rows
+from collected import rows
 from pyspark.sql import functions as F
 
 from editpulse import session as sessions

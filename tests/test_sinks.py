@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from collected import rows
 from editpulse.operators.retention import cutoff_day, drop_expired_days, expired_partitions
 from editpulse.sinks.csv import export_csv, read_export
 from editpulse.sinks.jdbc import jdbc_options, write_jdbc

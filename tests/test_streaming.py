@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from collected import rows
 from editpulse.config import JobOptions, WindowSpec
 from editpulse.sources.counts import read_final, read_versioned
 from editpulse.streaming.job import read_lines_stream, run_to_end, start_counts_job

@@ -7,7 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from conftest import rows
+from collected import rows
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")

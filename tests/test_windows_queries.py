@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import rows
+from collected import rows
 from editpulse.config import WindowSpec
 from editpulse.functions.parse import parse_edits
 from editpulse.operators.latest import latest_version
