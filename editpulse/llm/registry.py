@@ -4,7 +4,7 @@ those that SQL can express."""
 from __future__ import annotations
 
 import corpus_pipeline
-from editpulse.llm import bitslice, bpe, fingerprint, jaccard, packing, suffixindex, superkmer, toxicity, urlfilter, warc
+from editpulse.llm import bitslice, bpe, fingerprint, jaccard, linededup, packing, suffixindex, superkmer, toxicity, urlfilter, warc
 
 QUERIES = {
     "op1_warc_derivatives": warc.op1_warc_derivatives,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_substring_dedup": superkmer.op8_substring_dedup,
     "op9_fingerprints": fingerprint.op9_fingerprints,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_line_dedup": linededup.op11_line_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -122,6 +123,16 @@ low AS (SELECT doc_id, min(root) AS component_id FROM walk GROUP BY doc_id)
 SELECT doc_id, CAST(len(x) AS BIGINT) AS n_shingles, component_id FROM s JOIN low USING (doc_id)
 """
 
+ORACLE["op11_line_dedup"] = """
+WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents),
+l AS (SELECT doc_id, unnest(x) AS line, unnest(range(1, len(x) + 1)) AS pos FROM t),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+o AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE doc_id <> last) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE last IS NULL OR doc_id = last), '')) AS kept_sha256
+FROM k LEFT JOIN o USING (key) GROUP BY doc_id
+"""
+
 
 def queries() -> dict:
     return dict(QUERIES)
