@@ -4,7 +4,7 @@ those that SQL can express."""
 from __future__ import annotations
 
 import corpus_pipeline
-from editpulse.llm import bitslice, bpe, fingerprint, jaccard, linededup, packing, suffixindex, superkmer, toxicity, urlfilter, warc
+from editpulse.llm import bitslice, bpe, fingerprint, jaccard, linededup, packing, suffixindex, superkmer, toxicity, urlfilter, warc, whitening
 
 QUERIES = {
     "op1_warc_derivatives": warc.op1_warc_derivatives,
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_fingerprints": fingerprint.op9_fingerprints,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_line_dedup": linededup.op11_line_dedup,
+    "op13_whitening": whitening.op13_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
