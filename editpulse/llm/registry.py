@@ -4,7 +4,7 @@ those that SQL can express."""
 from __future__ import annotations
 
 import corpus_pipeline
-from editpulse.llm import bitslice, bpe, fingerprint, jaccard, linededup, packing, suffixindex, superkmer, toxicity, urlfilter, warc, whitening
+from editpulse.llm import bitslice, bpe, fingerprint, hardneg, jaccard, linededup, packing, suffixindex, superkmer, toxicity, urlfilter, warc, whitening
 
 QUERIES = {
     "op1_warc_derivatives": warc.op1_warc_derivatives,
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_fingerprints": fingerprint.op9_fingerprints,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_line_dedup": linededup.op11_line_dedup,
+    "op12_hard_negatives": hardneg.op12_hard_negatives,
     "op13_whitening": whitening.op13_whitening,
     "pipeline": corpus_pipeline.run,
 }
@@ -134,6 +135,19 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE doc_id <> last) AS n_
 FROM k LEFT JOIN o USING (key) GROUP BY doc_id
 """
 
+ORACLE["op12_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+  s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT * FROM n WHERE rank <= 5
+"""
+
 
 def queries() -> dict:
     return dict(QUERIES)
