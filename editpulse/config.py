@@ -17,6 +17,7 @@ DEFAULT_NAMESPACES = (0,)
 DEFAULT_STARTING_OFFSETS = "latest"
 DEFAULT_JDBC_BATCH_SIZE = 1000
 DEFAULT_RETENTION_DAYS = 30
+DEFAULT_MAX_FUTURE_SKEW = "1 hour"
 
 OUTPUT_MODES = ("update", "append")
 
@@ -86,9 +87,9 @@ class JobOptions:
     idle_batches: bool = True
     state_partitions: int | None = None  # None => the session's shuffle partitions
     state_store: str | None = None  # None => the session's provider; "rocksdb"
-    # Edits stamped further ahead of the clock are rejected before they can move
-    # the watermark.  None accepts any time.
-    max_future_skew: str | None = None
+    # Edits stamped further ahead of the time their message was taken in are
+    # rejected before they can move the watermark.  None accepts any time.
+    max_future_skew: str | None = DEFAULT_MAX_FUTURE_SKEW
 
     def __post_init__(self):
         duration_seconds(self.watermark)

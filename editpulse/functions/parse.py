@@ -27,6 +27,10 @@ FIRST_SECOND, LAST_SECOND = -62135596800, 253402300799
 
 WIRE_FIELDS = ["id", "title", "user", "type", "namespace", "timestamp"]
 
+# When the feed took a message in (a topic's own timestamp, a landed file's time);
+# readers add it, batch inputs may lack it.
+RECEIVED = "received"
+
 
 def sse_frames(lines: DataFrame, col: str = "value") -> DataFrame:
     """Payloads of SSE ``data:`` lines; all other lines are ignored.
@@ -36,7 +40,8 @@ def sse_frames(lines: DataFrame, col: str = "value") -> DataFrame:
     """
     c = F.col(col)
     return lines.where(c.startswith(SSE_DATA_PREFIX)).select(
-        F.expr(f"substring(`{col}`, {len(SSE_DATA_PREFIX) + 1})").alias("value")
+        F.expr(f"substring(`{col}`, {len(SSE_DATA_PREFIX) + 1})").alias("value"),
+        *([RECEIVED] if RECEIVED in lines.columns else []),
     )
 
 
@@ -46,16 +51,20 @@ def parse_edits(messages: DataFrame, col: str = "value", keep_raw: bool = False)
     PERMISSIVE parsing: a field of the wrong type becomes NULL and a message
     that is not JSON becomes an all-NULL row; in both cases the message text
     is kept in ``_corrupt_record``.  ``event_time`` is the Unix-seconds
-    ``timestamp`` as a TimestampType.
+    ``timestamp`` as a TimestampType.  A ``received`` column is kept.
     """
     parsed = F.from_json(
         F.col(col),
         EDIT_PARSE_SCHEMA,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL},
     )
-    cols = [parsed.alias("_e")]
+    cols, kept = [parsed.alias("_e")], []
     if keep_raw:
         cols.append(F.col(col).alias("raw"))
+        kept.append("raw")
+    if RECEIVED in messages.columns:
+        cols.append(F.col(RECEIVED))
+        kept.append(RECEIVED)
     # The parse is a generator (one output row per message), so filters on
     # parsed fields stay above it.  As a plain projection, the optimizer
     # would push each filter below it and substitute ``from_json`` into the
@@ -63,7 +72,7 @@ def parse_edits(messages: DataFrame, col: str = "value", keep_raw: bool = False)
     # output.
     out = messages.select(F.inline(F.array(F.struct(*cols)))).select(
         *[F.col(f"_e.{f.name}").alias(f.name) for f in EDIT_PARSE_SCHEMA.fields],
-        *(["raw"] if keep_raw else []),
+        *kept,
     )
     return with_event_time(out)
 
@@ -83,11 +92,18 @@ def with_event_time(edits: DataFrame) -> DataFrame:
 
 def without_future_time(edits: DataFrame, max_skew_seconds: int | None, now: Column | None = None) -> DataFrame:
     """Take the ``event_time`` of edits more than ``max_skew_seconds`` ahead of
-    ``now`` (default: the current time), so that they are rejected with a reason
-    and cannot move the watermark past all other edits.  None keeps all."""
+    ``now``, so that they are rejected with a reason and cannot move the watermark
+    past all other edits.  None keeps all.
+
+    The default clock is the message's own: when the feed took it in
+    (``received``).  Every reader of a message, and every replay of it, then
+    decides alike.  Only rows without that column are held against the current
+    time."""
     if max_skew_seconds is None:
         return edits
-    latest = F.unix_seconds(now if now is not None else F.current_timestamp()) + F.lit(int(max_skew_seconds))
+    if now is None:
+        now = F.col(RECEIVED) if RECEIVED in edits.columns else F.current_timestamp()
+    latest = F.unix_seconds(now) + F.lit(int(max_skew_seconds))
     return edits.withColumn(EVENT_TIME, F.when(F.col("timestamp") <= latest, F.col(EVENT_TIME)))
 
 
@@ -120,6 +136,13 @@ def reject_reason(table: str = "user_edit_counts") -> Column:
     return reason
 
 
+def reject_reasons(table: str = "user_edit_counts") -> list[str]:
+    """Every reason that ``classify`` can give for ``table``."""
+    src, _, max_len = COUNT_TABLES[table]
+    reasons = ["not_json", "null_timestamp", "timestamp_out_of_range", "timestamp_in_future", f"null_{src}"]
+    return reasons + ([f"{src}_too_long"] if max_len is not None else [])
+
+
 def classify(edits: DataFrame, table: str = "user_edit_counts") -> DataFrame:
     """Add ``reject_reason`` for ``table`` (``not_json`` for text that is no object)."""
     reason = reject_reason(table)

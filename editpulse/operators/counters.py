@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from editpulse.functions.parse import is_json_object, reject_reason
+from editpulse.functions.parse import classify, is_json_object, reject_reasons
 from editpulse.schema import CORRUPT_COL
 
 
@@ -52,17 +52,15 @@ def ingest_counters(parsed: DataFrame, namespaces: Iterable[int] | None = (0,))
     return parsed.agg(*counter_columns(namespaces))
 
 
-# Reasons counted one by one; all others fall under ``rejected_other``.
-REASONS = ("null_timestamp", "timestamp_out_of_range", "timestamp_in_future")
-
-
 def observe_counters(parsed: DataFrame, name: str = "ingest", namespaces: Iterable[int] | None = (0,),
                      table: str = "user_edit_counts") -> DataFrame:
-    """``parsed`` with the counters attached as observed metrics: messages,
-    those seen and sent, and those rejected for ``table``, by reason."""
-    reason = reject_reason(table)
+    """``parsed``, classified for ``table``, with the counters attached as observed
+    metrics: messages, those seen and sent, and those rejected, by the reason that
+    the rejects table states."""
+    if "reject_reason" not in parsed.columns:
+        parsed = classify(parsed, table)
+    reason = F.col("reject_reason")
     return parsed.observe(
         name, *counter_columns(namespaces), F.count(F.lit(1)).alias("messages"), F.count(reason).alias("rejected"),
-        *[F.count_if(reason == r).alias(f"rejected_{r}") for r in REASONS],
-        F.count_if(reason.isNotNull() & ~reason.isin(*REASONS)).alias("rejected_other"),
+        *[F.count_if(reason == r).alias(f"rejected_{r}") for r in reject_reasons(table)],
     )

@@ -7,6 +7,14 @@ by deleting their directories in both the ``versions/`` and ``compacted/``
 areas (a metadata operation through the Hadoop FileSystem API, valid on any
 cluster file system).  Of the boundary day, the rows that are left are written
 again (``drop_expired_rows``).
+
+An append-only table (the append-mode stream's file sink) is another case: the
+sink's log names every file that was committed, a running job goes on
+appending to it, and files must not be written again behind its back.  Its retention
+stores the cutoff beside the log and deletes the folders of days that lie
+before it whole (``drop_expired_final``); ``read_final`` takes the cutoff
+as a bound, which drops the boundary day's expired rows and keeps Spark from
+looking for the deleted files.
 """
 
 from __future__ import annotations
@@ -18,7 +26,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from editpulse.functions.time import epoch_seconds, ts_literal
-from editpulse.sinks.versioned import COMPACTED, VERSIONS, day_of, delete_path, glob_paths, replace_days
+from editpulse.sinks.versioned import COMPACTED, RETENTION, VERSIONS, create_empty, day_of, delete_path, glob_paths, replace_days
 
 
 def cutoff_day(as_of, days: int) -> dt.date:
@@ -77,3 +85,17 @@ def drop_expired_rows(spark: SparkSession, path: str, as_of, days: int, table: s
     for p in gone:
         delete_path(spark, p)
     return True
+
+
+def drop_expired_final(spark: SparkSession, path: str, as_of, days: int) -> list[str]:
+    """Retention of an append-only table; returns the day folders deleted.
+
+    The cutoff is stored first: readers opened after it never ask for the files
+    that go.  An older cutoff changes nothing."""
+    cutoff = epoch_seconds(as_of) - int(days) * 86400
+    create_empty(spark, f"{path.rstrip('/')}/{RETENTION}/kept_from={cutoff}")
+    first = cutoff_day(as_of, days)
+    gone = [p for p in glob_paths(spark, f"{path.rstrip('/')}/window_date=*") if (day_of(p) or first) < first]
+    for p in gone:
+        delete_path(spark, p)
+    return gone

@@ -12,7 +12,7 @@ Results are lazy; collecting is the caller's choice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from editpulse.functions.time import minutes_before, start_of_day, ts_literal
@@ -42,6 +42,16 @@ def last_minutes(counts: DataFrame, as_of, minutes: int) -> DataFrame:
     return in_range(counts, minutes_before(as_of, minutes))
 
 
+def numbered(ordered: DataFrame) -> DataFrame:
+    """The rows with their ``position`` (from 1) in the order they come in.
+
+    For a display's few rows: the positions are given in one task.  They follow the
+    row order of the input itself, so they state it rather than sort again."""
+    rows = ordered.withColumn("_at", F.monotonically_increasing_id())
+    position = F.row_number().over(Window.orderBy("_at"))
+    return rows.select(position.alias("position"), *ordered.columns)
+
+
 def recent_user_edit_counts(counts: DataFrame, as_of, minutes: int = DEFAULT_MINUTES, ordered: bool = True,
                             with_created_at: bool = False) -> DataFrame:
     """All (window, user) rows of the last ``minutes``.

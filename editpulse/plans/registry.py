@@ -47,19 +47,29 @@ from editpulse.sinks.csv import export_csv, read_export
 from editpulse.sinks.versioned import backfill
 from editpulse.sources.counts import read_final, read_newest, read_versioned
 from editpulse.sources.testdata import (
+    FAULT_CYCLE,
+    FAULTS,
+    FAR_SECOND,
+    NO_SECOND,
     edit_events,
     event_time_bounds,
+    faulty_messages,
+    feed_lines,
     sse_capture,
+    sse_lines,
     wire_messages,
 )
+from editpulse.sources.text import read_lines
+from editpulse.streaming.ingest import start_ingest_job
 from editpulse.streaming.job import (
     edit_counts,
     read_lines_stream,
     run_to_end,
     start_counts_job,
+    start_split_job,
     stream_session,
 )
-from editpulse.streaming.replay import replay_chunks
+from editpulse.streaming.replay import replay_chunks, replay_parts
 
 # Fixed values of the test harness: the clock the range queries run at
 # (just after the last event of the data) and the "today" clock.
@@ -85,6 +95,8 @@ STREAM_CHUNKS = 6
 STREAM_WATERMARK = "2 minutes"
 # Option of the replay's job; fixed, as it is fixed for a checkpoint's lifetime.
 STREAM_STATE_PARTITIONS = 8
+# A watermark longer than the data, for the replay in an order of its own.
+LONG_WATERMARK = "60 days"
 # The chunk the late-data query delivers last (of STREAM_CHUNKS).
 LATE_CHUNK = 3
 
@@ -117,7 +129,7 @@ def counts(
     since = None
     if window_start_from is not None:
         since = first_event_second(window_start_from, window.step_seconds)
-    return count_table(edit_events(spark, sf_dir, since), table, window)
+    return count_table(edit_events(spark, sf_dir, since, page_fields=table != "user_edit_counts"), table, window)
 
 
 def _recent(spark, sf_dir, minutes, as_of=AS_OF, table="user_edit_counts", window=HOUR):
@@ -131,7 +143,7 @@ def _sse_parsed(spark: SparkSession, sf_dir: str, keep_raw: bool = False) -> Dat
 def run_stream(spark: SparkSession, sf_dir: str, output_mode: str,
                n_chunks: int = STREAM_CHUNKS, progress: list | None = None,
                order: list[int] | None = None, kind: str = "user_edit_counts",
-               window: WindowSpec = HOUR) -> str:
+               window: WindowSpec = HOUR, sse: bool = False, by_id: bool = False) -> str:
     """Run the streaming job over the events replayed in chunks; returns the
     path of the table its sink wrote.
 
@@ -139,11 +151,14 @@ def run_stream(spark: SparkSession, sf_dir: str, output_mode: str,
     the shared scratch root (``spark.checkpoint.dir``).  ``progress``, when
     given, receives the progress report of every micro-batch.  ``order``
     is the delivery order of the chunks (default: time order); ``kind`` the
-    count table the job maintains, over windows ``window``.
+    count table the job maintains, over windows ``window``.  With ``sse`` the
+    feed is SSE text.  With ``by_id`` a chunk is the events of one remainder of
+    ``event_id``, spread over all of the time, under a watermark longer than it: most
+    keys are emitted again by every chunk.
     """
     options = JobOptions(
-        window=window, watermark=STREAM_WATERMARK, trigger=None,
-        output_mode=output_mode, namespaces=None,
+        window=window, watermark=LONG_WATERMARK if by_id else STREAM_WATERMARK, trigger=None,
+        output_mode=output_mode, namespaces=None, sse_framed=sse,
         # Update mode emits nothing in idle batches; skipping them also makes
         # each restart behave like one continuous run.
         idle_batches=output_mode == "append",
@@ -159,13 +174,68 @@ def run_stream(spark: SparkSession, sf_dir: str, output_mode: str,
         if progress is not None:
             progress.extend(q.recentProgress)
 
+    lines = sse_lines if sse else to_wire_json
+    if by_id:
+        edits = edit_events(spark, sf_dir)
+        replay_parts([edits.where(F.col("id").cast("bigint") % n_chunks == i) for i in range(n_chunks)], landing, run, lines)
+        return table
     replay_chunks(
         lambda lo, hi: edit_events(spark, sf_dir, lo, hi),
-        event_time_bounds(spark, sf_dir), landing, n_chunks, run, order,
+        event_time_bounds(spark, sf_dir), landing, n_chunks, run, order, lines,
     )
     return table
 
 
+def run_split_stream(spark: SparkSession, sf_dir: str, kind: str = "user_edit_counts", window: WindowSpec = HOUR,
+                     n_chunks: int = STREAM_CHUNKS, progress: list | None = None) -> tuple[str, str]:
+    """Replay the events, some with each fault of ``faulty_messages``, through the job with
+    two outputs; returns the paths of its counts and its rejects."""
+    options = JobOptions(window=window, watermark=STREAM_WATERMARK, trigger=None, namespaces=None,
+                         idle_batches=False, state_partitions=STREAM_STATE_PARTITIONS)
+    root = scratch_dir(spark, "stream-split")
+    landing, table, bad = f"{root}/landing", f"{root}/table", f"{root}/rejects"
+    streaming = stream_session(spark, options)
+
+    def run(_chunk: int) -> None:
+        q = run_to_end(start_split_job(read_lines_stream(streaming, f"{landing}/*"), options, table, bad, f"{root}/checkpoint", kind))
+        if progress is not None:
+            progress.extend(q.recentProgress)
+
+    replay_chunks(lambda lo, hi: edit_events(spark, sf_dir, lo, hi), event_time_bounds(spark, sf_dir), landing, n_chunks, run,
+                  as_lines=faulty_messages)
+    return table, bad
+
+
+def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the jobs of the user and the page table set aside, with every reason that
+    a message can be rejected for."""
+    parts = []
+    for kind, window in (("user_edit_counts", HOUR), ("top_pages", DAY)):
+        bad = spark.read.parquet(run_split_stream(spark, sf_dir, kind, window)[1])
+        parts.append(bad.select(F.lit(kind).alias("for_table"), "raw", "reject_reason"))
+    return parts[0].unionByName(parts[1])
+
+
+def stream_counts_beside_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that the job with two outputs stored."""
+    table, _ = run_split_stream(spark, sf_dir)
+    return read_versioned(spark, table).select("window_start", "window_end", "user_name", "edit_count")
+
+
+def ingested_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingest job over the feed's SSE text in chunks: framed lines, allow-list, whole
+    messages into a topic dump, read back."""
+    options = JobOptions(trigger=None, namespaces=PIPELINE_NAMESPACES, sse_framed=True)
+    root = scratch_dir(spark, "ingest")
+
+    def run(_chunk: int) -> None:
+        run_to_end(start_ingest_job(read_lines_stream(spark, f"{root}/landing/*"), options, f"{root}/checkpoint", f"{root}/topic"))
+
+    replay_chunks(lambda lo, hi: edit_events(spark, sf_dir, lo, hi), event_time_bounds(spark, sf_dir), f"{root}/landing", 2, run,
+                  as_lines=feed_lines)
+    return read_lines(spark, f"{root}/topic")
+
+
 def stream_counts(spark: SparkSession, sf_dir: str, output_mode: str,
                   n_chunks: int = STREAM_CHUNKS, progress: list | None = None) -> DataFrame:
     """Run the streaming job (``run_stream``) and return a batch read of
@@ -310,6 +380,14 @@ def _queries() -> dict[str, Query]:
     q["stream_top_pages"] = lambda s, d: wallclock(stream_top_pages(s, d))
     q["stream_user_edit_counts_late_chunk"] = lambda s, d: wallclock(late_chunk_stream_counts(s, d))
 
+    q["stream_user_edit_counts_sse"] = lambda s, d: wallclock(read_versioned(
+        s, run_stream(s, d, "update", n_chunks=2, sse=True)).select("window_start", "window_end", "user_name", "edit_count"))
+    q["stream_user_edit_counts_reemitted"] = lambda s, d: wallclock(read_versioned(
+        s, run_stream(s, d, "update", n_chunks=3, by_id=True)).select("window_start", "window_end", "user_name", "edit_count"))
+    q["stream_rejected_edits"] = stream_rejected
+    q["stream_counts_beside_rejects"] = lambda s, d: wallclock(stream_counts_beside_rejects(s, d))
+    q["ingest_wire"] = ingested_messages
+
     # --- stored table (backfill + latest-version read) -------------------
     q["stored_user_edit_counts"] = lambda s, d: wallclock(
         stored_counts(s, d).select("window_start", "window_end", "user_name", "edit_count")
@@ -363,6 +441,17 @@ def _queries() -> dict[str, Query]:
     )
     q["row_count"] = lambda s, d: dash.row_count(counts(s, d))
     q["top_pages"] = lambda s, d: wallclock(dash.top_pages(counts(s, d, "top_pages", DAY), TOP_PAGES_K))
+    # rows in their order, numbered: a wrong order is a wrong number
+    q["ordered_edit_timeline_desc"] = lambda s, d: wallclock(dash.numbered(
+        dash.edit_timeline(_recent(s, d, 24 * 60), AS_OF, 24 * 60, descending=True)))
+    q["ordered_edit_timeline"] = lambda s, d: wallclock(dash.numbered(
+        dash.edit_timeline(_recent(s, d, 24 * 60), AS_OF, 24 * 60)))
+    q["ordered_recent_user_edit_counts"] = lambda s, d: wallclock(dash.numbered(
+        dash.recent_user_edit_counts(_recent(s, d, RANGE_MINUTES), AS_OF, RANGE_MINUTES)))
+    q["ordered_recent_user_activity"] = lambda s, d: wallclock(dash.numbered(
+        dash.recent_user_activity(_recent(s, d, 24 * 60), AS_OF)))
+    q["ordered_top_users"] = lambda s, d: dash.numbered(
+        dash.top_users(_recent(s, d, RANGE_MINUTES), AS_OF, RANGE_MINUTES, 20))
     q["retention_keep"] = lambda s, d: wallclock(
         dash.retention_keep(_recent(s, d, RETENTION_DAYS * 24 * 60), AS_OF, RETENTION_DAYS)
     )
@@ -493,6 +582,29 @@ def _oracle() -> dict[str, str]:
         f"b.lo + {LATE_CHUNK} * b.step AND \"timestamp\" < b.lo + {LATE_CHUNK + 1} * b.step))",
         _counts_cte("uec", '"user"', "user_name", HOUR).replace("FROM edits", "FROM on_time"),
     ) + "SELECT * FROM uec"
+    o["stream_user_edit_counts_sse"] = _with(_EDITS, _uec(HOUR, f"WHERE {ok_time}")) + "SELECT * FROM uec"
+    o["stream_user_edit_counts_reemitted"] = WU + "SELECT * FROM uec"
+    fault = lambda name: str(FAULTS.index(name))
+    faulty = f"""faulty AS (
+  SELECT *, CASE f WHEN {fault("cut off")} THEN 'cut off: ' || id ELSE CAST(to_json({{'id': id, 'title': shown_title, 'user': shown_user, 'type': type,
+     'namespace': namespace, 'timestamp': CASE f WHEN {fault("timestamp overflows")} THEN {NO_SECOND} WHEN {fault("timestamp in the year 3000")} THEN {FAR_SECOND}
+       WHEN {fault("no timestamp")} THEN NULL ELSE "timestamp" END}}) AS VARCHAR) END AS plain,
+     CAST(to_json({{'id': id, 'title': title, 'user': "user", 'type': type, 'namespace': namespace, 'timestamp': CAST("timestamp" AS VARCHAR)}}) AS VARCHAR) AS drift
+  FROM (SELECT *, CASE f WHEN {fault("no title")} THEN NULL WHEN {fault("title too long")} THEN repeat('t', 501) ELSE title END AS shown_title,
+    CASE f WHEN {fault("no user")} THEN NULL WHEN {fault("user too long")} THEN repeat('u', 256) ELSE "user" END AS shown_user
+    FROM (SELECT *, CAST(id AS BIGINT) % {FAULT_CYCLE} AS f FROM edits))
+)"""
+    early = f"""WHEN {fault("cut off")} THEN 'not_json' WHEN {fault("no timestamp")} THEN 'null_timestamp' WHEN {fault("timestamp as text")} THEN 'null_timestamp'
+  WHEN {fault("timestamp overflows")} THEN 'timestamp_out_of_range' WHEN {fault("timestamp in the year 3000")} THEN 'timestamp_in_future'"""
+    message = f"CASE f WHEN {fault('timestamp as text')} THEN drift ELSE plain END AS raw"
+    o["stream_rejected_edits"] = _with(_EDITS, faulty) + f"""
+SELECT * FROM (SELECT 'user_edit_counts' AS for_table, {message}, CASE f {early} WHEN {fault("no user")} THEN 'null_user' WHEN {fault("user too long")} THEN 'user_too_long' END AS reject_reason FROM faulty
+  UNION ALL SELECT 'top_pages', {message}, CASE f {early} WHEN {fault("no title")} THEN 'null_title' WHEN {fault("title too long")} THEN 'title_too_long' END FROM faulty)
+WHERE reject_reason IS NOT NULL"""
+    counted = f'WHERE CAST(id AS BIGINT) % {FAULT_CYCLE} NOT IN ({", ".join(map(fault, FAULTS[:FAULTS.index("no title")]))})'
+    o["stream_counts_beside_rejects"] = _with(_EDITS, _uec(HOUR, counted)) + "SELECT * FROM uec"
+    o["ingest_wire"] = W + """SELECT CAST(to_json({'id': id, 'title': title, 'user': "user", 'type': type, 'namespace': namespace, 'timestamp': "timestamp", 'wiki': wiki,
+  'bot': CAST(id AS BIGINT) % 2 = 0, 'meta': {'id': 'evt-' || id, 'domain': 'example'}}) AS VARCHAR) AS value FROM edits WHERE namespace IN (0)"""
     o["stream_user_edit_counts_final"] = WU + (
         "SELECT * FROM uec WHERE window_end <= "
         f"(SELECT max(event_time) FROM edits) - INTERVAL '{STREAM_WATERMARK}'"
@@ -505,6 +617,20 @@ def _oracle() -> dict[str, str]:
     )
 
     r = RANGE_MINUTES
+
+    def numbered(columns: str, order: str, rows: str) -> str:
+        return WU + f"SELECT CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS position, {columns} FROM ({rows})"
+
+    timeline = f"SELECT window_start, CAST(sum(edit_count) AS BIGINT) AS total_edits FROM uec WHERE {_since(24 * 60)} GROUP BY window_start"
+    o["ordered_edit_timeline_desc"] = numbered("window_start, total_edits", "window_start DESC", timeline)
+    o["ordered_edit_timeline"] = numbered("window_start, total_edits", "window_start", timeline)
+    o["ordered_recent_user_edit_counts"] = numbered(
+        "window_start, window_end, user_name, edit_count", "window_start DESC, edit_count DESC, user_name", f"SELECT * FROM uec WHERE {_since(r)}")
+    o["ordered_recent_user_activity"] = numbered(
+        "window_start, user_name, edit_count", "window_start DESC, user_name", f"SELECT * FROM uec WHERE {_since(24 * 60)}")
+    o["ordered_top_users"] = numbered(
+        "user_name, total_edits", "total_edits DESC, user_name",
+        f"SELECT user_name, CAST(sum(edit_count) AS BIGINT) AS total_edits FROM uec WHERE {_since(r)} GROUP BY user_name ORDER BY total_edits DESC, user_name LIMIT 20")
     o["stored_top_users"] = WU + (
         f"SELECT user_name, CAST(sum(edit_count) AS BIGINT) AS total_edits FROM uec WHERE {_since(r)} "
         "GROUP BY user_name ORDER BY total_edits DESC, user_name LIMIT 20"

@@ -33,6 +33,8 @@ VERSIONS = "versions"
 COMPACTED = "compacted"
 # Empty file in a version partition whose rows a compaction has folded.
 FOLDED = "_folded"
+# Folder of an append-only table with its retention cutoffs (empty files).
+RETENTION = "_retention"
 
 
 def utc_date(col):
@@ -67,6 +69,18 @@ def write_version(batch: DataFrame, path: str, batch_id: int) -> dict:
     return metrics
 
 
+def write_rejects(batch: DataFrame, path: str, batch_id: int) -> int:
+    """Write one micro-batch's rejected messages as part ``batch_id`` of the
+    rejects table, in place of what a failed run left there; returns their number."""
+    target = f"{path.rstrip('/')}/batch_id={int(batch_id)}"
+    obs = Observation(f"rejects_{batch_id}")
+    batch.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
+    n = int(obs.get["rows"] or 0)
+    if not n:
+        delete_path(batch.sparkSession, target)
+    return n
+
+
 class VersionedUpsert:
     """``foreachBatch`` callback writing each batch as a new version."""
 
@@ -129,6 +143,11 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(st.getPath().toString() for st in (fs.globStatus(hp) or []))
 
 
+def create_empty(spark: SparkSession, path: str) -> None:
+    fs, hp = _fs(spark, path)
+    fs.create(hp).close()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, hp = _fs(spark, path)
     fs.delete(hp, True)
@@ -165,8 +184,7 @@ def compact(spark: SparkSession, path: str, through_day: dt.date, table: str = "
     replace_days(spark, path, read_versioned(spark, path, table, days=days, with_batch_id=True))
     for p in parts:
         if day_of(p) in days:
-            fs, marker = _fs(spark, f"{p}/{FOLDED}")
-            fs.create(marker).close()
+            create_empty(spark, f"{p}/{FOLDED}")
     return days
 
 

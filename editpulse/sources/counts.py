@@ -2,10 +2,11 @@
 
 ``read_versioned`` is the read side of ``editpulse.sinks.versioned``: the
 current row per key is the one with the highest ``batch_id`` over the
-``versions/`` and ``compacted/`` areas.  A lower bound on ``window_start``
-prunes ``window_date`` directories before any file is opened and is pushed
-to the Parquet scan as well.  ``read_final`` reads an append-only table
-(one row per key by construction).
+``versions/`` and ``compacted/`` areas.  Only the folders of the days asked for are
+handed to Spark (below the area's ``basePath``), so no other day's files are listed;
+a lower bound on ``window_start`` is pushed to the Parquet scan as well.
+``read_final`` reads an append-only table (one row per key by construction),
+less what its retention has taken off.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 from editpulse.functions.time import epoch_seconds, ts_literal
 from editpulse.operators.latest import latest_version
 from editpulse.schema import COUNT_TABLES, count_table_schema
-from editpulse.sinks.versioned import COMPACTED, FOLDED, VERSIONS, day_of, glob_paths, path_exists
+from editpulse.sinks.versioned import COMPACTED, FOLDED, RETENTION, VERSIONS, day_of, glob_paths, path_exists
 
 
 def _stored_schema(table: str, batch_id: bool) -> T.StructType:
@@ -33,15 +34,21 @@ def _stored_schema(table: str, batch_id: bool) -> T.StructType:
     return T.StructType(fields)
 
 
-def _restrict(df: DataFrame, since_epoch: int | None, days: Sequence[dt.date] | None) -> DataFrame:
-    if days is not None:
-        df = df.where(F.col("window_date").isin(list(days)))
+def _since(df: DataFrame, since_epoch: int | None) -> DataFrame:
     if since_epoch is None:
         return df
-    day = dt.datetime.fromtimestamp(epoch_seconds(since_epoch), dt.timezone.utc).date()
-    return df.where(F.col("window_date") >= F.lit(day)).where(
-        F.col("window_start") >= ts_literal(since_epoch)
-    )
+    return df.where(F.col("window_date") >= F.lit(_day(since_epoch))).where(F.col("window_start") >= ts_literal(since_epoch))
+
+
+def _day(epoch) -> dt.date:
+    return dt.datetime.fromtimestamp(epoch_seconds(epoch), dt.timezone.utc).date()
+
+
+def _day_folders(spark: SparkSession, pattern: str, since_epoch: int | None, days: Sequence[dt.date] | None) -> dict[str, dt.date]:
+    """The day folders of one area that a read needs, with their days."""
+    first = None if since_epoch is None else _day(since_epoch)
+    found = {p: day_of(p) for p in glob_paths(spark, f"{pattern}/window_date=*")}
+    return {p: d for p, d in found.items() if d is not None and (first is None or d >= first) and (days is None or d in days)}
 
 
 def read_versioned(
@@ -63,33 +70,32 @@ def read_versioned(
     _, key, _ = COUNT_TABLES[table]
     schema = _stored_schema(table, True)
     root = path.rstrip("/")
-    has_versions = path_exists(spark, f"{root}/{VERSIONS}")
-    has_compacted = path_exists(spark, f"{root}/{COMPACTED}")
-    if not (has_versions or has_compacted):
+    if not (path_exists(spark, f"{root}/{VERSIONS}") or path_exists(spark, f"{root}/{COMPACTED}")):
         raise FileNotFoundError(f"no count table at {path}")
     cols = ["window_start", "window_end", key, "edit_count", "created_at"] + (
         ["batch_id"] if with_batch_id else [])
-    versions = f"{root}/{VERSIONS}/batch_id=*/window_date=*"
-    folded = {p.rsplit("/", 1)[0] for p in glob_paths(spark, f"{versions}/{FOLDED}")}
-    open_days = sorted({d for d in (day_of(p) for p in glob_paths(spark, versions) if p not in folded) if d is not None})
+    batches = f"{root}/{VERSIONS}/batch_id=*"
+    folded = {p.rsplit("/", 1)[0] for p in glob_paths(spark, f"{batches}/window_date=*/{FOLDED}")}
+    versions = {p: d for p, d in _day_folders(spark, batches, since_epoch, days).items() if p not in folded}
+    compacted = _day_folders(spark, f"{root}/{COMPACTED}", since_epoch, days)
+    open_days = set(versions.values())
+
+    def read(area: str, folders: list[str]) -> DataFrame:
+        rows = spark.read.schema(schema).option("basePath", f"{root}/{area}").parquet(*folders)
+        return _since(rows, since_epoch)
+
     parts = []
-    if has_compacted:
-        compacted = _restrict(spark.read.schema(schema).parquet(f"{root}/{COMPACTED}"), since_epoch, days)
-        if open_days:
-            parts.append(compacted.where(~F.col("window_date").isin(open_days)).select(*cols))
-        else:
-            parts.append(compacted.select(*cols))
-    if open_days and has_versions:
-        mixed = _restrict(spark.read.schema(schema).parquet(f"{root}/{VERSIONS}"), since_epoch, days).where(
-            F.col("window_date").isin(open_days))
-        if has_compacted:
-            mixed = mixed.unionByName(
-                _restrict(spark.read.schema(schema).parquet(f"{root}/{COMPACTED}"), since_epoch, days)
-                .where(F.col("window_date").isin(open_days))
-            )
+    closed = [p for p, d in compacted.items() if d not in open_days]
+    if closed:
+        parts.append(read(COMPACTED, closed).select(*cols))
+    if versions:
+        mixed = read(VERSIONS, list(versions))
+        before = [p for p, d in compacted.items() if d in open_days]
+        if before:
+            mixed = mixed.unionByName(read(COMPACTED, before))
         values = ["window_end", "edit_count", "created_at"] + (["batch_id"] if with_batch_id else [])
         parts.append(latest_version(mixed, ["window_start", key], "batch_id", values).select(*cols))
-    if not parts:  # every day expired
+    if not parts:  # every day expired, or none in the range
         return spark.createDataFrame([], schema).select(*cols)
     out = parts[0]
     for extra in parts[1:]:
@@ -118,7 +124,19 @@ def read_newest(spark: SparkSession, path: str, enough: Callable[[DataFrame], bo
 def read_final(
     spark: SparkSession, path: str, table: str = "user_edit_counts", since_epoch: int | None = None
 ) -> DataFrame:
-    """Rows of an append-only (finalised) count table."""
+    """Rows of an append-only (finalised) count table that its retention has left.
+
+    Spark lists the table from the file sink's log.  The cutoff that
+    ``operators.retention.drop_expired_final`` has stored is a filter on the day
+    partitions, so files of expired days, still in the log, are not looked for."""
     _, key, _ = COUNT_TABLES[table]
     raw = spark.read.schema(_stored_schema(table, False)).parquet(path)
-    return _restrict(raw, since_epoch, None).select("window_start", "window_end", key, "edit_count")
+    kept_from = retained_from(spark, path)
+    since = [epoch_seconds(e) for e in (kept_from, since_epoch) if e is not None]
+    return _since(raw, max(since) if since else None).select("window_start", "window_end", key, "edit_count")
+
+
+def retained_from(spark: SparkSession, path: str) -> int | None:
+    """The latest retention cutoff (epoch seconds) of an append-only table."""
+    marks = [p.rsplit("=", 1)[1] for p in glob_paths(spark, f"{path.rstrip('/')}/{RETENTION}/kept_from=*")]
+    return max(map(int, marks), default=None)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editpulse.config import DEFAULT_STARTING_OFFSETS
-from editpulse.functions.parse import to_wire_json
+from editpulse.functions.parse import RECEIVED, to_wire_json
 
 # Producer defaults of the ingest step.
 PRODUCER_DEFAULTS = {
@@ -37,11 +37,17 @@ def source_options(servers: str, topic: str, starting_offsets: str = DEFAULT_STA
 
 def kafka_source(spark: SparkSession, servers: str, topic: str,
                  starting_offsets: str = DEFAULT_STARTING_OFFSETS, **extra: str) -> DataFrame:
-    """Streaming messages as text lines (column ``value``)."""
+    """Streaming messages as text lines (column ``value``), with the topic's own
+    timestamp (``received``)."""
     raw = spark.readStream.format("kafka").options(
         **source_options(servers, topic, starting_offsets, **extra)
     ).load()
-    return raw.select(F.col("value").cast("string").alias("value"))
+    return messages(raw)
+
+
+def messages(records: DataFrame) -> DataFrame:
+    """``value`` as text and ``received`` of a topic's records."""
+    return records.select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias(RECEIVED))
 
 
 def sink_options(servers: str, topic: str, checkpoint: str, **producer: str) -> dict[str, str]:
@@ -60,10 +66,10 @@ def publishable(edits: DataFrame) -> DataFrame:
     return to_wire_json(edits)
 
 
-def kafka_sink(edits: DataFrame, servers: str, topic: str, checkpoint: str, **producer: str):
-    """Publish edits as JSON messages (no key), streaming."""
-    return (
-        publishable(edits).writeStream.format("kafka")
-        .options(**sink_options(servers, topic, checkpoint, **producer))
-        .start()
-    )
+def kafka_sink(edits: DataFrame, servers: str, topic: str, checkpoint: str, options=None, **producer: str):
+    """Publish edits as JSON messages (no key), streaming, on the trigger of
+    ``options`` (``JobOptions``; default: as fast as batches end)."""
+    writer = publishable(edits).writeStream.format("kafka").options(**sink_options(servers, topic, checkpoint, **producer))
+    if options is not None:
+        writer = writer.trigger(availableNow=True) if options.trigger is None else writer.trigger(processingTime=options.trigger)
+    return writer.start()

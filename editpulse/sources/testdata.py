@@ -73,21 +73,28 @@ def event_time_bounds(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
 
 
 def edit_events(spark: SparkSession, sf_dir: str, since_epoch: int | None = None,
-                until_epoch: int | None = None) -> DataFrame:
+                until_epoch: int | None = None, page_fields: bool = True) -> DataFrame:
     """Typed edits (the parser's output for clean input) from ``events``.
 
+    The page key is read out of the JSON text by a generator, once a row: as a
+    plain projection it would be copied into the title, the namespace and each
+    filter on them.  ``page_fields=False`` leaves title and namespace
+    out, and with them the JSON text.
+
     ``since_epoch`` / ``until_epoch`` restrict to events in
     ``[since, until)`` (whole seconds); callers use them to push a
     window-start range, or a replay chunk, down to the scan.
     """
     ev = _events(spark, sf_dir, since_epoch, until_epoch)
-    k = _page_key()
+    if page_fields:
+        ev = ev.select("event_id", "user_id", "event_type", "ts", F.inline(F.array(F.struct(_page_key().alias("k")))))
+    k = F.col("k")
     edits = ev.select(
         F.col("event_id").cast("string").alias("id"),
-        F.concat(F.lit("Page_"), k.cast("string")).alias("title"),
+        *([F.concat(F.lit("Page_"), k.cast("string")).alias("title")] if page_fields else []),
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user"),
         F.col("event_type").alias("type"),
-        (k % 4).alias("namespace"),
+        *([(k % 4).alias("namespace")] if page_fields else []),
         F.unix_timestamp(F.col("ts")).alias("timestamp"),
         _wiki_of(F.col("user_id")).alias("wiki"),
     )
@@ -100,9 +107,52 @@ def wire_messages(spark: SparkSession, sf_dir: str, since_epoch: int | None = No
     return edits.select(F.to_json(F.struct(*WIRE_FIELDS)).alias("value"))
 
 
+# What is wrong with the messages of ``faulty_messages``, by
+# ``event_id % FAULT_CYCLE``; all others are clean.
+FAULT_CYCLE = 20
+FAULTS = ("cut off", "no timestamp", "timestamp as text", "timestamp overflows", "timestamp in the year 3000",
+          "no user", "user too long", "no title", "title too long")
+FAR_SECOND, NO_SECOND = 32503680000, 9223372036854775807
+
+
+def faulty_messages(edits: DataFrame) -> DataFrame:
+    """Wire messages of ``edits``, of which some have each fault a feed can show."""
+    fault = F.pmod(F.col("id").cast("bigint"), F.lit(FAULT_CYCLE))
+    is_ = lambda name: fault == FAULTS.index(name)
+    stamp = (
+        F.when(is_("timestamp overflows"), F.lit(NO_SECOND)).when(is_("timestamp in the year 3000"), F.lit(FAR_SECOND))
+        .when(~is_("no timestamp"), F.col("timestamp"))
+    )
+    user = F.when(is_("user too long"), F.repeat(F.lit("u"), 256)).when(~is_("no user"), F.col("user"))
+    title = F.when(is_("title too long"), F.repeat(F.lit("t"), 501)).when(~is_("no title"), F.col("title"))
+    shown = {"timestamp": stamp, "user": user, "title": title}
+    message = lambda fields: F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    clean = message([shown.get(f, F.col(f)).alias(f) for f in WIRE_FIELDS])
+    drift = message([F.col(f).cast("string").alias(f) if f == "timestamp" else F.col(f) for f in WIRE_FIELDS])
+    cut = F.concat(F.lit("cut off: "), F.col("id"))
+    return edits.select(F.when(is_("cut off"), cut).when(is_("timestamp as text"), drift).otherwise(clean).alias("value"))
+
+
+def feed_lines(edits: DataFrame) -> DataFrame:
+    """SSE text of messages with more fields than the parser knows (``wiki``,
+    ``bot`` and a nested ``meta``)."""
+    bot = (F.col("id").cast("bigint") % 2 == 0).alias("bot")
+    meta = F.struct(F.concat(F.lit("evt-"), F.col("id")).alias("id"), F.lit("example").alias("domain")).alias("meta")
+    payload = F.to_json(F.struct(*WIRE_FIELDS, "wiki", bot, meta))
+    return edits.select(F.explode(F.array(F.lit(":ok"), F.concat(F.lit("id: "), F.col("id")), F.concat(F.lit("data: "), payload), F.lit(""))).alias("value"))
+
+
+def sse_lines(edits: DataFrame) -> DataFrame:
+    """SSE text of edits, the drifted ones of ``sse_capture`` included."""
+    return _framed(edits)
+
+
 def sse_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SSE text lines, four per event: ``event:``, ``id:``, ``data:``, blank."""
-    edits = edit_events(spark, sf_dir)
+    return _framed(edit_events(spark, sf_dir))
+
+
+def _framed(edits: DataFrame) -> DataFrame:
     drift = F.col("type") == F.lit(DRIFT_EVENT_TYPE)
     clean = F.to_json(F.struct(*WIRE_FIELDS))
     drifted = F.to_json(

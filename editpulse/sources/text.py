@@ -2,13 +2,17 @@
 
 Batch (``read_lines``) and streaming (``read_lines_stream``) readers share
 the schema ``value string``; new files dropped into a streaming directory
-are picked up by the next micro-batch.
+are picked up by the next micro-batch.  The stream's rows also carry
+``received``, the time their file landed: the clock that edits stamped in the
+future are held against.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from editpulse.functions.parse import RECEIVED
 from editpulse.schema import LINE_SCHEMA
 
 
@@ -20,4 +24,4 @@ def read_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     reader = spark.readStream.schema(LINE_SCHEMA).format("text")
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.load(path)
+    return reader.load(path).select("value", F.col("_metadata.file_modification_time").alias(RECEIVED))

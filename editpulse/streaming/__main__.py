@@ -6,7 +6,7 @@
         [--mode update|append] [--namespaces 0,1 | --all-namespaces] \\
         [--wikis enwiki,dewiki] [--sse] [--table user_edit_counts] \\
         [--state-store rocksdb] [--state-partitions N] [--no-idle-batches] \\
-        [--max-future-skew "1 hour"] [--rejects DIR] \\
+        [--max-future-skew "1 hour" | --any-time] [--rejects DIR] \\
         [--max-offsets-per-trigger N] [--min-partitions N]
 
 Uses the session it is submitted with (``spark-submit`` settings apply).
@@ -19,11 +19,11 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from editpulse.config import DEFAULT_STARTING_OFFSETS, JobOptions, WindowSpec
+from editpulse.config import DEFAULT_MAX_FUTURE_SKEW, DEFAULT_STARTING_OFFSETS, JobOptions, WindowSpec
 from editpulse.schema import COUNT_TABLES
 from editpulse.sources.kafka import kafka_source
 from editpulse.sources.text import read_lines_stream
-from editpulse.streaming.job import run_to_end, start_counts_job, start_rejects_job, stream_session
+from editpulse.streaming.job import run_all, start_counts_job, start_rejects_job, start_split_job, stream_session
 from editpulse.streaming.monitor import IngestLogListener
 
 
@@ -52,8 +52,10 @@ def parse_args(argv=None) -> argparse.Namespace:
                    help="state-store partitions (fixed for the checkpoint's lifetime)")
     p.add_argument("--no-idle-batches", action="store_true",
                    help="update mode: skip micro-batches that would only evict state")
-    p.add_argument("--max-future-skew", help="reject edits stamped further ahead of the clock")
-    p.add_argument("--rejects", help="directory for rejected messages (its checkpoint: <checkpoint>-rejects)")
+    p.add_argument("--max-future-skew", default=DEFAULT_MAX_FUTURE_SKEW,
+                   help="reject edits stamped further ahead of the time their message was taken in")
+    p.add_argument("--any-time", action="store_true", help="accept edits stamped at any time")
+    p.add_argument("--rejects", help="directory for rejected messages (append mode: read apart, checkpoint <checkpoint>-rejects)")
     p.add_argument("--max-offsets-per-trigger", type=int, help="Kafka: bound of one micro-batch")
     p.add_argument("--min-partitions", type=int, help="Kafka: split hot topic partitions over so many tasks")
     a = p.parse_args(argv)
@@ -75,7 +77,7 @@ def options_from(a: argparse.Namespace) -> JobOptions:
         idle_batches=not a.no_idle_batches,
         state_partitions=a.state_partitions,
         state_store=None if a.state_store == "default" else a.state_store,
-        max_future_skew=a.max_future_skew,
+        max_future_skew=None if a.any_time else a.max_future_skew,
     )
 
 
@@ -99,11 +101,13 @@ def main(argv=None) -> None:
     listener = IngestLogListener()
     session.streams.addListener(listener)
     try:
-        queries = [start_counts_job(lines(), options, a.output, a.checkpoint, a.table)]
-        if a.rejects:
-            queries.append(start_rejects_job(lines(), options, a.rejects, f"{a.checkpoint.rstrip('/')}-rejects", a.table))
-        for query in queries:
-            run_to_end(query)
+        if a.rejects and a.mode == "update":
+            queries = [start_split_job(lines(), options, a.output, a.rejects, a.checkpoint, a.table)]
+        else:
+            queries = [start_counts_job(lines(), options, a.output, a.checkpoint, a.table)]
+            if a.rejects:
+                queries.append(start_rejects_job(lines(), options, a.rejects, f"{a.checkpoint.rstrip('/')}-rejects", a.table))
+        run_all(session, queries)
     finally:
         session.streams.removeListener(listener)
 

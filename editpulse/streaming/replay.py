@@ -30,13 +30,22 @@ def chunk_edges(lo: int, hi: int, n_chunks: int) -> list[int]:
     return [lo + i * step for i in range(n_chunks)] + [hi + 1]
 
 
-def land_chunk(edits: DataFrame, landing: str, i: int) -> str:
-    """Write one chunk's JSON messages as new files; returns the directory."""
+def land_chunk(edits: DataFrame, landing: str, i: int, as_lines: Callable[[DataFrame], DataFrame] = to_wire_json) -> str:
+    """Write one chunk's text lines (JSON messages) as new files; returns the directory."""
     path = f"{landing.rstrip('/')}/c{i:05d}"
-    to_wire_json(edits).write.mode("overwrite").text(path)
+    as_lines(edits).write.mode("overwrite").text(path)
     return path
 
 
+def replay_parts(parts: Sequence[DataFrame], landing: str, run_job: Callable[[int], None],
+                 as_lines: Callable[[DataFrame], DataFrame] = to_wire_json) -> int:
+    """Land each part, in whatever order of event time its edits are, then run the job."""
+    for i, edits in enumerate(parts):
+        land_chunk(edits, landing, i, as_lines)
+        run_job(i)
+    return len(parts)
+
+
 def replay_chunks(
     edits_between: EditsBetween,
     bounds: tuple[int, int],
@@ -44,6 +53,7 @@ def replay_chunks(
     n_chunks: int,
     run_job: Callable[[int], None],
     order: Sequence[int] | None = None,
+    as_lines: Callable[[DataFrame], DataFrame] = to_wire_json,
 ) -> int:
     """Land chunk ``i`` (event seconds ``[edge_i, edge_i+1)``), then ``run_job(i)``.
 
@@ -57,6 +67,6 @@ def replay_chunks(
     if sorted(order) != list(range(n_chunks)):
         raise ValueError("order must deliver every chunk exactly once")
     for landed, i in enumerate(order):
-        land_chunk(edits_between(edges[i], edges[i + 1]), landing, landed)
+        land_chunk(edits_between(edges[i], edges[i + 1]), landing, landed, as_lines)
         run_job(i)
     return n_chunks

@@ -1,0 +1,299 @@
+"""The jobs around the count: two outputs from one reader, the messages' own clock,
+ingest, supervision, publication, retention and reads of stored tables."""
+
+import datetime as dt
+import json
+import time
+
+import pytest
+from collected import rows
+from pyspark.sql import functions as F
+
+from editpulse.config import JobOptions, WindowSpec
+from editpulse.functions.parse import parse_edits, reject_reasons, without_future_time
+from editpulse.operators.retention import drop_expired_final
+from editpulse.plans import registry
+from editpulse.sinks import publish
+from editpulse.sinks.jdbc import write_jdbc
+from editpulse.sinks.versioned import backfill, day_of, delete_path, glob_paths, write_version
+from editpulse.sources import kafka
+from editpulse.sources.counts import read_final, read_versioned, retained_from
+from editpulse.sources.jdbc import day_predicates, read_jdbc, read_jdbc_ranges, read_jdbc_whole
+from editpulse.sources.testdata import FAULT_CYCLE, FAULTS, edit_events
+from editpulse.sources.text import read_lines, read_lines_stream
+from editpulse.streaming.ingest import accepted_messages, start_ingest_job
+from editpulse.streaming.ingest import main as ingest_main
+from editpulse.streaming.job import SplitBatch, run_all, run_to_end, start_counts_job, start_rejects_job, start_split_job
+
+SF = "/root/testdata/sf0.001"
+B = 1_700_000_040
+DERBY = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+NOW = JobOptions(window=WindowSpec("1 minute"), trigger=None, namespaces=None)
+
+
+def message(user="a", stamp=B, **more):
+    return json.dumps({"id": "1", "title": "T", "user": user, "type": "edit", "namespace": 0, "timestamp": stamp, **more})
+
+
+def land(spark, folder, *lines):
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(folder)
+
+
+def counts_of(spark, seconds, length=60):
+    return spark.createDataFrame([(s, f"u{i}", 1) for i, s in enumerate(seconds)], "s long, user_name string, edit_count long").select(
+        F.timestamp_seconds("s").alias("window_start"), F.timestamp_seconds(F.col("s") + length).alias("window_end"), "user_name", "edit_count")
+
+
+# --- two outputs, one reader ---------------------------------------------------
+
+def test_stored_and_rejected_are_the_messages_of_every_batch(spark):
+    progress = []
+    table, bad = registry.run_split_stream(spark, SF, progress=progress)
+    seen = [p["observedMetrics"]["ingest"] for p in progress if p["observedMetrics"].get("ingest") and p["observedMetrics"]["ingest"]["messages"]]
+    kept = {r[0]: r[1] for r in spark.read.parquet(bad).groupBy("batch_id").count().collect()}
+    # running totals: a batch's own edits are the rise of its keys
+    versions = spark.read.parquet(f"{table}/versions").select("batch_id", "window_start", "user_name", "edit_count").collect()
+    before, stored = {}, {}
+    for r in sorted(versions, key=lambda r: r.batch_id):
+        key = r.window_start, r.user_name
+        stored[r.batch_id] = stored.get(r.batch_id, 0) + r.edit_count - before.get(key, 0)
+        before[key] = r.edit_count
+    assert len(seen) == registry.STREAM_CHUNKS == len(kept)
+    for i, metrics in enumerate(seen):
+        assert metrics["messages"] == stored[i] + kept[i] and metrics["rejected"] == kept[i]
+    reasons = {r: sum(m[f"rejected_{r}"] for m in seen) for r in reject_reasons()}
+    assert reasons == dict(rows(spark.read.parquet(bad).groupBy("reject_reason").count())) and len(reasons) == 6
+    assert sum(m["messages"] for m in seen) == edit_events(spark, SF).count() == 1000 and sum(reasons.values()) == 1000 * (len(FAULTS) - 2) // FAULT_CYCLE
+
+
+def test_a_replayed_batch_changes_neither_output(spark, scratch):
+    both = counts_of(spark, [B]).unionByName(spark.createDataFrame([("x", "not_json")], "raw string, reject_reason string"), allowMissingColumns=True)
+    write = SplitBatch(f"{scratch}/t", f"{scratch}/bad")
+    write(both, 4)
+    write(both, 4)
+    assert write.last_metrics == {"rows": 1, "rejected": 1}
+    assert read_versioned(spark, f"{scratch}/t").count() == spark.read.parquet(f"{scratch}/bad").count() == 1
+    write(both.where("raw is null"), 4)
+    assert not glob_paths(spark, f"{scratch}/bad/*")
+
+
+def test_split_job_needs_a_stream_in_update_mode(spark, scratch):
+    lines = spark.createDataFrame([(message(),)], "value string")
+    land(spark, scratch, message())
+    with pytest.raises(ValueError):
+        start_split_job(lines, NOW, "t", "b", "c")
+    with pytest.raises(ValueError):
+        start_split_job(read_lines_stream(spark, scratch), JobOptions(output_mode="append"), "t", "b", "c")
+
+
+def test_a_new_checkpoint_on_an_old_table_is_refused(spark, scratch):
+    land(spark, f"{scratch}/in", message())
+    start = lambda ck: start_counts_job(read_lines_stream(spark, f"{scratch}/in"), NOW, f"{scratch}/t", f"{scratch}/{ck}")
+    run_to_end(start("one"))
+    run_to_end(start("one"))
+    with pytest.raises(ValueError, match="another checkpoint"):
+        start("two")
+
+
+# --- the messages' own clock ---------------------------------------------------
+
+def test_an_edit_of_the_year_3000_drops_no_later_edit(spark, scratch):
+    """Under default options, job and rejects reader."""
+    options = JobOptions(window=WindowSpec("1 minute"), trigger=None)
+    for i in range(3):
+        land(spark, f"{scratch}/in", message("far", 32503680000 + i), message("a", B + 60 * i))
+        run_to_end(start_split_job(read_lines_stream(spark, f"{scratch}/in"), options, f"{scratch}/t", f"{scratch}/bad", f"{scratch}/ck"))
+        run_to_end(start_rejects_job(read_lines_stream(spark, f"{scratch}/in"), options, f"{scratch}/bad2", f"{scratch}/ck2"))
+    assert rows(read_versioned(spark, f"{scratch}/t"), "user_name", "edit_count") == [("a", 1)] * 3
+    one, two = (rows(spark.read.parquet(f"{scratch}/{b}"), "raw", "reject_reason") for b in ("bad", "bad2"))
+    assert one == two and {r for _, r in one} == {"timestamp_in_future"} and len(one) == 3
+
+
+def test_a_message_is_judged_by_when_it_was_taken_in(spark):
+    """The same message at the edge: the clock that it carries decides, not the reader's."""
+    taken = [(message(stamp=B + 3600), B), (message(stamp=B + 3601), B), (message(stamp=B + 3601), B + 1), (message(stamp=B), B - 3601)]
+    records = spark.createDataFrame([(bytes(m, "utf8"), t) for m, t in taken], "value binary, t long")
+    lines = kafka.messages(records.select("value", F.timestamp_seconds("t").alias("timestamp")))
+    assert lines.columns == ["value", "received"]
+    judged = without_future_time(parse_edits(lines), 3600)
+    assert [r.event_time is not None for r in judged.collect()] == [True, False, True, False]
+
+
+# --- ingest ---------------------------------------------------------------------
+
+def test_ingest_keeps_whole_messages_and_drops_what_the_lists_do_not_allow(spark, scratch):
+    sent = [message("a", extra={"x": [1, 2]}), message("b", namespace=4), message("c", wiki="dewiki"), "no json", message("d", wiki="enwiki")]
+    lines = [x for m in sent for x in (":ok", f"data: {m}", "", "event: message")]
+    land(spark, f"{scratch}/in", *lines)
+    options = JobOptions(trigger=None, sse_framed=True)
+    q = run_to_end(start_ingest_job(read_lines_stream(spark, f"{scratch}/in"), options, f"{scratch}/ck", f"{scratch}/topic"))
+    want = sorted([sent[0], sent[2], sent[4]])
+    assert [v for v, in rows(read_lines(spark, f"{scratch}/topic"))] == want
+    seen = [p["observedMetrics"]["ingest"] for p in q.recentProgress if p["numInputRows"]][0]
+    assert (seen["messages"], seen["events_seen"], seen["events_sent"], seen["rejected_not_json"]) == (5, 4, 3, 1)
+    batch = accepted_messages(read_lines(spark, f"{scratch}/in"), JobOptions(trigger=None, sse_framed=True, wikis=("enwiki",)))
+    assert [r.raw for r in batch.collect()] == [sent[4]]
+    ingest_main(["--input", f"{scratch}/in", "--checkpoint", f"{scratch}/ck3", "--output", f"{scratch}/topic3", "--sse", "--available-now"])
+    assert [v for v, in rows(read_lines(spark, f"{scratch}/topic3"))] == want
+    with pytest.raises(ValueError):
+        start_ingest_job(read_lines_stream(spark, f"{scratch}/in"), options, f"{scratch}/ck4")
+
+
+# --- re-emitted keys and supervision --------------------------------------------
+
+def test_out_of_order_chunks_emit_most_keys_again(spark):
+    path = registry.run_stream(spark, SF, "update", n_chunks=3, by_id=True, window=WindowSpec("1 day"))
+    versions = spark.read.parquet(f"{path}/versions").groupBy("window_start", "user_name").agg(F.count("*").alias("n"), F.min("edit_count").alias("first"), F.max("edit_count").alias("last"))
+    several = versions.where("n > 1")
+    assert several.count() > versions.count() / 2 and versions.agg(F.max("n")).first()[0] == 3
+    assert several.where("first >= last").count() == 0
+    want = registry.counts(spark, SF, window=WindowSpec("1 day"))
+    assert rows(read_versioned(spark, path), "window_start", "user_name", "edit_count") == rows(want, "window_start", "user_name", "edit_count")
+
+
+def test_one_failed_query_ends_the_others(spark, scratch):
+    """Queries on a processing-time trigger: the rejects query dies, the runner stops the count."""
+    options = JobOptions(window=WindowSpec("1 minute"), trigger="1 second", namespaces=None)
+    land(spark, f"{scratch}/in", message())
+    counts = start_counts_job(read_lines_stream(spark, f"{scratch}/in"), options, f"{scratch}/t", f"{scratch}/ck")
+
+    def fail(batch, i):
+        raise RuntimeError("the disk of the rejects is full")
+
+    failing = read_lines_stream(spark, f"{scratch}/in").writeStream.foreachBatch(fail).option("checkpointLocation", f"{scratch}/ck2").trigger(processingTime="1 second")
+    begin = time.time()
+    queries = [counts, failing.queryName("failing").start()]
+    with pytest.raises(Exception, match="disk of the rejects"):
+        run_all(spark, queries)
+    assert not any(q.isActive for q in queries) and time.time() - begin < 90
+
+
+def test_the_runner_waits_for_all_queries(spark, scratch):
+    land(spark, f"{scratch}/in", message(), "no json")
+    lines = read_lines_stream(spark, f"{scratch}/in")
+    queries = [start_counts_job(lines, NOW, f"{scratch}/t", f"{scratch}/ck"), start_rejects_job(lines, NOW, f"{scratch}/bad", f"{scratch}/ck2")]
+    run_all(spark, queries)
+    assert read_versioned(spark, f"{scratch}/t").count() == 1 and rows(spark.read.parquet(f"{scratch}/bad"), "raw") == [("no json",)]
+
+
+# --- stored tables ----------------------------------------------------------------
+
+def test_a_short_range_opens_the_folders_of_its_days_only(spark, scratch):
+    day, table = B - B % 86400, f"{scratch}/t"
+    backfill(counts_of(spark, [day - 86400 * k for k in range(40)]), table)
+    write_version(counts_of(spark, [day + 60, day - 86400 * 3]), table, 7)
+    got = read_versioned(spark, table, since_epoch=day - 4 * 3600)
+    days = [dt.datetime.fromtimestamp(day - 86400 * k, dt.timezone.utc).date() for k in (0, 1)]
+    assert {day_of(p.rsplit("/", 1)[0]) for p in got.inputFiles()} == set(days)
+    assert len(got.inputFiles()) == 3 and rows(got, "user_name") == [("u0",), ("u0",)]
+    assert len(read_versioned(spark, table).inputFiles()) == 42
+    assert read_versioned(spark, table, days=[dt.date(1999, 1, 1)]).count() == 0
+
+
+def test_retention_of_an_append_only_table(spark, scratch):
+    """Against brute force, at cutoffs inside and between days, while the job goes on."""
+    path, ck, stamps = f"{scratch}/final", f"{scratch}/ck", []
+    options = JobOptions(window=WindowSpec("1 minute"), watermark="1 minute", trigger=None, output_mode="append", namespaces=None)
+
+    def run(*new):
+        stamps.extend(new)
+        land(spark, f"{scratch}/in", *[message(f"u{s}", s) for s in new])
+        run_to_end(start_counts_job(read_lines_stream(spark, f"{scratch}/in"), options, path, ck))
+
+    def left():
+        return [u for u, in rows(read_final(spark, path), "user_name")]
+
+    day = B - B % 86400
+    run(*[day + 3600 * 7 * k for k in range(12)])
+    closed = sorted(f"u{s}" for s in stamps[:-1])
+    assert left() == closed
+    for cutoff in (day + 86400, day + 86400 + 9 * 3600, day + 3600):
+        gone = drop_expired_final(spark, path, cutoff + 5 * 86400, 5)
+        kept = max(cutoff, day + 86400 if cutoff == day + 86400 else day + 86400 + 9 * 3600)
+        assert retained_from(spark, path) == kept
+        assert left() == sorted(f"u{s}" for s in stamps[:-1] if s - s % 60 >= kept)
+        assert all(day_of(p) < dt.datetime.fromtimestamp(cutoff, dt.timezone.utc).date() for p in gone)
+    assert not glob_paths(spark, f"{path}/window_date={dt.datetime.fromtimestamp(day, dt.timezone.utc).date()}")
+    run(day + 4 * 86400, day + 5 * 86400)
+    assert left() == sorted(f"u{s}" for s in stamps[:-1] if s - s % 60 >= day + 86400 + 9 * 3600)
+    assert rows(read_final(spark, path, since_epoch=day + 3 * 86400), "user_name") == [(f"u{s}",) for s in stamps[:-1] if s >= day + 3 * 86400]
+
+
+# --- databases -----------------------------------------------------------------------
+
+def test_jdbc_reads_a_partition_a_day(spark):
+    url = "jdbc:derby:memory:editpulse_days;create=true"
+    day = B - B % 86400
+    table = counts_of(spark, [day + 86400 * k + 3600 * (k % 24) for k in range(10)] + [day + 86399])
+    write_jdbc(table, url, "EDITS", mode="overwrite", **DERBY)
+    back = read_jdbc(spark, url, "EDITS", **DERBY)
+    assert back.rdd.getNumPartitions() == 11 and rows(back, "user_name") == rows(table, "user_name")
+    sizes = {r.p: r["count"] for r in back.groupBy(F.spark_partition_id().alias("p")).count().collect()}
+    assert sorted(sizes.values()) == [1] * 9 + [2]
+    few = read_jdbc(spark, url, "EDITS", max_partitions=4, **DERBY)
+    assert few.rdd.getNumPartitions() == 5 and few.count() == 11
+    recent = back.where(F.col("window_start") >= F.timestamp_seconds(F.lit(day + 86400 * 9)))
+    assert "PushedFilters" in recent._jdf.queryExecution().executedPlan().toString() and recent.count() == 1
+    assert read_jdbc_whole(spark, url, "EDITS", **DERBY).rdd.getNumPartitions() == 1
+    ranges = read_jdbc_ranges(spark, url, "EDITS", "window_start", "2023-11-14 00:00:00", "2023-11-24 00:00:00", 3, **DERBY)
+    assert ranges.rdd.getNumPartitions() == 3 and ranges.count() == 11
+    with pytest.raises(ValueError):
+        read_jdbc_ranges(spark, url, "EDITS", "window_start", None, 3, 3)
+    write_jdbc(table.where("false"), url, "NO_EDITS", mode="overwrite", **DERBY)
+    assert read_jdbc(spark, url, "NO_EDITS", **DERBY).count() == 0
+
+
+def test_day_predicates_cover_and_do_not_overlap():
+    first, last = dt.datetime(2024, 2, 27, 23, 59), dt.datetime(2024, 3, 2, 0, 0)
+    whole = day_predicates(first, last)
+    assert whole[0] == "window_start >= {ts '2024-02-27 00:00:00'} AND window_start < {ts '2024-02-28 00:00:00'}" and len(whole) == 5
+    few = day_predicates(first, last, "t", 2)
+    assert [p.split("'")[1::2] for p in few] == [["2024-02-27 00:00:00", "2024-03-01 00:00:00"], ["2024-03-01 00:00:00", "2024-03-03 00:00:00"]]
+
+
+def test_closed_windows_are_published_once(spark, scratch):
+    url = "jdbc:derby:memory:editpulse_publish;create=true"
+    folder, table, ck = f"{scratch}/in", f"{scratch}/t", f"{scratch}/ck"
+    options = JobOptions(window=WindowSpec("1 minute"), watermark="2 minutes", trigger=None, namespaces=None)
+    target = counts_of(spark, [B]).withColumn("created_at", F.current_timestamp())
+    write_jdbc(target.where("false"), url, "COUNTS", mode="overwrite", **DERBY)
+    assert publish.stream_watermark(spark, ck) is None and publish.publish_closed(spark, table, ck, url, "COUNTS", **DERBY) == {}
+
+    def step(*stamps):
+        land(spark, folder, *[message(f"u{s}", s) for s in stamps])
+        run_to_end(start_counts_job(read_lines_stream(spark, folder), options, table, ck))
+        return publish.publish_closed(spark, table, ck, url, "COUNTS", **DERBY)
+
+    def held():
+        return [u for u, in rows(read_jdbc(spark, url, "COUNTS", **DERBY), "user_name")]
+
+    base = B - B % 86400 + 86400 - 120  # two minutes before midnight
+    assert step(base, base + 60, base + 300) == {dt.datetime.fromtimestamp(base, dt.timezone.utc).date(): 2}
+    assert publish.stream_watermark(spark, ck) == base + 180
+    assert held() == [f"u{base}", f"u{base + 60}"]
+    assert set(publish.publish_closed(spark, table, ck, url, "COUNTS", **DERBY).values()) == {0}  # again: nothing
+    # a step that died half-way: some of a day is there already
+    write_jdbc(counts_of(spark, [base + 300 - (base + 300) % 60]).withColumn("user_name", F.lit(f"u{base + 300}")).withColumn("created_at", F.current_timestamp()), url, "COUNTS", **DERBY)
+    sent = step(base + 310, base + 360, base + 1000)
+    assert sorted(sent.values()) == [0, 2] and len(held()) == len(set(held())) == 5
+
+
+def test_selection_of_closed_and_unpublished_rows(spark):
+    rows_ = counts_of(spark, [B, B + 60, B + 120])
+    closed = publish.closed_windows(rows_, B + 120)
+    assert rows(closed, "user_name") == [("u0",), ("u1",)]
+    assert rows(publish.unpublished(closed, closed.where("user_name = 'u0'").select("user_name", "window_start")), "user_name") == [("u1",)]
+
+
+def test_the_page_key_is_read_once_a_row(spark):
+    for name in ("namespace_filter", "namespace_edit_counts", "page_edit_counts", "top_pages"):
+        plan = registry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("get_json_object") == 1, name
+    assert "get_json_object" not in registry.queries()["user_edit_counts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_files_below_a_deleted_day_are_not_needed(spark, scratch):
+    table = f"{scratch}/t"
+    backfill(counts_of(spark, [B, B - 86400]), table)
+    delete_path(spark, glob_paths(spark, f"{table}/compacted/window_date=*")[0])
+    assert read_versioned(spark, table).count() == 1

@@ -1,6 +1,5 @@
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,11 +54,6 @@ def test_jdbc_options():
                  "password": "p", "driver": "D"}
 
 
-def test_partitioned_jdbc_read_needs_bounds(spark):
-    with pytest.raises(ValueError):
-        read_jdbc(spark, "jdbc:x", "t", partition_column="id")
-
-
 def test_kafka_options():
     s = kafka.source_options("b:9092", "wiki_changes")
     assert s == {"kafka.bootstrap.servers": "b:9092", "subscribe": "wiki_changes",
