@@ -10,20 +10,27 @@ set size and position.
 * Index level: the list is a sequence of blocks of one size; a probe skips
   blocks whose sizes cannot reach the threshold, and inside a block, sorted by
   position, everything behind the last position that still can.
-* Answer level: in each of a few rounds every list has a centre, and the sets of
-  other components are compared with it.  What links is one component; at last
-  only pairs whose sets lie in different components are left.  Their overlaps are derived from
-  the centre's: ``|x & y| = |c & y| - |(c - x) & y| + |(x - c) & y|``, where a
-  centre's overlap with ``y`` is computed once for all ``x`` that resemble it.
-
-A pair in one component is never needed, every other candidate pair is decided
-exactly.  Equal sets are grouped first by a 128-bit signature.
+* Answer level: every list has a few centres (its least sets by hashes that are
+  the same everywhere, so that lists of the same sets choose the same ones) and a
+  set is compared with the least centre that it meets by each hash: at most
+  ``CENTERS`` comparisons a set, however large its group.  What links to one
+  centre is one group.  At last pairs whose sets lie in different groups are
+  left.  Their overlaps are derived from the centre's answers:
+  ``|x & y| = |c & y| - |(c - x) & y| + |(x - c) & y|``, where ``|c & y|`` is
+  counted once for all ``x`` that resemble ``c``, and ``c - x`` and ``x - c``, found when
+  ``x`` and ``c`` were compared, are small.
+
+A pair in one group is never needed, every other candidate pair is decided
+exactly; components are found once, over all links.  Equal sets are one: a task
+sends a set's tokens once, and a list keeps one of those with the same 128-bit signature.
+Sets are never gathered: a centre's rows come sorted, the centre first, and
+the others stream past it, in parts where there are many.
 
 Defined results: A-Z are lower-cased; fewer than 5 words are one shingle; no
 words or null text: an empty set, linked with nothing; null ids get a number
-after all others (``common``); of several texts under one ``doc_id`` the one
-with the least hash is compared, equal ones always link; an empty table gives
-an empty result.
+after all others (``common``); several texts under one ``doc_id`` are several
+documents, each compared and linked for itself, and the component's id is the least
+``doc_id`` in it; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,11 +48,14 @@ PERCENT = 80
 #: Counters of the frequency sketch: a fixed size, whatever the input's.
 SLOT_BITS = 20
 SLICE_SLOTS = 1 << 14
-#: Rounds in which a list's sets are compared with one centre each.
-STAR_ROUNDS = 3
-#: Pairs of a centre that are compared at once, about; they have twice as many
-#: members at most.
-GROUP_SETS = 2_000
+#: Centres that a set is compared with at most.
+CENTERS = 3
+#: Members of a centre in one part, about.
+PART_SETS = 2_000
+#: Entries of index lists in one row, about (a list is never cut).
+ROW_ENTRIES = 1 << 18
+#: Ids of documents whose ``doc_id`` has several texts lie below this.
+OWN_IDS = -(1 << 62)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -75,7 +85,7 @@ def _each_set(batch, k):
 
 def _survey(k: int):
     """Per document its size and signature, and per task the sketch of frequencies."""
-    schema = pa.schema([("doc_id", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("slice", pa.int32()), ("counts", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("slice", pa.int32()), ("counts", pa.binary())])
 
     def survey(batches):
         counts = np.zeros(1 << SLOT_BITS, np.int64)
@@ -93,11 +103,11 @@ def _survey(k: int):
                 counts += np.bincount(np.concatenate(found).astype(np.int64), minlength=len(counts))
             if len(batch):
                 none = pa.nulls(len(batch))
-                yield C.table(schema, batch["doc_id"], batch["id"], n, C.mixed(s1).view(np.int64), C.mixed(s2).view(np.int64), none.cast(pa.int32()), none.cast(pa.binary()))
+                yield C.table(schema, batch["doc_id"], batch["id"], batch["h"], n, C.mixed(s1).view(np.int64), C.mixed(s2).view(np.int64), none.cast(pa.int32()), none.cast(pa.binary()))
         if counts.any():
             slices = counts.reshape(-1, SLICE_SLOTS)
             none = pa.nulls(len(slices), pa.int64())
-            yield C.table(schema, none, none, none, none, none, np.arange(len(slices), dtype=np.int32), [s.tobytes() for s in slices])
+            yield C.table(schema, none, none, none, none, none, none, np.arange(len(slices), dtype=np.int32), [s.tobytes() for s in slices])
 
     return survey
 
@@ -114,23 +124,26 @@ def prefix_length(n, percent: int):
 
 
 def _entries(frequency, k: int, percent: int, n_buckets: int):
-    """Prefix tokens dealt out by hash: each with its set's number, and position."""
+    """Prefix tokens dealt out by hash: each with its set's number, and position.
+    Of equal sets a task sends the first one's."""
     schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
 
     def entries(batches):
-        df = frequency.value
+        df, seen = frequency.value, set()
         for batch in batches:
             ids = batch["id"].to_numpy()
             token, doc, pos, sig, size = [], [], [], np.zeros(len(batch), np.uint64), np.zeros(len(batch), np.int64)
             for i, own in _each_set(batch, k):
                 n = len(own)
-                if n:
+                key = n, int(own.sum()), int(C.mixed(own).sum())
+                if n and key not in seen:
+                    seen.add(key)
                     p = int(prefix_length(n, percent))
                     rare = np.argsort(df[(own >> C.U(64 - SLOT_BITS)).astype(np.int64)], kind="stable")[:p]
                     token.append(own[rare])
                     doc.append(np.full(p, i, np.int64))
                     pos.append(np.arange(p))
-                    sig[i], size[i] = own.sum(), n
+                    sig[i], size[i] = C.mixed(own ^ C.MIX1).sum(), n
             if not token:
                 continue
             token, doc, pos = (np.concatenate(x) for x in (token, doc, pos))
@@ -148,11 +161,12 @@ def _entries(frequency, k: int, percent: int, n_buckets: int):
 
 
 def _lists(percent: int):
-    """Index lists of two or more different sets, a set (its least id) a row."""
-    schema = pa.schema([("token", pa.int64()), ("id", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
+    """Index lists of two or more different sets (the least id of each), packed: the
+    lists' lengths, ids, sizes and positions."""
+    schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
 
     def lists(batches):
-        for _, rows in C.by_key(batches):
+        for bucket, rows in C.by_key(batches):
             parts = [C.unpack(r["blob"]) for r in rows]
             token = np.concatenate([p[3] for p in parts])
             ids, sig, n = (np.concatenate([p[c][p[4]] for p in parts]) for c in range(3))
@@ -171,9 +185,13 @@ def _lists(percent: int):
                 token, ids, n, pos = (a[keep] for a in (token, ids, n, pos))
                 keep = _has_partner(token, n, pos, percent)
             token, ids, n, pos = (a[keep] for a in (token, ids, n, pos))
-            for i in range(0, len(token), 1 << 18):
-                at = slice(i, i + (1 << 18))
-                yield C.table(schema, token[at].view(np.int64), ids[at], n[at].astype(np.int32), pos[at].astype(np.int32))
+            first = np.flatnonzero(np.append(len(token) > 0, token[1:] != token[:-1]))
+            length = np.diff(np.append(first, len(token)))
+            row = first // ROW_ENTRIES
+            for k in np.unique(row):
+                of = np.flatnonzero(row == k)
+                at = slice(int(first[of[0]]), int(first[of[-1]] + length[of[-1]]))
+                yield C.table(schema, [bucket], [C.pack(C.narrow(length[of]), ids[at], C.narrow(n[at]), C.narrow(pos[at]))])
 
     return lists
 
@@ -237,67 +255,111 @@ def probes(n: np.ndarray, pos: np.ndarray, group: np.ndarray, percent: int):
             yield from zip(np.full(len(j), order[i]), order[j])
 
 
-def _across(percent: int):
-    """Candidate pairs of each list whose sets lie in different components."""
-    schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
+def _priority(ids: np.ndarray, round_: int) -> np.ndarray:
+    """The same order of sets in every list, another one each round."""
+    return C.mixed(ids.view(np.uint64) + C.U(round_ + 1) * C.MIX2)
 
-    def across(batches):
-        for ids, n, pos, group in _token_lists(batches):
-            out = []
-            for i, j in probes(n, pos, group, percent):
-                out.append((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
-                if len(out) == 50_000:
-                    yield C.table(schema, *zip(*out))
-                    out = []
-            if out:
-                yield C.table(schema, *zip(*out))
 
-    return across
+def _least_first(ids: np.ndarray, centers: np.ndarray, round_: int):
+    """For each of the distinct ``ids`` the centre of the least priority (itself if none)."""
+    rank = np.where(centers == ids, ~C.U(0), _priority(centers, round_))
+    order = np.lexsort((rank, ids))
+    keep = np.append(len(ids) > 0, ids[order[1:]] != ids[order[:-1]])
+    return ids[order][keep], centers[order][keep]
 
 
-def _stars(percent: int, round_: int):
-    """Each list's centre (the least by a hash that changes with the round, so
-    lists of the same sets choose the same one) with its sets of other components."""
-    schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
+def _stars(percent: int, n_buckets: int):
+    """For each set of each row of lists the least centres that it meets there, dealt
+    out by set; with the lists' bucket."""
+    schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
 
     def stars(batches):
-        out, held = [], 0
-        for ids, n, _, group in _token_lists(batches):
-            c = int(C.mixed(ids.view(np.uint64) + C.U(round_) * C.MIX2).argmin())
-            near = (group != group[c]) & (100 * np.minimum(n, n[c]).astype(np.int64) >= percent * np.maximum(n, n[c]).astype(np.int64))
-            if near.any():
-                out.append((np.full(int(near.sum()), ids[c]), ids[near]))
-                held += len(out[-1][1])
-            if held > 50_000:
-                yield C.table(schema, *(np.concatenate(x) for x in zip(*out)))
-                out, held = [], 0
-        if out:
-            yield C.table(schema, *(np.concatenate(x) for x in zip(*out)))
+        for batch in batches:
+            for bucket, blob in zip(batch["bucket"].to_pylist(), batch["blob"]):
+                length, ids, n, _ = C.unpack(blob.as_py())
+                first, n = np.cumsum(length.astype(np.int64)) - length, n.astype(np.int64)
+                number = np.repeat(np.arange(len(length)), length)
+                found, own = [], None
+                for r in range(CENTERS):
+                    center = np.lexsort((_priority(ids, r), number))[first][number]
+                    fits = 100 * np.minimum(n, n[center]) >= percent * np.maximum(n, n[center])
+                    own, least = _least_first(ids, np.where(fits, ids[center], ids), r)
+                    found.append(least)
+                part = (C.mixed(own.view(np.uint64)) % C.U(n_buckets)).astype(np.int32)
+                yield C.table(schema, *zip(*C.dealt(part, n_buckets, own, *found, np.full(len(own), bucket, np.int32))))
 
     return stars
 
 
-def _token_lists(batches):
-    """``id, n, pos, root`` of each list with two components or more."""
-    held = []
-    for batch in batches:
-        held.append([batch[c].to_numpy() for c in ("token", "id", "n", "pos", "root")])
-        token, *rest = (np.concatenate(x) for x in zip(*held))
-        edge = int(np.searchsorted(token, token[-1])) if len(token) else 0
-        yield from _several(token[:edge], [r[:edge] for r in rest])
-        held = [[token[edge:], *(r[edge:] for r in rest)]]
-    if held:
-        yield from _several(held[0][0], held[0][1:])
+def _picks(batches):
+    """Each set with its centres, and the buckets where it has lists."""
+    schema = pa.schema([("id", pa.int64()), ("centers", pa.list_(pa.int64())), ("buckets", pa.binary())])
+    for _, rows in C.by_key(batches):
+        ids, *found, bucket = C.joined(rows)
+        least = [_least_first(ids, f, r) for r, f in enumerate(found)]
+        own, centers = least[0][0], np.array([c for _, c in least])
+        order = np.lexsort((bucket, ids))
+        edges = np.append(np.searchsorted(ids[order], own), len(ids))
+        bucket = bucket[order]
+        for i in range(0, len(own), 4096):
+            j = min(i + 4096, len(own))
+            yield C.table(schema, own[i:j], [sorted(set(centers[:, k].tolist()) - {int(own[k])}) for k in range(i, j)],
+                          [np.unique(bucket[edges[k]:edges[k + 1]]).tobytes() for k in range(i, j)])
 
 
-def _several(token, rest):
-    if not len(token):
-        return
-    first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
-    root = rest[3]
-    mixed = np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first)
-    for a, b in zip(first[mixed], np.append(first[1:], len(token))[mixed]):
-        yield [r[a:b] for r in rest]
+def _labels(n_buckets: int):
+    """Each set's group, dealt out to the buckets where it has lists."""
+    schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
+
+    def labels(batches):
+        for batch in batches:
+            data, offsets = C.buffers(batch["buckets"])
+            bucket = np.frombuffer(data.tobytes(), np.int32)
+            at = np.repeat(np.arange(len(batch)), np.diff(offsets) // 4)
+            out = [(b, 0, blob) for b, blob in C.dealt(bucket, n_buckets, batch["id"].to_numpy()[at], batch["root"].to_numpy()[at])]
+            if out:
+                yield C.table(schema, *zip(*out))
+
+    return labels
+
+
+def _across(percent: int):
+    """Candidate pairs of each list whose sets lie in different groups: a bucket's
+    groups come first (kind 0), then its lists."""
+    schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
+
+    def found(lists, known, root):
+        length, ids, n, pos = lists
+        group = root[np.searchsorted(known, ids)]
+        first = np.cumsum(length.astype(np.int64)) - length
+        several = np.minimum.reduceat(group, first) != np.maximum.reduceat(group, first)
+        for a, k in zip(first[several], length[several]):
+            at = slice(int(a), int(a) + int(k))
+            for i, j in probes(n[at], pos[at], group[at], percent):
+                yield ids[at][i], ids[at][j]
+
+    def across(batches):
+        of, labels, out = None, [], []
+        for batch in batches:
+            for bucket, kind, blob in zip(batch["bucket"].to_pylist(), batch["kind"].to_pylist(), batch["blob"]):
+                if bucket != of:
+                    of, labels, known = bucket, [], None
+                if kind == 0:
+                    labels.append(C.unpack(blob.as_py()))
+                    continue
+                if known is None:
+                    known, root = (np.concatenate(x) for x in zip(*labels))
+                    order = np.argsort(known)
+                    known, root, labels = known[order], root[order], []
+                for x, y in found(C.unpack(blob.as_py()), known, root):
+                    out.append((min(x, y), max(x, y)))
+                    if len(out) == 50_000:
+                        yield C.table(schema, *np.unique(np.array(out), axis=0).T)
+                        out = []
+        if out:
+            yield C.table(schema, *np.unique(np.array(out), axis=0).T)
+
+    return across
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -310,53 +372,99 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[np.minimum(at, len(b) - 1)] == a))
 
 
-def _verify(percent: int):
-    """Linked pairs of one centre's group: rows ``pairs`` and ``members``."""
+def _linked(common: int, n: int, m: int, percent: int) -> bool:
+    return 100 * common >= percent * (n + m - common)
+
+
+def _compare(percent: int):
+    """Links of a centre with the sets that stream past it, and what differs."""
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("lost", pa.binary()), ("gained", pa.binary())])
+
+    def compare(batches):
+        c = center = None
+        for batch in batches:
+            out = []
+            for kind, u, v, own in zip(batch["kind"].to_pylist(), batch["center"].to_pylist(), batch["id"].to_pylist(), batch["own"]):
+                own = np.frombuffer(own.as_py(), np.uint64)
+                if kind == 0:
+                    c, center = u, own
+                    continue
+                assert c == u, "sets without their centre"
+                common = overlap(center, own)
+                if _linked(common, len(center), len(own), percent):
+                    out.append((u, v, np.setdiff1d(center, own, True).tobytes(), np.setdiff1d(own, center, True).tobytes()))
+            if out:
+                yield C.table(schema, *zip(*out))
+
+    return compare
+
+
+def _derive(percent: int):
+    """Links of sets ``y`` with those that resemble a centre: the centre (kind 0), the
+    differences of its sets (1), then each ``y`` with the numbers of those to compare (2)."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
-    def verify(batches):
+    def derive(batches):
+        c = center = None
         for batch in batches:
-            for i in range(len(batch)):
-                center = batch["center"][i].as_py()
-                sets = {m["id"]: np.frombuffer(m["own"], np.uint64) for m in batch["members"][i].as_py()}
-                with_center, without, out = {}, {}, []
-                c = sets[center]
-                for p in batch["pairs"][i].as_py():
-                    x, y = p["x"], p["y"]
-                    if y not in with_center:
-                        with_center[y] = overlap(c, sets[y])
-                    common = with_center[y]
-                    if x != center:  # derive the answer from the centre's
-                        if x not in without:
-                            without[x] = np.setdiff1d(c, sets[x], True), np.setdiff1d(sets[x], c, True)
-                        lost, gained = without[x]
-                        common += overlap(gained, sets[y]) - overlap(lost, sets[y])
-                    if 100 * common >= percent * (len(sets[x]) + len(sets[y]) - common):
-                        out.append((x, y))
-                if out:
-                    yield C.table(schema, *zip(*out))
+            out = []
+            for kind, u, v, own, gained, xs in zip(*(batch[k].to_pylist() for k in ("kind", "center", "id", "own", "gained", "xs"))):
+                if kind == 0:
+                    c, center, differs = u, np.frombuffer(own, np.uint64), {}
+                    differs[u] = center[:0], center[:0]
+                    continue
+                assert c == u, "sets without their centre"
+                if kind == 1:
+                    differs[v] = np.frombuffer(own, np.uint64), np.frombuffer(gained, np.uint64)
+                    continue
+                y = np.frombuffer(own, np.uint64)
+                common = overlap(center, y)
+                for x in xs:
+                    lost, more = differs[x]
+                    n = len(center) - len(lost) + len(more)
+                    if _linked(common - overlap(lost, y) + overlap(more, y), n, len(y), percent):
+                        out.append((x, v))
+            if out:
+                yield C.table(schema, *zip(*out))
+
+    return derive
+
 
-    return verify
+def _parted(pairs: DataFrame, of: str) -> DataFrame:
+    """``pairs`` with the part of their centre that ``of`` falls in: as many as its sets
+    ``of`` ask for."""
+    sizes = pairs.select("center", of).distinct().groupBy("center").agg(F.ceil(F.count("*") / PART_SETS).cast("bigint").alias("parts")).where("parts > 1")
+    return pairs.join(sizes, "center", "left").withColumn("part", F.pmod(F.xxhash64(of), F.coalesce("parts", F.lit(1)))).drop("parts")
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(center, x, y)`` that link; ``sets`` has all their members.
-    Large groups are split by ``y``, and the pairs of a ``y`` with many by ``x``."""
-    def split(of: str, *by: str):
-        """``pairs`` numbered by hash of ``of`` in as many parts as the size of their
-        group ``by`` asks for; few groups are that large, a row for each is broadcast."""
-        large = pairs.groupBy(*by).agg(F.ceil(F.count("*") / GROUP_SETS).cast("bigint").alias("parts")).where("parts > 1")
-        return F.broadcast(large), F.pmod(F.xxhash64(of), F.coalesce("parts", F.lit(1)))
+def _with_centers(rows: DataFrame, sets: DataFrame, n: int, *columns: str) -> DataFrame:
+    """``rows`` by part of their centre, whose own set comes first."""
+    centers = rows.select("center", "part").distinct().join(sets.withColumnRenamed("id", "center"), "center")
+    centers = centers.select("center", "part", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("id"), "own")
+    both = centers.unionByName(rows, allowMissingColumns=True).select("center", "part", "kind", "id", "own", *columns)
+    return both.repartition(n, "center", "part").sortWithinPartitions("center", "part", "kind")
 
-    of_center, part = split("y", "center")
-    of_y, block = split("x", "center", "y")
-    pairs = pairs.join(of_center, "center", "left").select("center", part.alias("part"), "x", "y")
-    pairs = pairs.join(of_y, ["center", "y"], "left").select("center", "part", block.alias("block"), "x", "y")
-    key = ["center", "part", "block"]
-    wanted = pairs.select(*key, F.explode(F.array_distinct(F.array("center", "x", "y"))).alias("id")).distinct()
-    members = wanted.join(sets, "id").groupBy(*key).agg(F.collect_list(F.struct("id", "own")).alias("members"))
-    grouped = pairs.groupBy(*key).agg(F.collect_list(F.struct("x", "y")).alias("pairs"))
-    return grouped.join(members, key).mapInArrow(_verify(percent), "u bigint, v bigint")
+
+def star_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``u, v, lost, gained`` of the pairs ``(center, id)`` that link."""
+    n = C.partitions(pairs.sparkSession)
+    rows = _parted(pairs, "id").join(sets, "id").select("center", "part", F.lit(1).alias("kind"), "id", "own")
+    return _with_centers(rows, sets, n).mapInArrow(_compare(percent), "u bigint, v bigint, lost binary, gained binary")
+
+
+def derived_links(pairs: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``u, v`` of the pairs ``(x, y)`` that link, by the answers of the centre that
+    ``links`` gives ``x`` (itself if it has none)."""
+    n = C.partitions(pairs.sparkSession)
+    of = links.groupBy(F.col("v").alias("x")).agg(F.min_by(F.struct("u", "lost", "gained"), "u").alias("c"))
+    met = pairs.join(of.select("x", F.col("c.u").alias("u")), "x", "left").select(F.coalesce("u", "x").alias("center"), "x", "y")
+    met = _parted(met, "x")
+    differs = met.where("center <> x").select("center", "part", "x").distinct().join(of, "x")
+    differs = differs.select("center", "part", F.lit(1).alias("kind"), F.col("x").alias("id"), F.col("c.lost").alias("own"), F.col("c.gained").alias("gained"))
+    asked = met.groupBy("center", "part", "y").agg(F.collect_list("x").alias("xs")).join(sets.withColumnRenamed("id", "y"), "y")
+    asked = asked.select("center", "part", F.lit(2).alias("kind"), F.col("y").alias("id"), "own", "xs")
+    rows = differs.unionByName(asked, allowMissingColumns=True)
+    return _with_centers(rows, sets, n, "gained", "xs").mapInArrow(_derive(percent), "u bigint, v bigint")
 
 
 def similar_groups(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> DataFrame:
@@ -365,57 +473,77 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WOR
 
 
 def one_of_each_group(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> DataFrame:
-    """The rows, with all their columns, of each group's least id; of a row given
-    several times one."""
+    """The rows, with all their columns, of each group's first document (least id,
+    then least hash of the text); of a row given several times one.  Texts without
+    words are in no group and stay, and so do different texts under one id
+    that are no near copies."""
     rows = C.keyed(docs, rest=True)
-    gone = groups_of(rows, percent, k).where("component_id <> id").select("id").distinct()
-    kept = rows.join(gone, "id", "left_anti")
-    first = F.row_number().over(Window.partitionBy("id").orderBy("h"))
-    kept = kept.withColumn("first", first).where("first = 1")
+    found = groups_of(rows, percent, k).where("n_shingles > 0").select("root", "id", "h").distinct()
+    first = found.groupBy("root").agg(F.min(F.struct("id", "h")).alias("first"))
+    gone = found.join(first, "root").where(F.struct("id", "h") != F.col("first")).select("id", "h")
+    kept = rows.join(gone, ["id", "h"], "left_anti")
+    kept = kept.withColumn("copy", F.row_number().over(Window.partitionBy("id", "h").orderBy("h"))).where("copy = 1")
     return kept.select(*[F.col("text") if c == "text" else F.col(f"rest.`{c}`") for c in docs.columns])
 
 
+def _own_ids(survey: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``survey`` and ``rows`` with a ``node``: ``id``, or a number of its own for each
+    text of an id that has several."""
+    spark = survey.sparkSession
+    several = survey.where("slice is null").groupBy("id").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").select("id")
+    texts = C.staged(spark, survey.where("slice is null").join(several, "id").select("id", "h").distinct()
+                     .withColumn("own", F.lit(OWN_IDS) - F.monotonically_increasing_id()), "set-ids")
+    if texts.isEmpty():
+        return survey.withColumn("node", F.col("id")), rows.withColumn("node", F.col("id"))
+    named = lambda df: df.join(texts, ["id", "h"], "left").withColumn("node", F.coalesce("own", "id")).drop("own")
+    return named(survey), named(rows)
+
+
 def groups_of(rows: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, id, n_shingles, component_id`` of ``common.keyed`` rows."""
+    """``doc_id, id, h, n_shingles, root, component_id`` of ``common.keyed`` rows;
+    documents of one component have one ``root``."""
     spark, rows = rows.sparkSession, rows.select("doc_id", "id", "h", "text")
     n = C.partitions(spark)
-    survey = C.staged(spark, rows.select("doc_id", "id", "text").mapInArrow(
-        _survey(k), "doc_id bigint, id bigint, n bigint, s1 bigint, s2 bigint, slice int, counts binary"), "set-survey")
+    survey = C.staged(spark, rows.mapInArrow(
+        _survey(k), "doc_id bigint, id bigint, h bigint, n bigint, s1 bigint, s2 bigint, slice int, counts binary"), "set-survey")
     slices = survey.where("slice is not null").select("slice", "counts").repartition(n, "slice").sortWithinPartitions("slice").mapInArrow(_sum_slices, "slice int, counts binary")
     frequency = np.zeros((1 << SLOT_BITS) // SLICE_SLOTS * SLICE_SLOTS, np.int64).reshape(-1, SLICE_SLOTS)
     for r in slices.collect():  # 2**20 counters, whatever the input's size
         frequency[r["slice"]] = np.frombuffer(r["counts"], np.int64)
     frequency = spark.sparkContext.broadcast(np.minimum(frequency.ravel(), (1 << 32) - 1).astype(np.uint32))
-
-    lists = C.staged(spark, rows.select("id", "text").mapInArrow(_entries(frequency, k, percent, n), "bucket int, blob binary")
-                     .repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_lists(percent), "token bigint, id bigint, n int, pos int"), "set-lists")
-    wanted = lists.select("id").distinct()
-    least = rows.join(wanted, "id").groupBy("id").agg(F.min_by("text", "h").alias("text"))
-    sets = C.staged(spark, least.mapInArrow(_sets(k), "id bigint, own binary"), "sets")
-
-    known = survey.where("slice is null and n > 0").select("id", "n", "s1", "s2")
-    copies = known.groupBy("s1", "s2", "n").agg(F.min("id").alias("v"), F.count("*").alias("k")).where("k > 1")
-    copies = known.join(copies.select("s1", "s2", "n", "v"), ["s1", "s2", "n"]).select(F.col("id").alias("u"), "v").where("u <> v")
-
-    def by_token(found, pairs):
-        """``pairs`` over the lists with each set's component, ``found``."""
-        rooted = lists.join(found.withColumnRenamed("v", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        rooted = rooted.select("token", "id", "n", "pos", "root").repartition(n, "token").sortWithinPartitions("token")
-        return rooted.mapInArrow(pairs, "x bigint, y bigint").distinct()
-
-    found, links = components(copies), None
-    for round_ in range(STAR_ROUNDS):
-        stars = by_token(found, _stars(percent, round_)).select(F.col("x").alias("center"), "x", "y")
-        own = C.staged(spark, _links(stars, sets, percent), "links")
-        links = own if links is None else links.unionByName(own)
-        found = components(own.unionByName(found.select(F.col("v").alias("u"), F.col("root").alias("v"))))
-    # A set's centre is one it was compared and linked with: highly similar.
-    centers = links.groupBy(F.col("v").alias("x")).agg(F.min("u").alias("center"))
-    across = by_token(found, _across(percent)).join(centers, "x", "left").select(F.coalesce("center", "x").alias("center"), "x", "y")
-    more = C.staged(spark, _links(across, sets, percent), "links")
-    final = components(more.unionByName(found.select(F.col("v").alias("u"), F.col("root").alias("v"))))
-    own = survey.where("slice is null").select("doc_id", "id", "n").join(final.withColumnRenamed("v", "id"), "id", "left")
-    return own.select("doc_id", "id", F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id"))
+    known, rows = _own_ids(survey, rows)
+    known = known.where("slice is null")
+
+    lists = C.staged(spark, rows.select(F.col("node").alias("id"), "text").mapInArrow(_entries(frequency, k, percent, n), "bucket int, blob binary")
+                     .repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_lists(percent), "bucket int, blob binary"), "set-lists")
+    picks = C.staged(spark, lists.mapInArrow(_stars(percent, n), "bucket int, blob binary").repartition(n, "bucket").sortWithinPartitions("bucket")
+                     .mapInArrow(_picks, "id bigint, centers array<bigint>, buckets binary"), "set-picks")
+    least = rows.select(F.col("node").alias("id"), "text").join(picks.select("id"), "id")
+    sets = C.staged(spark, least.mapInArrow(_sets(k), "id bigint, own binary").dropDuplicates(["id"]), "sets")
+    links = C.staged(spark, star_links(picks.select(F.explode("centers").alias("center"), "id"), sets, percent), "set-links")
+
+    # A set's group: its least linked set, followed twice.  Less than a component, and never more.
+    up = C.staged(spark, links.groupBy(F.col("v").alias("id")).agg(F.min("u").alias("up")), "set-groups")
+    root = F.col("id")
+    grouped = picks.select("id", "buckets")
+    for i in range(3):
+        step = up.select(F.col("id").alias(f"at{i}"), F.col("up").alias(f"up{i}"))
+        grouped = grouped.join(step, root == F.col(f"at{i}"), "left")
+        root = F.coalesce(F.col(f"up{i}"), root)
+    labels = grouped.select("id", "buckets", root.alias("root")).mapInArrow(_labels(n), "bucket int, kind int, blob binary")
+    met = labels.unionByName(lists.select("bucket", F.lit(1).alias("kind"), "blob")).repartition(n, "bucket").sortWithinPartitions("bucket", "kind")
+    pairs = C.staged(spark, met.mapInArrow(_across(percent), "x bigint, y bigint").distinct(), "set-pairs")
+    more = derived_links(pairs, links, sets, percent)
+
+    copies = known.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("node").alias("v"), F.max("node").alias("w")).where("v <> w").drop("w")
+    copies = known.join(copies, ["s1", "s2", "n"]).select(F.col("node").alias("u"), "v").where("u <> v")
+    final = components(copies.unionByName(links.select("u", "v")).unionByName(more))
+    own = known.join(final.withColumnRenamed("v", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    component = F.col("root")
+    if known.where(F.col("node") <= OWN_IDS).limit(1).count():  # a root may be no doc_id
+        own = own.join(own.groupBy("root").agg(F.min("id").alias("least")), "root")
+        component = F.col("least")
+    return own.select("doc_id", "id", "h", F.col("n").alias("n_shingles"), "root", component.alias("component_id"))
 
 
 def op6_jaccard_join(spark, sf_dir: str) -> DataFrame:

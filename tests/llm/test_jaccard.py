@@ -4,7 +4,6 @@ import random
 
 import brute
 import numpy as np
-import pyarrow as pa
 import pytest
 
 from editpulse.llm import components, jaccard
@@ -60,35 +59,68 @@ def test_components_equal_brute_force(docs_of, seed):
     assert got == groups(rows)
 
 
-def test_pairs_of_one_set_with_a_large_group_are_split(spark, monkeypatch):
-    """``y`` of another component has pairs with all members of one centre."""
-    def counted(percent):
-        def count(batches):
-            for batch in batches:
-                sizes = [[len(v) for v in batch[c].to_pylist()] for c in ("pairs", "members")]
-                yield pa.RecordBatch.from_arrays([pa.array(s, pa.int64()) for s in sizes], names=["u", "v"])
-        return count
-
-    many, bound = 1000, 100
-    pairs = [(0, x, 5000) for x in range(many)] + [(0, 1, y) for y in range(6000, 6010)] + [(7, 7, 5000)]
-    pairs = spark.createDataFrame(pairs, "center bigint, x bigint, y bigint")
-    sets = spark.createDataFrame([(i, bytearray(8)) for i in [*range(many), 5000, *range(6000, 6010)]], "id bigint, own binary")
-    linked = {(r.u, r.v) for r in jaccard._links(pairs, sets, 80).collect()}
-    monkeypatch.setattr(jaccard, "GROUP_SETS", bound)
-    assert {(r.u, r.v) for r in jaccard._links(pairs, sets, 80).collect()} == linked and len(linked) == many + 10
-    monkeypatch.setattr(jaccard, "_verify", counted)
-    sizes = [(r.u, r.v) for r in jaccard._links(pairs, sets, 80).collect()]
-    assert sum(u for u, _ in sizes) == many + 11 and max(u for u, _ in sizes) < 2 * bound and max(v for _, v in sizes) < 2 * bound
-
-
 @pytest.mark.parametrize("bound", [1, 7])
-def test_split_groups_equal_brute_force(docs_of, monkeypatch, bound):
-    monkeypatch.setattr(jaccard, "GROUP_SETS", bound)
+def test_parts_of_centres_equal_brute_force(docs_of, monkeypatch, bound):
+    monkeypatch.setattr(jaccard, "PART_SETS", bound)
+    monkeypatch.setattr(jaccard, "ROW_ENTRIES", 5)
     rows = list(enumerate(near_copies(5)))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar_groups(docs_of(rows)).collect()}
     assert got == groups(rows)
 
 
+def test_links_of_pairs_by_stars_and_by_derived_answers(spark, monkeypatch):
+    """Centres in parts, sets that have pairs with all members of a centre."""
+    r = np.random.default_rng(7)
+    base = np.unique(r.integers(0, 1 << 60, 120).astype(np.uint64))
+    own = {}
+    for i in range(40):
+        keep = base[r.random(len(base)) > 0.04 * (i % 6)]
+        own[i] = np.unique(np.append(keep, r.integers(0, 1 << 60, i % 9).astype(np.uint64)))
+    sets = spark.createDataFrame([(i, bytearray(a.tobytes())) for i, a in own.items()], "id bigint, own binary")
+    same = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
+    pairs = [(c, i) for c in (0, 3) for i in range(40) if i != c]
+    want = {(c, i) for c, i in pairs if same(own[c], own[i])}
+    all_ = [(i, j) for i in range(40) for j in range(i)]
+    linked = {(i, j) for i, j in all_ if same(own[i], own[j])}
+    assert 20 < len(want) < len(pairs) and 100 < len(linked) < len(all_)
+    for parts in (2000, 3):
+        monkeypatch.setattr(jaccard, "PART_SETS", parts)
+        links = jaccard.star_links(spark.createDataFrame(pairs, "center bigint, id bigint"), sets, 80)
+        found = links.collect()
+        assert {(x.u, x.v) for x in found} == want
+        for x in found:
+            assert set(np.frombuffer(x.lost, np.uint64)) == set(own[x.u]) - set(own[x.v]) and set(np.frombuffer(x.gained, np.uint64)) == set(own[x.v]) - set(own[x.u])
+        more = jaccard.derived_links(spark.createDataFrame(all_, "x bigint, y bigint"), links, sets, 80).collect()
+        assert {(x.u, x.v) for x in more} == linked and len(more) == len(linked)
+
+
+def test_several_texts_under_one_id(docs_of):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(40)) for w in "abc")
+    rows = [(5, one), (5, two), (7, two + " x"), (3, three), (3, one + " y"), (9, "word"), (9, ""), (9, None), (7, two + " x")]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similar_groups(docs_of(rows)).collect())
+    assert got == sorted([(5, 36, 3), (5, 36, 5), (7, 37, 5), (7, 37, 5), (3, 36, 3), (3, 37, 3), (9, 1, 9), (9, 0, 9), (9, 0, 9)])
+    kept = sorted((r.doc_id, r.text, r.key) for r in jaccard.one_of_each_group(docs_of(rows)).collect())
+    assert kept == sorted([(3, one + " y", "x"), (5, two, "x"), (3, three, "x"), (9, "word", "x"), (9, "", "x")])
+
+
+def test_comparisons_are_as_many_as_sets(spark, docs_of, monkeypatch):
+    """A large group of near copies: each set is compared with a few centres, and
+    pairs in the group are not."""
+    r = random.Random(1)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(300):
+        w = base[:]
+        w[r.randrange(100)] = f"e{i}"
+        rows.append((i, " ".join(w)))
+    asked, stars = [], jaccard.star_links
+    monkeypatch.setattr(jaccard, "star_links", lambda pairs, sets, percent: asked.append(pairs.count()) or stars(pairs, sets, percent))
+    derived = jaccard.derived_links
+    monkeypatch.setattr(jaccard, "derived_links", lambda pairs, links, sets, percent: asked.append(pairs.count()) or derived(pairs, links, sets, percent))
+    assert {x.component_id for x in jaccard.similar_groups(docs_of(rows)).collect()} == {0}
+    assert asked[0] <= 300 * jaccard.CENTERS and asked[1] <= 300
+
+
 def test_null_ids_repeated_rows_and_empty_table(docs_of):
     t = "one two three four five six seven"
     got = jaccard.similar_groups(docs_of([(4, t), (4, t), (9, t), (None, t), (None, None), (1, "")])).collect()
