@@ -10,19 +10,18 @@ set size and position.
 * Index level: the list is a sequence of blocks of one size; a probe skips
   blocks whose sizes cannot reach the threshold, and inside a block, sorted by
   position, everything behind the last position that still can.
-* Answer level: every list has a few centres (its least sets by hashes that are
-  the same everywhere, so that lists of the same sets choose the same ones) and a
-  set is compared with the least centre that it meets by each hash: at most
-  ``CENTERS`` comparisons a set, however large its group.  What links to one
-  centre is one group.  At last pairs whose sets lie in different groups are
-  left.  Their overlaps are derived from the centre's answers:
+* Answer level: in each of a few rounds every list has a centre (its least set by
+  a hash of groups that is the same everywhere, so that lists of the same sets choose
+  the same one) and a set is compared with the least centre of another group that it
+  meets: at most one comparison a set and round, however large its group.  What links joins
+  groups.  At last pairs whose sets lie in different groups are left.  Their overlaps are derived from the centre's answers:
   ``|x & y| = |c & y| - |(c - x) & y| + |(x - c) & y|``, where ``|c & y|`` is
   counted once for all ``x`` that resemble ``c``, and ``c - x`` and ``x - c``, found when
   ``x`` and ``c`` were compared, are small.
 
 A pair in one group is never needed, every other candidate pair is decided
-exactly; components are found once, over all links.  Equal sets are one: a task
-sends a set's tokens once, and a list keeps one of those with the same 128-bit signature.
+exactly; components are found once, over all links.  Before sets travel, their sketches (256 counts) bound each pair's overlap.  Equal
+sets are one: a task sends a set's tokens once, and a list keeps one of those with the same 128-bit signature.
 Sets are never gathered: a centre's rows come sorted, the centre first, and
 the others stream past it, in parts where there are many.
 
@@ -48,8 +47,8 @@ PERCENT = 80
 #: Counters of the frequency sketch: a fixed size, whatever the input's.
 SLOT_BITS = 20
 SLICE_SLOTS = 1 << 14
-#: Centres that a set is compared with at most.
-CENTERS = 3
+#: Rounds in which a set is compared with one centre.
+ROUNDS = 3
 #: Members of a centre in one part, about.
 PART_SETS = 2_000
 #: Entries of index lists in one row, about (a list is never cut).
@@ -212,14 +211,20 @@ def _has_partner(token, n, pos, percent: int) -> np.ndarray:
     return ((low < me) | fits) & (n - pos >= need)
 
 
+#: Counters of a set's sketch (its members by their first byte).
+SKETCH = 256
+
+
 def _sets(k: int):
-    schema = pa.schema([("id", pa.int64()), ("own", pa.binary())])
+    """Each set with its size and sketch (empty if a counter is too small for it)."""
+    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary()), ("own", pa.binary())])
 
     def sets(batches):
         for batch in batches:
             ids, out = batch["id"].to_numpy(), []
             for i, own in _each_set(batch, k):
-                out.append((int(ids[i]), own.tobytes()))
+                counts = np.bincount((own >> C.U(56)).astype(np.int64), minlength=SKETCH)
+                out.append((int(ids[i]), len(own), counts.astype(np.uint8).tobytes() if counts.max() < 256 else b"", own.tobytes()))
                 if len(out) == 2000:
                     yield C.table(schema, *zip(*out))
                     out = []
@@ -229,6 +234,35 @@ def _sets(k: int):
     return sets
 
 
+def _bounded(percent: int):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def bounded(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            n = batch["na"].to_numpy() + batch["nb"].to_numpy()
+            (one, at), (two, to) = (C.buffers(batch[c]) for c in ("sa", "sb"))
+            keep = (np.diff(at) == 0) | (np.diff(to) == 0)
+            both = np.flatnonzero(~keep)
+            one, two = (x[(o[both, None] + np.arange(SKETCH)).ravel()].reshape(-1, SKETCH) for x, o in ((one, at), (two, to)))
+            most = np.minimum(one, two).sum(axis=1, dtype=np.int64)
+            keep[both] = 100 * most >= percent * (n[both] - most)
+            yield C.table(schema, *(batch[c].filter(pa.array(keep)) for c in ("a", "b")))
+
+    return bounded
+
+
+def plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (two columns of ids) that may link: two sets have at most the lesser
+    of their counts in common in each cell of their sketches.  Sketches travel for
+    it, and only what is left asks for the sets."""
+    first, second = pairs.columns
+    own = sets.select("id", "n", "sketch")
+    met = pairs.toDF("a", "b").join(own.toDF("a", "na", "sa"), "a").join(own.toDF("b", "nb", "sb"), "b")
+    return met.mapInArrow(_bounded(percent), "a bigint, b bigint").toDF(first, second)
+
+
 def probes(n: np.ndarray, pos: np.ndarray, group: np.ndarray, percent: int):
     """Pairs ``(i, j)`` of a list's sets, in different groups, that can be as
     similar as asked for and first meet at this token.
@@ -257,54 +291,71 @@ def probes(n: np.ndarray, pos: np.ndarray, group: np.ndarray, percent: int):
 
 def _priority(ids: np.ndarray, round_: int) -> np.ndarray:
     """The same order of sets in every list, another one each round."""
-    return C.mixed(ids.view(np.uint64) + C.U(round_ + 1) * C.MIX2)
-
-
-def _least_first(ids: np.ndarray, centers: np.ndarray, round_: int):
-    """For each of the distinct ``ids`` the centre of the least priority (itself if none)."""
-    rank = np.where(centers == ids, ~C.U(0), _priority(centers, round_))
-    order = np.lexsort((rank, ids))
-    keep = np.append(len(ids) > 0, ids[order[1:]] != ids[order[:-1]])
-    return ids[order][keep], centers[order][keep]
+    return C.mixed(ids.view(np.uint64) + C.U((round_ + 1) * int(C.MIX2) & (1 << 64) - 1))
+
+
+def _least_first(ids: np.ndarray, centers: np.ndarray, groups: np.ndarray, round_: int):
+    """Of each of the distinct ``ids`` the centre whose group has the least priority
+    (itself if none), and that group."""
+    rank = np.where(centers == ids, ~C.U(0), _priority(groups, round_))
+    order = np.lexsort((centers, rank, ids))
+    order = order[np.append(len(ids) > 0, ids[order[1:]] != ids[order[:-1]])]
+    return ids[order], centers[order], groups[order]
+
+
+def _lists_with_groups(batches):
+    """Each row's bucket, lists (lengths, ids, sizes, positions) and the group of each
+    id.  A bucket's groups come before its lists; without, a set is its own group."""
+    of, labels, known = None, [], None
+    for batch in batches:
+        for bucket, kind, blob in zip(batch["bucket"].to_pylist(), batch["kind"].to_pylist(), batch["blob"]):
+            if bucket != of:
+                of, labels, known = bucket, [], None
+            if kind == 0:
+                labels.append(C.unpack(blob.as_py()))
+                continue
+            if labels:
+                known, root = (np.concatenate(x) for x in zip(*labels))
+                order = np.argsort(known)
+                known, root, labels = known[order], root[order], []
+            length, ids, n, pos = C.unpack(blob.as_py())
+            yield bucket, length.astype(np.int64), ids, n.astype(np.int64), pos, ids if known is None else root[np.searchsorted(known, ids)]
 
 
-def _stars(percent: int, n_buckets: int):
-    """For each set of each row of lists the least centres that it meets there, dealt
-    out by set; with the lists' bucket."""
+def _stars(percent: int, n_buckets: int, round_: int):
+    """For each set of each row of lists the centre of the least group that it meets
+    there (itself, if that is its own), dealt out by set; with the lists' bucket."""
     schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
 
     def stars(batches):
-        for batch in batches:
-            for bucket, blob in zip(batch["bucket"].to_pylist(), batch["blob"]):
-                length, ids, n, _ = C.unpack(blob.as_py())
-                first, n = np.cumsum(length.astype(np.int64)) - length, n.astype(np.int64)
-                number = np.repeat(np.arange(len(length)), length)
-                found, own = [], None
-                for r in range(CENTERS):
-                    center = np.lexsort((_priority(ids, r), number))[first][number]
-                    fits = 100 * np.minimum(n, n[center]) >= percent * np.maximum(n, n[center])
-                    own, least = _least_first(ids, np.where(fits, ids[center], ids), r)
-                    found.append(least)
-                part = (C.mixed(own.view(np.uint64)) % C.U(n_buckets)).astype(np.int32)
-                yield C.table(schema, *zip(*C.dealt(part, n_buckets, own, *found, np.full(len(own), bucket, np.int32))))
+        for bucket, length, ids, n, _, group in _lists_with_groups(batches):
+            first, number = np.cumsum(length) - length, np.repeat(np.arange(len(length)), length)
+            center = np.lexsort((_priority(ids, round_), _priority(group, round_), number))[first][number]
+            fits = (100 * np.minimum(n, n[center]) >= percent * np.maximum(n, n[center])) & (group != group[center])
+            own, *least = _least_first(ids, np.where(fits, ids[center], ids), group[center], round_)
+            part = (C.mixed(own.view(np.uint64)) % C.U(n_buckets)).astype(np.int32)
+            yield C.table(schema, *zip(*C.dealt(part, n_buckets, own, *least, np.full(len(own), bucket, np.int32))))
 
     return stars
 
 
-def _picks(batches):
-    """Each set with its centres, and the buckets where it has lists."""
-    schema = pa.schema([("id", pa.int64()), ("centers", pa.list_(pa.int64())), ("buckets", pa.binary())])
-    for _, rows in C.by_key(batches):
-        ids, *found, bucket = C.joined(rows)
-        least = [_least_first(ids, f, r) for r, f in enumerate(found)]
-        own, centers = least[0][0], np.array([c for _, c in least])
-        order = np.lexsort((bucket, ids))
-        edges = np.append(np.searchsorted(ids[order], own), len(ids))
-        bucket = bucket[order]
-        for i in range(0, len(own), 4096):
-            j = min(i + 4096, len(own))
-            yield C.table(schema, own[i:j], [sorted(set(centers[:, k].tolist()) - {int(own[k])}) for k in range(i, j)],
-                          [np.unique(bucket[edges[k]:edges[k + 1]]).tobytes() for k in range(i, j)])
+def _picks(round_: int):
+    """Each set with its centre (null if none), and the buckets where it has lists."""
+    schema = pa.schema([("id", pa.int64()), ("center", pa.int64()), ("buckets", pa.binary())])
+
+    def picks(batches):
+        for _, rows in C.by_key(batches):
+            ids, *found, bucket = C.joined(rows)
+            own, center, _ = _least_first(ids, *found, round_)
+            order = np.lexsort((bucket, ids))
+            edges = np.append(np.searchsorted(ids[order], own), len(ids))
+            bucket = bucket[order]
+            for i in range(0, len(own), 4096):
+                j = min(i + 4096, len(own))
+                yield C.table(schema, own[i:j], pa.array(center[i:j], mask=center[i:j] == own[i:j]),
+                              [np.unique(bucket[edges[k]:edges[k + 1]]).tobytes() for k in range(i, j)])
+
+    return picks
 
 
 def _labels(n_buckets: int):
@@ -324,38 +375,23 @@ def _labels(n_buckets: int):
 
 
 def _across(percent: int):
-    """Candidate pairs of each list whose sets lie in different groups: a bucket's
-    groups come first (kind 0), then its lists."""
+    """Candidate pairs of each list whose sets lie in different groups."""
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
-    def found(lists, known, root):
-        length, ids, n, pos = lists
-        group = root[np.searchsorted(known, ids)]
-        first = np.cumsum(length.astype(np.int64)) - length
-        several = np.minimum.reduceat(group, first) != np.maximum.reduceat(group, first)
-        for a, k in zip(first[several], length[several]):
-            at = slice(int(a), int(a) + int(k))
-            for i, j in probes(n[at], pos[at], group[at], percent):
-                yield ids[at][i], ids[at][j]
-
     def across(batches):
-        of, labels, out = None, [], []
-        for batch in batches:
-            for bucket, kind, blob in zip(batch["bucket"].to_pylist(), batch["kind"].to_pylist(), batch["blob"]):
-                if bucket != of:
-                    of, labels, known = bucket, [], None
-                if kind == 0:
-                    labels.append(C.unpack(blob.as_py()))
-                    continue
-                if known is None:
-                    known, root = (np.concatenate(x) for x in zip(*labels))
-                    order = np.argsort(known)
-                    known, root, labels = known[order], root[order], []
-                for x, y in found(C.unpack(blob.as_py()), known, root):
-                    out.append((min(x, y), max(x, y)))
-                    if len(out) == 50_000:
-                        yield C.table(schema, *np.unique(np.array(out), axis=0).T)
-                        out = []
+        out, held = [], 0
+        for _, length, ids, n, pos, group in _lists_with_groups(batches):
+            first = np.cumsum(length) - length
+            several = np.minimum.reduceat(group, first) != np.maximum.reduceat(group, first)
+            for a, k in zip(first[several], length[several]):
+                at = slice(a, a + k)
+                for i, j in probes(n[at], pos[at], group[at], percent):
+                    out.append((min(ids[a + i], ids[a + j]), max(ids[a + i], ids[a + j])))
+                    held += 1
+                if held >= 200_000:  # a pair that meets in several lists leaves once
+                    out = [np.unique(np.array(out).reshape(-1, 2), axis=0)]
+                    yield C.table(schema, *out[0].T)
+                    out, held = [], 0
         if out:
             yield C.table(schema, *np.unique(np.array(out), axis=0).T)
 
@@ -437,9 +473,23 @@ def _parted(pairs: DataFrame, of: str) -> DataFrame:
     return pairs.join(sizes, "center", "left").withColumn("part", F.pmod(F.xxhash64(of), F.coalesce("parts", F.lit(1)))).drop("parts")
 
 
+def _joined_groups(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``groups (id, buckets, root)`` after the round's ``links (u, v)`` of centres ``u``:
+    the group of ``v`` goes to that of ``u``, which the round's order puts before it, so
+    that no circle can arise; followed three times.  Equal roots are one component; a
+    component may have several."""
+    root_of = groups.select("id", "root")
+    met = links.join(root_of.toDF("u", "up"), "u").join(root_of.toDF("v", "at"), "v")
+    up = met.groupBy("at").agg(F.min("up").alias("up"))
+    for i in range(3):
+        step = up.select(F.col("at").alias(f"at{i}"), F.col("up").alias(f"up{i}"))
+        groups = groups.join(step, F.col("root") == F.col(f"at{i}"), "left").select("id", "buckets", F.coalesce(f"up{i}", "root").alias("root"))
+    return groups
+
+
 def _with_centers(rows: DataFrame, sets: DataFrame, n: int, *columns: str) -> DataFrame:
     """``rows`` by part of their centre, whose own set comes first."""
-    centers = rows.select("center", "part").distinct().join(sets.withColumnRenamed("id", "center"), "center")
+    centers = rows.select("center", "part").distinct().join(sets.select(F.col("id").alias("center"), "own"), "center")
     centers = centers.select("center", "part", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("id"), "own")
     both = centers.unionByName(rows, allowMissingColumns=True).select("center", "part", "kind", "id", "own", *columns)
     return both.repartition(n, "center", "part").sortWithinPartitions("center", "part", "kind")
@@ -448,7 +498,7 @@ def _with_centers(rows: DataFrame, sets: DataFrame, n: int, *columns: str) -> Da
 def star_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``u, v, lost, gained`` of the pairs ``(center, id)`` that link."""
     n = C.partitions(pairs.sparkSession)
-    rows = _parted(pairs, "id").join(sets, "id").select("center", "part", F.lit(1).alias("kind"), "id", "own")
+    rows = _parted(pairs, "id").join(sets.select("id", "own"), "id").select("center", "part", F.lit(1).alias("kind"), "id", "own")
     return _with_centers(rows, sets, n).mapInArrow(_compare(percent), "u bigint, v bigint, lost binary, gained binary")
 
 
@@ -461,7 +511,7 @@ def derived_links(pairs: DataFrame, links: DataFrame, sets: DataFrame, percent:
     met = _parted(met, "x")
     differs = met.where("center <> x").select("center", "part", "x").distinct().join(of, "x")
     differs = differs.select("center", "part", F.lit(1).alias("kind"), F.col("x").alias("id"), F.col("c.lost").alias("own"), F.col("c.gained").alias("gained"))
-    asked = met.groupBy("center", "part", "y").agg(F.collect_list("x").alias("xs")).join(sets.withColumnRenamed("id", "y"), "y")
+    asked = met.groupBy("center", "part", "y").agg(F.collect_list("x").alias("xs")).join(sets.select(F.col("id").alias("y"), "own"), "y")
     asked = asked.select("center", "part", F.lit(2).alias("kind"), F.col("y").alias("id"), "own", "xs")
     rows = differs.unionByName(asked, allowMissingColumns=True)
     return _with_centers(rows, sets, n, "gained", "xs").mapInArrow(_derive(percent), "u bigint, v bigint")
@@ -516,23 +566,27 @@ def groups_of(rows: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -
 
     lists = C.staged(spark, rows.select(F.col("node").alias("id"), "text").mapInArrow(_entries(frequency, k, percent, n), "bucket int, blob binary")
                      .repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_lists(percent), "bucket int, blob binary"), "set-lists")
-    picks = C.staged(spark, lists.mapInArrow(_stars(percent, n), "bucket int, blob binary").repartition(n, "bucket").sortWithinPartitions("bucket")
-                     .mapInArrow(_picks, "id bigint, centers array<bigint>, buckets binary"), "set-picks")
-    least = rows.select(F.col("node").alias("id"), "text").join(picks.select("id"), "id")
-    sets = C.staged(spark, least.mapInArrow(_sets(k), "id bigint, own binary").dropDuplicates(["id"]), "sets")
-    links = C.staged(spark, star_links(picks.select(F.explode("centers").alias("center"), "id"), sets, percent), "set-links")
-
-    # A set's group: its least linked set, followed twice.  Less than a component, and never more.
-    up = C.staged(spark, links.groupBy(F.col("v").alias("id")).agg(F.min("u").alias("up")), "set-groups")
-    root = F.col("id")
-    grouped = picks.select("id", "buckets")
-    for i in range(3):
-        step = up.select(F.col("id").alias(f"at{i}"), F.col("up").alias(f"up{i}"))
-        grouped = grouped.join(step, root == F.col(f"at{i}"), "left")
-        root = F.coalesce(F.col(f"up{i}"), root)
-    labels = grouped.select("id", "buckets", root.alias("root")).mapInArrow(_labels(n), "bucket int, kind int, blob binary")
-    met = labels.unionByName(lists.select("bucket", F.lit(1).alias("kind"), "blob")).repartition(n, "bucket").sortWithinPartitions("bucket", "kind")
-    pairs = C.staged(spark, met.mapInArrow(_across(percent), "x bigint, y bigint").distinct(), "set-pairs")
+    lists = lists.select("bucket", F.lit(1).alias("kind"), "blob")
+
+    def grouped_lists(groups):
+        labels = groups.mapInArrow(_labels(n), "bucket int, kind int, blob binary")
+        return labels.unionByName(lists).repartition(n, "bucket").sortWithinPartitions("bucket", "kind")
+
+    met, groups, sets, links = lists, None, None, None
+    for round_ in range(ROUNDS):
+        picks = met.mapInArrow(_stars(percent, n, round_), "bucket int, blob binary").repartition(n, "bucket").sortWithinPartitions("bucket")
+        picks = C.staged(spark, picks.mapInArrow(_picks(round_), "id bigint, center bigint, buckets binary"), "set-picks")
+        if groups is None:
+            groups = picks.select("id", "buckets", F.col("id").alias("root"))
+            least = rows.select(F.col("node").alias("id"), "text").join(groups.select("id"), "id")
+            sets = C.staged(spark, least.mapInArrow(_sets(k), "id bigint, n bigint, sketch binary, own binary").dropDuplicates(["id"]), "sets")
+        asked = C.staged(spark, plausible(picks.where("center is not null").select("center", "id"), sets, percent), "set-asked")
+        new = C.staged(spark, star_links(asked, sets, percent), "set-links")
+        links = new if links is None else links.unionByName(new)
+        groups = C.staged(spark, _joined_groups(groups, new), "set-groups")
+        met = grouped_lists(groups)
+    pairs = met.mapInArrow(_across(percent), "x bigint, y bigint").distinct()
+    pairs = C.staged(spark, plausible(pairs, sets, percent), "set-pairs")
     more = derived_links(pairs, links, sets, percent)
 
     copies = known.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("node").alias("v"), F.max("node").alias("w")).where("v <> w").drop("w")
