@@ -61,6 +61,15 @@ def ranks_of_json(path: str) -> dict[bytes, int]:
     return {bytes(map(byte_of.__getitem__, t)): i for t, i in model["model"]["vocab"].items() if t not in special}
 
 
+@functools.cache
+def added_tokens(path: str) -> dict[str, int]:
+    """Tokens that a JSON vocabulary reads as one id wherever they stand in a text."""
+    if not path.endswith(".json"):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f).get("added_tokens", ())}
+
+
 @functools.cache
 def encoder(path: str, pattern: str = public_tokenizers.PATTERN) -> tiktoken.Encoding:
     ranks = ranks_of_json(path) if path.endswith(".json") else read_ranks(path)

@@ -294,11 +294,16 @@ def _priority(ids: np.ndarray, round_: int) -> np.ndarray:
     return C.mixed(ids.view(np.uint64) + C.U((round_ + 1) * int(C.MIX2) & (1 << 64) - 1))
 
 
-def _least_first(ids: np.ndarray, centers: np.ndarray, groups: np.ndarray, round_: int):
-    """Of each of the distinct ``ids`` the centre whose group has the least priority
-    (itself if none), and that group."""
-    rank = np.where(centers == ids, ~C.U(0), _priority(groups, round_))
-    order = np.lexsort((centers, rank, ids))
+def _best_first(ids: np.ndarray, centers: np.ndarray, groups: np.ndarray, round_: int):
+    """Of each of the distinct ``ids`` the centre that comes most often, then the one whose
+    group has the least priority (itself if there is no other), and that group."""
+    order = np.lexsort((centers, ids))
+    ids, centers, groups = ids[order], centers[order], groups[order]
+    first = np.flatnonzero(np.append(len(ids) > 0, (ids[1:] != ids[:-1]) | (centers[1:] != centers[:-1])))
+    often = np.diff(np.append(first, len(ids)))
+    ids, centers, groups = ids[first], centers[first], groups[first]
+    often[centers == ids] = 0
+    order = np.lexsort((centers, _priority(groups, round_), -often, ids))
     order = order[np.append(len(ids) > 0, ids[order[1:]] != ids[order[:-1]])]
     return ids[order], centers[order], groups[order]
 
@@ -332,7 +337,7 @@ def _stars(percent: int, n_buckets: int, round_: int):
             first, number = np.cumsum(length) - length, np.repeat(np.arange(len(length)), length)
             center = np.lexsort((_priority(ids, round_), _priority(group, round_), number))[first][number]
             fits = (100 * np.minimum(n, n[center]) >= percent * np.maximum(n, n[center])) & (group != group[center])
-            own, *least = _least_first(ids, np.where(fits, ids[center], ids), group[center], round_)
+            own, *least = _best_first(ids, np.where(fits, ids[center], ids), group[center], round_)
             part = (C.mixed(own.view(np.uint64)) % C.U(n_buckets)).astype(np.int32)
             yield C.table(schema, *zip(*C.dealt(part, n_buckets, own, *least, np.full(len(own), bucket, np.int32))))
 
@@ -346,7 +351,7 @@ def _picks(round_: int):
     def picks(batches):
         for _, rows in C.by_key(batches):
             ids, *found, bucket = C.joined(rows)
-            own, center, _ = _least_first(ids, *found, round_)
+            own, center, _ = _best_first(ids, *found, round_)
             order = np.lexsort((bucket, ids))
             edges = np.append(np.searchsorted(ids[order], own), len(ids))
             bucket = bucket[order]
@@ -460,6 +465,7 @@ def _derive(percent: int):
                     n = len(center) - len(lost) + len(more)
                     if _linked(common - overlap(lost, y) + overlap(more, y), n, len(y), percent):
                         out.append((x, v))
+                        break  # all of them link to the centre: one link joins them
             if out:
                 yield C.table(schema, *zip(*out))
 
@@ -504,7 +510,8 @@ def star_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def derived_links(pairs: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``u, v`` of the pairs ``(x, y)`` that link, by the answers of the centre that
-    ``links`` gives ``x`` (itself if it has none)."""
+    ``links`` gives ``x`` (itself if it has none); of a centre's ``x`` in one part, which
+    all link to it, the first for each ``y``."""
     n = C.partitions(pairs.sparkSession)
     of = links.groupBy(F.col("v").alias("x")).agg(F.min_by(F.struct("u", "lost", "gained"), "u").alias("c"))
     met = pairs.join(of.select("x", F.col("c.u").alias("u")), "x", "left").select(F.coalesce("u", "x").alias("center"), "x", "y")

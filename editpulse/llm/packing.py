@@ -6,18 +6,23 @@ over is a piece of 1 to ``capacity - 1`` tokens.  The histogram of the pieces'
 lengths (at most ``capacity`` numbers, whatever the input's size) goes to the
 driver.  There a linear program chooses how often to use each pattern, a set
 of lengths that share a sequence; a knapsack dynamic program over the duals
-prices new patterns until none helps or the value is within ``GAP`` of its bound.  Counts are rounded
-and the few pieces left over packed first-fit.  Each pattern's places are
+prices new patterns until none gains, or until the program's value is proven to be within
+``GAP``, and one sequence, of the least (by its duals, or by the tokens themselves, which no sequence
+costs less than), or until as many new patterns as there are lengths save less than one sequence.  Counts are rounded down, and patterns for the pieces
+left over are priced the same way on what is left.  If plain first-fit is not worse
+in the end, it is taken.  Each pattern's places are
 then ranges of ranks among the pieces of a length, and every piece finds its
 sequence and offset from its rank, in parallel.
 
-Defined results: null text: empty, one token (the end id); null and repeated
+Defined results: null text: empty, one token (the end id); an added token of the
+vocabulary that stands in a text is one id, as its library reads it; null and repeated
 ``doc_id``: each row is a document of its own; an empty table gives an empty
 result.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -33,10 +38,9 @@ from editpulse.llm import common as C
 CAPACITY = 1024
 END_ID = 0
 VOCABULARY = "byte_bpe_50k.json"
-#: Column generation ends when the program's value is this close to its bound,
-#: or after so many columns: it can stop at any, all of them pack every piece.
+#: Column generation ends when the program's value is proven to be this close to the
+#: least, and one sequence: whole sequences cannot follow the program closer.
 GAP = 0.002
-MAX_COLUMNS = 400
 
 
 def padded(fill, capacity: int = CAPACITY):
@@ -44,11 +48,12 @@ def padded(fill, capacity: int = CAPACITY):
     return fill if fill & (fill - 1) == 0 else capacity
 
 
-def price(value: np.ndarray, lengths: np.ndarray, cost: np.ndarray) -> tuple[float, dict[int, int]]:
+def price(value: np.ndarray, lengths: np.ndarray, cost: np.ndarray) -> tuple[float, dict[int, int], float]:
     """The pattern of greatest value minus cost: knapsack over exact fills.
 
     ``cost[c]`` is that of a sequence with ``c`` tokens.  Returns the
-    difference and the pattern as index of length -> how many."""
+    difference, the pattern as index of length -> how many, and the factor (at most 1)
+    that scales the values until no pattern is worth more than it costs."""
     capacity = len(cost) - 1
     dense = np.full(capacity + 1, -np.inf)
     dense[lengths] = value
@@ -64,11 +69,13 @@ def price(value: np.ndarray, lengths: np.ndarray, cost: np.ndarray) -> tuple[flo
     gain[0] = -np.inf
     c = int(gain.argmax())
     found, pattern = float(gain[c]), {}
+    worth = best > cost
+    scale = float((cost[worth] / best[worth]).min()) if worth.any() else 1.0
     while c > 0:
         i = int(index[last[c]])
         pattern[i] = pattern.get(i, 0) + 1
         c -= int(last[c])
-    return found, pattern
+    return found, pattern, scale
 
 
 def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int = CAPACITY, gap: float = GAP) -> list[tuple[dict[int, int], int]]:
@@ -84,13 +91,18 @@ def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int = CAPACITY, gap
         columns[ends], x[ends] = pattern, times
         _pivot(inverse, ends, pattern)
     basic = np.array([cost[int(sum(lengths[i] * a for i, a in p.items()))] for p in columns])
-    bound = float((lengths * counts).sum())  # no sequence costs less than its tokens
-    for _ in range(MAX_COLUMNS):
-        if (basic * x).sum() <= bound * (1 + gap):
-            break
+    tokens, turn, before = float((lengths * counts).sum()), 0, np.inf
+    while True:
+        if turn % m == 0:
+            if before - (basic * x).sum() < capacity:
+                break
+            before = (basic * x).sum()
+        turn += 1
         duals = (basic[:, None] * inverse).sum(axis=0)
-        gain, pattern = price(duals, lengths, cost)
-        if gain <= 1e-7:
+        gain, pattern, scale = price(duals, lengths, cost)
+        # Scaled duals allow every pattern, so they bound the program from below.
+        bound = max(tokens, scale * (duals * counts).sum())
+        if gain <= 1e-7 or (basic * x).sum() <= bound * (1 + gap) + capacity:
             break
         column = _column(inverse, pattern)
         ratio = np.full(m, np.inf)
@@ -104,17 +116,15 @@ def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int = CAPACITY, gap
         _pivot(inverse, out, pattern)
         columns[out], basic[out] = pattern, cost[int(sum(lengths[i] * k for i, k in pattern.items()))]
     left, used = counts.astype(np.int64).copy(), []
-    rounds = [(int(x[k] + 1e-6), k) for k in range(m)] + [(1, k) for k in np.argsort(-(x % 1), kind="stable")]
-    for times, k in rounds:  # rounded down, then up from the largest fraction, while the pieces last
-        times = min([times, *(int(left[i] // a) for i, a in columns[k].items())])
+    for k in range(m):
+        times = min([int(x[k] + 1e-6), *(int(left[i] // a) for i, a in columns[k].items())])
         if times > 0:
             used.append((columns[k], times))
             for i, a in columns[k].items():
                 left[i] -= a * times
-    used += [(p, 1) for p in _first_fit(lengths, left, capacity)]
-    plain = [(p, 1) for p in _first_fit(lengths, counts, capacity)] if counts.sum() <= 8 * m else used
     total = lambda rows: sum(cost[int(sum(lengths[i] * a for i, a in p.items()))] * t for p, t in rows)
-    used = min(used, plain, key=total)  # with few pieces of each length, rounding may cost more than it gains
+    used += min(_priced(lengths, left, cost), _first_fit(lengths, left, capacity), key=total)
+    used = min(used, _first_fit(lengths, counts, capacity), key=total)
     return [({int(lengths[i]): a for i, a in p.items()}, t) for p, t in used]
 
 
@@ -142,7 +152,7 @@ def _start(lengths: np.ndarray, counts: np.ndarray, cost: np.ndarray):
         own = np.flatnonzero(open_)
         if left[own].max() > 1e-9:
             own = own[left[own] > 1e-9]
-            _, pattern = price(value[own], lengths[own], cost)
+            _, pattern, _ = price(value[own], lengths[own], cost)
             pattern = {int(own[i]): a for i, a in pattern.items()}
         else:  # lengths that ran out together: unused columns of their own
             pattern = {int(own[0]): 1}
@@ -154,8 +164,36 @@ def _start(lengths: np.ndarray, counts: np.ndarray, cost: np.ndarray):
         yield ends, pattern, times
 
 
-def _first_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[dict[int, int]]:
-    """The remaining pieces, longest first, each sequence filled greedily."""
+def _taken(left: np.ndarray, pattern: dict[int, int], out: list) -> None:
+    """Use ``pattern`` as often as the pieces last."""
+    times = int(min(left[i] // k for i, k in pattern.items()))
+    out.append((pattern, times))
+    for i, k in pattern.items():
+        left[i] -= k * times
+
+
+def _priced(lengths: np.ndarray, left: np.ndarray, cost: np.ndarray) -> list[tuple[dict[int, int], int]]:
+    """Patterns for the pieces that are left: the knapsack priced by length, with a premium
+    on long pieces, cut to the pieces there are and filled up with the longest that fit."""
+    left, out = left.copy(), []
+    value = lengths + 1e-3 * lengths.astype(float) ** 2 / (len(cost) - 1)
+    while left.any():
+        own = np.flatnonzero(left)
+        _, best, _ = price(value[own], lengths[own], cost)
+        pattern = {int(own[i]): int(min(k, left[own[i]])) for i, k in best.items()}
+        room = len(cost) - 1 - sum(int(lengths[i]) * k for i, k in pattern.items())
+        for i in own[::-1]:
+            k = int(min(left[i] - pattern.get(int(i), 0), room // lengths[i]))
+            if k:
+                pattern[int(i)] = pattern.get(int(i), 0) + k
+                room -= k * int(lengths[i])
+        _taken(left, pattern, out)
+    return out
+
+
+def _first_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """The remaining pieces, longest first, each sequence filled greedily; equal
+    sequences at once."""
     left, out = left.copy(), []
     order = np.argsort(-lengths, kind="stable")
     while left.any():
@@ -164,18 +202,25 @@ def _first_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[dic
             k = int(min(left[i], room // lengths[i]))
             if k:
                 pattern[int(i)] = k
-                left[i] -= k
                 room -= k * int(lengths[i])
-        out.append(pattern)
+        _taken(left, pattern, out)
     return out
 
 
+def _with_specials(enc, special: dict[str, int], text: bytes) -> list[int]:
+    """Ids of a text that holds added tokens of the vocabulary, as its library reads
+    them: each is its own id, and what lies between is encoded by itself."""
+    parts = re.split("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")", text.decode(errors="replace"))
+    return [i for part in parts for i in ([special[part]] if part in special else enc.encode_ordinary(part))]
+
+
 def _pieces(path: str, capacity: int):
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()),
                         ("chunk", pa.int64()), ("place", pa.int64())])
 
     def pieces(batches):
-        enc, known = bpe.encoder(path), {}
+        enc, special, known = bpe.encoder(path), bpe.added_tokens(path), {}
+        marks = [t.encode() for t in special]
         seen, task = np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
         for batch in batches:
             data, offsets = C.buffers(batch["text"])
@@ -192,9 +237,13 @@ def _pieces(path: str, capacity: int):
                 counts = np.fromiter(map(len, ids), np.int64, len(ids))
                 flat = np.concatenate(ids) if ids else np.zeros(0, "<u4")
                 begin, which, out = np.cumsum(counts) - counts, coded.indices.to_numpy(), []
+                marked = any(m in data[offsets[i]:offsets[j]].tobytes() for m in marks)
                 for d in range(i, j):
                     own = which[first[d - i]:first[d - i + 1]]
-                    whole = np.append(flat[C.ranges(begin[own], counts[own])], np.uint32(END_ID)).astype("<u4")
+                    whole = flat[C.ranges(begin[own], counts[own])]
+                    if marked and any(m in (text := data[offsets[d]:offsets[d + 1]].tobytes()) for m in marks):
+                        whole = np.array(_with_specials(enc, special, text), np.uint32)
+                    whole = np.append(whole, np.uint32(END_ID)).astype("<u4")
                     for start in range(0, len(whole), capacity):
                         part = whole[start:start + capacity]
                         out.append((doc_ids[d], start, len(part), zlib.crc32(part.tobytes()), len(whole), task, int(seen[len(part)])))

@@ -11,8 +11,10 @@ The file goes out whole, so its size is checked: beyond ``MAX_ARRAY_BYTES`` the
 same candidates join the rules in Spark instead.
 
 Defined results: null url, or one without ``://``: empty host and path, no
-rule, the default verdict; of two equal rules the first counts; null and
-repeated ids: a row for each row; an empty table gives an empty result.
+rule, the default verdict; of two equal rules the first counts; the longest rule is
+that of most UTF-8 bytes; hosts of any length are judged by their ends alone, no
+longer than a rule's host; null and repeated ids: a row for each row; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -64,6 +66,7 @@ class DigestArray:
         part = [whole[a:b] for a, b in zip(edges[:-1], edges[1:])]
         self.paths, self.keys, self.offsets = part[0].view(np.int64), part[1].view(np.uint64), part[2].view(np.int64)
         self.verdicts, self.strings = part[3].view(np.int64).reshape(n, 2), whole[edges[-1]:]
+        self.longest = int((np.diff(self.offsets) - self.verdicts[:, 1]).max()) if n else -1
 
     def probe(self, candidates: list[bytes]) -> np.ndarray:
         """Number of each candidate's rule, or -1."""
@@ -90,9 +93,14 @@ def parsed(pages: DataFrame) -> DataFrame:
     return rows.select("page_id", F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("host"), path.alias("path"))
 
 
-def candidates(host: bytes, path: bytes, lengths) -> list[tuple[bytes, int]]:
-    """Every suffix of the host at a dot with each possible length of path; and the path's length."""
+def candidates(host: bytes, path: bytes, lengths, longest: int | None = None) -> list[tuple[bytes, int]]:
+    """Every suffix of the host at a dot with each possible length of path; and the path's length.
+    A suffix longer than the ``longest`` host of a rule fits none and is left out."""
     out, at = [], 0
+    if longest is not None and len(host) > longest:
+        at = host.find(b".", len(host) - longest - 1) + 1
+        if not at:
+            return out
     while True:
         out += [(host[at:] + path[:n], n) for n in lengths if n <= len(path)]
         at = host.find(b".", at) + 1
@@ -110,7 +118,7 @@ def _judge(name: str):
             hosts, paths = (batch[c].cast(pa.binary()).to_pylist() for c in ("host", "path"))
             probes, owner, prefix = [], [], []
             for i, (host, path) in enumerate(zip(hosts, paths)):
-                for c, n in candidates(host, path, lengths):
+                for c, n in candidates(host, path, lengths, array.longest):
                     probes.append(c)
                     owner.append(i)
                     prefix.append(n)
@@ -151,11 +159,13 @@ def _joined(rows: DataFrame, rules) -> DataFrame:
     lengths = F.array(*[F.lit(n) for n in sorted({len(p) for _, p, *_ in rules})])
     labels = F.split("host", r"\.")
     keyed = rows.withColumn("row", F.monotonically_increasing_id())
-    hosts = keyed.withColumn("labels", labels).withColumn("k", F.explode(F.sequence(F.lit(1), F.size("labels")))).withColumn(
+    most = max((h.count(".") + 1 for h, *_ in rules), default=1)  # labels of a rule's host
+    first = F.greatest(F.lit(1), F.size("labels") - (most - 1))
+    hosts = keyed.withColumn("labels", labels).withColumn("k", F.explode(F.sequence(first, F.size("labels")))).withColumn(
         "rule_host", F.array_join(F.slice("labels", F.col("k"), F.size("labels")), "."))
     tried = hosts.withColumn("n", F.explode(lengths)).where(F.char_length("path") >= F.col("n")).select(
         "row", "rule_host", F.expr("substring(path, 1, n)").alias("rule_path"))
-    best = tried.join(table, ["rule_host", "rule_path"]).groupBy("row").agg(F.max_by(F.struct("rule", "rule_verdict"), F.length("rule")).alias("b"))
+    best = tried.join(table, ["rule_host", "rule_path"]).groupBy("row").agg(F.max_by(F.struct("rule", "rule_verdict"), F.octet_length("rule")).alias("b"))
     return keyed.join(best, "row", "left").select("page_id", "host", "path", F.col("b.rule").alias("rule"), F.coalesce("b.rule_verdict", F.lit(DEFAULT_VERDICT)).alias("verdict"))
 
 

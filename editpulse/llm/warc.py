@@ -15,7 +15,8 @@ two line ends that close a record.
 Defined results: a null url or page is empty; a block without an empty line has
 no HTTP headers and is all payload; a null digest is not checked (``digest_ok``
 is null); null and repeated ids: two records for each row; an empty table gives
-an empty result.
+an empty result.  Work is in proportion to a page's length, also for pages of
+tags that are never closed.
 """
 
 from __future__ import annotations
@@ -39,7 +40,8 @@ EOL = "\r\n"
 _SILENT = [re.compile(rf"<{t}\b.*?(?:</{t}\s*>|\Z)", re.I | re.S) for t in ("script", "style", "noscript", "template")]
 _BREAKS = re.compile(r"</?(?:p|div|br|li|ul|ol|dl|dt|dd|h[1-6]|tr|table|article|section|header|footer|nav|title|blockquote|pre|form|hr|main|aside)\b[^>]*(?:>|\Z)", re.I)
 _COMMENT, _TAG = re.compile(r"<!--.*?(?:-->|\Z)", re.S), re.compile(r"<[a-zA-Z/!?][^>]*(?:>|\Z)")
-_TITLE, _LINK = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.I | re.S), re.compile(r"<a\b[^>]*\bhref\s*=", re.I)
+_TITLE, _TITLE_END = re.compile(r"<title\b", re.I), re.compile(r"</title\s*>", re.I)
+_ANCHOR, _HREF = re.compile(r"<a\b", re.I), re.compile(r"\bhref\s*=", re.I)
 _BLANK, _LINES = re.compile(r"[ \t\r\f\v ]+"), re.compile(r" ?\n[ \n]*")
 
 
@@ -56,8 +58,21 @@ def plain_text(page: str) -> str:
 
 
 def title_of(page: str) -> str:
-    found = _TITLE.search(page)
-    return _tidy(_TAG.sub("", found[1])).replace("\n", " ") if found else ""
+    """The text of the first title element (empty if it is not closed)."""
+    begin = _TITLE.search(page)
+    at = page.find(">", begin.end()) + 1 if begin else 0
+    end = _TITLE_END.search(page, at) if at else None
+    return _tidy(_TAG.sub("", page[at:end.start()])).replace("\n", " ") if end else ""
+
+
+def links_of(page: str) -> int:
+    """Anchors with an address; each tag is looked at once, up to its end."""
+    n = at = 0
+    while found := _ANCHOR.search(page, at):
+        at = page.find(">", found.end())
+        at = at if at >= 0 else len(page)
+        n += _HREF.search(page, found.end(), at) is not None
+    return n
 
 
 def digest(block: bytes) -> str:
@@ -105,7 +120,7 @@ def _derive(batches):
             conversion, metadata = record_id("conversion", source), record_id("metadata", source)
             status, *headers = head.decode(errors="replace").split(EOL)
             fields = [("conversion", conversion), ("source-block-digest", r["block_digest"] or ""), ("source-payload-digest", r["payload_digest"] or ""),
-                      ("http-status", status)] + [("http-header", h) for h in headers] + [("title", title_of(page)), ("links", str(len(_LINK.findall(page))))]
+                      ("http-status", status)] + [("http-header", h) for h in headers] + [("title", title_of(page)), ("links", str(links_of(page)))]
             for kind, own, mime, body in (("metadata", metadata, "application/warc-fields", "".join(f"{k}: {v}{EOL}" for k, v in fields)),
                                           ("conversion", conversion, "text/plain; charset=utf-8", text)):
                 raw = body.encode()

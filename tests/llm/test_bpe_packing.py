@@ -13,7 +13,8 @@ from tokenizers import Tokenizer
 from editpulse.llm import bpe, packing
 
 ODD = ["", None, "don't  stop\n\n now\t x", " lead", "trail  ", "a b   c \n d", "　　x   y", "x\u0085 y\x1c z\x0b q", "I'll we've 'S",
-       "中文 文字\n中", "é é  ñ12 3,4!! ...", "\x7f \x00 \r\n \r\n a", "w" * 3000, " " * 50, "\n" * 9 + "a", "🙂 🙂🙂\n🙂", "<|endoftext|> x"]
+       "中文 文字\n中", "é é  ñ12 3,4!! ...", "\x7f \x00 \r\n \r\n a", "w" * 3000, " " * 50, "\n" * 9 + "a", "🙂 🙂🙂\n🙂", "<|endoftext|> x",
+       "a<|endoftext|>b <|endoftext|><|endoftext|>\n c <|endoftext", "word " * 900 + "<|endoftext|>" + " word" * 900]
 
 
 def texts():
@@ -54,7 +55,6 @@ def test_decode_joins_the_token_table(spark):
 
 def ids_of(text):
     t = Tokenizer.from_file(P.path(packing.VOCABULARY))
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids + [0]
 
 
@@ -100,8 +100,26 @@ def test_cutting_stock_is_exact_and_near_its_bound(low, high, capacity):
     assert dict(held) == dict(zip(lengths.tolist(), counts.tolist()))
     first_fit = packing._first_fit(lengths, counts, capacity)
     cost = sum(packing.padded(sum(n * k for n, k in p.items()), capacity) * t for p, t in used)
-    plain = sum(packing.padded(sum(int(lengths[i]) * k for i, k in p.items()), capacity) for p in first_fit)
-    assert cost <= plain * 1.002 + capacity
+    plain = sum(packing.padded(sum(int(lengths[i]) * k for i, k in p.items()), capacity) * t for p, t in first_fit)
+    assert cost <= plain
+
+
+def test_columns_are_generated_up_to_the_dual_bound(monkeypatch):
+    r = np.random.default_rng(8)
+    for low, high, capacity in ((34, 100, 100), (150, 600, 1024), (20, 51, 100)):
+        lengths, counts = np.unique(r.integers(low, high, 4000), return_counts=True)
+        pivots, pivot = [], packing._pivot
+        monkeypatch.setattr(packing, "_pivot", lambda *a: pivots.append(1) or pivot(*a))
+        used = packing.solve(lengths, counts, capacity)
+        monkeypatch.undo()
+        assert len(pivots) > len(lengths)  # more columns than the start has
+        cost = sum(packing.padded(sum(n * k for n, k in p.items()), capacity) * t for p, t in used)
+        assert cost >= (lengths * counts).sum() and cost <= 1.02 * packing_bound(lengths, counts, capacity) + capacity
+
+
+def packing_bound(lengths, counts, capacity):
+    """A bound that needs no program: tokens, and a sequence for each piece over half of one."""
+    return max((lengths * counts).sum(), capacity * counts[2 * lengths > capacity].sum())
 
 
 def test_pricing_equals_brute_force():

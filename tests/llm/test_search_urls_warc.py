@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -142,3 +143,34 @@ def test_derivatives_of_odd_responses(spark):
                                 "page_id bigint, record_id string, target_uri string, date string, block binary, block_digest string, payload_digest string")
     got = {(r.page_id, r.warc_type): r for r in warc.derivatives(odd).collect()}
     assert got[1, "conversion"].block == "no headers" and got[1, "conversion"].digest_ok is None and got[2, "metadata"].digest_ok is False
+
+
+# --- long input ---------------------------------------------------------------
+
+def test_pages_of_unclosed_tags_take_time_in_proportion():
+    begin = time.time()
+    for page in ("<a " * 350_000, "<title>" * 150_000, "<title " * 150_000, "<a href" * 150_000, "</title " * 130_000, "<!--" * 260_000, "<script>" * 130_000):
+        assert warc.title_of(page) == "" and warc.links_of(page) == 0 and warc.plain_text(page) is not None
+    assert time.time() - begin < 30
+
+
+def test_titles_and_links_equal_the_plain_patterns():
+    title, link = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.I | re.S), re.compile(r"<a\b[^>]*\bhref\s*=", re.I)
+    r = random.Random(4)
+    for _ in range(3000):
+        page = "".join(r.choice(["<a", " ", ">", "href", "=", "<", "a", "<title", "</title", "x", "\n", "-href =", "<A HREF="]) for _ in range(r.randint(0, 14)))
+        found = title.search(page)
+        assert warc.links_of(page) == len(link.findall(page)), page
+        assert warc.title_of(page) == (warc._tidy(warc._TAG.sub("", found[1])).replace("\n", " ") if found else ""), page
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 20, 0])
+def test_hosts_of_any_length_and_rules_of_other_letters(spark, max_bytes):
+    rules = (*urlfilter.RULES, ("é.net", "/", "allow"), ("net", "/中", "block"), ("é.net", "/中", "allow"), ("net", "/abc", "allow"))
+    urls = ["http://" + "." * 1_000_000 + "net/", "http://" + "a." * 300_000 + "é.net/中", "http://" + "x" * 500_000 + "/de/", "http://é.net/中", "http://net/中", "http://net/abc"]
+    begin = time.time()
+    got = urlfilter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string"), rules, max_bytes).collect()
+    assert time.time() - begin < 60
+    best = lambda host, path: max(((len((h + p).encode()), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)), default=(0, None, "allow"))
+    for r in got:
+        assert (r.rule, r.verdict) == best(r.host, r.path)[1:], r.page_id
