@@ -7,12 +7,14 @@ between them has the same ids wherever it stands.  A chunk of texts becomes
 its distinct words and, for every text, the numbers of its words in order
 (their positions).  The words are shuffled once by hash, each distinct word of the
 corpus is encoded once, and its ids go back to the chunks that hold it, where
-the texts are put together by position.  The query looks the bytes
-of each id up in the encoder's own table; ``decode`` joins the token-byte table
-(one row an id, so of fixed size) and is not on the query's path.
+the texts are put together by position.  Decoding joins every id of a text, in
+order, with the token-byte table (one row an id, so of fixed size), which is
+broadcast; ``decode`` is the same join for any table with arrays of ids.
 
 Only distinct words travel, not every occurrence: positions stay beside their
-chunk in a bucketed table.
+chunk in a bucketed table.  A chunk's words are numbered by falling frequency;
+the positions also say which bucket each number went to, so that neither the
+words nor their ids carry numbers.
 
 Defined results: null text: empty, no ids; null and repeated ``doc_id``: a row
 for each row; an empty table gives an empty result.
@@ -40,7 +42,11 @@ from editpulse.session import scratch_dir
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Text bytes whose distinct words are gathered into one chunk.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 24 << 20
+#: Words of texts that are put together at once.
+TEXT_WORDS = 1 << 19
+#: Zstandard's level for what is stored or travels.
+LEVEL = 9
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -106,6 +112,14 @@ def _planes(numbers: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).ravel()
 
 
+def _small(*arrays: np.ndarray) -> bytes:
+    return zstandard.compress(C.pack(*arrays), LEVEL)
+
+
+def _arrays(blob: bytes) -> list[np.ndarray]:
+    return C.unpack(zstandard.decompress(blob))
+
+
 def _split(n_buckets: int, chunk_bytes: int):
     """Chunks: the positions (bucket -1) and the distinct words by bucket."""
     schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("blob", pa.binary())])
@@ -113,16 +127,20 @@ def _split(n_buckets: int, chunk_bytes: int):
     def chunk_rows(number, ids, data, offsets):
         found, first = words(data, offsets)
         coded = found.dictionary_encode()
-        yield number, -1, C.pack(ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), np.diff(first).astype(np.int32), _planes(coded.indices.to_numpy()))
-        distinct = coded.dictionary
+        which, distinct = coded.indices.to_numpy(), coded.dictionary
+        common = np.argsort(-np.bincount(which, minlength=len(distinct)), kind="stable")
+        rank = np.empty(len(common), np.int64)
+        rank[common] = np.arange(len(common))
+        distinct = distinct.take(pa.array(common))
         data, offsets = C.buffers(distinct)
-        bucket = C.word_hashes(data, offsets[:-1], offsets[1:]) % C.U(n_buckets) if len(distinct) else np.zeros(0, np.uint64)
-        order = np.argsort(bucket.astype(np.int32), kind="stable")
-        edges = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+        bucket = (C.word_hashes(data, offsets[:-1], offsets[1:]) % C.U(n_buckets)).astype(np.int32) if len(distinct) else np.zeros(0, np.int32)
+        yield number, -1, _small(ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), np.diff(first).astype(np.int32),
+                                 _planes(rank[which]), C.narrow(bucket))
+        order, edges = _by_bucket(bucket, n_buckets)
         moved = distinct.take(pa.array(order))
         for b in np.flatnonzero(np.diff(edges)):
             own, off = C.buffers(moved.slice(edges[b], edges[b + 1] - edges[b]))
-            yield number, int(b), zstandard.compress(C.pack(C.narrow(np.diff(order[edges[b]:edges[b + 1]], prepend=0)), C.narrow(np.diff(off)), own))
+            yield number, int(b), _small(C.narrow(np.diff(off)), own)
 
     def split(batches):
         task, number = TaskContext.get().partitionId(), 0
@@ -136,67 +154,98 @@ def _split(n_buckets: int, chunk_bytes: int):
     return split
 
 
+def _by_bucket(bucket: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of words ordered by bucket, and where each bucket begins."""
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+
+
 def _encode_distinct(path: str, pattern: str):
     """Each distinct word of a bucket once; its ids for every chunk that has it."""
     schema = pa.schema([("chunk", pa.int64()), ("blob", pa.binary())])
 
     def encode(batches):
         enc = encoder(path, pattern)
-        for _, rows in C.by_key(batches):
-            parts = [C.unpack(zstandard.decompress(r["blob"])) for r in rows]
-            lengths = np.concatenate([p[1].astype(np.int64) for p in parts])
+        for bucket, rows in C.by_key(batches):
+            parts = [_arrays(r["blob"]) for r in rows]
+            lengths = np.concatenate([p[0].astype(np.int64) for p in parts])
             offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
-            data = np.concatenate([p[2] for p in parts])
+            data = np.concatenate([p[1] for p in parts])
             coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
             ids, counts = encoded(enc, coded.dictionary.to_pylist())
             first = np.cumsum(counts, dtype=np.int64) - counts
             which, at = coded.indices.to_numpy(), 0
-            for r, (number, *_) in zip(rows, parts):
-                own = which[at:at + len(number)]
-                at += len(number)
-                yield C.table(schema, [r["chunk"]], [zstandard.compress(C.pack(number, C.narrow(counts[own]), C.narrow(ids[C.ranges(first[own], counts[own])])))])
+            for r, (sizes, _) in zip(rows, parts):
+                own = which[at:at + len(sizes)]
+                at += len(sizes)
+                yield C.table(schema, [r["chunk"]], [_small(np.array([bucket], np.int32), C.narrow(counts[own]), C.narrow(ids[C.ranges(first[own], counts[own])]))])
 
     return encode
 
 
-def _assemble(path: str, pattern: str, with_ids: bool):
+def token_table(path: str) -> tuple[np.ndarray, pa.LargeBinaryArray]:
+    """The token-byte table in the order of its ids: ids, bytes."""
+    ranks = ranks_of_json(path) if path.endswith(".json") else read_ranks(path)
+    rows = sorted((i, b) for b, i in ranks.items())
+    return np.array([i for i, _ in rows], np.int64), pa.array([b for _, b in rows], pa.large_binary())
+
+
+def _assemble(tokens, n_buckets: int, with_ids: bool):
+    """Texts put together by position; their ids join ``tokens``, the broadcast
+    token-byte table, which also gives each id's decimal digits."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
                        + [("ids", pa.list_(pa.int32())), ("decoded", pa.binary())] * with_ids)
 
     def assemble(batches):
-        enc = encoder(path, pattern)
+        token_ids, token_bytes = tokens.value
+        digits = pa.array([b"%d," % i for i in token_ids.tolist()], pa.large_binary())
         for batch in batches:
             for positions, answers in zip(batch["blob"], batch["answers"]):
-                doc_ids, null, lens, planes = C.unpack(positions.as_py())
-                which = np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
-                parts = [C.unpack(zstandard.decompress(a)) for a in answers.as_py() or ()]
-                n = sum(len(p[0]) for p in parts)
-                counts, text_of, bytes_of, ids_of = np.zeros(n, np.int64), [b""] * n, [b""] * n, [()] * n
-                for number, count, ids in parts:
-                    number = np.cumsum(number, dtype=np.int64)
-                    counts[number] = count
-                    listed, at = ids.tolist(), 0
-                    for w, k in zip(number.tolist(), count.tolist()):
-                        own = listed[at:at + k]
-                        at += k
-                        text_of[w] = b",".join(b"%d" % i for i in own)
-                        bytes_of[w] = b"".join(map(enc.decode_single_token_bytes, own))
-                        ids_of[w] = own if with_ids else ()
-                out, at = [], 0
-                for doc_id, no_id, k in zip(doc_ids.tolist(), null.tolist(), lens.tolist()):
-                    own = which[at:at + k]
-                    at += k
-                    listed = own.tolist()
-                    decoded = b"".join(map(bytes_of.__getitem__, listed))
-                    row = (None if no_id else doc_id, int(counts[own].sum()), hashlib.sha256(b",".join(map(text_of.__getitem__, listed))).hexdigest(),
-                           hashlib.sha256(decoded).hexdigest())
-                    out.append(row + ([i for w in listed for i in ids_of[w]], decoded) * with_ids)
-                if out:
-                    yield C.table(schema, *zip(*out))
+                doc_ids, null, lens, planes, bucket = _arrays(positions.as_py())
+                which = np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+                counts, rows, ids = _ids_by_number(bucket, n_buckets, [_arrays(a) for a in answers.as_py() or ()])
+                row = np.searchsorted(token_ids, ids)
+                if len(ids) and (row.max() == len(token_ids) or (token_ids[row] != ids).any()):
+                    raise ValueError("an id is not in the token-byte table")
+                first = np.concatenate([[0], np.cumsum(lens, dtype=np.int64)])
+                for i, j in C.slices(first, TEXT_WORDS):
+                    own = which[first[i]:first[j]]
+                    at = C.ranges(rows[own], counts[own])
+                    size = np.concatenate([[0], np.cumsum(counts[own], dtype=np.int64)])[first[i:j + 1] - first[i]]
+                    taken = pa.array(row[at])
+                    text, text_end = _bytes_of(digits, taken, size)
+                    decoded, end = _bytes_of(token_bytes, taken, size)
+                    columns = [pa.array(doc_ids[i:j], pa.int64(), mask=null[i:j]), np.diff(size),
+                               [hashlib.sha256(text[a:max(a, b - 1)]).hexdigest() for a, b in zip(text_end, text_end[1:])],
+                               [hashlib.sha256(decoded[a:b]).hexdigest() for a, b in zip(end, end[1:])]]
+                    if with_ids:
+                        columns += [pa.ListArray.from_arrays(pa.array(size, pa.int32()), pa.array(ids[at], pa.int32())),
+                                    [bytes(decoded[a:b]) for a, b in zip(end, end[1:])]]
+                    yield C.table(schema, *columns)
 
     return assemble
 
 
+def _ids_by_number(bucket: np.ndarray, n_buckets: int, answers: list[list[np.ndarray]]):
+    """How many ids each of a chunk's words has, where they begin, and all ids."""
+    order, edges = _by_bucket(bucket, n_buckets)
+    counts, begin = np.zeros(len(bucket), np.int64), np.zeros(len(bucket), np.int64)
+    all_ids, at = [np.zeros(0, np.int64)], 0
+    for (b,), count, ids in answers:
+        own = order[edges[b]:edges[b + 1]]
+        counts[own] = count
+        begin[own] = at + np.cumsum(count, dtype=np.int64) - count
+        all_ids.append(ids.astype(np.int64))
+        at += len(ids)
+    return counts, begin, np.concatenate(all_ids)
+
+
+def _bytes_of(table: pa.LargeBinaryArray, rows: pa.Array, size: np.ndarray) -> tuple[memoryview, list[int]]:
+    """Bytes of the table's rows, one after another, and where each text begins in them."""
+    data, offsets = C.buffers(table.take(rows))
+    return memoryview(data), offsets[size].tolist()
+
+
 def encode_documents(docs: DataFrame, ranks_path: str | None = None, pattern: str = public_tokenizers.PATTERN,
                      with_ids: bool = True, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Per document ``doc_id, n_tokens, ids_sha256`` (of decimal ids joined by
@@ -210,18 +259,19 @@ def encode_documents(docs: DataFrame, ranks_path: str | None = None, pattern: st
     (chunks.withColumn("is_words", F.col("bucket") >= 0).write.partitionBy("is_words").bucketBy(n, "chunk")
      .option("compression", "zstd").option("path", place).saveAsTable(name))
     table = spark.table(name)
+    tokens = spark.sparkContext.broadcast(token_table(path))
     answers = table.where("is_words").select("chunk", "bucket", "blob").repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(
         _encode_distinct(path, pattern), "chunk bigint, blob binary")
     answers = answers.groupBy("chunk").agg(F.collect_list("blob").alias("answers"))
     both = table.where("not is_words").select("chunk", "blob").join(answers, "chunk", "left").select("blob", "answers")
-    return both.mapInArrow(_assemble(path, pattern, with_ids), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return both.mapInArrow(_assemble(tokens, n, with_ids), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
                            + ", ids array<int>, decoded binary" * with_ids)
 
 
 def token_bytes(spark, ranks_path: str | None = None) -> DataFrame:
     """The token-byte table: ``token_id, bytes``."""
-    ranks = read_ranks(ranks_path or public_tokenizers.path(RANKS))
-    return spark.createDataFrame([(i, b) for b, i in ranks.items()], "token_id int, bytes binary")
+    ids, data = token_table(ranks_path or public_tokenizers.path(RANKS))
+    return spark.createDataFrame(list(zip(ids.tolist(), data.to_pylist())), "token_id int, bytes binary")
 
 
 def decode(rows: DataFrame, key: str, ids: str = "ids", ranks_path: str | None = None) -> DataFrame:
