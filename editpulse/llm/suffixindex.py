@@ -3,11 +3,15 @@
 
 A suffix array of a batch lists the suffixes that start at the anchors of its
 texts (the minimisers of all windows of 100 bytes: every window holds one, and
-equal windows hold equal ones), in the order of their first bytes.  It is
+equal windows hold equal ones), in the order of their first 24 bytes.  It is
 dealt out by anchor into buckets; a bucket's part is one sorted array.  A new
 batch's array is merge-scanned, bucket by bucket, against the arrays of the
-existing levels; suffixes that agree are seeds of long matches.  Then the
-batch becomes level 0, and two levels of equal size merge into the next, so a
+existing levels: the two sorted arrays merge in one pass, and suffixes that
+agree far enough are seeds of long matches.  A window of 100 bytes that repeats
+around an anchor has at least 38 of its other 76 bytes on one side of it, so two
+suffixes are seeds if they agree in their first 62 bytes, or in 24 and the 38
+bytes before (each suffix carries digests of both; suffixes whose run of windows
+has its anchor several times need only the 24).  Then the batch becomes level 0, and two levels of equal size merge into the next, so a
 corpus of ``b`` batches has at most ``log2(b) + 1`` levels and each suffix is
 rewritten that often.
 
@@ -46,6 +50,7 @@ SEED = "id bigint, start int, n int, key bigint"
 
 def _scan(window: int, n_buckets: int):
     schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
+    half = (window - GRAM_BYTES + 1) // 2
 
     def scan(batches):
         for batch in batches:
@@ -53,7 +58,7 @@ def _scan(window: int, n_buckets: int):
             ids, parts = batch["id"].to_numpy(), []
             for i, j in C.slices(offsets):
                 first = offsets[i:j + 1] - offsets[i]
-                own = C.overlapping_words(data[offsets[i]:offsets[j]])
+                own = C.overlapping_words(data[offsets[i]:offsets[j]], max(16, window))
                 grams = W.gram_hashes_of_bytes(own, max(0, int(first[-1]) - GRAM_BYTES + 1))
                 text, at, size, key = W.runs(grams, first, window, GRAM_BYTES)
                 if len(at):
@@ -64,8 +69,8 @@ def _scan(window: int, n_buckets: int):
                     end = at + size - 1
                     last = end + window - GRAM_BYTES - (around[end] == key[:, None])[:, ::-1].argmax(axis=1)
                     size = np.where(last > anchor, -size, size)
-                    tail = (C.mixed(own[anchor + 16]) >> C.U(32)).astype(np.uint32)
-                    parts.append((own[anchor].byteswap(), own[anchor + 8].byteswap(), tail, ids[i + text],
+                    parts.append((own[anchor].byteswap(), own[anchor + 8].byteswap(), own[anchor + 16].byteswap(),
+                                  _digest(own, anchor + GRAM_BYTES, half), _digest(own, anchor - half, half), ids[i + text],
                                   (at - first[text]).astype(np.int32), size.astype(np.int16), key))
             if parts:
                 *entry, key = (np.concatenate(x) for x in zip(*parts))
@@ -74,24 +79,67 @@ def _scan(window: int, n_buckets: int):
     return scan
 
 
+def _digest(own: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """16-bit digest of the ``n`` bytes from each position on.  Where they leave
+    the text (no window can then hold them all) any value will do."""
+    out = np.zeros(len(at), np.uint64)
+    for step in [*range(0, n - 8, 8), n - 8] if n >= 8 else ():
+        out = C.mixed(out * C.MIX2 + own[np.maximum(at + step, 0)])
+    return (out >> C.U(48)).astype(np.uint16)
+
+
 def _in_order(rows: list[dict]) -> list[np.ndarray]:
-    """Suffixes of several arrays in one order: 16 bytes, a hash of the next 8, id, place."""
+    """Suffixes of several arrays in the order of their first 24 bytes."""
     arrays = C.joined(rows)
-    order = np.lexsort(arrays[4::-1])
+    order = np.lexsort(arrays[2::-1])
     return [a[order] for a in arrays]
 
 
-def _groups(high, low, tail):
-    """First index and size of each group of equal suffix starts."""
-    new = np.ones(len(high), bool)
-    new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1]) | (tail[1:] != tail[:-1])
-    first = np.flatnonzero(new)
-    return first, np.diff(np.append(first, len(high)))
+def _merged(new: list[np.ndarray], old: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Two sorted arrays as one, and which of them (1, 2) each suffix is from.
+    The stable sort finds the two ascending runs and merges them in one pass."""
+    both = [np.concatenate(x) for x in zip(new, old)]
+    begin = np.stack(both[:3], axis=1).astype(">u8").view(f"S{GRAM_BYTES}").ravel()
+    order = np.argsort(begin, kind="stable")
+    return [b[order] for b in both], np.repeat(np.uint8([1, 2]), [len(new[0]), len(old[0])])[order]
+
+
+def _edges(*columns: np.ndarray) -> np.ndarray:
+    """First index of each group of equal neighbours."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
+def _agreeing(arrays: list[np.ndarray], source: np.ndarray | None = None) -> np.ndarray:
+    """Suffixes of a sorted array that agree with another one (of the other
+    source, if given) far enough for a common window."""
+    right, left, n = arrays[3], arrays[4], arrays[7]
+    keep = np.zeros(len(n), bool)
+    if not len(n):
+        return keep
+
+    def shared(first, size, source):
+        return np.diff(np.append(first, size)) > 1 if source is None else np.bitwise_or.reduceat(source, first) == 3
+
+    first = _edges(*arrays[:3])
+    count = np.diff(np.append(first, len(n)))
+    agree, twice = shared(first, len(n), source), np.logical_or.reduceat(n < 0, first)
+    keep |= np.repeat(agree & twice, count)
+    at = np.flatnonzero(np.repeat(agree & ~twice, count))
+    group = np.repeat(np.arange(len(first), dtype=np.uint64), count)[at] << C.U(16)
+    for side in (right, left) if len(at) else ():
+        code = group | side[at]
+        order = np.argsort(code, kind="stable")
+        begin = _edges(code[order])
+        hit = shared(begin, len(at), None if source is None else source[at][order])
+        keep[at[order[np.repeat(hit, np.diff(np.append(begin, len(at))))]]] = True
+    return keep
 
 
 def _seeds(arrays, keep):
-    high, low, tail, ids, start, n = (a[keep] for a in arrays)
-    key = C.mixed(high * C.MIX1 ^ C.mixed(low + C.MIX2) ^ tail * C.MIX3).view(np.int64)
+    high, mid, low, _, _, ids, start, n = (a[keep] for a in arrays)
+    key = C.mixed(high * C.MIX1 ^ C.mixed(mid + C.MIX2) ^ low * C.MIX3).view(np.int64)
     for i in range(0, len(ids), 100_000):
         at = slice(i, i + 100_000)
         yield C.table(_SEED, ids[at], start[at], np.abs(n[at]).astype(np.int32), key[at])
@@ -104,34 +152,27 @@ def _sorted(batches):
 
 
 def _scan_batch(batches):
-    """Seeds inside one batch: suffixes that start alike, and runs that repeat inside."""
+    """Seeds inside one batch: suffixes that agree, and runs that repeat inside."""
     for batch in batches:
         for blob in batch["blob"]:
             arrays = C.unpack(blob.as_py())
-            _, count = _groups(*arrays[:3])
-            yield from _seeds(arrays, np.repeat(count > 1, count) | (arrays[5] < 0))
+            yield from _seeds(arrays, _agreeing(arrays) | (arrays[7] < 0))
 
 
 def _merge_scan(batches):
     """Seeds between a new array and a level's array of one bucket."""
     for batch in batches:
         for new, old in zip(batch["blob"], batch["level"]):
-            new, old = C.unpack(new.as_py()), C.unpack(old.as_py())
-            both = [np.concatenate(x) for x in zip(new, old)]
-            source = np.repeat([1, 2], [len(new[0]), len(old[0])])
-            order = np.lexsort(both[2::-1])
-            first, count = _groups(*(b[order] for b in both[:3]))
-            if len(first):
-                seen = np.bitwise_or.reduceat(source[order], first)
-                yield from _seeds(both, order[np.repeat(seen == 3, count)])
+            both, source = _merged(C.unpack(new.as_py()), C.unpack(old.as_py()))
+            yield from _seeds(both, _agreeing(both, source))
 
 
 def _merge(batches):
     schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
     for batch in batches:
         for bucket, new, old in zip(batch["bucket"].to_pylist(), batch["blob"], batch["level"]):
-            parts = [{"blob": x.as_py()} for x in (new, old) if x.is_valid]
-            yield C.table(schema, [bucket], [C.pack(*_in_order(parts))])
+            parts = [C.unpack(x.as_py()) for x in (new, old) if x.is_valid]
+            yield C.table(schema, [bucket], [C.pack(*(_merged(*parts)[0] if len(parts) == 2 else parts[0]))])
 
 
 class SuffixArrayFamily:

@@ -99,30 +99,40 @@ def _cutter(window: int, of_words: bool):
 
     def cut(batches):
         for batch in batches:
-            out, held = [], 0
-            texts = batch["text"].cast(pa.binary())
+            row, start, size, key = _pieces(batch["runs"])
+            end = start + size + window - 1
+            ids, h = batch["id"].to_numpy()[row], batch["h"].to_numpy()[row]
+            edges = np.searchsorted(row, np.arange(len(batch) + 1))
+            from_, till, texts = start.tolist(), end.tolist(), batch["text"].cast(pa.binary())
+            out, held, begin = [], 0, 0
             for i in range(len(batch)):
-                tokens = texts[i].as_py()
+                tokens, lo, hi = texts[i].as_py(), edges[i], edges[i + 1]
                 if of_words:
                     tokens = tokens.split()
-                for r in batch["runs"][i].as_py():
-                    pieces = [(r["start"], r["n"])] if not r["hot"] else [(r["start"] + j, 1) for j in range(r["n"])]
-                    for start, size in pieces:
-                        s = tokens[start:start + size + window - 1]
-                        if len(s) < size + window - 1:  # a run of another text with this id
-                            continue
-                        s = b" ".join(s) + b" " if of_words else s
-                        out.append((r["key"], batch["id"][i].as_py(), batch["h"][i].as_py(), start, s))
-                        held += len(s)
-                if held > PIECE_BYTES:
-                    yield C.table(schema, *zip(*out))
-                    out, held = [], 0
-            if out:
-                yield C.table(schema, *zip(*out))
+                    own = [b" ".join(tokens[a:b]) + b" " for a, b in zip(from_[lo:hi], till[lo:hi])]
+                else:
+                    own = [tokens[a:b] for a, b in zip(from_[lo:hi], till[lo:hi])]
+                # a run that goes beyond the text is of another text with this id
+                out += own if not own or end[lo:hi].max() <= len(tokens) else [x if b <= len(tokens) else None for x, b in zip(own, till[lo:hi])]
+                held += sum(map(len, own))
+                if held > PIECE_BYTES or i + 1 == len(batch):
+                    at, s = slice(begin, hi), pa.array(out, pa.binary())
+                    yield C.table(schema, key[at], ids[at], h[at], start[at], s).filter(s.is_valid())
+                    out, held, begin = [], 0, hi
 
     return cut
 
 
+def _pieces(runs: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start, windows and key of each run; a hot one comes as its single windows."""
+    row = np.repeat(np.arange(len(runs)), np.diff(runs.offsets.to_numpy()))
+    start, n, key, hot = (x.to_numpy(zero_copy_only=False) for x in runs.flatten().flatten())
+    parts = np.where(hot, n, 1)
+    run = np.repeat(np.arange(len(row)), parts)
+    step = C.ranges(np.zeros(len(parts), np.int64), parts)
+    return row[run], (start[run] + step).astype(np.int32), np.where(hot, 1, n)[run], key[run]
+
+
 def _matcher(window: int, of_words: bool):
     schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
 

@@ -75,6 +75,37 @@ def test_suffix_arrays_equal_brute_force(docs_of, batches, hot):
     assert got == want and sum(w[1] for w in want.values()) > 5000
 
 
+def test_strings_of_just_the_window_between_other_text(docs_of):
+    """Passages of 99, 100 and 101 bytes at every distance from the texts' edges, and periodic ones."""
+    r = np.random.default_rng(8)
+
+    def noise(n):
+        return "".join(chr(x) for x in r.integers(97, 123, n))
+
+    rows = []
+    for i in range(60):
+        shared = noise((99, 100, 101)[i % 3]) if i % 4 else ("ab" * 80)[:100 + i % 7]
+        rows += [(2 * i, noise(i) + shared + noise(60 - i)), (2 * i + 1, noise(60 - i) + shared + noise(i % 5))]
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in dedup_substrings(docs_of(rows)).collect()}
+    want = brute.bytes_removed(rows)
+    assert got == want and sum(w[1] > 0 for w in want.values()) > 40
+
+
+def test_anchors_that_agree_in_24_bytes_only_are_no_seeds(spark, docs_of):
+    """One common 30-byte string between different texts; and the levels are in true order."""
+    r = np.random.default_rng(9)
+    common_part = "0123456789abcdefghij0123456789"
+    rows = [(i, "".join(chr(x) for x in r.integers(97, 123, 150)) + common_part + "".join(chr(x) for x in r.integers(97, 123, 150))) for i in range(300)]
+    index = SuffixArrayFamily(spark, n_buckets=2)
+    found = [index.add(common.keyed(docs_of(part))).count() for part in (rows[:150], rows[150:])]
+    assert found == [0, 0]
+    for row in index._level(index.levels[1]).collect():
+        high, mid, low = common.unpack(bytes(row.blob))[:3]
+        begin = list(zip(high.tolist(), mid.tolist(), low.tolist()))
+        assert begin == sorted(begin) and len(begin) > 300
+    index.drop()
+
+
 def test_levels_merge_geometrically(spark, docs_of):
     index, sizes = SuffixArrayFamily(spark, n_buckets=2), []
     for i in range(7):
