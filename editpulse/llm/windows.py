@@ -180,18 +180,20 @@ def covered(strings: pa.Table, window: int, of_words: bool):
     string = np.repeat(np.arange(len(counts)), counts)
     seed = C.BASE
     while True:
-        # Windows are numbered by document and position; a stable sort by hash
-        # puts the earliest of equal windows first.
+        # Windows are numbered by document and position: the least number of
+        # equal windows is the earliest one.
         sums = np.zeros(len(hashes) + 1, np.uint64)
         np.cumsum(hashes * C.powers(seed, len(hashes)), out=sums[1:])
         inverse = C.powers(C.U(pow(int(seed), -1, 1 << 64)), len(hashes) + 1)
         # the first hash of bytes reads 8 of them: the last seven belong to the next window
         value = (sums[at + window - (0 if of_words else 7)] - sums[at]) * inverse[at]
-        rank = np.argsort(value, kind="stable")
+        rank = np.argsort(value)
+        ordered = value[rank]
         new = np.ones(len(rank), bool)
-        new[1:] = value[rank[1:]] != value[rank[:-1]]
+        new[1:] = ordered[1:] != ordered[:-1]
+        begin = np.flatnonzero(new)
         lead = np.empty(len(rank), np.int64)
-        lead[rank] = rank[np.flatnonzero(new)][np.cumsum(new) - 1]
+        lead[rank] = np.repeat(np.minimum.reduceat(rank, begin), np.diff(np.append(begin, len(rank)))) if len(rank) else rank
         other = np.flatnonzero(lead != np.arange(len(lead)))
         a, b = at[other], at[lead[other]]
         if all(bool((exact[a + j] == exact[b + j]).all()) for j in steps):
