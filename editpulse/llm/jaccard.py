@@ -10,11 +10,11 @@ set size and position.
 * Index level: the list is a sequence of blocks of one size; a probe skips
   blocks whose sizes cannot reach the threshold, and inside a block, sorted by
   position, everything behind the last position that still can.
-* Answer level: in each of a few rounds every list has a centre (its least set by
-  a hash of groups that is the same everywhere, so that lists of the same sets choose
-  the same one) and a set is compared with the least centre of another group that it
-  meets: at most one comparison a set and round, however large its group.  What links joins
-  groups.  At last pairs whose sets lie in different groups are left.  Their overlaps are derived from the centre's answers:
+* Answer level: in each of a few rounds every list has a centre, in later rounds a few (the
+  least sets of its commonest group, by a hash that is the same everywhere, so that lists of
+  the same sets choose the same ones) and a set is compared with the centres of another group that it
+  meets most: at most ``WIDTHS`` comparisons a set and round, however large its group.  What
+  links joins groups.  At last pairs whose sets lie in different groups are left.  Their overlaps are derived from the centre's answers:
   ``|x & y| = |c & y| - |(c - x) & y| + |(x - c) & y|``, where ``|c & y|`` is
   counted once for all ``x`` that resemble ``c``, and ``c - x`` and ``x - c``, found when
   ``x`` and ``c`` were compared, are small.
@@ -47,8 +47,9 @@ PERCENT = 80
 #: Counters of the frequency sketch: a fixed size, whatever the input's.
 SLOT_BITS = 20
 SLICE_SLOTS = 1 << 14
-#: Rounds in which a set is compared with one centre.
-ROUNDS = 3
+#: With how many sets of one other group a set is compared, round by round: in a group
+#: where a pair in five links, 21 comparisons leave a set in a hundred outside.
+WIDTHS = (1, 4, 16)
 #: Members of a centre in one part, about.
 PART_SETS = 2_000
 #: Entries of index lists in one row, about (a list is never cut).
@@ -295,8 +296,9 @@ def _priority(ids: np.ndarray, round_: int) -> np.ndarray:
 
 
 def _best_first(ids: np.ndarray, centers: np.ndarray, groups: np.ndarray, round_: int):
-    """Of each of the distinct ``ids`` the centre that comes most often, then the one whose
-    group has the least priority (itself if there is no other), and that group."""
+    """Of each of the distinct ``ids`` the centres that come most often, then those whose
+    group has the least priority, at most the round's width (itself if there is no other),
+    and their groups; sorted by id."""
     order = np.lexsort((centers, ids))
     ids, centers, groups = ids[order], centers[order], groups[order]
     first = np.flatnonzero(np.append(len(ids) > 0, (ids[1:] != ids[:-1]) | (centers[1:] != centers[:-1])))
@@ -304,8 +306,11 @@ def _best_first(ids: np.ndarray, centers: np.ndarray, groups: np.ndarray, round_
     ids, centers, groups = ids[first], centers[first], groups[first]
     often[centers == ids] = 0
     order = np.lexsort((centers, _priority(groups, round_), -often, ids))
-    order = order[np.append(len(ids) > 0, ids[order[1:]] != ids[order[:-1]])]
-    return ids[order], centers[order], groups[order]
+    ids, centers, groups = ids[order], centers[order], groups[order]
+    first = np.flatnonzero(np.append(len(ids) > 0, ids[1:] != ids[:-1]))
+    place = np.arange(len(ids)) - np.repeat(first, np.diff(np.append(first, len(ids))))
+    keep = (place == 0) | ((place < WIDTHS[round_]) & (centers != ids))
+    return ids[keep], centers[keep], groups[keep]
 
 
 def _lists_with_groups(batches):
@@ -327,17 +332,36 @@ def _lists_with_groups(batches):
             yield bucket, length.astype(np.int64), ids, n.astype(np.int64), pos, ids if known is None else root[np.searchsorted(known, ids)]
 
 
+def _commonest(number: np.ndarray, group: np.ndarray, round_: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each list the group with most of its sets (of several the least by the round's
+    order), and how many; ``number`` is that of each set's list."""
+    order = np.lexsort((group, number))
+    first = np.flatnonzero(np.append(True, (number[order[1:]] != number[order[:-1]]) | (group[order[1:]] != group[order[:-1]])))
+    count = np.diff(np.append(first, len(order)))
+    of, root = number[order[first]], group[order[first]]
+    best = np.lexsort((_priority(root, round_), -count, of))
+    best = best[np.append(True, of[best[1:]] != of[best[:-1]])]
+    return root[best], count[best]
+
+
 def _stars(percent: int, n_buckets: int, round_: int):
-    """For each set of each row of lists the centre of the least group that it meets
-    there (itself, if that is its own), dealt out by set; with the lists' bucket."""
+    """For each set of each row of lists the centres of the lists' commonest groups
+    (itself, if those are its own), dealt out by set; with the lists' bucket."""
     schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
 
     def stars(batches):
         for bucket, length, ids, n, _, group in _lists_with_groups(batches):
             first, number = np.cumsum(length) - length, np.repeat(np.arange(len(length)), length)
-            center = np.lexsort((_priority(ids, round_), _priority(group, round_), number))[first][number]
-            fits = (100 * np.minimum(n, n[center]) >= percent * np.maximum(n, n[center])) & (group != group[center])
-            own, *least = _best_first(ids, np.where(fits, ids[center], ids), group[center], round_)
+            chosen, held = _commonest(number, group, round_)
+            order = np.lexsort((_priority(ids, round_), group != chosen[number], number))
+            met = [(ids, ids, group)]
+            at = np.flatnonzero(group != chosen[number])
+            for k in range(WIDTHS[round_]):  # sets of the list's commonest group, one after the other
+                at = at[held[number[at]] > k]
+                center = order[first[number[at]] + k]
+                fits = 100 * np.minimum(n[at], n[center]) >= percent * np.maximum(n[at], n[center])
+                met.append((ids[at[fits]], ids[center[fits]], group[center[fits]]))
+            own, *least = _best_first(*map(np.concatenate, zip(*met)), round_)
             part = (C.mixed(own.view(np.uint64)) % C.U(n_buckets)).astype(np.int32)
             yield C.table(schema, *zip(*C.dealt(part, n_buckets, own, *least, np.full(len(own), bucket, np.int32))))
 
@@ -345,20 +369,22 @@ def _stars(percent: int, n_buckets: int, round_: int):
 
 
 def _picks(round_: int):
-    """Each set with its centre (null if none), and the buckets where it has lists."""
-    schema = pa.schema([("id", pa.int64()), ("center", pa.int64()), ("buckets", pa.binary())])
+    """Each set with its centres, and the buckets where it has lists."""
+    schema = pa.schema([("id", pa.int64()), ("centers", pa.list_(pa.int64())), ("buckets", pa.binary())])
 
     def picks(batches):
         for _, rows in C.by_key(batches):
             ids, *found, bucket = C.joined(rows)
-            own, center, _ = _best_first(ids, *found, round_)
+            each, center, _ = _best_first(ids, *found, round_)
+            own, first = np.unique(each, return_index=True)
+            first = np.append(first, len(each))
             order = np.lexsort((bucket, ids))
             edges = np.append(np.searchsorted(ids[order], own), len(ids))
             bucket = bucket[order]
             for i in range(0, len(own), 4096):
                 j = min(i + 4096, len(own))
-                yield C.table(schema, own[i:j], pa.array(center[i:j], mask=center[i:j] == own[i:j]),
-                              [np.unique(bucket[edges[k]:edges[k + 1]]).tobytes() for k in range(i, j)])
+                centers = [[c for c in center[first[k]:first[k + 1]].tolist() if c != own[k]] for k in range(i, j)]
+                yield C.table(schema, own[i:j], centers, [np.unique(bucket[edges[k]:edges[k + 1]]).tobytes() for k in range(i, j)])
 
     return picks
 
@@ -479,15 +505,22 @@ def _parted(pairs: DataFrame, of: str) -> DataFrame:
     return pairs.join(sizes, "center", "left").withColumn("part", F.pmod(F.xxhash64(of), F.coalesce("parts", F.lit(1)))).drop("parts")
 
 
-def _joined_groups(groups: DataFrame, links: DataFrame) -> DataFrame:
+def _joined_groups(groups: DataFrame, links: DataFrame, round_: int) -> DataFrame:
     """``groups (id, buckets, root)`` after the round's ``links (u, v)`` of centres ``u``:
-    the group of ``v`` goes to that of ``u``, which the round's order puts before it, so
-    that no circle can arise; followed three times.  Equal roots are one component; a
-    component may have several."""
+    of two linked groups the one with fewer sets (of equal ones that of ``v``) goes to the
+    other, each to the largest that it links to; followed twice.  Equal roots are one
+    component; a component may have several (in a circle of equal groups roots only
+    change places)."""
     root_of = groups.select("id", "root")
-    met = links.join(root_of.toDF("u", "up"), "u").join(root_of.toDF("v", "at"), "v")
-    up = met.groupBy("at").agg(F.min("up").alias("up"))
-    for i in range(3):
+    met = links.join(root_of.toDF("u", "up"), "u").join(root_of.toDF("v", "at"), "v").where("at <> up").select("at", "up").distinct()
+    met = met.withColumn("size", F.lit(1))
+    if round_:  # before, each group is one set
+        size = groups.groupBy("root").agg(F.count("*").alias("size"))
+        met = met.drop("size").join(size.toDF("at", "m"), "at").join(size.toDF("up", "n"), "up")
+        met = met.select(*(F.when(F.col("m") > F.col("n"), F.col(a)).otherwise(F.col(b)).alias(c) for a, b, c in (("up", "at", "at"), ("at", "up", "up"))),
+                         F.greatest("m", "n").alias("size"))
+    up = met.groupBy("at").agg(F.max_by("up", F.struct("size", "up")).alias("up"))
+    for i in range(2):
         step = up.select(F.col("at").alias(f"at{i}"), F.col("up").alias(f"up{i}"))
         groups = groups.join(step, F.col("root") == F.col(f"at{i}"), "left").select("id", "buckets", F.coalesce(f"up{i}", "root").alias("root"))
     return groups
@@ -580,17 +613,17 @@ def groups_of(rows: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -
         return labels.unionByName(lists).repartition(n, "bucket").sortWithinPartitions("bucket", "kind")
 
     met, groups, sets, links = lists, None, None, None
-    for round_ in range(ROUNDS):
+    for round_ in range(len(WIDTHS)):
         picks = met.mapInArrow(_stars(percent, n, round_), "bucket int, blob binary").repartition(n, "bucket").sortWithinPartitions("bucket")
-        picks = C.staged(spark, picks.mapInArrow(_picks(round_), "id bigint, center bigint, buckets binary"), "set-picks")
+        picks = C.staged(spark, picks.mapInArrow(_picks(round_), "id bigint, centers array<bigint>, buckets binary"), "set-picks")
         if groups is None:
             groups = picks.select("id", "buckets", F.col("id").alias("root"))
             least = rows.select(F.col("node").alias("id"), "text").join(groups.select("id"), "id")
             sets = C.staged(spark, least.mapInArrow(_sets(k), "id bigint, n bigint, sketch binary, own binary").dropDuplicates(["id"]), "sets")
-        asked = C.staged(spark, plausible(picks.where("center is not null").select("center", "id"), sets, percent), "set-asked")
+        asked = C.staged(spark, plausible(picks.select(F.explode("centers").alias("center"), "id"), sets, percent), "set-asked")
         new = C.staged(spark, star_links(asked, sets, percent), "set-links")
         links = new if links is None else links.unionByName(new)
-        groups = C.staged(spark, _joined_groups(groups, new), "set-groups")
+        groups = C.staged(spark, _joined_groups(groups, new, round_), "set-groups")
         met = grouped_lists(groups)
     pairs = met.mapInArrow(_across(percent), "x bigint, y bigint").distinct()
     pairs = C.staged(spark, plausible(pairs, sets, percent), "set-pairs")

@@ -138,7 +138,7 @@ def test_comparisons_are_as_many_as_sets(spark, docs_of, monkeypatch):
     derived = jaccard.derived_links
     monkeypatch.setattr(jaccard, "derived_links", lambda pairs, links, sets, percent: asked.append(pairs.count()) or derived(pairs, links, sets, percent))
     assert {x.component_id for x in jaccard.similar_groups(docs_of(rows)).collect()} == {0}
-    assert len(asked) == jaccard.ROUNDS + 1 and max(asked) <= 300 and sum(asked[1:]) < 100
+    assert len(asked) == len(jaccard.WIDTHS) + 1 and max(asked) <= 300 and sum(asked[1:]) < 100
 
 
 def test_null_ids_repeated_rows_and_empty_table(docs_of):
