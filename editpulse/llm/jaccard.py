@@ -14,7 +14,9 @@ set size and position.
   least sets of its commonest group, by a hash that is the same everywhere, so that lists of
   the same sets choose the same ones) and a set is compared with the centres of another group that it
   meets most: at most ``WIDTHS`` comparisons a set and round, however large its group.  What
-  links joins groups.  At last pairs whose sets lie in different groups are left.  Their overlaps are derived from the centre's answers:
+  links joins groups.  At last pairs whose sets lie in different groups are left: the lists
+  that have such get the sketches of their sets, and a pair leaves its list only if these
+  do not exclude that it links.  Their overlaps are derived from the centre's answers:
   ``|x & y| = |c & y| - |(c - x) & y| + |(x - c) & y|``, where ``|c & y|`` is
   counted once for all ``x`` that resemble ``c``, and ``c - x`` and ``x - c``, found when
   ``x`` and ``c`` were compared, are small.
@@ -214,6 +216,8 @@ def _has_partner(token, n, pos, percent: int) -> np.ndarray:
 
 #: Counters of a set's sketch (its members by their first byte).
 SKETCH = 256
+#: Sketches compared with one at once.
+SKETCHES = 1 << 13
 
 
 def _sets(k: int):
@@ -235,6 +239,21 @@ def _sets(k: int):
     return sets
 
 
+def _cells(column) -> np.ndarray:
+    """A column of sketches, one a row; one that is empty has the largest counts."""
+    data, offsets = C.buffers(column)
+    cells = np.full((len(column), SKETCH), 255, np.uint8)
+    cells[np.diff(offsets) > 0] = data.reshape(-1, SKETCH)
+    return cells
+
+
+def may_link(one: np.ndarray, two: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets with sketches ``one`` and ``two`` and ``n`` members together can be
+    as similar as asked for (two empty sketches tell nothing)."""
+    most = np.minimum(one, two).sum(axis=1, dtype=np.int64)
+    return (100 * most >= percent * (n - most)) | (most == 255 * SKETCH)
+
+
 def _bounded(percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -243,12 +262,7 @@ def _bounded(percent: int):
             if not len(batch):
                 continue
             n = batch["na"].to_numpy() + batch["nb"].to_numpy()
-            (one, at), (two, to) = (C.buffers(batch[c]) for c in ("sa", "sb"))
-            keep = (np.diff(at) == 0) | (np.diff(to) == 0)
-            both = np.flatnonzero(~keep)
-            one, two = (x[(o[both, None] + np.arange(SKETCH)).ravel()].reshape(-1, SKETCH) for x, o in ((one, at), (two, to)))
-            most = np.minimum(one, two).sum(axis=1, dtype=np.int64)
-            keep[both] = 100 * most >= percent * (n[both] - most)
+            keep = may_link(_cells(batch["sa"]), _cells(batch["sb"]), n, percent)
             yield C.table(schema, *(batch[c].filter(pa.array(keep)) for c in ("a", "b")))
 
     return bounded
@@ -266,7 +280,13 @@ def plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def probes(n: np.ndarray, pos: np.ndarray, group: np.ndarray, percent: int):
     """Pairs ``(i, j)`` of a list's sets, in different groups, that can be as
-    similar as asked for and first meet at this token.
+    similar as asked for and first meet at this token."""
+    for i, found in each_probe(n, pos, group, percent):
+        yield from ((i, j) for j in found)
+
+
+def each_probe(n: np.ndarray, pos: np.ndarray, group: np.ndarray, percent: int):
+    """``probes``, each probing set ``i`` once, with all its ``j``.
 
     The list is sorted by size, then position, so sizes form blocks.  A probe
     ``i`` skips the blocks of sizes too small or too large for it, and takes of
@@ -281,13 +301,15 @@ def probes(n: np.ndarray, pos: np.ndarray, group: np.ndarray, percent: int):
     common = at == count.argmax()
     for i in np.flatnonzero(~common):
         low, high = np.searchsorted(100 * sizes, percent * n[i]), np.searchsorted(percent * sizes, 100 * n[i], "right")
+        found = []
         for b in range(low, high):
             need = -((-percent * (n[i] + sizes[b])) // (100 + percent))
             if n[i] - pos[i] < need:
                 continue
             j = np.arange(first[b], first[b] + np.searchsorted(pos[first[b]:last[b]], sizes[b] - need, "right"))
-            j = j[(group[j] != group[i]) & (common[j] | (j > i))]
-            yield from zip(np.full(len(j), order[i]), order[j])
+            found.append(j[(group[j] != group[i]) & (common[j] | (j > i))])
+        if found:
+            yield order[i], order[np.concatenate(found)]
 
 
 def _priority(ids: np.ndarray, round_: int) -> np.ndarray:
@@ -389,42 +411,100 @@ def _picks(round_: int):
     return picks
 
 
+def _dealt_rows(batch, n_buckets: int):
+    """The batch's rows dealt out to the buckets where their sets have lists."""
+    data, offsets = C.buffers(batch["buckets"])
+    at = np.repeat(np.arange(len(batch)), np.diff(offsets) // 4)
+    for b, blob in C.dealt(np.frombuffer(data.tobytes(), np.int32), n_buckets, at):
+        yield b, C.unpack(blob)[0]
+
+
 def _labels(n_buckets: int):
     """Each set's group, dealt out to the buckets where it has lists."""
     schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
 
     def labels(batches):
         for batch in batches:
-            data, offsets = C.buffers(batch["buckets"])
-            bucket = np.frombuffer(data.tobytes(), np.int32)
-            at = np.repeat(np.arange(len(batch)), np.diff(offsets) // 4)
-            out = [(b, 0, blob) for b, blob in C.dealt(bucket, n_buckets, batch["id"].to_numpy()[at], batch["root"].to_numpy()[at])]
+            ids, root = batch["id"].to_numpy(), batch["root"].to_numpy()
+            out = [(b, 0, C.pack(ids[at], root[at])) for b, at in _dealt_rows(batch, n_buckets)]
             if out:
                 yield C.table(schema, *zip(*out))
 
     return labels
 
 
+def _mixed(batches):
+    """The lists whose sets lie in different groups, packed: the lists' lengths, ids,
+    sizes, positions and groups."""
+    schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
+    for bucket, length, ids, n, pos, group in _lists_with_groups(batches):
+        first = np.cumsum(length) - length
+        several = np.minimum.reduceat(group, first) != np.maximum.reduceat(group, first)
+        at = np.repeat(several, length)
+        if several.any():
+            yield C.table(schema, [bucket], [C.pack(C.narrow(length[several]), ids[at], C.narrow(n[at]), C.narrow(pos[at]), group[at])])
+
+
+def _members(batches):
+    """The sets of lists."""
+    for batch in batches:
+        if len(batch):
+            yield C.table(pa.schema([("id", pa.int64())]), np.unique(np.concatenate([C.unpack(blob.as_py())[1] for blob in batch["blob"]])))
+
+
+def _sketches(n_buckets: int):
+    """Each set's sketch, dealt out to the buckets where it has lists."""
+    schema = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.binary())])
+
+    def sketches(batches):
+        for batch in batches:
+            ids, cells = batch["id"].to_numpy(), _cells(batch["sketch"])
+            for b, at in _dealt_rows(batch, n_buckets):
+                yield C.table(schema, [b], [0], [C.pack(ids[at], cells[at].ravel())])
+
+    return sketches
+
+
+def _lists_with_sketches(batches):
+    """Each row's lists (lengths, ids, sizes, positions, groups), the bucket's sketches and
+    the row of each id there.  A bucket's sketches come before its lists."""
+    of, parts, known, cells = None, [], None, None
+    for batch in batches:
+        for bucket, kind, blob in zip(batch["bucket"].to_pylist(), batch["kind"].to_pylist(), batch["blob"]):
+            if bucket != of:
+                of, parts, known, cells = bucket, [], None, None
+            if kind == 0:
+                parts.append(C.unpack(blob.as_py()))
+                continue
+            if parts:
+                known, cells = (np.concatenate(x) for x in zip(*parts))
+                order, parts = np.argsort(known), []
+                known, cells = known[order], cells.reshape(-1, SKETCH)[order]
+            length, ids, n, pos, group = C.unpack(blob.as_py())
+            yield length.astype(np.int64), ids, n.astype(np.int64), pos.astype(np.int64), group, cells, np.searchsorted(known, ids)
+
+
 def _across(percent: int):
-    """Candidate pairs of each list whose sets lie in different groups."""
+    """Candidate pairs of each list whose sets lie in different groups, and whose
+    sketches leave that they link."""
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
     def across(batches):
         out, held = [], 0
-        for _, length, ids, n, pos, group in _lists_with_groups(batches):
-            first = np.cumsum(length) - length
-            several = np.minimum.reduceat(group, first) != np.maximum.reduceat(group, first)
-            for a, k in zip(first[several], length[several]):
+        for length, ids, n, pos, group, cells, row in _lists_with_sketches(batches):
+            for a, k in zip(np.cumsum(length) - length, length):
                 at = slice(a, a + k)
-                for i, j in probes(n[at], pos[at], group[at], percent):
-                    out.append((min(ids[a + i], ids[a + j]), max(ids[a + i], ids[a + j])))
-                    held += 1
-                if held >= 200_000:  # a pair that meets in several lists leaves once
-                    out = [np.unique(np.array(out).reshape(-1, 2), axis=0)]
-                    yield C.table(schema, *out[0].T)
-                    out, held = [], 0
-        if out:
-            yield C.table(schema, *np.unique(np.array(out), axis=0).T)
+                for i, others in each_probe(n[at], pos[at], group[at], percent):
+                    for part in range(0, len(others), SKETCHES):
+                        j = a + others[part:part + SKETCHES]
+                        j = j[may_link(cells[row[a + i]], cells[row[j]], n[a + i] + n[j], percent)]
+                        out.append(np.stack([np.minimum(ids[a + i], ids[j]), np.maximum(ids[a + i], ids[j])], axis=1))
+                        held += len(j)
+                    if held >= 200_000 or len(out) >= 200_000:  # a pair that meets in several lists leaves once
+                        yield C.table(schema, *np.unique(np.concatenate(out), axis=0).T)
+                        out, held = [], 0
+        if held:
+            yield C.table(schema, *np.unique(np.concatenate(out), axis=0).T)
 
     return across
 
@@ -625,8 +705,11 @@ def groups_of(rows: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -
         links = new if links is None else links.unionByName(new)
         groups = C.staged(spark, _joined_groups(groups, new, round_), "set-groups")
         met = grouped_lists(groups)
-    pairs = met.mapInArrow(_across(percent), "x bigint, y bigint").distinct()
-    pairs = C.staged(spark, plausible(pairs, sets, percent), "set-pairs")
+    mixed = C.staged(spark, met.mapInArrow(_mixed, "bucket int, blob binary"), "set-mixed")
+    asked = mixed.mapInArrow(_members, "id bigint").distinct()
+    sketches = groups.select("id", "buckets").join(asked, "id").join(sets.select("id", "sketch"), "id").mapInArrow(_sketches(n), "bucket int, kind int, blob binary")
+    met = sketches.unionByName(mixed.withColumn("kind", F.lit(1))).repartition(n, "bucket").sortWithinPartitions("bucket", "kind")
+    pairs = C.staged(spark, met.mapInArrow(_across(percent), "x bigint, y bigint").distinct(), "set-pairs")
     more = derived_links(pairs, links, sets, percent)
 
     copies = known.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("node").alias("v"), F.max("node").alias("w")).where("v <> w").drop("w")

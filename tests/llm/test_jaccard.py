@@ -141,6 +141,48 @@ def test_comparisons_are_as_many_as_sets(spark, docs_of, monkeypatch):
     assert len(asked) == len(jaccard.WIDTHS) + 1 and max(asked) <= 300 and sum(asked[1:]) < 100
 
 
+def test_sets_beside_a_large_group_leave_their_lists_only_if_they_may_link(spark, docs_of, monkeypatch):
+    """Sets that share rare words with all of a large group, and link to none of it."""
+    rows = []
+    for i in range(260):
+        w = [f"w{j}" for j in range(100)]
+        for at in range(12, 100, 25) if i < 60 else [i % 50]:
+            w[at + (i < 60) * (i % 10)] = f"e{i}"
+        rows.append((i, " ".join(w)))
+    made, across = spark.sparkContext.accumulator(0), jaccard._across
+
+    def counted(*args):
+        def run(batches):
+            for batch in across(*args)(batches):
+                made.add(batch.num_rows)
+                yield batch
+        return run
+
+    monkeypatch.setattr(jaccard, "_across", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar_groups(docs_of(rows)).collect()}
+    assert got == groups(rows) and sum(c == 60 for _, c in got.values()) == 200
+    assert made.value < 3 * len(rows)
+
+
+def test_pairs_of_lists_are_those_that_sketches_leave():
+    """Also sets whose sketch is empty, and parts of a probe's partners."""
+    r = np.random.default_rng(8)
+    base = r.integers(0, 1 << 63, 120).astype(np.uint64) * np.uint64(2)
+    own = [np.unique(np.append(base[r.random(120) > 0.05 * (i % 5)], r.integers(0, 1 << 60, i % 7).astype(np.uint64))) for i in range(40)]
+    cells = np.stack([np.bincount((a >> np.uint64(56)).astype(int), minlength=256).astype(np.uint8) for a in own])
+    cells[7] = cells[9] = 255
+    ids, n, group = np.arange(40) * 3 + 1, np.array([len(a) for a in own]), np.arange(40) % 9
+    pack = jaccard.C.pack
+    lists = pack(np.array([40]), ids, n, np.zeros(40, np.int64), group)
+    schema = jaccard.pa.schema([("bucket", jaccard.pa.int32()), ("kind", jaccard.pa.int32()), ("blob", jaccard.pa.binary())])
+    rows = jaccard.C.table(schema, [5, 5, 5], [0, 0, 1], [pack(ids[20:], cells[20:].ravel()), pack(ids[:20], cells[:20].ravel()), lists])
+    got = {(x, y) for b in jaccard._across(80)(iter([rows])) for x, y in zip(*b.to_pydict().values())}
+    met = {(min(i, j), max(i, j)) for i, j in jaccard.probes(n, np.zeros(40, int), group, 80)}
+    want = {(ids[i], ids[j]) for i, j in met if jaccard.may_link(cells[[i]], cells[[j]], n[i] + n[j], 80)[0]}
+    linked = {(ids[i], ids[j]) for i, j in met if 100 * len(np.intersect1d(own[i], own[j])) >= 80 * len(np.union1d(own[i], own[j]))}
+    assert got == want and linked <= got and len(linked) < len(got) < len(met)
+
+
 def test_null_ids_repeated_rows_and_empty_table(docs_of):
     t = "one two three four five six seven"
     got = jaccard.similar_groups(docs_of([(4, t), (4, t), (9, t), (None, t), (None, None), (1, "")])).collect()
