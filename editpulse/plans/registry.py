@@ -190,29 +190,48 @@ def run_split_stream(spark: SparkSession, sf_dir: str, kind: str = "user_edit_co
                      n_chunks: int = STREAM_CHUNKS, progress: list | None = None) -> tuple[str, str]:
     """Replay the events, some with each fault of ``faulty_messages``, through the job with
     two outputs; returns the paths of its counts and its rejects."""
-    options = JobOptions(window=window, watermark=STREAM_WATERMARK, trigger=None, namespaces=None,
-                         idle_batches=False, state_partitions=STREAM_STATE_PARTITIONS)
+    return run_split_streams(spark, sf_dir, [(kind, window)], n_chunks, progress)[0]
+
+
+def run_split_streams(spark: SparkSession, sf_dir: str, jobs: list[tuple[str, WindowSpec]], n_chunks: int = STREAM_CHUNKS,
+                      progress: list | None = None) -> list[tuple[str, str]]:
+    """``run_split_stream`` for several jobs ``(kind, window)`` over one feed: each chunk
+    lands once, and the jobs, each with its own checkpoint and outputs, take it at the same
+    time.  Returns the paths of each job's counts and rejects."""
     root = scratch_dir(spark, "stream-split")
-    landing, table, bad = f"{root}/landing", f"{root}/table", f"{root}/rejects"
-    streaming = stream_session(spark, options)
+    landing = f"{root}/landing"
+    paths = [(f"{root}/{i}/table", f"{root}/{i}/rejects") for i in range(len(jobs))]
+    options = [JobOptions(window=window, watermark=STREAM_WATERMARK, trigger=None, namespaces=None,
+                          idle_batches=False, state_partitions=STREAM_STATE_PARTITIONS) for _, window in jobs]
+    streaming = stream_session(spark, options[0])
 
     def run(_chunk: int) -> None:
-        q = run_to_end(start_split_job(read_lines_stream(streaming, f"{landing}/*"), options, table, bad, f"{root}/checkpoint", kind))
-        if progress is not None:
-            progress.extend(q.recentProgress)
+        started = []
+        try:
+            for i, (kind, _) in enumerate(jobs):
+                lines = read_lines_stream(streaming, f"{landing}/*")
+                started.append(start_split_job(lines, options[i], *paths[i], f"{root}/{i}/checkpoint", kind))
+            for q in started:
+                run_to_end(q)
+                if progress is not None:
+                    progress.extend(q.recentProgress)
+        finally:
+            for q in started:
+                if q.isActive:
+                    q.stop()
 
     replay_chunks(lambda lo, hi: edit_events(spark, sf_dir, lo, hi), event_time_bounds(spark, sf_dir), landing, n_chunks, run,
                   as_lines=faulty_messages)
-    return table, bad
+    return paths
 
 
 def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the jobs of the user and the page table set aside, with every reason that
     a message can be rejected for."""
+    jobs = [("user_edit_counts", HOUR), ("top_pages", DAY)]
     parts = []
-    for kind, window in (("user_edit_counts", HOUR), ("top_pages", DAY)):
-        bad = spark.read.parquet(run_split_stream(spark, sf_dir, kind, window)[1])
-        parts.append(bad.select(F.lit(kind).alias("for_table"), "raw", "reject_reason"))
+    for (kind, _), (_, rejects) in zip(jobs, run_split_streams(spark, sf_dir, jobs)):
+        parts.append(spark.read.parquet(rejects).select(F.lit(kind).alias("for_table"), "raw", "reject_reason"))
     return parts[0].unionByName(parts[1])
 
 

@@ -21,9 +21,10 @@ from editpulse.sources.counts import read_final, read_versioned, retained_from
 from editpulse.sources.jdbc import day_predicates, read_jdbc, read_jdbc_ranges, read_jdbc_whole
 from editpulse.sources.testdata import FAULT_CYCLE, FAULTS, edit_events
 from editpulse.sources.text import read_lines, read_lines_stream
+from editpulse.streaming import replay
 from editpulse.streaming.ingest import accepted_messages, start_ingest_job
 from editpulse.streaming.ingest import main as ingest_main
-from editpulse.streaming.job import SplitBatch, run_all, run_to_end, start_counts_job, start_rejects_job, start_split_job
+from editpulse.streaming.job import SplitBatch, rejects, run_all, run_to_end, start_counts_job, start_rejects_job, start_split_job
 
 SF = "/root/testdata/sf0.001"
 B = 1_700_000_040
@@ -66,6 +67,17 @@ def test_stored_and_rejected_are_the_messages_of_every_batch(spark):
     assert sum(m["messages"] for m in seen) == edit_events(spark, SF).count() == 1000 and sum(reasons.values()) == 1000 * (len(FAULTS) - 2) // FAULT_CYCLE
 
 
+def test_jobs_of_one_feed_land_it_once(spark, monkeypatch):
+    landed, land_one = [], replay.land_chunk
+    monkeypatch.setattr(replay, "land_chunk", lambda *args: landed.append(args) or land_one(*args))
+    got = rows(registry.stream_rejected(spark, SF))
+    assert [i for _, _, i, _ in landed] == list(range(registry.STREAM_CHUNKS))
+    feed = spark.read.text(f"{landed[0][1]}/*")
+    options = JobOptions(window=WindowSpec("1 hour"), trigger=None, namespaces=None)
+    want = [(kind, *r) for kind in ("user_edit_counts", "top_pages") for r in rows(rejects(feed, options, kind))]
+    assert sorted(got) == sorted(want) and {r[0] for r in got} == {"user_edit_counts", "top_pages"}
+
+
 def test_a_replayed_batch_changes_neither_output(spark, scratch):
     both = counts_of(spark, [B]).unionByName(spark.createDataFrame([("x", "not_json")], "raw string, reject_reason string"), allowMissingColumns=True)
     write = SplitBatch(f"{scratch}/t", f"{scratch}/bad")
