@@ -51,15 +51,27 @@ def partitions(spark: SparkSession) -> int:
 
 
 @contextmanager
-def cleaned_shuffles(spark: SparkSession):
-    """Within it, a finished write frees the shuffle files it was made from."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
+def _held(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def cleaned_shuffles(spark: SparkSession):
+    """Within it, a finished write frees the shuffle files it was made from."""
+    return _held(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def small_batches(spark: SparkSession, size: int = 4 << 20):
+    """Within it, a write hands its Arrow functions about ``size`` bytes at once
+    (a single longer row goes whole), not up to a partition of 10000 rows."""
+    return _held(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def staged(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:

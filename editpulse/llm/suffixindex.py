@@ -43,6 +43,11 @@ WINDOW_BYTES = 100
 GRAM_BYTES = 24
 #: Batches that a whole table is added in.
 BATCHES = 3
+#: Buckets a shuffle partition: a task handles one at a time, so it holds less of
+#: the arrays at once.
+PARTITION_BUCKETS = 4
+#: Suffixes that a task gathers before it deals them out (42 bytes each).
+SCAN_SUFFIXES = 400_000
 
 _SEED = pa.schema([("id", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("key", pa.int64())])
 SEED = "id bigint, start int, n int, key bigint"
@@ -52,10 +57,15 @@ def _scan(window: int, n_buckets: int):
     schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
     half = (window - GRAM_BYTES + 1) // 2
 
+    def dealt(parts):
+        *entry, key = (np.concatenate(x) for x in zip(*parts))
+        return C.table(schema, *zip(*C.dealt(key % C.U(n_buckets), n_buckets, *entry)))
+
     def scan(batches):
+        parts, held = [], 0
         for batch in batches:
             data, offsets = C.buffers(batch["text"])
-            ids, parts = batch["id"].to_numpy(), []
+            ids = batch["id"].to_numpy()
             for i, j in C.slices(offsets):
                 first = offsets[i:j + 1] - offsets[i]
                 own = C.overlapping_words(data[offsets[i]:offsets[j]], max(16, window))
@@ -72,9 +82,12 @@ def _scan(window: int, n_buckets: int):
                     parts.append((own[anchor].byteswap(), own[anchor + 8].byteswap(), own[anchor + 16].byteswap(),
                                   _digest(own, anchor + GRAM_BYTES, half), _digest(own, anchor - half, half), ids[i + text],
                                   (at - first[text]).astype(np.int32), size.astype(np.int16), key))
-            if parts:
-                *entry, key = (np.concatenate(x) for x in zip(*parts))
-                yield C.table(schema, *zip(*C.dealt(key % C.U(n_buckets), n_buckets, *entry)))
+                    held += len(at)
+                if held >= SCAN_SUFFIXES:
+                    yield dealt(parts)
+                    parts, held = [], 0
+        if parts:
+            yield dealt(parts)
 
     return scan
 
@@ -183,12 +196,12 @@ class SuffixArrayFamily:
         if window < GRAM_BYTES:
             raise ValueError(f"window must be at least {GRAM_BYTES} bytes")
         self.spark, self.window = spark, window
-        self.n_buckets = n_buckets or C.partitions(spark)
+        self.n_buckets = n_buckets or PARTITION_BUCKETS * C.partitions(spark)
         self.levels: dict[int, str] = {}
 
     def _write(self, df: DataFrame, name: str) -> str:
         path = scratch_dir(self.spark, name)
-        with C.cleaned_shuffles(self.spark):
+        with C.cleaned_shuffles(self.spark), C.small_batches(self.spark):
             df.write.option("compression", "zstd").parquet(path)
         return path
 
@@ -199,13 +212,14 @@ class SuffixArrayFamily:
         """Add a batch (``common.keyed`` rows); its seeds, inside it and with
         all earlier batches, as a stored table."""
         places = docs.select("id", "text").mapInArrow(_scan(self.window, self.n_buckets), "bucket int, blob binary")
-        array = self._write(places.repartition(self.n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
+        array = self._write(places.repartition(C.partitions(self.spark), "bucket").sortWithinPartitions("bucket").mapInArrow(
             _sorted, "bucket int, blob binary"), "suffix-array")
         new = self._level(array)
         seeds = new.mapInArrow(_scan_batch, SEED)
         for path in self.levels.values():
             seeds = seeds.unionByName(new.join(self._level(path, "level"), "bucket").mapInArrow(_merge_scan, SEED))
-        found = C.staged(self.spark, seeds, "suffix-seeds")
+        with C.small_batches(self.spark):
+            found = C.staged(self.spark, seeds, "suffix-seeds")
         level = 0
         while level in self.levels:  # equal sizes merge
             old = self.levels.pop(level)

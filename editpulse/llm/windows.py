@@ -24,8 +24,9 @@ RUN_WINDOWS = 1024
 #: gathered.  The least place of each is aggregated on both sides of the shuffle,
 #: and the others are joined with it by their text.
 HOT_RUNS = 20_000
-#: Bytes of strings a task matches at once.
-PIECE_BYTES = 8 << 20
+#: Bytes of strings a task matches at once (one key's strings stay together); it
+#: takes some 50 bytes a byte.
+PIECE_BYTES = 2 << 20
 
 
 def runs(gram_hashes: np.ndarray, first: np.ndarray, window: int, k: int):

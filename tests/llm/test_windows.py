@@ -2,6 +2,7 @@
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from editpulse.llm import common, windows
@@ -114,6 +115,54 @@ def test_levels_merge_geometrically(spark, docs_of):
     assert sizes == [[0], [1], [0, 1], [2], [0, 2], [1, 2], [0, 1, 2]]
 
 
+def test_index_functions_get_a_few_mb_at_once(spark):
+    """Rows of 1 MB: before, all of a partition came as one batch (and to_pylist copied it)."""
+    rows = spark.range(0, 24, 1, 1).selectExpr("id", "repeat('x', 1048576) AS blob")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    def most():
+        return max(r.n for r in rows.mapInArrow(sizes, "n bigint").collect())
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    outside, before = most(), spark.conf.get(key)
+    with common.small_batches(spark):
+        assert most() <= 6 << 20 < outside
+    assert spark.conf.get(key) == before
+
+
+def test_a_bucket_is_a_part_of_a_partition(spark, docs_of):
+    """Before, one array held all suffixes of a shuffle partition."""
+    r = np.random.default_rng(10)
+    index = SuffixArrayFamily(spark)
+    index.add(common.keyed(docs_of([(i, "".join(map(chr, r.integers(97, 123, 3000)))) for i in range(60)])))
+    buckets = sorted(r.bucket for r in index._level(index.levels[0]).select("bucket").collect())
+    assert len(buckets) == len(set(buckets)) > 2 * common.partitions(spark)
+    index.drop()
+
+
+@pytest.mark.parametrize("of_words", [False, True])
+def test_strings_are_matched_a_few_mb_at_a_time(monkeypatch, of_words):
+    """Before, 8 MB at once, for which a worker took half a GB."""
+    seen, whole = [], windows.covered
+    monkeypatch.setattr(windows, "covered", lambda strings, *a: (seen.append(strings.nbytes), whole(strings, *a))[1])
+    r = np.random.default_rng(11)
+
+    def batches():
+        for i in range(60):
+            s = [bytes(r.integers(97, 123, 600, dtype=np.uint8)) for _ in range(100)] * 2  # each string twice
+            key, at = np.repeat(np.arange(100) + 100 * i, 2), np.arange(200) + 200 * i
+            order = np.argsort(np.tile(np.arange(100), 2), kind="stable")
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(at), pa.array(at), pa.array(np.zeros(200, np.int32)),
+                                              pa.array([s[k] for k in order], pa.binary())], names=["key", "id", "h", "start", "s"])
+
+    found = pa.Table.from_batches(windows._matcher(1 if of_words else 100, of_words)(batches()))
+    assert sorted(found["id"].to_pylist()) == list(range(1, 12_000, 2))  # the second of each two
+    assert len(seen) >= 3 and max(seen) <= 3 << 20
+
+
 def test_suffix_arrays_null_ids_repeated_rows_and_empty_table(docs_of):
     t = "".join(chr(97 + (j * j + j // 7) % 26) for j in range(150))
     got = sorted(((r.doc_id, r.n_removed) for r in dedup_substrings(docs_of([(None, t), (5, t), (5, t), (1, "x"), (None, None)])).collect()), key=str)
