@@ -294,7 +294,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = Non
     """Per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``."""
     spark, path = docs.sparkSession, vocabulary or public_tokenizers.path(VOCABULARY)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    pieces = C.staged(spark, rows.mapInArrow(_pieces(path, capacity), "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, chunk bigint, place bigint"), "pieces")
+    with C.small_batches(spark):
+        pieces = C.staged(spark, rows.mapInArrow(_pieces(path, capacity), "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, chunk bigint, place bigint"), "pieces")
     per_chunk = pieces.groupBy("length", "chunk").count()
     histogram = sorted(per_chunk.where(F.col("length") < capacity).groupBy("length").agg(F.sum("count")).collect())  # fewer rows than capacity
     lengths, counts = (np.array([r[i] for r in histogram], np.int64) for i in (0, 1))

@@ -130,3 +130,12 @@ def test_pricing_equals_brute_force():
         cost = np.array([packing.padded(c, 12) for c in range(13)], float)
         best = max(sum(v * k for v, k in zip(value, n)) - cost[f] for n in np.ndindex(13, 13, 13, 13) if 0 < (f := int(np.dot(n, lengths))) <= 12)
         assert packing.price(value, lengths, cost)[0] == pytest.approx(best)
+
+
+def test_texts_reach_the_tokenizer_a_few_mb_at_once(spark, docs_of, monkeypatch):
+    """Before, a worker got up to 10000 texts as one batch while the pieces were written."""
+    key, seen, staged = "spark.sql.execution.arrow.maxBytesPerBatch", [], packing.C.staged
+    monkeypatch.setattr(packing.C, "staged", lambda spark, *a: (seen.append(spark.conf.get(key)), staged(spark, *a))[1])
+    before = spark.conf.get(key)
+    assert packing.pack(docs_of([(1, "some words"), (2, None)])).count() == 2
+    assert seen == [str(4 << 20)] and spark.conf.get(key) == before
