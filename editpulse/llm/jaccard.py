@@ -599,16 +599,17 @@ def _joined_groups(groups: DataFrame, links: DataFrame, round_: int) -> DataFram
         met = met.drop("size").join(size.toDF("at", "m"), "at").join(size.toDF("up", "n"), "up")
         met = met.select(*(F.when(F.col("m") > F.col("n"), F.col(a)).otherwise(F.col(b)).alias(c) for a, b, c in (("up", "at", "at"), ("at", "up", "up"))),
                          F.greatest("m", "n").alias("size"))
-    up = met.groupBy("at").agg(F.max_by("up", F.struct("size", "up")).alias("up"))
+    up = C.staged(groups.sparkSession, met.groupBy("at").agg(F.max_by("up", F.struct("size", "up")).alias("up")), "set-steps")
     for i in range(2):
         step = up.select(F.col("at").alias(f"at{i}"), F.col("up").alias(f"up{i}"))
         groups = groups.join(step, F.col("root") == F.col(f"at{i}"), "left").select("id", "buckets", F.coalesce(f"up{i}", "root").alias("root"))
     return groups
 
 
-def _with_centers(rows: DataFrame, sets: DataFrame, n: int, *columns: str) -> DataFrame:
-    """``rows`` by part of their centre, whose own set comes first."""
-    centers = rows.select("center", "part").distinct().join(sets.select(F.col("id").alias("center"), "own"), "center")
+def _with_centers(parts: DataFrame, rows: DataFrame, sets: DataFrame, n: int, *columns: str) -> DataFrame:
+    """``rows`` by part of their centre, whose own set comes first; ``parts`` has all
+    centres and parts (what makes the rows is not in the plan a second time)."""
+    centers = parts.select("center", "part").distinct().join(sets.select(F.col("id").alias("center"), "own"), "center")
     centers = centers.select("center", "part", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("id"), "own")
     both = centers.unionByName(rows, allowMissingColumns=True).select("center", "part", "kind", "id", "own", *columns)
     return both.repartition(n, "center", "part").sortWithinPartitions("center", "part", "kind")
@@ -617,8 +618,9 @@ def _with_centers(rows: DataFrame, sets: DataFrame, n: int, *columns: str) -> Da
 def star_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``u, v, lost, gained`` of the pairs ``(center, id)`` that link."""
     n = C.partitions(pairs.sparkSession)
-    rows = _parted(pairs, "id").join(sets.select("id", "own"), "id").select("center", "part", F.lit(1).alias("kind"), "id", "own")
-    return _with_centers(rows, sets, n).mapInArrow(_compare(percent), "u bigint, v bigint, lost binary, gained binary")
+    met = _parted(pairs, "id")
+    rows = met.join(sets.select("id", "own"), "id").select("center", "part", F.lit(1).alias("kind"), "id", "own")
+    return _with_centers(met, rows, sets, n).mapInArrow(_compare(percent), "u bigint, v bigint, lost binary, gained binary")
 
 
 def derived_links(pairs: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -627,14 +629,16 @@ def derived_links(pairs: DataFrame, links: DataFrame, sets: DataFrame, percent:
     all link to it, the first for each ``y``."""
     n = C.partitions(pairs.sparkSession)
     of = links.groupBy(F.col("v").alias("x")).agg(F.min_by(F.struct("u", "lost", "gained"), "u").alias("c"))
-    met = pairs.join(of.select("x", F.col("c.u").alias("u")), "x", "left").select(F.coalesce("u", "x").alias("center"), "x", "y")
-    met = _parted(met, "x")
+    first = links.groupBy(F.col("v").alias("x")).agg(F.min("u").alias("u"))
+    met = pairs.join(first, "x", "left").select(F.coalesce("u", "x").alias("center"), "x", "y")
+    met = C.staged(pairs.sparkSession, met, "set-met")  # four times in the plan of what follows
+    met = C.staged(pairs.sparkSession, _parted(met, "x"), "set-parted")
     differs = met.where("center <> x").select("center", "part", "x").distinct().join(of, "x")
     differs = differs.select("center", "part", F.lit(1).alias("kind"), F.col("x").alias("id"), F.col("c.lost").alias("own"), F.col("c.gained").alias("gained"))
     asked = met.groupBy("center", "part", "y").agg(F.collect_list("x").alias("xs")).join(sets.select(F.col("id").alias("y"), "own"), "y")
     asked = asked.select("center", "part", F.lit(2).alias("kind"), F.col("y").alias("id"), "own", "xs")
     rows = differs.unionByName(asked, allowMissingColumns=True)
-    return _with_centers(rows, sets, n, "gained", "xs").mapInArrow(_derive(percent), "u bigint, v bigint")
+    return _with_centers(met, rows, sets, n, "gained", "xs").mapInArrow(_derive(percent), "u bigint, v bigint")
 
 
 def similar_groups(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> DataFrame:
@@ -710,7 +714,7 @@ def groups_of(rows: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -
     sketches = groups.select("id", "buckets").join(asked, "id").join(sets.select("id", "sketch"), "id").mapInArrow(_sketches(n), "bucket int, kind int, blob binary")
     met = sketches.unionByName(mixed.withColumn("kind", F.lit(1))).repartition(n, "bucket").sortWithinPartitions("bucket", "kind")
     pairs = C.staged(spark, met.mapInArrow(_across(percent), "x bigint, y bigint").distinct(), "set-pairs")
-    more = derived_links(pairs, links, sets, percent)
+    more = C.staged(spark, derived_links(pairs, links, sets, percent), "set-derived")
 
     copies = known.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("node").alias("v"), F.max("node").alias("w")).where("v <> w").drop("w")
     copies = known.join(copies, ["s1", "s2", "n"]).select(F.col("node").alias("u"), "v").where("u <> v")

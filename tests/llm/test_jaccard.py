@@ -1,5 +1,7 @@
 """Operator 6 against brute force."""
 
+import contextlib
+import io
 import random
 
 import brute
@@ -184,6 +186,23 @@ def test_pairs_of_lists_are_those_that_sketches_leave():
     assert got == want and linked <= got and len(linked) < len(got) < len(met)
 
 
+def test_no_stored_step_has_a_large_plan(docs_of, monkeypatch):
+    """The driver holds a step's plan anew whenever a part of it has run."""
+    sizes, staged = [], jaccard.C.staged
+
+    def counted(spark, df, purpose):
+        with contextlib.redirect_stdout(io.StringIO()) as plan:
+            df.explain()
+        sizes.append((plan.getvalue().count("\n"), purpose))
+        return staged(spark, df, purpose)
+
+    monkeypatch.setattr(jaccard.C, "staged", counted)
+    rows = list(enumerate(near_copies(2)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar_groups(docs_of(rows)).collect()}
+    assert got == groups(rows)
+    assert max(sizes)[0] < 80, sorted(sizes)[-5:]
+
+
 def test_null_ids_repeated_rows_and_empty_table(docs_of):
     t = "one two three four five six seven"
     got = jaccard.similar_groups(docs_of([(4, t), (4, t), (9, t), (None, t), (None, None), (1, "")])).collect()
