@@ -74,6 +74,13 @@ def small_batches(spark: SparkSession, size: int = 4 << 20):
     return _held(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
+def staged_small(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
+    """``staged`` within ``small_batches``: the caller's write of a result would hand
+    its Arrow functions whole partitions."""
+    with small_batches(spark):
+        return staged(spark, df, purpose)
+
+
 def staged(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     """Cut the lineage: write to the shared folder named by
     ``spark.checkpoint.dir`` and read back."""
@@ -83,6 +90,18 @@ def staged(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(function):
+    """An Arrow function whose task, when it ends, gives back what Arrow holds
+    beyond need: the worker may wait idle while its executor needs the memory."""
+    def whole(batches):
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return whole
+
+
 def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (int64, from 0) of a string or binary column; nulls are empty."""
     if isinstance(col, pa.ChunkedArray):

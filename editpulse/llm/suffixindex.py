@@ -48,6 +48,9 @@ BATCHES = 3
 PARTITION_BUCKETS = 4
 #: Suffixes that a task gathers before it deals them out (42 bytes each).
 SCAN_SUFFIXES = 400_000
+#: Text bytes scanned at once (a single longer text goes whole); it takes some 90
+#: bytes a byte.
+SCAN_BYTES = 256 << 10
 
 _SEED = pa.schema([("id", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("key", pa.int64())])
 SEED = "id bigint, start int, n int, key bigint"
@@ -59,14 +62,17 @@ def _scan(window: int, n_buckets: int):
 
     def dealt(parts):
         *entry, key = (np.concatenate(x) for x in zip(*parts))
-        return C.table(schema, *zip(*C.dealt(key % C.U(n_buckets), n_buckets, *entry)))
+        parts.clear()  # copies are dropped as soon as the next is made
+        rows = C.dealt(key % C.U(n_buckets), n_buckets, *entry)
+        del entry, key
+        return C.table(schema, *zip(*rows))
 
     def scan(batches):
         parts, held = [], 0
         for batch in batches:
             data, offsets = C.buffers(batch["text"])
             ids = batch["id"].to_numpy()
-            for i, j in C.slices(offsets):
+            for i, j in C.slices(offsets, SCAN_BYTES):
                 first = offsets[i:j + 1] - offsets[i]
                 own = C.overlapping_words(data[offsets[i]:offsets[j]], max(16, window))
                 grams = W.gram_hashes_of_bytes(own, max(0, int(first[-1]) - GRAM_BYTES + 1))
@@ -85,7 +91,7 @@ def _scan(window: int, n_buckets: int):
                     held += len(at)
                 if held >= SCAN_SUFFIXES:
                     yield dealt(parts)
-                    parts, held = [], 0
+                    held = 0
         if parts:
             yield dealt(parts)
 
@@ -211,20 +217,19 @@ class SuffixArrayFamily:
     def add(self, docs: DataFrame) -> DataFrame:
         """Add a batch (``common.keyed`` rows); its seeds, inside it and with
         all earlier batches, as a stored table."""
-        places = docs.select("id", "text").mapInArrow(_scan(self.window, self.n_buckets), "bucket int, blob binary")
+        places = docs.select("id", "text").mapInArrow(C.released(_scan(self.window, self.n_buckets)), "bucket int, blob binary")
         array = self._write(places.repartition(C.partitions(self.spark), "bucket").sortWithinPartitions("bucket").mapInArrow(
-            _sorted, "bucket int, blob binary"), "suffix-array")
+            C.released(_sorted), "bucket int, blob binary"), "suffix-array")
         new = self._level(array)
-        seeds = new.mapInArrow(_scan_batch, SEED)
+        seeds = new.mapInArrow(C.released(_scan_batch), SEED)
         for path in self.levels.values():
-            seeds = seeds.unionByName(new.join(self._level(path, "level"), "bucket").mapInArrow(_merge_scan, SEED))
-        with C.small_batches(self.spark):
-            found = C.staged(self.spark, seeds, "suffix-seeds")
+            seeds = seeds.unionByName(new.join(self._level(path, "level"), "bucket").mapInArrow(C.released(_merge_scan), SEED))
+        found = C.staged_small(self.spark, seeds, "suffix-seeds")
         level = 0
         while level in self.levels:  # equal sizes merge
             old = self.levels.pop(level)
             both = self._level(array).join(self._level(old, "level"), "bucket", "full")
-            merged = self._write(both.mapInArrow(_merge, "bucket int, blob binary"), "suffix-array")
+            merged = self._write(both.mapInArrow(C.released(_merge), "bucket int, blob binary"), "suffix-array")
             for path in (array, old):
                 delete_path(self.spark, path)
             array, level = merged, level + 1
@@ -286,7 +291,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW_BYTES, n_batches: int
     """Per document ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (of the
     remaining bytes) and, with ``with_text``, ``kept``: the text without them
     (a character that lost some of its bytes goes as a whole)."""
-    return repeated_spans(docs, window, n_batches, hot_runs).mapInArrow(_kept(with_text), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept string" * with_text)
+    kept = repeated_spans(docs, window, n_batches, hot_runs).mapInArrow(C.released(_kept(with_text)), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept string" * with_text)
+    return C.staged_small(docs.sparkSession, kept, "suffix-kept")
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW_BYTES, n_batches: int = BATCHES) -> DataFrame:
@@ -303,9 +309,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW_BYTES, n_batches: int
                 texts.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])).decode(errors="ignore"))
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch["rest"]], names=["text", "rest"])
 
-    cut_rows = rows.select("text", "spans", "rest").mapInArrow(cut, T.StructType([T.StructField("text", T.StringType()), T.StructField("rest", kind)]))
+    cut_rows = rows.select("text", "spans", "rest").mapInArrow(C.released(cut), T.StructType([T.StructField("text", T.StringType()), T.StructField("rest", kind)]))
     own = {"text": F.col("text"), "n_chars": F.char_length("text").cast("bigint").alias("n_chars")}
-    return cut_rows.select(*[own.get(c, F.col(f"rest.`{c}`")) for c in docs.columns])
+    return C.staged_small(docs.sparkSession, cut_rows.select(*[own.get(c, F.col(f"rest.`{c}`").alias(c)) for c in docs.columns]), "suffix-cut")
 
 
 def op2_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:

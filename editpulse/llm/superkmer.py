@@ -74,8 +74,8 @@ def shared_spans(docs: DataFrame, window: int = WINDOW_WORDS, k: int = GRAM_WORD
     """``docs`` with ``spans``: ranges of words covered by a window that also starts
     in a document with a smaller id; ``docs`` from ``common.keyed``."""
     n = C.partitions(docs.sparkSession)
-    places = docs.select("id", "text").mapInArrow(_scan(window, k, n), "bucket int, blob binary")
-    seeds = places.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_shared(hot_runs), W.SEED)
+    places = docs.select("id", "text").mapInArrow(C.released(_scan(window, k, n)), "bucket int, blob binary")
+    seeds = places.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(C.released(_shared(hot_runs)), W.SEED)
     return W.repeats(docs, seeds, window, of_words=True)
 
 
@@ -103,7 +103,8 @@ def dedup_windows(docs: DataFrame, window: int = WINDOW_WORDS, k: int = GRAM_WOR
     """Per document ``doc_id, n_words, n_removed, kept_sha256`` and, with
     ``with_text``, ``kept``: its words, joined by one space, without those
     covered by a repeated window."""
-    return shared_spans(C.keyed(docs), window, k, hot_runs).mapInArrow(_kept(with_text), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept string" * with_text)
+    kept = shared_spans(C.keyed(docs), window, k, hot_runs).mapInArrow(C.released(_kept(with_text)), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept string" * with_text)
+    return C.staged_small(docs.sparkSession, kept, "windows-kept")
 
 
 def op8_substring_dedup(spark, sf_dir: str) -> DataFrame:

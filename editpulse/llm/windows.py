@@ -26,7 +26,7 @@ RUN_WINDOWS = 1024
 HOT_RUNS = 20_000
 #: Bytes of strings a task matches at once (one key's strings stay together); it
 #: takes some 50 bytes a byte.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 
 def runs(gram_hashes: np.ndarray, first: np.ndarray, window: int, k: int):
@@ -78,10 +78,10 @@ def repeats(docs: DataFrame, seeds: DataFrame, window: int, of_words: bool) -> D
 
     def cut(runs):
         wanted = runs.groupBy("id").agg(F.collect_set(F.struct("start", "n", "key", "hot")).alias("runs"))
-        return docs.join(wanted, "id").mapInArrow(_cutter(window, of_words), "key bigint, id bigint, h bigint, start int, s binary")
+        return docs.join(wanted, "id").mapInArrow(C.released(_cutter(window, of_words)), "key bigint, id bigint, h bigint, start int, s binary")
 
     found = cut(seeds.where("not hot")).repartition(n, "key").sortWithinPartitions("key").mapInArrow(
-        _matcher(window, of_words), "id bigint, h bigint, a int, b int")
+        C.released(_matcher(window, of_words)), "id bigint, h bigint, a int, b int")
     found = found.unionByName(_later(cut(seeds.where("hot")), window, of_words))
     found = found.groupBy("id").agg(F.collect_list(F.struct("h", "a", "b")).alias("spans"))
     # Both joins deal the texts out by id, so they travel once.
@@ -134,12 +134,20 @@ def _pieces(runs: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return row[run], (start[run] + step).astype(np.int32), np.where(hot, 1, n)[run], key[run]
 
 
+def _parts(batches):
+    """The batches in parts of about ``PIECE_BYTES``."""
+    for batch in batches:
+        step = max(1, len(batch) * PIECE_BYTES // max(1, batch.nbytes))
+        for i in range(0, len(batch), step):
+            yield batch.slice(i, step)
+
+
 def _matcher(window: int, of_words: bool):
     schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
 
     def match(batches):
         held, size = [], 0
-        for batch in batches:
+        for batch in _parts(batches):
             held.append(batch)
             size += batch.nbytes
             if size >= PIECE_BYTES:

@@ -1,11 +1,13 @@
 """Operators 2 and 8 against brute force."""
 
+import tracemalloc
+
 import brute
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from editpulse.llm import common, windows
+from editpulse.llm import common, suffixindex, superkmer, windows
 from editpulse.llm.suffixindex import SuffixArrayFamily, dedup_substrings
 from editpulse.llm.superkmer import dedup_windows
 
@@ -163,6 +165,48 @@ def test_strings_are_matched_a_few_mb_at_a_time(monkeypatch, of_words):
     assert len(seen) >= 3 and max(seen) <= 3 << 20
 
 
+def test_one_large_batch_of_strings_is_matched_in_parts(monkeypatch):
+    """Before, a batch was matched whole, whatever its size."""
+    seen, whole = [], windows.covered
+    monkeypatch.setattr(windows, "covered", lambda strings, *a: (seen.append(strings.nbytes), whole(strings, *a))[1])
+    r = np.random.default_rng(12)
+    s = [bytes(r.integers(97, 123, 600, dtype=np.uint8)) for _ in range(5000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(5000), 2)), pa.array(np.arange(10_000)), pa.array(np.arange(10_000)), pa.array(np.zeros(10_000, np.int32)),
+                                        pa.array([s[k // 2] for k in range(10_000)], pa.binary())], names=["key", "id", "h", "start", "s"])
+    found = pa.Table.from_batches(windows._matcher(100, False)(iter([batch])))
+    assert sorted(found["id"].to_pylist()) == list(range(1, 10_000, 2))
+    assert len(seen) >= 4 and max(seen) <= 2 << 20
+
+
+@pytest.mark.parametrize("module, dedup, name", [(suffixindex, dedup_substrings, "n_bytes"), (superkmer, dedup_windows, "n_words")])
+def test_results_are_made_from_a_few_mb_at_once(spark, monkeypatch, module, dedup, name):
+    """Before, the caller's write handed the last functions whole partitions."""
+    schema = pa.schema([("doc_id", pa.int64()), (name, pa.int64()), ("n_removed", pa.int64())] + [("n_spans", pa.int64())] * (name == "n_bytes") + [("kept_sha256", pa.string())])
+
+    def sizes(batches):
+        for batch in batches:
+            yield common.table(schema, batch["doc_id"], *[[batch.nbytes] * len(batch)] * (len(schema) - 2), [""] * len(batch))
+
+    monkeypatch.setattr(module, "_kept", lambda with_text: sizes)
+    r = np.random.default_rng(14)
+    docs = spark.createDataFrame([(i, "".join(map(chr, r.integers(97, 123, 1 << 20)))) for i in range(16)], "doc_id bigint, text string")
+    got = [x[name] for x in dedup(docs, with_text=False).collect()]
+    assert len(got) == 16 and max(got) <= 6 << 20
+
+
+def test_scan_holds_a_few_times_its_suffixes():
+    """Before: 1 MB of text scanned at once, and five copies of what is dealt out."""
+    r = np.random.default_rng(13)
+    text = pa.array(["".join(map(chr, x)) for x in r.integers(97, 123, (1000, 4000))])
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(1000)), text], names=["id", "text"])
+    tracemalloc.start()
+    rows = sum(len(b) for b in suffixindex._scan(100, 200)(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    print("peak", most >> 20)
+    assert rows == 200 and most < 50 << 20
+
+
 def test_suffix_arrays_null_ids_repeated_rows_and_empty_table(docs_of):
     t = "".join(chr(97 + (j * j + j // 7) % 26) for j in range(150))
     got = sorted(((r.doc_id, r.n_removed) for r in dedup_substrings(docs_of([(None, t), (5, t), (5, t), (1, "x"), (None, None)])).collect()), key=str)
