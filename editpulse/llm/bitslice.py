@@ -10,8 +10,11 @@ downward finds the k-th best quantised score with counts of set bits; the
 dropped lower bits bound how far the true score can be, and the rows inside
 that margin are resolved by exact integer inner products.
 
-Queries and rows meet block by block: both are dealt out by (row block, query
-block) with an equi-join, every pair of blocks once.
+Queries travel to the rows: the blocks are dealt into parts, the query blocks
+are copied to every part (as numbers, without slices), and a task passes them
+over the blocks it holds and keeps the k best of its part.  With more tasks than
+blocks, the query blocks are dealt into shares too, and a part is copied to each
+share.  There is no join, so no side's size is guessed and none is broadcast.
 
 Defined results: a null vector, or one with a null, NaN or infinite component,
 takes no part, nor does a null ``vec_id``; shorter vectors count as padded with
@@ -32,6 +35,8 @@ from editpulse.llm import common as C
 SCALE = 256
 BLOCK_ROWS = 8192
 QUERY_ROWS = 256
+#: Most index blocks of a part: a task holds one part at a time.
+HELD_BLOCKS = 8
 #: Lowest bits of a component that the slices leave to the exact step.
 DROPPED_BITS = 2
 
@@ -43,6 +48,12 @@ def _matrix(rows: list[np.ndarray], dims: int) -> np.ndarray:
     return out
 
 
+def _narrow(a: np.ndarray) -> np.ndarray:
+    """Whole numbers in the smallest signed type that holds them."""
+    low, high = (int(a.min()), int(a.max())) if a.size else (0, 0)
+    return a.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max))
+
+
 def build(vectors: np.ndarray, dropped: int) -> np.ndarray:
     """The slices ``(dimension, bit, word of 64 rows)`` of what is above each
     dimension's least value, without the ``dropped`` lowest bits."""
@@ -133,13 +144,13 @@ def top(slices, vectors, valid, ids, query, query_id, k, dropped):
             spread = int(np.abs(query).sum()) * ((1 << dropped) - 1) >> dropped
             rows = at_least(score, rows, kth_best(score, rows, k) - spread - 1)
     at = numbers(rows, len(ids))
-    exact = vectors[at] @ query
+    exact = vectors[at].astype(np.int64) @ query
     order = np.lexsort((ids[at], -exact))[:k]
     return ids[at][order], exact[order]
 
 
-def _blocks(scale: int, dims: int, dropped: int):
-    """One row a block: ids, integer vectors and slices."""
+def _blocks(scale: int, dims: int, dropped: int | None = None):
+    """One row a block: ids, integer vectors and, with ``dropped``, slices."""
     schema = pa.schema([("block", pa.int64()), ("blob", pa.binary())])
 
     def blocks(batches):
@@ -147,47 +158,73 @@ def _blocks(scale: int, dims: int, dropped: int):
             rows.sort(key=lambda r: r["vec_id"])
             ids = np.array([r["vec_id"] for r in rows], np.int64)
             vectors = _matrix([np.floor(np.asarray(r["v"], np.float64) * scale).astype(np.int64) for r in rows], dims)
-            slices = build(vectors, dropped)
-            yield C.table(schema, [block], [C.pack(ids, vectors.ravel(), np.array(slices.shape), slices.ravel())])
+            slices = [] if dropped is None else [build(vectors, dropped)]
+            yield C.table(schema, [block], [C.pack(ids, *(x for a in slices for x in (np.array(a.shape), a.ravel())), _narrow(vectors).ravel())])
 
     return blocks
 
 
 def _search(k: int, dims: int, dropped: int):
+    """The ``k`` best rows of a part for each query: of every cell the index
+    blocks (``q`` -1) come first, then the query blocks."""
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
+    def held(blob):
+        ids, shape, slices, vectors = C.unpack(blob)
+        slices = slices.reshape(shape)
+        valid = np.packbits(np.arange(slices.shape[2] * 64) < len(ids), bitorder="little").view(np.uint64)
+        return slices, vectors.reshape(len(ids), dims), valid, ids
+
     def search(batches):
+        last, part = None, []
         for batch in batches:
-            for blob, queries in zip(batch["blob"], batch["queries"]):
-                ids, vectors, shape, slices = C.unpack(blob.as_py())
-                vectors, slices = vectors.reshape(len(ids), dims), slices.reshape(shape)
-                valid = np.packbits(np.arange(slices.shape[2] * 64) < len(ids), bitorder="little").view(np.uint64)
-                query_ids, weights, *_ = C.unpack(queries.as_py())
-                for query_id, query in zip(query_ids.tolist(), weights.reshape(-1, dims)):
-                    found, score = top(slices, vectors, valid, ids, query, query_id, k, dropped)
-                    yield C.table(schema, np.full(len(found), query_id), found, score)
+            for cell, q, blob in zip(batch["cell"].to_pylist(), batch["q"].to_pylist(), batch["blob"]):
+                if cell != last:
+                    last, part = cell, []
+                if q < 0:
+                    part.append(held(blob.as_py()))
+                    continue
+                query_ids, weights = C.unpack(blob.as_py())
+                best = [(query_ids[:0], query_ids[:0], query_ids[:0])]
+                for query_id, query in zip(query_ids.tolist(), weights.reshape(-1, dims).astype(np.int64)):
+                    found, score = (np.concatenate(x) for x in zip((query_ids[:0], query_ids[:0]), *(top(*block, query, query_id, k, dropped) for block in part)))
+                    order = np.lexsort((found, -score))[:k]
+                    best.append((np.full(len(order), query_id), found[order], score[order]))
+                yield C.table(schema, *(np.concatenate(x) for x in zip(*best)))
 
     return search
 
 
+def _grid(n: int, n_blocks: int, n_queries: int) -> tuple[int, int]:
+    """Parts of the index and shares of the query blocks, about ``n`` pairs of
+    them, or more if a part would pass ``HELD_BLOCKS``."""
+    parts = max(min(n, n_blocks), -(-n_blocks // HELD_BLOCKS))
+    return parts, min(n_queries, -(-n // parts))
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = SCALE, dropped: int = DROPPED_BITS,
           block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """``query_id, rank, vec_id, score`` of each query's ``k`` best rows.
 
     Both inputs hold ``(vec_id bigint, v array<double>)`` from ``usable``."""
     spark, n = vectors.sparkSession, C.partitions(vectors.sparkSession)
-    size, dims = vectors.agg(F.count("*"), F.max(F.size("v"))).first()
+    with C.cleaned_shuffles(spark):
+        size, dims = vectors.agg(F.count("*"), F.max(F.size("v"))).first()
+        n_queries = -(-queries.count() // query_rows) or 1
     if not size:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     dims = max(1, dims)
     n_blocks = -(-size // block_rows)
-    n_queries = -(-queries.count() // query_rows) or 1
-    blocked = lambda df, count: df.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(count)))
-    index = blocked(vectors, n_blocks).repartition(n, "block").sortWithinPartitions("block").mapInArrow(_blocks(scale, dims, dropped), "block bigint, blob binary")
-    asked = blocked(queries, n_queries).repartition(n, "block").sortWithinPartitions("block").mapInArrow(_blocks(scale, dims, dropped), "block bigint, blob binary")
-    index = index.select("block", "blob", F.explode(F.expr(f"sequence(0L, {n_queries - 1}L)")).alias("q"))
-    asked = asked.select(F.col("block").alias("q"), F.col("blob").alias("queries"), F.explode(F.expr(f"sequence(0L, {n_blocks - 1}L)")).alias("block"))
-    met = index.join(asked, ["block", "q"]).repartition(n, "block", "q")
+    parts, shares = _grid(n, n_blocks, n_queries)
+    n_queries = -(-n_queries // shares) * shares
+    blocked = lambda df, count: df.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(count))).repartition(n, "block").sortWithinPartitions("block")
+    copied = lambda count: F.explode(F.expr(f"sequence(0L, {count - 1}L)"))
+    index = blocked(vectors, n_blocks).mapInArrow(_blocks(scale, dims, dropped), "block bigint, blob binary")
+    asked = blocked(queries, n_queries).mapInArrow(_blocks(scale, dims), "block bigint, blob binary")
+    index = index.select((F.col("block") % parts).alias("part"), copied(shares).alias("share"), F.lit(-1).cast("bigint").alias("q"), "blob")
+    asked = asked.select(copied(parts).alias("part"), (F.col("block") % shares).alias("share"), F.col("block").alias("q"), "blob")
+    met = index.union(asked).select((F.col("part") * shares + F.col("share")).alias("cell"), "q", "blob")
+    met = met.repartitionById(n, (F.col("cell") % n).cast("int")).sortWithinPartitions("cell", "q")
     best = met.mapInArrow(_search(k, dims, dropped), "query_id bigint, vec_id bigint, score bigint")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -40,6 +40,25 @@ def test_top_k_equals_brute_force(spark, dropped):
     assert search(spark, rows, dropped=dropped, block_rows=130, query_rows=4) == brute_top(rows)
 
 
+def test_top_k_sends_nothing_through_the_driver(spark):
+    r = np.random.default_rng(5)
+    rows = [(int(i), np.float32(r.normal(size=8) * 10.0 ** (i % 6)).tolist()) for i in r.permutation(600)] + [(600 + i, [0.0] * 8) for i in range(20)]
+    df = bitslice.usable(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"))
+    for options in ({"block_rows": 100, "query_rows": 3}, {"block_rows": 4, "query_rows": 2}):  # fewer blocks than tasks; more than the tasks hold at once
+        found = bitslice.top_k(df, df.where("vec_id % 50 = 0"), **options)
+        assert sorted(tuple(x) for x in found.collect()) == brute_top(rows)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan and "Join" not in plan and "BroadcastExchange" not in plan
+
+
+def test_parts_are_as_many_as_tasks_and_held_in_memory():
+    for n, n_blocks, n_queries in ((8, 1, 1), (12, 7, 5), (24, 76, 49), (200, 7, 5), (12, 500, 300)):
+        parts, shares = bitslice._grid(n, n_blocks, n_queries)
+        assert -(-n_blocks // parts) <= bitslice.HELD_BLOCKS and parts <= n_blocks and 1 <= shares <= n_queries
+        assert parts * (shares - 1) < n  # copies of the index
+    assert bitslice._grid(24, 76, 49) == (24, 1)
+
+
 def test_top_k_leaves_out_unusable_vectors(spark):
     good = [(0, [1.0, 0.5]), (1, [0.5, 0.5]), (2, [-1.0, 0.0])]
     bad = [(50, None), (3, [1.0, None]), (100, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (None, [1.0, 1.0])]
